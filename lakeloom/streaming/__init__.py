@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workloads this library reproduces are batch tasks: none reads a stream,
+holds state across micro-batches, or handles late data. Incremental work is
+expressed in batch form instead (key anti-joins before expensive steps, key
+merges on write; see ``lakeloom.sinks``), so no streaming operator is defined.
+"""
