@@ -1,0 +1,19 @@
+"""Parallelism guard for CPU-heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks when the scan gives fewer.
+
+    A large table already arrives in many splits and is left alone (no shuffle);
+    a small file that lands in one split would otherwise keep one core busy
+    while the rest idle.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

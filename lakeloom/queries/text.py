@@ -1 +1,243 @@
-"""Registrations for this area."""
+"""Documents, chunks, labels, fan-out, files, JSON, fingerprints, retrieval."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..catalog import query
+from ..functions.text import WHITESPACE_CLASS as WS
+from ..operators import chunk, documents, fingerprint, label, retrieve
+from ..session import scratch_path
+from ..sources import files, json_docs
+from ..sources.tables import read_table
+
+_WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{WS}'), lambda x: x <> '')"
+
+
+def _stop_at_end_sql(docs_sql: str, keep: str) -> str:
+    return f"""
+WITH w AS (SELECT {keep}, {_WORDS} AS ws FROM ({docs_sql})),
+c AS (SELECT *, CASE WHEN len(ws) = 0 THEN 0
+                     ELSE 1 + greatest(0, CAST(ceil((len(ws) - 120) / 90.0) AS BIGINT)) END AS n FROM w),
+e AS (SELECT {keep}, ws, unnest(range(n)) AS i FROM c)
+SELECT {keep}, CAST(i AS INTEGER) AS chunk_index,
+       array_to_string(list_slice(ws, i * 90 + 1, i * 90 + 120), ' ') AS chunk_text,
+       CAST(len(list_slice(ws, i * 90 + 1, i * 90 + 120)) AS INTEGER) AS word_count
+FROM e"""
+
+
+def _fixed_step_sql(docs_sql: str, keep: str) -> str:
+    return f"""
+WITH w AS (SELECT {keep}, {_WORDS} AS ws FROM ({docs_sql})),
+e AS (SELECT {keep}, ws, unnest(range(CASE WHEN len(ws) = 0 THEN 0 ELSE (len(ws) - 1) // 90 + 1 END)) AS i FROM w)
+SELECT {keep}, CAST(i AS INTEGER) AS chunk_index,
+       array_to_string(list_slice(ws, i * 90 + 1, i * 90 + 120), ' ') AS chunk_text
+FROM e"""
+
+
+# ---------------------------------------------------------------- chunkers
+
+@query("chunk_stop_at_end", _stop_at_end_sql("SELECT doc_id, text FROM documents", "doc_id"))
+def chunk_stop_at_end(spark, d):
+    docs = read_table(spark, d, "documents")
+    return chunk.explode_chunks(docs, keep=["doc_id"], policy="stop_at_end")
+
+
+@query("chunk_fixed_step", f"""
+SELECT doc_id, chunk_index, sha256(concat_ws('#', CAST(doc_id AS VARCHAR), CAST(chunk_index AS VARCHAR))) AS chunk_id,
+       chunk_text
+FROM ({_fixed_step_sql("SELECT doc_id, text FROM documents", "doc_id")}) WHERE length(chunk_text) > 0
+""")
+def chunk_fixed_step(spark, d):
+    docs = read_table(spark, d, "documents")
+    out = chunk.explode_chunks(docs, keep=["doc_id"], policy="fixed_step")
+    return out.select("doc_id", "chunk_index", chunk.content_chunk_id(F.col("doc_id"), F.col("chunk_index")).alias("chunk_id"),
+                      "chunk_text").filter(F.length("chunk_text") > 0)
+
+
+@query("text_head", f"""
+SELECT doc_id, array_to_string(list_slice({_WORDS}, 1, 220), ' ') AS head FROM documents
+""")
+def text_head(spark, d):
+    docs = read_table(spark, d, "documents")
+    return docs.select("doc_id", label.text_head(F.col("text")).alias("head"))
+
+
+# ---------------------------------------------------------------- document indexes (K4, K5)
+
+_UNION_DOCS_SQL = """
+SELECT sha256(concat_ws('::', 'document', CAST(doc_id AS VARCHAR))) AS doc_id, 'document' AS source,
+       concat_ws(' ', 'Document', CAST(doc_id AS VARCHAR)) AS title, text
+FROM documents WHERE text IS NOT NULL
+UNION ALL
+SELECT sha256(concat_ws('::', 'conversation', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))), 'conversation',
+       concat_ws(' ', 'Conversation', CAST(conv_id AS VARCHAR), 'turn', CAST(turn AS VARCHAR)), text
+FROM conversations WHERE text IS NOT NULL AND length(text) > 0
+"""
+
+
+@query("document_index", f"""
+SELECT concat_ws('::', doc_id, CAST(chunk_index AS VARCHAR)) AS chunk_id, doc_id, source, title, chunk_index,
+       chunk_text, word_count
+FROM ({_stop_at_end_sql(_UNION_DOCS_SQL, "doc_id, source, title")}) WHERE word_count > 0
+""")
+def document_index(spark, d):
+    docs = documents.table_documents(read_table(spark, d, "documents")).unionByName(
+        documents.conversation_documents(read_table(spark, d, "conversations")))
+    return documents.index_chunks(docs)
+
+
+_CONTENT_DOCS_SQL = """
+SELECT sha256(text) AS doc_id, any_value(text) AS text, min(doc_id) AS first_source_id, count(*) AS copies
+FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)
+"""
+
+
+@query("content_dedupe", "SELECT doc_id, first_source_id, copies FROM (" + _CONTENT_DOCS_SQL + ")")
+def content_dedupe(spark, d):
+    return documents.content_documents(read_table(spark, d, "documents")).select("doc_id", "first_source_id", "copies")
+
+
+@query("document_index_content", f"""
+SELECT sha256(concat_ws('#', doc_id, CAST(chunk_index AS VARCHAR))) AS chunk_id, doc_id, chunk_index, chunk_text
+FROM ({_fixed_step_sql(_CONTENT_DOCS_SQL, "doc_id")}) WHERE length(chunk_text) > 0
+""")
+def document_index_content(spark, d):
+    return documents.content_chunks(documents.content_documents(read_table(spark, d, "documents")))
+
+
+# ---------------------------------------------------------------- fan-out (K3), JSON (A10), labels
+
+@query("array_fanout", """
+SELECT user_id, event_id, date_trunc('minute', ts) AS observed_at, CAST(ts AS DATE) AS observed_date,
+       hour(ts) AS observed_hour, value, event_type AS kind,
+       CASE WHEN event_type = 'error' THEN 'fault' WHEN value >= 75 THEN 'peak' WHEN value >= 25 THEN 'active'
+            WHEN value > 0 THEN 'quiet' ELSE 'idle' END AS condition
+FROM events WHERE ts IS NOT NULL
+""")
+def array_fanout(spark, d):
+    return documents.fan_out(documents.fold_to_documents(read_table(spark, d, "events")))
+
+
+@query("json_props", """
+SELECT event_id, (CAST(props AS JSON)->>'k')::INTEGER AS k FROM events
+""")
+def json_props(spark, d):
+    e = read_table(spark, d, "events")
+    return e.select("event_id", json_docs.parse_json(F.col("props"), "k INT")["k"].alias("k"))
+
+
+@query("label_rule", """
+SELECT conv_id, turn,
+       CASE WHEN contains(lower(text), 'positive') THEN 'positive'
+            WHEN contains(lower(text), 'negative') THEN 'negative'
+            WHEN contains(lower(text), 'neutral') THEN 'neutral' ELSE 'neutral' END AS label
+FROM conversations WHERE role = 'assistant' AND text IS NOT NULL
+""")
+def label_rule(spark, d):
+    c = read_table(spark, d, "conversations")
+    return c.filter((F.col("role") == "assistant") & F.col("text").isNotNull()).select(
+        "conv_id", "turn", label.label_from_answer(F.col("text")).alias("label"))
+
+
+# ---------------------------------------------------------------- binary files (A5)
+
+@query("binary_files", "SELECT doc_id, text FROM documents")
+def binary_files(spark, d):
+    """Documents land as bounded-size text files (one JSON record per line), then come
+    back through the binary-file source: glob filter, recursive listing, UTF-8 decode."""
+    docs = read_table(spark, d, "documents")
+    path = scratch_path(spark, "binary-docs")
+    files.write_text_files(docs.select("lang", F.to_json(F.struct("doc_id", "text")).alias("line")), path, "line",
+                           records_per_file=200, partition_by=["lang"])
+    raw = files.binary_files(spark, path, glob="*.txt", recursive=True)
+    lines = files.file_documents(raw).select(F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
+    parsed = lines.select(json_docs.parse_json(F.col("line"), "doc_id BIGINT, text STRING").alias("r"))
+    return parsed.select("r.doc_id", "r.text")
+
+
+# ---------------------------------------------------------------- fingerprints
+
+_FP_COLS = ["c_custkey", "c_mktsegment", "c_name", "c_nationkey"]
+_FP_SIG = "c_custkey:bigint,c_mktsegment:string,c_name:string,c_nationkey:int"
+_FP_SQL = f"""
+WITH h AS (
+  SELECT CAST(('0x' || substr(sha256(to_json(struct_pack(
+           c_custkey := c_custkey, c_mktsegment := c_mktsegment, c_name := c_name, c_nationkey := c_nationkey))),
+           1, 15)) AS UBIGINT) AS h
+  FROM customer),
+a AS (SELECT count(*) AS n_rows, CAST(coalesce(sum(CAST(h AS DECIMAL(20,0))), 0) AS DECIMAL(38,0)) AS row_hash_sum FROM h)
+SELECT n_rows, row_hash_sum,
+       sha256(concat_ws(':', '{_FP_SIG}', CAST(n_rows AS VARCHAR), CAST(row_hash_sum AS VARCHAR))) AS fingerprint
+FROM a
+"""
+
+
+@query("fingerprint", _FP_SQL)
+def fingerprint_q(spark, d):
+    return fingerprint.fingerprint(read_table(spark, d, "customer").select(*_FP_COLS))
+
+
+@query("layout_independence", f"""
+SELECT CAST(3 AS BIGINT) AS n_layouts, CAST(1 AS BIGINT) AS n_distinct, fingerprint, n_rows FROM ({_FP_SQL})
+""")
+def layout_independence(spark, d):
+    return fingerprint.layout_check(read_table(spark, d, "customer").select(*_FP_COLS))
+
+
+# ---------------------------------------------------------------- vectors
+
+@query("vector_checks", """
+SELECT count(*) AS n_vectors, count(DISTINCT len(embedding)) AS n_dims, max(len(embedding)) AS dim,
+       count(*) FILTER (WHERE list_sum(list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE)))) = 0) AS zero_vectors,
+       count(*) FILTER (WHERE abs(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) - 1) > 0.001)
+         AS non_unit
+FROM embeddings
+""")
+def vector_checks(spark, d):
+    e = read_table(spark, d, "embeddings")
+    dbl = F.transform("embedding", lambda x: x.cast("double"))
+    abs_sum = F.aggregate(dbl, F.lit(0.0), lambda acc, x: acc + F.abs(x))
+    sq_sum = F.aggregate(dbl, F.lit(0.0), lambda acc, x: acc + x * x)
+    return e.agg(
+        F.count("*").alias("n_vectors"), F.count_distinct(F.size("embedding")).alias("n_dims"),
+        F.max(F.size("embedding")).alias("dim"),
+        F.count(F.when(abs_sum == 0, 1)).alias("zero_vectors"),
+        F.count(F.when(F.abs(F.sqrt(sq_sum) - 1) > 0.001, 1)).alias("non_unit"))
+
+
+_TOPK_SQL = """
+WITH s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS doc_id,
+         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score
+  FROM embeddings q, embeddings c WHERE q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 4
+"""
+
+
+def _knn(spark, d):
+    e = read_table(spark, d, "embeddings")
+    return retrieve.topk_similar(e, e, k=4, q_id="vec_id", d_id="vec_id", exclude_self=True)
+
+
+@query("topk_cosine", _TOPK_SQL)
+def topk_cosine(spark, d):
+    """Each vector's four nearest other vectors (exact, cosine)."""
+    return _knn(spark, d).withColumn("score", F.round("score", 6))
+
+
+@query("cited_context", f"""
+WITH h AS ({_TOPK_SQL}),
+j AS (SELECT h.*, e.label FROM h LEFT JOIN embeddings e ON e.vec_id = h.doc_id)
+SELECT query_id,
+       string_agg(printf('[%d] vec %d (label %s, score %.6f)', rank, doc_id, coalesce(CAST(label AS VARCHAR), 'none'), score),
+                  chr(10) || chr(10) ORDER BY rank) AS context,
+       list(doc_id ORDER BY rank) AS cited_ids,
+       max(score) AS top_score, count(*) AS n_hits
+FROM j GROUP BY query_id
+""")
+def cited_context(spark, d):
+    hits = _knn(spark, d).withColumn("score", F.round("score", 6))
+    labels = read_table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
+    return retrieve.cited_context(hits, labels, "label")
