@@ -1 +1,119 @@
-"""Registrations for this area."""
+"""Data contract on sales lines with injected faults."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..catalog import query
+from ..operators import contract
+from ..sources.tables import inline_rows, register_tables
+
+
+def _source(spark, d):
+    """Lines from the table plus the known-bad rows, cast to the table's schema first."""
+    register_tables(spark, d, ["lineitem"])
+    lines = spark.sql(contract.SOURCE_SQL)
+    faults = inline_rows(spark, contract.FAULT_ROWS, contract.SOURCE_COLUMNS, contract.SOURCE_DDL)
+    return lines.unionByName(faults)
+
+
+def _tagged(spark, d):
+    return contract.tag(_source(spark, d))
+
+
+_SRC_SQL = """
+WITH src AS (
+  SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice / l_quantity AS l_unitprice,
+         l_extendedprice, l_linestatus, l_shipdate FROM lineitem
+  UNION ALL
+  SELECT CAST(a AS BIGINT), CAST(b AS BIGINT), CAST(c AS INTEGER), CAST(q AS DOUBLE), CAST(u AS DOUBLE),
+         CAST(t AS DOUBLE), s, CAST(ts AS TIMESTAMP)
+  FROM (VALUES (-1, 1, 1, 0.0, 10.0, 0.0, 'O', TIMESTAMP '1998-01-01 00:00:00'),
+               (-2, 1, 1, 2.0, -5.0, -10.0, 'O', TIMESTAMP '1998-01-01 00:00:00'),
+               (-3, 1, 1, 3.0, 3.3, 12.0, 'F', TIMESTAMP '1998-01-01 00:00:00'),
+               (-4, 1, 1, 1.0, 5.0, 5.0, 'X', TIMESTAMP '1998-01-01 00:00:00'),
+               (-5, 1, 1, 1.0, 5.0, 5.0, 'F', NULL)) v(a, b, c, q, u, t, s, ts)),
+tagged AS (
+  SELECT *, list_filter([
+      CASE WHEN NOT coalesce(l_orderkey IS NOT NULL, false) THEN 'order_key_present' END,
+      CASE WHEN NOT coalesce(l_partkey IS NOT NULL, false) THEN 'part_key_present' END,
+      CASE WHEN NOT coalesce(l_quantity > 0, false) THEN 'quantity_positive' END,
+      CASE WHEN NOT coalesce(l_unitprice >= 0, false) THEN 'unit_price_not_negative' END,
+      CASE WHEN NOT coalesce(abs(l_extendedprice - l_quantity * l_unitprice) <= 0.01, false) THEN 'total_reconciles' END,
+      CASE WHEN NOT coalesce(lower(l_linestatus) IN ('o', 'f'), false) THEN 'status_known' END,
+      CASE WHEN NOT coalesce(l_shipdate IS NOT NULL, false) THEN 'shipdate_present' END
+  ], lambda x: x IS NOT NULL) AS broken_rules FROM src)
+"""
+
+_COLS = "l_orderkey, l_partkey, l_linenumber, l_quantity, l_unitprice, l_extendedprice, l_linestatus, l_shipdate"
+
+
+@query("inline_values", _SRC_SQL + f"SELECT {_COLS} FROM src")
+def inline_values(spark, d):
+    return _source(spark, d)
+
+
+@query("contract_tag", _SRC_SQL + "SELECT l_orderkey, l_linenumber, broken_rules FROM tagged")
+def contract_tag(spark, d):
+    return _tagged(spark, d).select("l_orderkey", "l_linenumber", "broken_rules")
+
+
+@query("contract_split", _SRC_SQL + f"SELECT {_COLS}, broken_rules AS reasons FROM tagged WHERE len(broken_rules) > 0")
+def contract_split(spark, d):
+    """The quarantine table: rows that break any rule, with every reason."""
+    return contract.split(_tagged(spark, d))[1]
+
+
+@query("contract_clean", _SRC_SQL + f"SELECT {_COLS} FROM tagged WHERE len(broken_rules) = 0")
+def contract_clean(spark, d):
+    return contract.split(_tagged(spark, d))[0]
+
+
+@query("contract_report", _SRC_SQL + """
+, rules(rule, severity, pos) AS (VALUES ('order_key_present', 'fatal', 1), ('part_key_present', 'fatal', 2),
+    ('quantity_positive', 'quarantine', 3), ('unit_price_not_negative', 'quarantine', 4),
+    ('total_reconciles', 'quarantine', 5), ('status_known', 'quarantine', 6), ('shipdate_present', 'quarantine', 7)),
+total AS (SELECT count(*) AS total_rows FROM tagged),
+fails AS (SELECT r.rule, count(t.l_linenumber) FILTER (WHERE list_contains(t.broken_rules, r.rule)) AS failed_rows
+          FROM rules r CROSS JOIN tagged t GROUP BY r.rule)
+SELECT r.rule, r.severity, CAST(coalesce(f.failed_rows, 0) AS BIGINT) AS failed_rows, total.total_rows,
+       round(coalesce(f.failed_rows, 0) / total.total_rows, 6) AS failure_rate, coalesce(f.failed_rows, 0) = 0 AS passed
+FROM rules r LEFT JOIN fails f ON f.rule = r.rule CROSS JOIN total
+""")
+def contract_report(spark, d):
+    return contract.report(_tagged(spark, d))
+
+
+@query("contract_verdict", _SRC_SQL + """
+, a AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE len(broken_rules) > 0) AS quarantined_rows,
+               count(*) FILTER (WHERE list_contains(broken_rules, 'order_key_present')) AS f1,
+               count(*) FILTER (WHERE list_contains(broken_rules, 'part_key_present')) AS f2 FROM tagged),
+b AS (SELECT *, round(quarantined_rows / total_rows, 6) AS quarantine_rate,
+             list_filter([CASE WHEN f1 > 0 THEN 'order_key_present' END, CASE WHEN f2 > 0 THEN 'part_key_present' END],
+                         lambda x: x IS NOT NULL) AS fatal_broken FROM a)
+SELECT total_rows, quarantined_rows, total_rows - quarantined_rows AS clean_rows, quarantine_rate, fatal_broken,
+       CASE WHEN len(fatal_broken) > 0 THEN 'stop_fatal' WHEN quarantine_rate > 0.05 THEN 'stop_rate' ELSE 'ok' END AS status,
+       CASE WHEN len(fatal_broken) > 0 THEN 'fatal rules broken: ' || array_to_string(fatal_broken, ', ')
+            WHEN quarantine_rate > 0.05 THEN 'quarantine rate above 0.05' ELSE 'within contract' END AS reason
+FROM b
+""")
+def contract_verdict(spark, d):
+    return contract.verdict(_tagged(spark, d))
+
+
+@query("contract_faults", _SRC_SQL + """
+, faults(k, expected) AS (VALUES (-1, 'quantity_positive'), (-2, 'unit_price_not_negative'), (-3, 'total_reconciles'),
+                                 (-4, 'status_known'), (-5, 'shipdate_present'))
+SELECT count(*) AS n_faults,
+       count(*) FILTER (WHERE list_contains(t.broken_rules, f.expected)) AS caught,
+       count(*) FILTER (WHERE len(t.broken_rules) = 0) AS leaked
+FROM faults f JOIN tagged t ON t.l_orderkey = f.k
+""")
+def contract_faults(spark, d):
+    """Every injected fault must be caught by the rule it breaks; none may reach the clean table."""
+    expected = spark.createDataFrame(list(contract.FAULT_EXPECTED.items()), "l_orderkey bigint, expected string")
+    t = _tagged(spark, d).join(F.broadcast(expected), "l_orderkey")
+    return t.agg(
+        F.count("*").alias("n_faults"),
+        F.count(F.when(F.array_contains("broken_rules", F.col("expected")), 1)).alias("caught"),
+        F.count(F.when(F.size("broken_rules") == 0, 1)).alias("leaked"))
