@@ -1 +1,178 @@
-"""Registrations for this area."""
+"""Sinks (B1-B9), partition-pruned scans (A11) and JDBC sources."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..catalog import query
+from ..operators import bands, split
+from ..session import scratch_path
+from ..sinks import Sink, write
+from ..sources import jdbc
+from ..sources.tables import read_table
+
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _merge_batch(orders):
+    """Corrections for finished orders and first sight of pending ones."""
+    return orders.filter(F.col("o_orderstatus").isin("F", "P")).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", (F.col("o_totalprice") + F.lit(100.0)).alias("o_totalprice"),
+        "o_orderdate", F.lit("MERGED").alias("o_orderpriority"))
+
+
+_MERGED_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus IN ('F', 'P') THEN o_totalprice + 100.0 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, CASE WHEN o_orderstatus IN ('F', 'P') THEN 'MERGED' ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+"""
+
+
+def _merged(spark, d, runs: int):
+    orders = read_table(spark, d, "orders").select(*_ORDER_COLS)
+    sink = Sink(mode="merge", path=scratch_path(spark, "merge"), merge_keys=["o_orderkey"])
+    write(orders.filter(F.col("o_orderstatus").isin("O", "F")), Sink(mode="overwrite", path=sink.path))
+    for _ in range(runs):
+        write(_merge_batch(orders), sink)
+    return sink.read(spark)
+
+
+@query("merge_upsert", _MERGED_SQL)
+def merge_upsert(spark, d):
+    """Target = open and finished orders; the batch replaces finished ones and inserts pending ones."""
+    return _merged(spark, d, 1)
+
+
+@query("merge_idempotent", _MERGED_SQL)
+def merge_idempotent(spark, d):
+    """The same merge applied twice leaves the same table as applying it once."""
+    return _merged(spark, d, 2)
+
+
+@query("overwrite_partitions", """
+SELECT o_orderkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m') AS order_month,
+       o_orderpriority FROM orders WHERE year(o_orderdate) <> 1998
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m'), 'RELOADED'
+FROM orders WHERE year(o_orderdate) = 1998 AND o_orderstatus <> 'P'
+""")
+def overwrite_partitions(spark, d):
+    """A backfill of 1998 replaces exactly the months it carries; every other month stands."""
+    orders = read_table(spark, d, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+        F.date_format("o_orderdate", "yyyy-MM").alias("order_month"))
+    sink = Sink(mode="overwrite_partitions", path=scratch_path(spark, "by-month"), partition_by=["order_month"])
+    write(orders, Sink(mode="overwrite", path=sink.path, partition_by=["order_month"]))
+    backfill = orders.filter(F.col("order_month").startswith("1998") & (F.col("o_orderstatus") != "P")) \
+        .withColumn("o_orderpriority", F.lit("RELOADED"))
+    write(backfill, sink)
+    return sink.read(spark).select("o_orderkey", "o_orderstatus", "o_totalprice", "order_month", "o_orderpriority")
+
+
+@query("overwrite_table", """
+SELECT l_linestatus AS flag, count(*) AS n_lines FROM lineitem GROUP BY l_linestatus
+""")
+def overwrite_table(spark, d):
+    li = read_table(spark, d, "lineitem")
+    sink = Sink(mode="overwrite", path=scratch_path(spark, "overwrite"))
+    write(li.groupBy(F.col("l_returnflag").alias("flag")).agg(F.count("*").alias("n_lines")), sink)
+    write(li.groupBy(F.col("l_linestatus").alias("flag")).agg(F.count("*").alias("n_lines")), sink)
+    return sink.read(spark)
+
+
+@query("append_log", """
+SELECT 1 AS run, 'lines' AS metric, l_returnflag AS key, CAST(count(*) AS DOUBLE) AS value FROM lineitem GROUP BY l_returnflag
+UNION ALL
+SELECT 2, 'quantity', l_returnflag, sum(l_quantity) FROM lineitem GROUP BY l_returnflag
+""")
+def append_log(spark, d):
+    """A long-form metrics log: each run appends; nothing already logged changes."""
+    li = read_table(spark, d, "lineitem")
+    sink = Sink(mode="append", path=scratch_path(spark, "metrics-log"))
+    write(li.groupBy(F.col("l_returnflag").alias("key")).agg(F.count("*").cast("double").alias("value"))
+          .select(F.lit(1).alias("run"), F.lit("lines").alias("metric"), "key", "value"), sink)
+    write(li.groupBy(F.col("l_returnflag").alias("key")).agg(F.sum("l_quantity").alias("value"))
+          .select(F.lit(2).alias("run"), F.lit("quantity").alias("metric"), "key", "value"), sink)
+    return sink.read(spark)
+
+
+@query("schema_evolution", """
+SELECT c_custkey, c_name, NULL AS c_mktsegment FROM customer
+UNION ALL
+SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_acctbal > 5000
+""")
+def schema_evolution(spark, d):
+    """A later batch adds a column; old rows read back with NULL in it (Parquet schema merge)."""
+    c = read_table(spark, d, "customer")
+    sink = Sink(mode="append", path=scratch_path(spark, "evolving"), options={"mergeSchema": "true"})
+    write(c.select("c_custkey", "c_name"), sink)
+    write(c.filter(F.col("c_acctbal") > 5000).select("c_custkey", "c_name", "c_mktsegment"), sink)
+    return sink.read(spark).select("c_custkey", "c_name", "c_mktsegment")
+
+
+_SPLIT_KEY = "concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))"
+_BUCKET = f"CAST(('0x' || substr(sha256({_SPLIT_KEY}), 1, 8)) AS UBIGINT) % 100"
+
+
+def lines_with_split(spark, d):
+    li = read_table(spark, d, "lineitem")
+    cols = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
+    return li.withColumn("split", split.split_label(cols, split.THREE_WAY))
+
+
+@query("split_scan", f"""
+SELECT l_orderkey, l_linenumber, l_extendedprice, 'train' AS split FROM lineitem WHERE {_BUCKET} < 70
+""")
+def split_scan(spark, d):
+    """Write once partitioned by split; each consumer's ``split = 'train'`` prunes to one folder."""
+    path = scratch_path(spark, "lines-by-split")
+    write(lines_with_split(spark, d).select("l_orderkey", "l_linenumber", "l_extendedprice", "split"),
+          Sink(mode="overwrite", path=path, partition_by=["split"]))
+    return spark.read.parquet(path).filter(F.col("split") == "train")
+
+
+# ---------------------------------------------------------------- JDBC (embedded Derby, in-process)
+
+@query("jdbc_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def jdbc_table(spark, d):
+    db = jdbc.derby_copy(spark, {"NATION": read_table(spark, d, "nation")})
+    return jdbc.read_table(spark, db, "NATION").select(
+        F.col("N_NATIONKEY").alias("n_nationkey"), F.col("N_NAME").alias("n_name"), F.col("N_REGIONKEY").alias("n_regionkey"))
+
+
+_PUSHDOWN = ("SELECT O_ORDERKEY, O_CUSTKEY, O_TOTALPRICE, O_ORDERSTATUS FROM ORDERS "
+             "WHERE O_ORDERSTATUS = 'F'")
+
+
+@query("jdbc_pushdown", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def jdbc_pushdown(spark, d):
+    db = jdbc.derby_copy(spark, {"ORDERS": read_table(spark, d, "orders").select(*_ORDER_COLS[:4])})
+    df = jdbc.read_query(spark, db, _PUSHDOWN)
+    return df.select(F.col("O_ORDERKEY").alias("o_orderkey"), F.col("O_CUSTKEY").alias("o_custkey"),
+                     F.col("O_TOTALPRICE").alias("o_totalprice"))
+
+
+@query("jdbc_partitioned", "SELECT o_orderkey, o_totalprice FROM orders")
+def jdbc_partitioned(spark, d):
+    """Four parallel range reads; the bounds only cut the ranges, rows outside them still arrive."""
+    db = jdbc.derby_copy(spark, {"ORDERS": read_table(spark, d, "orders").select(*_ORDER_COLS[:4])})
+    df = jdbc.read_partitioned(spark, db, "ORDERS", "O_ORDERKEY", lower=1000, upper=5000, partitions=4)
+    return df.select(F.col("O_ORDERKEY").alias("o_orderkey"), F.col("O_TOTALPRICE").alias("o_totalprice"))
+
+
+@query("jdbc_profile", f"""
+SELECT {bands.sql_case('n', bands.LENGTH_BANDS)} AS length_band, count(*) AS n_rows, min(n) AS min_len,
+       round(avg(n), 1) AS avg_len, max(n) AS max_len, CAST(4 AS BIGINT) AS read_partitions
+FROM (SELECT CAST(trunc(o_totalprice / 100) AS BIGINT) AS n FROM orders WHERE o_orderstatus = 'F')
+GROUP BY 1
+""")
+def jdbc_profile(spark, d):
+    """Length profile over a pushed-down, partitioned JDBC read, with the read's parallelism."""
+    db = jdbc.derby_copy(spark, {"ORDERS": read_table(spark, d, "orders").select(*_ORDER_COLS[:4])})
+    df = jdbc.read_partitioned(spark, db, "(" + _PUSHDOWN + ") Q", "O_ORDERKEY", lower=0, upper=1 << 20, partitions=4)
+    parts = jdbc.read_parallelism(df)
+    n = (F.col("O_TOTALPRICE") / 100).cast("bigint")
+    return df.select(n.alias("n")).groupBy(bands.band_of(F.col("n"), bands.LENGTH_BANDS).alias("length_band")).agg(
+        F.count("*").alias("n_rows"), F.min("n").alias("min_len"), F.round(F.avg("n"), 1).alias("avg_len"),
+        F.max("n").alias("max_len")).withColumn("read_partitions", F.lit(parts).cast("bigint"))
