@@ -1 +1,322 @@
-"""Registrations for this area."""
+"""Features, splits, metrics, scaling, gates, registry, MLlib training and scoring, embeddings."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..catalog import query
+from ..functions.text import WHITESPACE_CLASS
+from ..operators import documents, features, gate, metrics, registry, retrieve, scale, train
+from ..operators.split import TWO_WAY, split_label
+from ..session import scratch_path
+from ..sinks import Sink, write
+from ..sources.tables import read_table, register_tables
+
+_KEY = ("concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), "
+        "CAST(l_suppkey AS VARCHAR))")
+_BUCKET = f"CAST(('0x' || substr(sha256({_KEY}), 1, 8)) AS UBIGINT) % 100"
+_SPLIT3 = f"CASE WHEN {_BUCKET} < 70 THEN 'train' WHEN {_BUCKET} < 85 THEN 'test' ELSE 'score' END"
+
+
+def feature_table(spark, d):
+    register_tables(spark, d, ["lineitem", "orders", "customer", "supplier"])
+    return features.with_split(features.engineer(features.source(spark)))
+
+
+# ---------------------------------------------------------------- K6, K7
+
+@query("feature_engineering", f"""
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice / 1000.0 AS trip_distance,
+       CAST(date_diff('day', o.o_orderdate, l.l_shipdate) AS DOUBLE) AS trip_minutes,
+       hour(o.o_orderdate) AS pickup_hour, dayofweek(o.o_orderdate) + 1 AS pickup_dow,
+       c.c_nationkey AS pickup_zip, s.s_nationkey AS dropoff_zip,
+       l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) / 100 AS fare_amount,
+       {_SPLIT3.replace('l_', 'l.l_')} AS split, 'v1' AS feature_set_version
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey
+WHERE l.l_shipdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-12-31'
+  AND date_diff('day', o.o_orderdate, l.l_shipdate) BETWEEN 1 AND 180
+  AND c.c_nationkey IS NOT NULL AND s.s_nationkey IS NOT NULL
+  AND l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) / 100 IS NOT NULL
+""")
+def feature_engineering(spark, d):
+    return feature_table(spark, d)
+
+
+@query("split_three_way", f"SELECT l_orderkey, l_linenumber, {_SPLIT3} AS split FROM lineitem")
+def split_three_way(spark, d):
+    li = read_table(spark, d, "lineitem")
+    cols = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
+    return li.select("l_orderkey", "l_linenumber", split_label(cols).alias("split"))
+
+
+@query("split_two_way", """
+SELECT d.doc_id, l.quality AS label,
+       CASE WHEN CAST(('0x' || substr(sha256(CAST(d.doc_id AS VARCHAR)), 1, 8)) AS UBIGINT) % 100 < 80
+            THEN 'train' ELSE 'test' END AS split
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+""")
+def split_two_way(spark, d):
+    """Labelled examples split 80/20 by a hash of their id."""
+    lab = _labelled(spark, d)
+    return lab.select("doc_id", "label", "split")
+
+
+def _labelled(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "text", "n_chars")
+    lab = read_table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    return docs.join(lab, "doc_id").withColumn("split", split_label([F.col("doc_id")], TWO_WAY))
+
+
+# ---------------------------------------------------------------- E14, E15, E16
+
+_LIST_PRICE = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice AS y,
+       l.l_quantity * p.p_retailprice AS p
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+"""
+
+
+def _list_price(spark, d):
+    li = read_table(spark, d, "lineitem")
+    part = read_table(spark, d, "part").select("p_partkey", "p_retailprice")
+    return li.join(part, li.l_partkey == part.p_partkey).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("y"),
+        (F.col("l_quantity") * F.col("p_retailprice")).alias("p"))
+
+
+@query("regression_metrics", f"""
+SELECT round(sqrt(avg((p - y) * (p - y))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae,
+       round(CASE WHEN var_pop(y) > 0 THEN 1 - avg((p - y) * (p - y)) / var_pop(y) ELSE 0 END, 6) AS r2,
+       count(*) AS rows
+FROM ({_LIST_PRICE})
+""")
+def regression_metrics(spark, d):
+    """Quality of the list-price predictor (quantity × retail price) against the line price."""
+    m = metrics.regression_metrics(_list_price(spark, d), "y", "p")
+    return m.select(metrics.rounded("rmse"), metrics.rounded("mae"), metrics.rounded("r2"), "rows")
+
+
+@query("classification_metrics", """
+WITH j AS (SELECT l.quality AS label, CASE WHEN d.n_chars >= 2000 THEN 1 ELSE 0 END AS pred
+           FROM documents d JOIN labels l ON l.doc_id = d.doc_id)
+SELECT 'accuracy' AS metric, CAST(NULL AS INTEGER) AS class_label, round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS value,
+       count(*) AS support FROM j
+UNION ALL
+SELECT 'recall', label, round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6), count(*) FROM j GROUP BY label
+""")
+def classification_metrics(spark, d):
+    """Accuracy and per-class recall of a length rule predicting quality; absent classes give no row."""
+    j = _labelled(spark, d).withColumn("pred", (F.col("n_chars") >= 2000).cast("int"))
+    m = metrics.classification_metrics(j, "label", "pred")
+    return m.select("metric", "class_label", F.round("value", 6).alias("value"), "support")
+
+
+_SCALE_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query("standardise", f"""
+WITH t AS (SELECT * FROM lineitem WHERE {_BUCKET} < 70),
+s AS (SELECT avg(l_quantity) AS mq, CASE WHEN coalesce(stddev_pop(l_quantity), 0) < 1e-8 THEN 1 ELSE stddev_pop(l_quantity) END AS sq,
+             avg(l_discount) AS md, CASE WHEN coalesce(stddev_pop(l_discount), 0) < 1e-8 THEN 1 ELSE stddev_pop(l_discount) END AS sd,
+             avg(l_tax) AS mt, CASE WHEN coalesce(stddev_pop(l_tax), 0) < 1e-8 THEN 1 ELSE stddev_pop(l_tax) END AS st FROM t)
+SELECT l_orderkey, l_linenumber, round((l_quantity - mq) / sq, 6) AS l_quantity_z,
+       round((l_discount - md) / sd, 6) AS l_discount_z, round((l_tax - mt) / st, 6) AS l_tax_z
+FROM lineitem, s
+""")
+def standardise(spark, d):
+    """Fit mean/population std on the train split only, apply to every row."""
+    li = read_table(spark, d, "lineitem")
+    cols = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
+    train_rows = li.filter(split_label(cols) == "train")
+    stats = scale.fit(train_rows, _SCALE_COLS)
+    z = scale.transform(li, stats, _SCALE_COLS)
+    return z.select("l_orderkey", "l_linenumber", *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in _SCALE_COLS])
+
+
+# ---------------------------------------------------------------- K9, F6
+
+# Bars for the list-price predictor on the held-out split.
+LIST_PRICE_BARS = {"max_test_rmse": 60000.0, "min_test_r2": 0.0, "max_test_mae": 40000.0}
+
+
+@query("promotion_gate", f"""
+WITH j AS ({_LIST_PRICE}),
+t AS (SELECT * FROM j WHERE {_BUCKET} >= 70 AND {_BUCKET} < 85),
+m AS (SELECT sqrt(avg((p - y) * (p - y))) AS rmse, avg(abs(p - y)) AS mae,
+             CASE WHEN var_pop(y) > 0 THEN 1 - avg((p - y) * (p - y)) / var_pop(y) ELSE 0 END AS r2 FROM t),
+b(bar, kind, metric, threshold) AS (VALUES ('max_test_rmse', 'max', 'test_rmse', 60000.0),
+    ('min_test_r2', 'min', 'test_r2', 0.0), ('max_test_mae', 'max', 'test_mae', 40000.0)),
+v AS (SELECT 'test_rmse' AS metric, rmse AS value FROM m UNION ALL SELECT 'test_mae', mae FROM m
+      UNION ALL SELECT 'test_r2', r2 FROM m)
+SELECT b.bar, b.metric, round(v.value, 6) AS value, CAST(b.threshold AS DOUBLE) AS threshold,
+       coalesce(CASE WHEN b.kind = 'max' THEN v.value <= b.threshold ELSE v.value >= b.threshold END, false) AS passed
+FROM b LEFT JOIN v ON v.metric = b.metric
+""")
+def promotion_gate(spark, d):
+    """One row per bar: value, bar, passed (inclusive bounds), judged on the test split only."""
+    j = _list_price(spark, d)
+    cols = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
+    test = j.filter(split_label(cols) == "test")
+    m = metrics.regression_metrics(test, "y", "p")
+    long = metrics.long_form(m, [], ["rmse", "mae", "r2"], prefix="test_")
+    g = gate.evaluate(long, gate.bars_frame(spark, LIST_PRICE_BARS))
+    return g.select("bar", "metric", F.round("value", 6).alias("value"), "threshold", "passed")
+
+
+def stage_log(spark, d):
+    """Stage events derived from orders: one model per priority, one version per order."""
+    o = read_table(spark, d, "orders")
+    stage = (F.when(F.col("o_orderstatus") == "F", F.lit(registry.PRODUCTION))
+             .when(F.col("o_orderstatus") == "O", F.lit(registry.ARCHIVED)).otherwise(F.lit(registry.STAGING)))
+    return o.select(F.col("o_orderpriority").alias("model_name"), F.col("o_orderkey").alias("version"),
+                    stage.alias("stage"), F.col("o_orderdate").alias("event_time"), F.lit("replay").alias("reason"))
+
+
+@query("registry_current", """
+SELECT model_name, version, event_time FROM (
+  SELECT o_orderpriority AS model_name, o_orderkey AS version, o_orderdate AS event_time,
+         row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS r
+  FROM orders WHERE o_orderstatus = 'F') WHERE r = 1
+""")
+def registry_current(spark, d):
+    return registry.current(stage_log(spark, d))
+
+
+# ---------------------------------------------------------------- MLlib (rows-only checks)
+
+@query("train_metrics")
+def train_metrics(spark, d):
+    """Train → validate on unseen rows → gate → register → long metrics."""
+    feats = feature_table(spark, d).cache()
+    model_dir = scratch_path(spark, "models")
+    out, gate_rows, stage = train.train_gate_register(feats, lambda: None, model_dir)
+    return out.unionByName(gate_rows.select(
+        F.lit("fare").alias("model_name"), F.lit(1).cast("bigint").alias("version"), F.lit("gate").alias("learner"),
+        F.col("bar").alias("metric"), F.col("passed").cast("double").alias("value"),
+        F.lit(None).cast("double").alias("train_seconds")))
+
+
+@query("batch_inference")
+def batch_inference(spark, d):
+    """Score the ``score`` split with the current production version; write partitioned by day."""
+    from pyspark.ml import PipelineModel
+
+    feats = feature_table(spark, d).cache()
+    model_dir = scratch_path(spark, "models")
+    log_path = scratch_path(spark, "stage-log")
+    _, _, stage = train.train_gate_register(feats, lambda: None, model_dir)
+    write(stage, Sink(mode="append", path=log_path))
+    version = registry.production_version(spark.read.parquet(log_path), "fare")
+    model = PipelineModel.load(f"{model_dir}/fare/v{version}")
+    raw = features.source(spark).select("l_orderkey", "l_linenumber", F.to_date("o_orderdate").alias("order_day"))
+    scored = train.score(model, feats.filter(F.col("split") == "score"), version) \
+        .join(raw, ["l_orderkey", "l_linenumber"])
+    out = scratch_path(spark, "predictions")
+    write(scored, Sink(mode="overwrite_partitions", path=out, partition_by=["order_day"], require_rows=True))
+    return spark.read.parquet(out)
+
+
+@query("text_classifier")
+def text_classifier(spark, d):
+    """Hashed-term logistic regression on labelled documents; accuracy and per-class recall gate."""
+    lab = _labelled(spark, d).cache()
+    tr, te = lab.filter(F.col("split") == "train"), lab.filter(F.col("split") == "test")
+    counts = {r["split"]: r["n"] for r in lab.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    if counts.get("train", 0) < train.MIN_TRAIN_ROWS or counts.get("test", 0) < train.MIN_TEST_ROWS:
+        raise train.NotEnoughData(f"need {train.MIN_TRAIN_ROWS}/{train.MIN_TEST_ROWS} rows, have {counts}")
+    model = train.text_pipeline().fit(tr.withColumn("label", F.col("label").cast("double")))
+    pred = model.transform(te.withColumn("label", F.col("label").cast("double"))) \
+        .withColumn("prediction", F.col("prediction").cast("int")).withColumn("label", F.col("label").cast("int"))
+    m = metrics.classification_metrics(pred, "label", "prediction").cache()
+    minority = lab.groupBy("label").count().orderBy("count", "label").first()["label"]
+    long = m.select(F.when(F.col("metric") == "accuracy", F.lit("accuracy"))
+                    .when(F.col("class_label") == minority, F.lit("minority_recall"))
+                    .otherwise(F.concat(F.lit("recall_"), F.col("class_label").cast("string"))).alias("metric"),
+                    "value")
+    g = gate.evaluate(long, gate.bars_frame(spark, train.TEXT_BARS))
+    return m.select("metric", "class_label", "value", "support", F.lit(None).cast("boolean").alias("passed")) \
+        .unionByName(g.select(F.col("bar").alias("metric"), F.lit(None).cast("int").alias("class_label"), "value",
+                              F.lit(None).cast("bigint").alias("support"), "passed"))
+
+
+# Learners compared on identical splits.
+LEARNERS = ["gbt", "random_forest", "linear"]
+
+
+@query("bakeoff_metrics")
+def bakeoff_metrics(spark, d):
+    """Several learners, one cached split table, common long-form metrics incl. the third split."""
+    feats = feature_table(spark, d)
+    stats = scale.fit(feats.filter(F.col("split") == "train"), features.FEATURES)
+    feats = scale.transform(feats, stats, features.FEATURES).cache()
+    z_cols = [f"{c}_z" for c in features.FEATURES]
+    tr = feats.filter(F.col("split") == "train")
+    parts = None
+    for kind in LEARNERS:
+        cols = z_cols if kind == "linear" else features.FEATURES
+        _, long, seconds = train.fit_and_score(kind, tr, {"test": feats.filter(F.col("split") == "test"),
+                                                          "score": feats.filter(F.col("split") == "score")}, cols)
+        part = long.select(F.lit(kind).alias("framework"), F.lit(f"fare_{kind}").alias("model_name"),
+                           F.lit(1).cast("bigint").alias("version"), "metric", "value",
+                           F.lit(seconds).alias("train_seconds"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+# ---------------------------------------------------------------- embeddings and retrieval
+
+EMBED_DIM = 256
+EMBED_MODEL = f"hashed-tfidf-{EMBED_DIM}"
+
+
+def embed_text(frame, text_col: str = "text", dim: int = EMBED_DIM, fit_on=None):
+    """Hashed-term TF-IDF, L2-normalised, as ``array<float>`` — fitted and applied on executors."""
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=WHITESPACE_CLASS, toLowercase=True)
+    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
+    base = tf.transform(tok.transform(frame))
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf.transform(tok.transform(fit_on)) if fit_on is not None else base)
+    norm = Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)
+    out = norm.transform(idf.transform(base))
+    return out.withColumn("embedding", vector_to_array("_vec", "float32")).drop("_tok", "_tf", "_idf", "_vec")
+
+
+def _chunks(spark, d):
+    docs = documents.table_documents(read_table(spark, d, "documents")).unionByName(
+        documents.conversation_documents(read_table(spark, d, "conversations")))
+    return documents.index_chunks(docs)
+
+
+@query("embed_chunks")
+def embed_chunks(spark, d):
+    """Embed only chunks that have no vector yet (key anti-join), then merge on chunk_id."""
+    chunks = _chunks(spark, d)
+    store = Sink(mode="merge", path=scratch_path(spark, "chunk-embeddings"), merge_keys=["chunk_id"])
+    first = chunks.filter(F.col("source") == "document")
+    write(embed_text(first.withColumnRenamed("chunk_text", "text"), fit_on=chunks.withColumnRenamed("chunk_text", "text"))
+          .select("chunk_id", "doc_id", "source", "title", "embedding"), store)
+    missing = chunks.join(store.read(spark).select("chunk_id"), "chunk_id", "left_anti")
+    write(embed_text(missing.withColumnRenamed("chunk_text", "text"), fit_on=chunks.withColumnRenamed("chunk_text", "text"))
+          .select("chunk_id", "doc_id", "source", "title", "embedding"), store)
+    return store.read(spark).withColumn("embedding_model", F.lit(EMBED_MODEL)) \
+        .withColumn("embedding_dim", F.size("embedding"))
+
+
+@query("retrieve_cited")
+def retrieve_cited(spark, d):
+    """Benchmark items as questions against document chunks: exact top-4 with cited context."""
+    chunks = _chunks(spark, d).withColumn("chunk_key", F.xxhash64("chunk_id"))
+    bench = read_table(spark, d, "benchmark")
+    fit_on = chunks.select(F.col("chunk_text").alias("text"))
+    c_vec = embed_text(chunks.withColumnRenamed("chunk_text", "text"), fit_on=fit_on)
+    q_vec = embed_text(bench, fit_on=fit_on)
+    hits = retrieve.topk_similar(q_vec, c_vec, k=4, q_id="item_id", d_id="chunk_key")
+    titles = chunks.select(F.col("chunk_key").alias("doc_id"), "chunk_id", "title")
+    j = hits.join(titles, "doc_id")
+    per_q = j.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "title", "score"))).alias("h"))
+    line = lambda h: F.format_string("[%d] %s (%s, score %.4f)", h["rank"], h["title"], h["chunk_id"], h["score"])
+    return per_q.select(F.col("query_id").alias("item_id"), F.array_join(F.transform("h", line), "\n\n").alias("context"),
+                        F.transform("h", lambda h: h["chunk_id"]).alias("sources"),
+                        F.element_at("h", 1)["score"].alias("top_score"))
