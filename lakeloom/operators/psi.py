@@ -8,7 +8,8 @@ histogram, and one small join gives every PSI.
   ``numpy.quantile``); the outer edges are -inf/+inf so out-of-range live values
   land in the end buckets instead of vanishing.
 * Bucket of a value = number of interior edges ``<= value`` — the rule
-  ``numpy.histogram`` applies, repeated edges included.
+  ``numpy.histogram`` applies, repeated edges included. The edges (9 numbers per
+  column) become literals, so bucketing is plain codegen'd arithmetic.
 * PSI = Σ (live − ref) · ln(live / ref) over bucket shares, each share floored at
   1e-6; an empty side counts as 1 row so shares stay finite.
 
@@ -18,7 +19,7 @@ switches to ``percentile_approx`` (bounded memory) for very large columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Bucket count, share floor and status thresholds.
@@ -36,31 +37,50 @@ def unpivot(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def quantile_edges(ref_long: DataFrame, buckets: int = BUCKETS, exact: bool = True,
                    accuracy: int = 100_000) -> DataFrame:
-    """One row per feature: ``edges`` = the ``buckets - 1`` interior quantile edges."""
-    probs = [i / buckets for i in range(1, buckets)]
-    if exact:
-        q = F.percentile(F.col("value"), F.array(*[F.lit(p) for p in probs]))
-    else:
-        q = F.percentile_approx(F.col("value"), F.array(*[F.lit(p) for p in probs]), accuracy)
-    return ref_long.groupBy("feature").agg(q.cast("array<double>").alias("edges"))
-
-
-def bucket_of(value, edges):
-    return F.size(F.filter(edges, lambda e: value >= e))
-
+    """One row per feature: ``edges`` = the ``buckets - 1`` interior quantile edges.
 
-def histogram(long: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(column, bucket, n)`` counts over fixed edges (edges table is one row per column)."""
-    j = long.join(F.broadcast(edges), "feature")
-    return j.groupBy("feature", bucket_of(F.col("value"), F.col("edges")).alias("bucket")).agg(F.count("*").alias("n"))
-
-
-def psi_table(ref_long: DataFrame, live_long: DataFrame, buckets: int = BUCKETS, exact: bool = True) -> DataFrame:
-    """``(column, psi)`` for every column present in the reference."""
-    edges = quantile_edges(ref_long, buckets, exact)
-    spine = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
-    ref_c = histogram(ref_long, edges).withColumnRenamed("n", "ref_n")
-    live_c = histogram(live_long, edges).withColumnRenamed("n", "live_n")
+    Exact: values are first collapsed to ``(feature, value, count)`` by a parallel
+    hash aggregate, then each feature's percentile is taken over the weighted
+    distinct values — the per-feature merge holds distinct values, not rows.
+    """
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    if exact:
+        counts = ref_long.groupBy("feature", "value").agg(F.count("*").alias("n"))
+        return counts.groupBy("feature").agg(F.percentile(F.col("value"), probs, F.col("n")).cast("array<double>")
+                                             .alias("edges"))
+    return ref_long.groupBy("feature").agg(
+        F.percentile_approx(F.col("value"), probs, accuracy).cast("array<double>").alias("edges"))
+
+
+def collect_edges(edges: DataFrame) -> dict[str, list[float]]:
+    """The edges table is one row per feature (``buckets - 1`` numbers each): bounded, safe to collect."""
+    return {r["feature"]: list(r["edges"]) for r in edges.collect()}
+
+
+def bucket_expr(value: Column, edges: list[float]) -> Column:
+    """Number of interior edges ``<= value`` as one codegen'd sum of literal comparisons."""
+    expr = F.lit(0)
+    for e in edges:
+        expr = expr + (value >= F.lit(float(e))).cast("int")
+    return F.when(value.isNotNull(), expr)
+
+
+def histogram(wide: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """``(feature, bucket, n)`` counts over fixed edges, all features in one scan."""
+    pairs = ", ".join(f"'{c}', `_b_{c}`" for c in edges)
+    bucketed = wide.select(*[bucket_expr(F.col(c).cast("double"), e).alias(f"_b_{c}") for c, e in edges.items()])
+    long = bucketed.selectExpr(f"stack({len(edges)}, {pairs}) AS (feature, bucket)").filter(F.col("bucket").isNotNull())
+    return long.groupBy("feature", "bucket").agg(F.count("*").alias("n"))
+
+
+def psi_table(reference: DataFrame, live: DataFrame, columns: list[str], buckets: int = BUCKETS,
+              exact: bool = True) -> DataFrame:
+    """``(feature, psi)`` for every column, bucketed on the reference's quantiles."""
+    spark = reference.sparkSession
+    edges = collect_edges(quantile_edges(unpivot(reference, columns), buckets, exact))
+    spine = spark.createDataFrame([(c, b) for c in edges for b in range(buckets)], "feature string, bucket int")
+    ref_c = histogram(reference, edges).withColumnRenamed("n", "ref_n")
+    live_c = histogram(live, edges).withColumnRenamed("n", "live_n")
     j = (spine.join(ref_c, ["feature", "bucket"], "left").join(live_c, ["feature", "bucket"], "left")
          .fillna(0, ["ref_n", "live_n"]))
     per_col = Window.partitionBy("feature")
@@ -76,8 +96,7 @@ def status(psi):
 
 def drift_table(reference: DataFrame, live: DataFrame, inputs: list[str], target: str, exact: bool = True) -> DataFrame:
     """PSI per input and target column with its status."""
-    cols = [*inputs, target]
-    t = psi_table(unpivot(reference, cols), unpivot(live, cols), exact=exact)
+    t = psi_table(reference, live, [*inputs, target], exact=exact)
     kind = F.when(F.col("feature") == target, F.lit("target")).otherwise(F.lit("input"))
     return t.select("feature", kind.alias("kind"), "psi", status(F.col("psi")).alias("status"),
                     (F.col("psi") > PSI_BREACH).alias("breached"))

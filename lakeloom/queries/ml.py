@@ -199,9 +199,18 @@ def train_metrics(spark, d):
         F.lit(None).cast("double").alias("train_seconds")))
 
 
+# The run date a scheduled batch-inference run is given (its ``dt`` parameter).
+RUN_DATE = "2024-01-31"
+
+
 @query("batch_inference")
-def batch_inference(spark, d):
-    """Score the ``score`` split with the current production version; write partitioned by day."""
+def batch_inference(spark, d, run_date: str = RUN_DATE):
+    """Score the ``score`` split with the current production version.
+
+    Output is partitioned by the run date: a re-run of the same date replaces
+    only its own partition (dynamic overwrite); other runs stay. Fails when no
+    production version exists or no rows land.
+    """
     from pyspark.ml import PipelineModel
 
     feats = feature_table(spark, d).cache()
@@ -211,11 +220,10 @@ def batch_inference(spark, d):
     write(stage, Sink(mode="append", path=log_path))
     version = registry.production_version(spark.read.parquet(log_path), "fare")
     model = PipelineModel.load(f"{model_dir}/fare/v{version}")
-    raw = features.source(spark).select("l_orderkey", "l_linenumber", F.to_date("o_orderdate").alias("order_day"))
     scored = train.score(model, feats.filter(F.col("split") == "score"), version) \
-        .join(raw, ["l_orderkey", "l_linenumber"])
+        .withColumn("scored_on", F.lit(run_date).cast("date"))
     out = scratch_path(spark, "predictions")
-    write(scored, Sink(mode="overwrite_partitions", path=out, partition_by=["order_day"], require_rows=True))
+    write(scored, Sink(mode="overwrite_partitions", path=out, partition_by=["scored_on"], require_rows=True))
     return spark.read.parquet(out)
 
 
@@ -272,14 +280,20 @@ EMBED_DIM = 256
 EMBED_MODEL = f"hashed-tfidf-{EMBED_DIM}"
 
 
-def embed_text(frame, text_col: str = "text", dim: int = EMBED_DIM, fit_on=None):
-    """Hashed-term TF-IDF, L2-normalised, as ``array<float>`` — fitted and applied on executors."""
+def fit_embedder(corpus, text_col: str = "text", dim: int = EMBED_DIM):
+    """Hashed-term TF-IDF + L2 normalisation; the IDF pass is one distributed aggregate."""
+    from pyspark.ml import Pipeline
+
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=WHITESPACE_CLASS, toLowercase=True)
     tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
-    base = tf.transform(tok.transform(frame))
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf.transform(tok.transform(fit_on)) if fit_on is not None else base)
+    idf = IDF(inputCol="_tf", outputCol="_idf")
     norm = Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)
-    out = norm.transform(idf.transform(base))
+    return Pipeline(stages=[tok, tf, idf, norm]).fit(corpus)
+
+
+def embed(model, frame):
+    """``embedding`` as ``array<float>``, computed on executors."""
+    out = model.transform(frame)
     return out.withColumn("embedding", vector_to_array("_vec", "float32")).drop("_tok", "_tf", "_idf", "_vec")
 
 
@@ -292,14 +306,13 @@ def _chunks(spark, d):
 @query("embed_chunks")
 def embed_chunks(spark, d):
     """Embed only chunks that have no vector yet (key anti-join), then merge on chunk_id."""
-    chunks = _chunks(spark, d)
+    chunks = _chunks(spark, d).withColumnRenamed("chunk_text", "text").persist()
+    model = fit_embedder(chunks)
     store = Sink(mode="merge", path=scratch_path(spark, "chunk-embeddings"), merge_keys=["chunk_id"])
-    first = chunks.filter(F.col("source") == "document")
-    write(embed_text(first.withColumnRenamed("chunk_text", "text"), fit_on=chunks.withColumnRenamed("chunk_text", "text"))
-          .select("chunk_id", "doc_id", "source", "title", "embedding"), store)
+    cols = ["chunk_id", "doc_id", "source", "title", "embedding"]
+    write(embed(model, chunks.filter(F.col("source") == "document")).select(*cols), store)
     missing = chunks.join(store.read(spark).select("chunk_id"), "chunk_id", "left_anti")
-    write(embed_text(missing.withColumnRenamed("chunk_text", "text"), fit_on=chunks.withColumnRenamed("chunk_text", "text"))
-          .select("chunk_id", "doc_id", "source", "title", "embedding"), store)
+    write(embed(model, missing).select(*cols), store)
     return store.read(spark).withColumn("embedding_model", F.lit(EMBED_MODEL)) \
         .withColumn("embedding_dim", F.size("embedding"))
 
@@ -307,11 +320,12 @@ def embed_chunks(spark, d):
 @query("retrieve_cited")
 def retrieve_cited(spark, d):
     """Benchmark items as questions against document chunks: exact top-4 with cited context."""
-    chunks = _chunks(spark, d).withColumn("chunk_key", F.xxhash64("chunk_id"))
+    chunks = _chunks(spark, d).withColumn("chunk_key", F.xxhash64("chunk_id")) \
+        .withColumnRenamed("chunk_text", "text").persist()
     bench = read_table(spark, d, "benchmark")
-    fit_on = chunks.select(F.col("chunk_text").alias("text"))
-    c_vec = embed_text(chunks.withColumnRenamed("chunk_text", "text"), fit_on=fit_on)
-    q_vec = embed_text(bench, fit_on=fit_on)
+    model = fit_embedder(chunks)
+    c_vec = embed(model, chunks)
+    q_vec = embed(model, bench)
     hits = retrieve.topk_similar(q_vec, c_vec, k=4, q_id="item_id", d_id="chunk_key")
     titles = chunks.select(F.col("chunk_key").alias("doc_id"), "chunk_id", "title")
     j = hits.join(titles, "doc_id")

@@ -55,8 +55,9 @@ SELECT CAST(len(list_filter(e.edges, lambda x: l.l_extendedprice >= x)) AS INTEG
 FROM lineitem l, e GROUP BY 1
 """)
 def histogram_fixed(spark, d):
-    ref = psi.unpivot(read_table(spark, d, "lineitem"), [TARGET])
-    return psi.histogram(ref, psi.quantile_edges(ref)).select("bucket", "n")
+    li = read_table(spark, d, "lineitem")
+    edges = psi.collect_edges(psi.quantile_edges(psi.unpivot(li, [TARGET])))
+    return psi.histogram(li, edges).select("bucket", "n")
 
 
 def _drift_sql(features: list[str], target: str, factor: float) -> str:
@@ -94,7 +95,7 @@ SELECT round(psi, 6) AS psi, {_STATUS} AS status FROM p
 def psi_drift(spark, d):
     """Target PSI between the reference prices and the same prices inflated by 35 %."""
     reference, live = _windows(spark, d)
-    t = psi.psi_table(psi.unpivot(reference, [TARGET]), psi.unpivot(live, [TARGET]))
+    t = psi.psi_table(reference, live, [TARGET])
     return t.select(F.round("psi", 6).alias("psi"), psi.status(F.col("psi")).alias("status"))
 
 

@@ -85,6 +85,11 @@ def check_merge_source(df: DataFrame, keys: list[str]) -> None:
 
 
 def _write(df: DataFrame, sink: Sink, mode: str, dynamic: bool = False) -> None:
+    if sink.partition_by:
+        # Cluster rows by the partition columns so each partition value is written by
+        # few tasks (not one small file per task per value); AQE splits a hot value
+        # over several tasks and merges small ones.
+        df = df.hint("rebalance", *sink.partition_by)
     writer = df.write.format(sink.fmt).mode(mode)
     for k, v in sink.options.items():
         if k not in ("comment",):
