@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.sizing import broadcast_if_small
@@ -118,38 +118,45 @@ def merge_state(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFra
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-def write(df: DataFrame, sink: Sink) -> int:
-    """Write ``df`` to ``sink``; return the number of rows landed.
+def _target_rows(spark: SparkSession, sink: Sink) -> int:
+    """Rows in the target (Parquet answers a bare count from file footers)."""
+    return sink.read(spark).count() if sink.exists(spark) else 0
 
-    The count comes from an ``Observation`` on the write itself, not a second scan.
+
+def write(df: DataFrame, sink: Sink) -> int | None:
+    """Write ``df`` to ``sink``.
+
+    With ``require_rows`` the landed rows are counted from the target afterwards
+    (a footer-level count, not a rescan of the batch's plan) and an empty landing
+    fails; otherwise ``None`` is returned and nothing extra runs.
     """
     spark = df.sparkSession
-    obs = Observation(f"landed_{id(df)}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    before = _target_rows(spark, sink) if sink.require_rows and sink.mode == "append" else 0
     if sink.mode == "append":
-        _write(observed, sink, "append")
+        _write(df, sink, "append")
     elif sink.mode == "overwrite":
-        _write(observed, sink, "overwrite")
+        _write(df, sink, "overwrite")
     elif sink.mode == "overwrite_partitions":
-        _write(observed, sink, "overwrite", dynamic=True)
+        _write(df, sink, "overwrite", dynamic=True)
     else:
         check_merge_source(df, sink.merge_keys)
         if not sink.exists(spark):
-            _write(observed, sink, "overwrite")
+            _write(df, sink, "overwrite")
         else:
             target = sink.read(spark)
             if sink.partition_by:
                 touched = broadcast_if_small(df.select(*sink.partition_by).distinct())
                 target = target.join(touched, on=sink.partition_by, how="left_semi")
-            state = merge_state(target, observed, sink.merge_keys)
+            state = merge_state(target, df, sink.merge_keys)
             staged = scratch_path(spark, "merge-stage")
             state.write.format("parquet").mode("overwrite").save(staged)
-            restaged = spark.read.parquet(staged)
-            _write(restaged.select(*[c for c in restaged.columns]), sink, "overwrite", dynamic=bool(sink.partition_by))
-    rows = int(obs.get.get("rows", 0)) if obs.get else 0
-    if sink.require_rows and rows == 0:
+            _write(spark.read.parquet(staged), sink, "overwrite", dynamic=bool(sink.partition_by))
+    if not sink.require_rows:
+        return None
+    landed = _target_rows(spark, sink) - before
+    if landed <= 0:
         raise SinkError(f"no rows landed in {sink.table or sink.path}")
-    return rows
+    return landed
 
 
 def create_schema(spark: SparkSession, schema: str) -> None:

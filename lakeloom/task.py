@@ -3,7 +3,7 @@
 A ``Task`` declares its inputs and outputs; ``run`` reads every source lazily,
 calls ``transform``, checks that the outputs match the declared sinks, and
 writes each one. Outputs that share an expensive parent can be persisted by the
-transform; nothing is collected here except one landed-row count per sink.
+transform; nothing is collected here except a landed-row count for sinks that require rows.
 """
 
 from __future__ import annotations
@@ -65,8 +65,9 @@ PROFILES = {
 
 
 def run(task: Task, spark: SparkSession, params: dict | None = None, profile: str = "DEV",
-        sinks: dict[str, Sink] | None = None) -> dict[str, int]:
-    """Read sources, transform, check output names, write. Returns landed rows per output."""
+        sinks: dict[str, Sink] | None = None) -> dict[str, int | None]:
+    """Read sources, transform, check output names, write. Returns landed rows per output
+    (``None`` for sinks that do not require rows)."""
     if profile not in PROFILES:
         raise TaskError(f"unknown profile {profile!r}; expected one of {sorted(PROFILES)}")
     tune(spark)

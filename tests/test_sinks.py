@@ -15,7 +15,7 @@ def test_merge_guard(spark):
 
 
 def test_merge_upsert_and_idempotence(spark):
-    sink = Sink(mode="merge", path=scratch_path(spark, "t-merge"), merge_keys=["k"])
+    sink = Sink(mode="merge", path=scratch_path(spark, "t-merge"), merge_keys=["k"], require_rows=True)
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     assert write(base, sink) == 2
     batch = spark.createDataFrame([(2, "B"), (3, "C")], "k long, v string")

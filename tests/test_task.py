@@ -17,7 +17,7 @@ class Revenue(Task):
 
 def test_run_writes_declared_outputs(spark):
     t = Revenue()
-    t.outputs = {"by_flag": Sink(mode="overwrite", path=scratch_path(spark, "task"))}
+    t.outputs = {"by_flag": Sink(mode="overwrite", path=scratch_path(spark, "task"), require_rows=True)}
     landed = run(t, spark, {"factor": 2.0})
     assert landed == {"by_flag": 3}
 
