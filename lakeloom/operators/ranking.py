@@ -38,3 +38,49 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
         .withColumn(name, F.col("_offset") + F.col("_local") + F.lit(1))
         .drop("_pid", "_local", "_offset")
     )
+
+
+# A group larger than this many rows is ranked in value sub-ranges;
+# number of sub-ranges for such a group; sketch accuracy for the sub-range bounds.
+SPLIT_ROWS = 1_000_000
+SUB_RANGES = 64
+SKETCH_ACCURACY = 10_000
+
+
+def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", descending: bool = True,
+                tie_break: list[Column] | None = None, method: str = "rank",
+                split_rows: int = SPLIT_ROWS, sub_ranges: int = SUB_RANGES) -> DataFrame:
+    """``rank()`` (or ``row_number()``) within ``by`` ordered by ``value``, exact, hot-group safe.
+
+    A plain window puts each group in one task, so one group holding a third of
+    the rows would be sorted by one task. Here groups above ``split_rows`` rows
+    are cut into value sub-ranges (bounds from a per-group quantile sketch; the
+    sub-range is a function of the value, so ties never straddle two). Each
+    sub-range is ranked as its own window partition and shifted by the row count
+    of all sub-ranges holding strictly better values. Small groups keep one
+    window partition (offset 0). The bounds and offsets tables hold at most
+    ``rows / split_rows`` groups × ``sub_ranges`` entries and are broadcast.
+    """
+    if method not in ("rank", "row_number"):
+        raise ValueError(method)
+    v = F.col(value)
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    big = sizes.filter(F.col("_n") > split_rows).select(*by)
+    probs = F.array(*[F.lit(i / sub_ranges) for i in range(1, sub_ranges)])
+    bounds = df.join(F.broadcast(big), by, "left_semi").groupBy(*by).agg(
+        F.percentile_approx(v, probs, SKETCH_ACCURACY).cast("array<double>").alias("_bounds"))
+    tagged = df.join(F.broadcast(bounds), by, "left")
+    # Sub-range index, ascending in the value; ``better`` sub-ranges come first in rank order.
+    below = F.coalesce(F.size(F.filter("_bounds", lambda b: b < v.cast("double"))), F.lit(0))
+    sub = (F.lit(sub_ranges) - below) if descending else below
+    tagged = tagged.withColumn("_sub", sub.cast("int")).drop("_bounds")
+    counts = tagged.join(F.broadcast(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
+    before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_sub", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset"))
+    order = [v.desc() if descending else v.asc(), *(tie_break or [])]
+    w = Window.partitionBy(*by, "_sub").orderBy(*order)
+    local = F.rank().over(w) if method == "rank" else F.row_number().over(w)
+    return (tagged.withColumn("_local", local)
+            .join(F.broadcast(offsets), [*by, "_sub"], "left")
+            .withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local")).cast("int"))
+            .drop("_sub", "_local", "_offset"))

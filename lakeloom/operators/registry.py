@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PRODUCTION, STAGING, ARCHIVED = "Production", "Staging", "Archived"
@@ -23,11 +23,14 @@ class NoProductionVersion(RuntimeError):
 
 
 def current(log: DataFrame) -> DataFrame:
-    """One row per model: the version currently in production."""
-    w = Window.partitionBy("model_name").orderBy(F.col("event_time").desc(), F.col("version").desc())
+    """One row per model: the version currently in production.
+
+    A ``max_by`` aggregate (partial per task, then merged), so a model with a very
+    long history never lands in one task.
+    """
     prod = log.filter(F.col("stage") == PRODUCTION)
-    return prod.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1) \
-        .select("model_name", "version", "event_time")
+    best = F.max_by(F.struct("version", "event_time"), F.struct("event_time", "version"))
+    return prod.groupBy("model_name").agg(best.alias("_b")).select("model_name", "_b.version", "_b.event_time")
 
 
 def event(spark: SparkSession, model: str, version: int, stage: str, reason: str,

@@ -10,3 +10,20 @@ def test_global_row_number_matches_window(spark):
     got = {r["id"]: r["pos"] for r in global_row_number(df, order, "pos", num_partitions=7).collect()}
     want = {r["id"]: r["pos"] for r in df.withColumn("pos", F.row_number().over(Window.orderBy(*order))).collect()}
     assert got == want
+
+
+def test_rank_within_splits_hot_groups_exactly(spark):
+    from lakeloom.operators.ranking import rank_within
+
+    # group 0 is hot (split into sub-ranges); group 1 is small; many ties
+    df = spark.range(0, 6000).select(
+        (F.col("id") % 7 == 1).cast("int").alias("g"), F.col("id"), (F.col("id") * 7919 % 113).cast("double").alias("v"))
+    w = Window.partitionBy("g").orderBy(F.col("v").desc())
+    want = {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(w)).collect()}
+    got = {r["id"]: r["r"] for r in rank_within(df, ["g"], "v", "r", split_rows=1000, sub_ranges=16).collect()}
+    assert got == want
+    w2 = Window.partitionBy("g").orderBy(F.col("v").asc(), F.col("id").asc())
+    want2 = {r["id"]: r["r"] for r in df.withColumn("r", F.row_number().over(w2)).collect()}
+    got2 = {r["id"]: r["r"] for r in rank_within(df, ["g"], "v", "r", descending=False, tie_break=[F.col("id").asc()],
+                                                 method="row_number", split_rows=1000, sub_ranges=16).collect()}
+    assert got2 == want2
