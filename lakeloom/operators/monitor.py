@@ -32,6 +32,16 @@ def candidate_errors(live: DataFrame, versions: dict[int, Predictor], label: str
     return parts.groupBy("version").agg(F.avg("abs_err").alias("live_mae"), F.count("*").alias("rows"))
 
 
+def candidate_errors_columns(live: DataFrame, predictions: dict[int, "Column"], label: str) -> DataFrame:
+    """Same as :func:`candidate_errors` when every version is an expression over one
+    prepared frame: all versions are scored in a single pass, unpivoted with ``stack``."""
+    pairs = ", ".join(f"{int(v)}L, `_p{int(v)}`" for v in predictions)
+    scored = live.select(F.col(label).alias("_y"), *[c.alias(f"_p{int(v)}") for v, c in predictions.items()])
+    long = scored.selectExpr("_y", f"stack({len(predictions)}, {pairs}) AS (version, prediction)")
+    return long.groupBy("version").agg(F.avg(F.abs(F.col("prediction") - F.col("_y"))).alias("live_mae"),
+                                       F.count("*").alias("rows"))
+
+
 def decay(errors: DataFrame, recorded: DataFrame, multiple: float = MAX_ERROR_MULTIPLE) -> DataFrame:
     """Join live error to each version's own recorded test error; decayed when > multiple ×."""
     j = errors.join(recorded, "version", "left")

@@ -113,27 +113,28 @@ def drift_table(spark, d):
 
 def fit_versions(train):
     """Three versions fitted by distributed aggregation on the training split:
-    1 = one price per unit, 2 = price per unit of each part (fallback 1), 3 = mean line price."""
+    1 = one price per unit, 2 = price per unit of each part (fallback 1), 3 = mean line price.
+
+    Returns ``(prepare, predictions)``: ``prepare`` attaches the fitted tables to a
+    frame (the per-part table is broadcast only when small), ``predictions`` maps
+    each version to its prediction expression, so all versions score in one pass.
+    """
     overall = train.agg((money_total(TARGET).cast("double") / F.sum("l_quantity")).alias("rate"),
                         F.avg(TARGET).alias("mean_price"))
     per_part = train.groupBy("l_partkey").agg(
         (money_total(TARGET).cast("double") / F.sum("l_quantity")).alias("part_rate"))
-    k = F.lit(1)
-
-    def with_overall(df):
-        return df.withColumn("_k", k).join(F.broadcast(overall.withColumn("_k", k)), "_k").drop("_k")
-
-    def v1(df):
-        return with_overall(df).withColumn("prediction", F.col("l_quantity") * F.col("rate"))
-
-    def v2(df):
-        j = with_overall(df).join(broadcast_if_small(per_part), "l_partkey", "left")
-        return j.withColumn("prediction", F.col("l_quantity") * F.coalesce(F.col("part_rate"), F.col("rate")))
 
-    def v3(df):
-        return with_overall(df).withColumn("prediction", F.col("mean_price"))
+    def prepare(df):
+        k = F.lit(1)
+        with_overall = df.withColumn("_k", k).join(F.broadcast(overall.withColumn("_k", k)), "_k").drop("_k")
+        return with_overall.join(broadcast_if_small(per_part), "l_partkey", "left")
 
-    return {1: v1, 2: v2, 3: v3}
+    predictions = {
+        1: F.col("l_quantity") * F.col("rate"),
+        2: F.col("l_quantity") * F.coalesce(F.col("part_rate"), F.col("rate")),
+        3: F.col("mean_price"),
+    }
+    return prepare, predictions
 
 
 _VERSIONS_SQL = f"""
@@ -159,10 +160,11 @@ dec AS (SELECT l.version, r.test_mae, l.live_mae, l.rows, l.live_mae / r.test_ma
 
 def _decay_rows(spark, d):
     reference, live = _windows(spark, d)
-    versions = fit_versions(reference.filter(F.col("split") == "train"))
-    test = reference.filter(F.col("split") == "test")
-    recorded = monitor.candidate_errors(test, versions, TARGET).select("version", F.col("live_mae").alias("test_mae"))
-    errors = monitor.candidate_errors(live, versions, TARGET)
+    prepare, predictions = fit_versions(reference.filter(F.col("split") == "train"))
+    test = prepare(reference.filter(F.col("split") == "test"))
+    recorded = monitor.candidate_errors_columns(test, predictions, TARGET).select(
+        "version", F.col("live_mae").alias("test_mae"))
+    errors = monitor.candidate_errors_columns(prepare(live), predictions, TARGET)
     return errors, monitor.decay(errors, recorded)
 
 

@@ -94,8 +94,10 @@ def _write(df: DataFrame, sink: Sink, mode: str, dynamic: bool = False) -> None:
     for k, v in sink.options.items():
         if k not in ("comment",):
             writer = writer.option(k, v)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if mode == "overwrite" and sink.partition_by:
+        # Stated per write, never inherited from the session: a plain overwrite
+        # replaces the whole target, a partition overwrite only what it carries.
+        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)
     if sink.table:

@@ -69,3 +69,12 @@ def test_table_target_and_schema(spark):
         Sink(mode="overwrite", path="/x", table="y")
     with pytest.raises(SinkError):
         Sink(mode="merge", path="/x")
+
+
+def test_plain_overwrite_replaces_all_partitions(spark):
+    path = scratch_path(spark, "t-static")
+    write(spark.createDataFrame([(1, "m1"), (2, "m2")], "v long, month string"),
+          Sink(mode="overwrite", path=path, partition_by=["month"]))
+    write(spark.createDataFrame([(9, "m2")], "v long, month string"),
+          Sink(mode="overwrite", path=path, partition_by=["month"]))
+    assert sorted((r["v"], r["month"]) for r in spark.read.parquet(path).collect()) == [(9, "m2")]
