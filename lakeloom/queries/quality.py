@@ -53,9 +53,13 @@ def inline_values(spark, d):
     return _source(spark, d)
 
 
-@query("contract_tag", _SRC_SQL + "SELECT l_orderkey, l_linenumber, broken_rules FROM tagged")
+@query("contract_tag", _SRC_SQL + """
+SELECT l_orderkey, l_linenumber, broken_rules,
+       list_filter(broken_rules, lambda x: list_contains(['order_key_present', 'part_key_present'], x)) AS fatal_rules
+FROM tagged""")
 def contract_tag(spark, d):
-    return _tagged(spark, d).select("l_orderkey", "l_linenumber", "broken_rules")
+    return _tagged(spark, d).select("l_orderkey", "l_linenumber", "broken_rules",
+                                    contract.fatal_of().alias("fatal_rules"))
 
 
 @query("contract_split", _SRC_SQL + f"SELECT {_COLS}, broken_rules AS reasons FROM tagged WHERE len(broken_rules) > 0")
