@@ -15,5 +15,5 @@ def test_hook_keeps_order_and_batches(spark):
 
 def test_hook_rejects_count_mismatch(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "id long, text string")
-    with pytest.raises(Exception, match="EmbeddingCountMismatch|got 1 vectors"):
-        batch_embed(df, lambda ts: [[1.0]], "id", "text").collect()
+    with pytest.raises(Exception, match="EmbeddingCountMismatch|got 0 vectors"):
+        batch_embed(df, lambda ts: [], "id", "text").collect()
