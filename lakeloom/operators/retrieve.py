@@ -42,39 +42,43 @@ def _matrix(col: pd.Series, dim: int) -> np.ndarray:
 
 
 def _partial_topk(q_ids: np.ndarray, q_mat: np.ndarray, k: int, exclude_self: bool, id_col: str, vec_col: str):
-    """Per-partition scorer for ``mapInPandas``: best ``k`` corpus rows per question."""
+    """Per-partition scorer for ``mapInPandas``: best ``k`` corpus rows per question.
+
+    Vectorised: the running best (questions × k) is concatenated with each scored
+    slice and re-sorted row-wise by (score desc, id asc) with one ``lexsort``.
+    """
     dim = q_mat.shape[1]
+    nq = len(q_ids)
+    sentinel = np.iinfo(np.int64).max
 
     def run(batches):
-        best_s = [np.empty(0) for _ in range(len(q_ids))]
-        best_i = [np.empty(0, dtype=np.int64) for _ in range(len(q_ids))]
+        best_s = np.full((nq, 0), -np.inf)
+        best_i = np.full((nq, 0), sentinel, dtype=np.int64)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             ids = pdf[id_col].to_numpy(dtype=np.int64)
             d_mat = _normalise(_matrix(pdf[vec_col], dim))
-            step = max(1, _SCORE_BUDGET // (8 * max(1, len(q_ids))))
+            step = max(1, _SCORE_BUDGET // (8 * max(1, nq)))
             for lo in range(0, len(ids), step):
                 sub_ids = ids[lo:lo + step]
                 scores = q_mat @ d_mat[lo:lo + step].T
-                for qi in range(len(q_ids)):
-                    s = np.concatenate([best_s[qi], scores[qi]])
-                    i = np.concatenate([best_i[qi], sub_ids])
-                    if exclude_self:
-                        keep = i != q_ids[qi]
-                        s, i = s[keep], i[keep]
-                    if len(s) > k:
-                        order = np.lexsort((i, -s))[:k]
-                        s, i = s[order], i[order]
-                    best_s[qi], best_i[qi] = s, i
-        out_q, out_i, out_s = [], [], []
-        for qi, qid in enumerate(q_ids):
-            out_q.append(np.full(len(best_i[qi]), qid, dtype=np.int64))
-            out_i.append(best_i[qi])
-            out_s.append(best_s[qi])
-        if out_q:
-            yield pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_i),
-                                "score": np.concatenate(out_s).astype(np.float64)})
+                cand_i = np.broadcast_to(sub_ids, scores.shape)
+                if exclude_self:
+                    own = cand_i == q_ids[:, None]
+                    scores = np.where(own, -np.inf, scores)
+                    cand_i = np.where(own, sentinel, cand_i)
+                s = np.concatenate([best_s, scores], axis=1)
+                i = np.concatenate([best_i, cand_i], axis=1)
+                keep = min(k, s.shape[1])
+                order = np.lexsort((i, -s), axis=1)[:, :keep]
+                best_s = np.take_along_axis(s, order, axis=1)
+                best_i = np.take_along_axis(i, order, axis=1)
+        valid = best_i != sentinel
+        if valid.any():
+            qcol = np.broadcast_to(q_ids[:, None], best_i.shape)
+            yield pd.DataFrame({"query_id": qcol[valid], "doc_id": best_i[valid],
+                                "score": best_s[valid].astype(np.float64)})
 
     return run
 
