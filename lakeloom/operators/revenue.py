@@ -73,3 +73,37 @@ def revenue_by_product(monthly: DataFrame) -> DataFrame:
         F.countDistinct("transaction_id").alias("transactions"),
     )
     return rank_within(agg, ["revenue_month"], "revenue", "revenue_rank", descending=True)
+
+
+class CustomerRevenue:
+    """The revenue task in task form: two outputs from one SQL source.
+
+    ``seller_revenue`` is merged on (seller_id, revenue_month) so a re-run corrects
+    rows instead of duplicating them; ``product_revenue`` is written with dynamic
+    partition overwrite by month, so a backfill of one month leaves the others.
+    """
+
+    @staticmethod
+    def build(data_dir: str, seller_path: str, product_path: str):
+        from ..sinks import Sink
+        from ..task import Source, Task
+
+        class _Task(Task):
+            inputs = {
+                "transactions": Source(sql=TRANSACTIONS_SQL, views={"lineitem": "lineitem", "orders": "orders",
+                                                                    "customer": "customer"}),
+                "sellers": Source(table="supplier"),
+            }
+            outputs = {
+                "seller_revenue": Sink(mode="merge", path=seller_path, merge_keys=["seller_id", "revenue_month"],
+                                       options={"mergeSchema": "true"}),
+                "product_revenue": Sink(mode="overwrite_partitions", path=product_path, partition_by=["revenue_month"]),
+            }
+            defaults = {"data_dir": data_dir}
+
+            def transform(self, sources, params):
+                monthly = with_month(sources["transactions"])
+                return {"seller_revenue": revenue_by_seller(monthly, sources["sellers"]),
+                        "product_revenue": revenue_by_product(monthly)}
+
+        return _Task()

@@ -32,3 +32,17 @@ def test_output_names_must_match(spark):
 def test_unknown_profile(spark):
     with pytest.raises(TaskError, match="profile"):
         run(Revenue(), spark, profile="STAGING")
+
+
+def test_revenue_task_rerun_changes_nothing(spark):
+    from lakeloom.operators.fingerprint import fingerprint
+    from lakeloom.operators.revenue import CustomerRevenue
+
+    seller, product = scratch_path(spark, "seller"), scratch_path(spark, "product")
+    task = CustomerRevenue.build(SF_SMALL, seller, product)
+    run(task, spark)
+    first = [fingerprint(spark.read.parquet(p)).first()["fingerprint"] for p in (seller, product)]
+    run(task, spark)
+    second = [fingerprint(spark.read.parquet(p)).first()["fingerprint"] for p in (seller, product)]
+    assert first == second
+    assert spark.read.parquet(product).select("revenue_month").distinct().count() > 1
