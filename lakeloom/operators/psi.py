@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import cumulative_within
+
 # Bucket count, share floor and status thresholds.
 BUCKETS = 10
 SHARE_FLOOR = 1e-6
@@ -43,15 +45,43 @@ def quantile_edges(ref_long: DataFrame, buckets: int = BUCKETS, exact: bool = Tr
     hash aggregate, then each feature's percentile is taken over the weighted
     distinct values — the per-feature merge holds distinct values, not rows.
     """
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     if exact:
-        counts = ref_long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-        return counts.groupBy("feature").agg(F.percentile(F.col("value"), probs, F.col("n")).cast("array<double>")
-                                             .alias("edges"))
+        return exact_quantiles(ref_long, [i / buckets for i in range(1, buckets)])
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     return ref_long.groupBy("feature").agg(
         F.percentile_approx(F.col("value"), probs, accuracy).cast("array<double>").alias("edges"))
 
 
+def exact_quantiles(long: DataFrame, probs: list[float], split_rows: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles per feature, fully distributed.
+
+    1. distinct values with counts per feature (parallel hash aggregate);
+    2. for each distinct value, the count of smaller values (a running sum that
+       splits large features into value sub-ranges, see ``cumulative_within``);
+    3. the values at the 0-based positions ``floor``/``ceil`` of ``p·(n−1)`` are
+       picked by a range test against a tiny targets table (features × probs);
+    4. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
+    """
+    spark = long.sparkSession
+    counts = long.groupBy("feature", "value").agg(F.count("*").alias("c"))
+    extra = {} if split_rows is None else {"split_rows": split_rows, "sub_ranges": 16}
+    cum = cumulative_within(counts, ["feature"], "value", "c", "before", **extra)
+    totals = counts.groupBy("feature").agg(F.sum("c").alias("n"))
+    p_tab = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "pi int, p double")
+    pos = F.col("p") * (F.col("n") - 1)
+    tgt = totals.withColumn("_k", F.lit(1)).join(F.broadcast(p_tab.withColumn("_k", F.lit(1))), "_k").select(
+        "feature", "pi", pos.alias("pos"), F.floor(pos).cast("bigint").alias("lo_i"), F.ceil(pos).cast("bigint").alias("hi_i"))
+    holds_lo = (F.col("before") <= F.col("lo_i")) & (F.col("lo_i") < F.col("before") + F.col("c"))
+    holds_hi = (F.col("before") <= F.col("hi_i")) & (F.col("hi_i") < F.col("before") + F.col("c"))
+    hit = cum.join(F.broadcast(tgt), "feature").filter(holds_lo | holds_hi)
+    lohi = hit.groupBy("feature", "pi", "pos", "lo_i").agg(
+        F.max(F.when(holds_lo, F.col("value"))).alias("lo"), F.max(F.when(holds_hi, F.col("value"))).alias("hi"))
+    frac = F.col("pos") - F.col("lo_i")
+    q = lohi.select("feature", "pi", (F.col("lo") + (F.col("hi") - F.col("lo")) * frac).alias("q"))
+    return q.groupBy("feature").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pi", "q"))), lambda s: s["q"]).alias("edges"))
+
+
 def collect_edges(edges: DataFrame) -> dict[str, list[float]]:
     """The edges table is one row per feature (``buckets - 1`` numbers each): bounded, safe to collect."""
     return {r["feature"]: list(r["edges"]) for r in edges.collect()}

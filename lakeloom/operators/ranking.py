@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.sizing import broadcast_if_small
+
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
                       num_partitions: int | None = None) -> DataFrame:
@@ -64,23 +66,50 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", de
     if method not in ("rank", "row_number"):
         raise ValueError(method)
     v = F.col(value)
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    big = sizes.filter(F.col("_n") > split_rows).select(*by)
-    probs = F.array(*[F.lit(i / sub_ranges) for i in range(1, sub_ranges)])
-    bounds = df.join(F.broadcast(big), by, "left_semi").groupBy(*by).agg(
-        F.percentile_approx(v, probs, SKETCH_ACCURACY).cast("array<double>").alias("_bounds"))
-    tagged = df.join(F.broadcast(bounds), by, "left")
-    # Sub-range index, ascending in the value; ``better`` sub-ranges come first in rank order.
-    below = F.coalesce(F.size(F.filter("_bounds", lambda b: b < v.cast("double"))), F.lit(0))
-    sub = (F.lit(sub_ranges) - below) if descending else below
-    tagged = tagged.withColumn("_sub", sub.cast("int")).drop("_bounds")
-    counts = tagged.join(F.broadcast(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
+    tagged, big = _sub_ranges(df, by, value, F.count("*"), split_rows, sub_ranges, descending)
+    counts = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
     before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_sub", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset"))
     order = [v.desc() if descending else v.asc(), *(tie_break or [])]
     w = Window.partitionBy(*by, "_sub").orderBy(*order)
     local = F.rank().over(w) if method == "rank" else F.row_number().over(w)
     return (tagged.withColumn("_local", local)
-            .join(F.broadcast(offsets), [*by, "_sub"], "left")
+            .join(broadcast_if_small(offsets), [*by, "_sub"], "left")
             .withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local")).cast("int"))
             .drop("_sub", "_local", "_offset"))
+
+
+def _sub_ranges(df: DataFrame, by: list[str], value: str, size_expr: Column, split_rows: int, sub_ranges: int,
+                descending: bool) -> tuple[DataFrame, DataFrame]:
+    """Tag rows with ``_sub``: 0 for groups of at most ``split_rows`` (by ``size_expr``),
+    otherwise the value sub-range from a per-group quantile sketch. Returns (tagged, big groups)."""
+    v = F.col(value)
+    sizes = df.groupBy(*by).agg(size_expr.alias("_n"))
+    big = sizes.filter(F.col("_n") > split_rows).select(*by)
+    probs = F.array(*[F.lit(i / sub_ranges) for i in range(1, sub_ranges)])
+    bounds = df.join(broadcast_if_small(big), by, "left_semi").groupBy(*by).agg(
+        F.percentile_approx(v, probs, SKETCH_ACCURACY).cast("array<double>").alias("_bounds"))
+    tagged = df.join(broadcast_if_small(bounds), by, "left")
+    below = F.coalesce(F.size(F.filter("_bounds", lambda b: b < v.cast("double"))), F.lit(0))
+    sub = (F.lit(sub_ranges) - below) if descending else below
+    return tagged.withColumn("_sub", sub.cast("int")).drop("_bounds"), big
+
+
+def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, name: str = "cum_before",
+                      split_rows: int = SPLIT_ROWS, sub_ranges: int = SUB_RANGES) -> DataFrame:
+    """Sum of ``weight`` over rows of the same group with a strictly smaller ``value``.
+
+    ``value`` must be unique within a group (e.g. a table of distinct values with
+    counts). Large groups are cut into value sub-ranges like :func:`rank_within`,
+    so no group's running sum is computed by one task.
+    """
+    tagged, big = _sub_ranges(df, by, value, F.count("*"), split_rows, sub_ranges, descending=False)
+    sums = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.sum(weight).alias("_s"))
+    before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*by, "_sub", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_offset"))
+    w = Window.partitionBy(*by, "_sub").orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum(weight).over(w), F.lit(0))
+    return (tagged.withColumn("_local", local)
+            .join(broadcast_if_small(offsets), [*by, "_sub"], "left")
+            .withColumn(name, F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local"))
+            .drop("_sub", "_local", "_offset"))
