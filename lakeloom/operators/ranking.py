@@ -66,33 +66,46 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", de
     if method not in ("rank", "row_number"):
         raise ValueError(method)
     v = F.col(value)
-    tagged, big = _sub_ranges(df, by, value, F.count("*"), split_rows, sub_ranges, descending)
+    order = [v.desc() if descending else v.asc(), *(tie_break or [])]
+    fn = F.rank if method == "rank" else F.row_number
+    big = _big_groups(df, by, split_rows)
+    if big is None:  # every group fits one task: a plain window
+        return df.withColumn(name, fn().over(Window.partitionBy(*by).orderBy(*order)).cast("int"))
+    tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending)
     counts = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
     before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_sub", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset"))
-    order = [v.desc() if descending else v.asc(), *(tie_break or [])]
     w = Window.partitionBy(*by, "_sub").orderBy(*order)
-    local = F.rank().over(w) if method == "rank" else F.row_number().over(w)
+    local = fn().over(w)
     return (tagged.withColumn("_local", local)
             .join(broadcast_if_small(offsets), [*by, "_sub"], "left")
             .withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local")).cast("int"))
             .drop("_sub", "_local", "_offset"))
 
 
-def _sub_ranges(df: DataFrame, by: list[str], value: str, size_expr: Column, split_rows: int, sub_ranges: int,
-                descending: bool) -> tuple[DataFrame, DataFrame]:
-    """Tag rows with ``_sub``: 0 for groups of at most ``split_rows`` (by ``size_expr``),
-    otherwise the value sub-range from a per-group quantile sketch. Returns (tagged, big groups)."""
-    v = F.col(value)
-    sizes = df.groupBy(*by).agg(size_expr.alias("_n"))
+def _big_groups(df: DataFrame, by: list[str], split_rows: int) -> DataFrame | None:
+    """Keys of groups above ``split_rows`` rows, or ``None`` when there is none.
+
+    One small job decides the plan: without large groups the plain window is
+    exact and cheapest, so the sub-range machinery is only built when needed.
+    """
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
     big = sizes.filter(F.col("_n") > split_rows).select(*by)
+    return None if big.limit(1).count() == 0 else big
+
+
+def _tag_sub_ranges(df: DataFrame, big: DataFrame, by: list[str], value: str, sub_ranges: int,
+                    descending: bool) -> DataFrame:
+    """Tag rows with ``_sub``: 0 for small groups, else the value sub-range from a
+    per-group quantile sketch (a function of the value, so ties share a sub-range)."""
+    v = F.col(value)
     probs = F.array(*[F.lit(i / sub_ranges) for i in range(1, sub_ranges)])
     bounds = df.join(broadcast_if_small(big), by, "left_semi").groupBy(*by).agg(
         F.percentile_approx(v, probs, SKETCH_ACCURACY).cast("array<double>").alias("_bounds"))
     tagged = df.join(broadcast_if_small(bounds), by, "left")
     below = F.coalesce(F.size(F.filter("_bounds", lambda b: b < v.cast("double"))), F.lit(0))
     sub = (F.lit(sub_ranges) - below) if descending else below
-    return tagged.withColumn("_sub", sub.cast("int")).drop("_bounds"), big
+    return tagged.withColumn("_sub", sub.cast("int")).drop("_bounds")
 
 
 def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, name: str = "cum_before",
@@ -103,7 +116,11 @@ def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, nam
     counts). Large groups are cut into value sub-ranges like :func:`rank_within`,
     so no group's running sum is computed by one task.
     """
-    tagged, big = _sub_ranges(df, by, value, F.count("*"), split_rows, sub_ranges, descending=False)
+    big = _big_groups(df, by, split_rows)
+    if big is None:
+        w0 = Window.partitionBy(*by).orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.coalesce(F.sum(weight).over(w0), F.lit(0)))
+    tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending=False)
     sums = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.sum(weight).alias("_s"))
     before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*by, "_sub", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_offset"))
