@@ -49,3 +49,18 @@ def production_version(log: DataFrame, model: str) -> int:
     if row is None:
         raise NoProductionVersion(f"no production version of {model}")
     return int(row["version"])
+
+
+def promote(spark: SparkSession, model: str, version: int, reason: str = "promoted",
+            at: datetime.datetime | None = None) -> DataFrame:
+    """Event that makes ``version`` current; the incumbent is archived by being older."""
+    return event(spark, model, version, PRODUCTION, reason, at)
+
+
+def rollback(log: DataFrame, model: str, to_version: int, reason: str = "rollback",
+             at: datetime.datetime | None = None) -> DataFrame:
+    """Re-promote an older, already registered version."""
+    known = log.filter((F.col("model_name") == model) & (F.col("version") == to_version)).limit(1).count()
+    if not known:
+        raise NoProductionVersion(f"{model} v{to_version} was never registered")
+    return event(log.sparkSession, model, to_version, PRODUCTION, reason, at)

@@ -97,7 +97,9 @@ b AS (SELECT *, round(quarantined_rows / total_rows, 6) AS quarantine_rate,
                          lambda x: x IS NOT NULL) AS fatal_broken FROM a)
 SELECT total_rows, quarantined_rows, total_rows - quarantined_rows AS clean_rows, quarantine_rate, fatal_broken,
        CASE WHEN len(fatal_broken) > 0 THEN 'stop_fatal' WHEN quarantine_rate > 0.05 THEN 'stop_rate' ELSE 'ok' END AS status,
-       CASE WHEN len(fatal_broken) > 0 THEN 'fatal rules broken: ' || array_to_string(fatal_broken, ', ')
+       CASE WHEN len(fatal_broken) > 0 THEN 'fatal rules broken: ' || array_to_string(list_filter(
+              [CASE WHEN f1 > 0 THEN 'order_key_present (' || f1 || ' rows)' END,
+               CASE WHEN f2 > 0 THEN 'part_key_present (' || f2 || ' rows)' END], lambda x: x IS NOT NULL), ', ')
             WHEN quarantine_rate > 0.05 THEN 'quarantine rate above 0.05' ELSE 'within contract' END AS reason
 FROM b
 """)

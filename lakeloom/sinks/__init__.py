@@ -50,6 +50,18 @@ class Sink:
         if self.mode == "overwrite_partitions" and not self.partition_by:
             raise SinkError("overwrite_partitions needs partition_by")
 
+    @classmethod
+    def pick(cls, block: dict, use_tables: bool) -> "Sink":
+        """One output block may name both a ``path`` and a ``table``; the environment
+        (``use_tables``: a catalog is available) decides which one is written."""
+        block = dict(block)
+        path, table = block.pop("path", None), block.pop("table", None)
+        if use_tables and table:
+            return cls(table=table, **block)
+        if path:
+            return cls(path=path, **block)
+        raise SinkError("block has no usable target for this environment")
+
     # -- reading the current state ------------------------------------------
     def exists(self, spark: SparkSession) -> bool:
         if self.table:

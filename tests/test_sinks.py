@@ -78,3 +78,11 @@ def test_plain_overwrite_replaces_all_partitions(spark):
     write(spark.createDataFrame([(9, "m2")], "v long, month string"),
           Sink(mode="overwrite", path=path, partition_by=["month"]))
     assert sorted((r["v"], r["month"]) for r in spark.read.parquet(path).collect()) == [(9, "m2")]
+
+
+def test_pick_target_by_environment():
+    block = {"mode": "merge", "path": "/data/x", "table": "db.x", "merge_keys": ["k"]}
+    assert Sink.pick(block, use_tables=True).table == "db.x"
+    assert Sink.pick(block, use_tables=False).path == "/data/x"
+    with pytest.raises(SinkError):
+        Sink.pick({"mode": "append", "table": "db.x"}, use_tables=False)
