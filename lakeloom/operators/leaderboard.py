@@ -64,9 +64,8 @@ def margin(rk: DataFrame) -> DataFrame:
 
 def board(log: DataFrame) -> DataFrame:
     rk = ranked(latest_board(log))
-    m = margin(rk).select("margin_pct")
+    out = rk.withColumn("margin_pct", margin(rk).select("margin_pct").scalar())
     verdict = F.when(F.col("margin_pct") >= DECISIVE_MARGIN_PCT, F.lit("clear win")).otherwise(F.lit("too close to call"))
-    out = rk.withColumn("_k", F.lit(1)).join(F.broadcast(m.withColumn("_k", F.lit(1))), "_k").drop("_k")
     return out.select("framework", "model_name", "version", "train_seconds", *REPORTED, "rank",
                       (F.col("rank") == 1).alias("is_champion"), F.lit(RANK_BY).alias("ranked_on"), "margin_pct",
                       verdict.alias("verdict"))

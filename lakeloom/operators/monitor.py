@@ -61,7 +61,7 @@ def decide(decay_rows: DataFrame, drift: DataFrame, champion: int, allow_rollbac
         F.min("live_mae").alias("best_mae"))
     drifted = drift.agg(F.coalesce(F.max(F.col("breached").cast("int")), F.lit(0)).cast("boolean").alias("breached"),
                         F.array_sort(F.collect_list(F.when(F.col("breached"), F.col("feature")))).alias("drifted_columns"))
-    row = _one_row(champ, others, drifted)
+    row = _one_row(decay_rows.sparkSession, champ, others, drifted)
     wins = F.coalesce(F.col("best_mae") < F.col("champion_mae") * F.lit(1 - min_improvement), F.lit(False))
     action = (F.when(~F.col("breached") & ~F.col("decayed") & ~wins, F.lit("none"))
               .when(wins & F.lit(not allow_rollback), F.lit("alert_only"))
@@ -78,9 +78,10 @@ def decide(decay_rows: DataFrame, drift: DataFrame, champion: int, allow_rollbac
                       action.alias("action"), diagnosis.alias("diagnosis"))
 
 
-def _one_row(*frames: DataFrame) -> DataFrame:
-    """Put single-row frames side by side (each is one aggregate row; joined on a constant key)."""
-    out = frames[0].withColumn("_k", F.lit(1))
-    for f in frames[1:]:
-        out = out.join(F.broadcast(f.withColumn("_k", F.lit(1))), "_k", "left")
-    return out.drop("_k")
+def _one_row(spark, *frames: DataFrame) -> DataFrame:
+    """Side by side, the single rows of one-row aggregates, each as a scalar subquery."""
+    cols = []
+    for f in frames:
+        value = f.select(F.struct(*f.columns).alias("v")).scalar()
+        cols += [value[c].alias(c) for c in f.columns]
+    return spark.range(1).select(*cols)

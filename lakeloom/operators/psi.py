@@ -62,14 +62,13 @@ def exact_quantiles(long: DataFrame, probs: list[float], split_rows: int | None
        picked by a range test against a tiny targets table (features × probs);
     4. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
     """
-    spark = long.sparkSession
     counts = long.groupBy("feature", "value").agg(F.count("*").alias("c"))
     extra = {} if split_rows is None else {"split_rows": split_rows, "sub_ranges": 16}
     cum = cumulative_within(counts, ["feature"], "value", "c", "before", **extra)
     totals = counts.groupBy("feature").agg(F.sum("c").alias("n"))
-    p_tab = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "pi int, p double")
+    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     pos = F.col("p") * (F.col("n") - 1)
-    tgt = totals.withColumn("_k", F.lit(1)).join(F.broadcast(p_tab.withColumn("_k", F.lit(1))), "_k").select(
+    tgt = totals.select("feature", "n", F.posexplode(probs_arr).alias("pi", "p")).select(
         "feature", "pi", pos.alias("pos"), F.floor(pos).cast("bigint").alias("lo_i"), F.ceil(pos).cast("bigint").alias("hi_i"))
     holds_lo = (F.col("before") <= F.col("lo_i")) & (F.col("lo_i") < F.col("before") + F.col("c"))
     holds_hi = (F.col("before") <= F.col("hi_i")) & (F.col("hi_i") < F.col("before") + F.col("c"))

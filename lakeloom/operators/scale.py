@@ -2,7 +2,7 @@
 
 Mean and *population* standard deviation (a near-zero deviation counts as 1, so
 a constant column maps to 0 instead of dividing by zero). The fitted table is
-one row; it is joined with a broadcast, so scoring new data costs no shuffle.
+one row; it enters new data as a scalar subquery, so scoring costs no shuffle.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ def fit(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def transform(df: DataFrame, stats: DataFrame, cols: list[str], suffix: str = "_z") -> DataFrame:
-    # The stats frame is exactly one row: attach it as literals-by-join on a constant key.
-    keyed = stats.withColumn("_k", F.lit(1))
-    out = df.withColumn("_k", F.lit(1)).join(F.broadcast(keyed), "_k")
+    """Apply fitted stats. The one-row stats table enters as a scalar subquery (computed
+    once, then a constant for every task) — no join, no shuffle."""
+    fitted = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+    out = df
     for c in cols:
-        out = out.withColumn(f"{c}{suffix}", (F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__std"))
-    return out.drop("_k", *[f"{c}__mean" for c in cols], *[f"{c}__std" for c in cols])
+        out = out.withColumn(f"{c}{suffix}", (F.col(c) - fitted[f"{c}__mean"]) / fitted[f"{c}__std"])
+    return out

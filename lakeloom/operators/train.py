@@ -28,7 +28,7 @@ SEED = 42
 def learner(kind: str, features: list[str] = FEATURES, label: str = TARGET) -> Pipeline:
     assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
     if kind == "gbt":
-        est = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=20,
+        est = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=10, stepSize=0.3,
                            maxDepth=5, seed=SEED)
         return Pipeline(stages=[assemble, est])
     if kind == "random_forest":

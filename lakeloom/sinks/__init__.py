@@ -69,7 +69,11 @@ class Sink:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p) and fs.exists(jvm.org.apache.hadoop.fs.Path(self.path + "/_SUCCESS"))
+        if not fs.exists(p):
+            return False
+        # A committed dataset has data files or partition folders (a dynamic
+        # partition overwrite does not leave a top-level _SUCCESS marker).
+        return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.table:
