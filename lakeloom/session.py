@@ -44,14 +44,50 @@ def get_session(master: str | None = None, app: str = "lakeloom", shuffle_partit
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`DEFAULTS` where unset and make sure a checkpoint dir exists."""
+    """Apply :data:`DEFAULTS` where unset, make sure a checkpoint dir exists, and
+    ship this package to the executors' Python workers."""
     for key, value in DEFAULTS.items():
         if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Add a zip of ``lakeloom`` to the context's Python path (once per application).
+
+    Functions run inside ``mapInPandas`` refer to helpers of this package; Python
+    workers on executors must be able to import it wherever the driver runs from.
+    Skipped when the package is already importable from an installed location.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    if "site-packages" in pkg_dir:
+        _SHIPPED.add(app)
+        return
+    import zipfile
+
+    out = os.path.join(tempfile.mkdtemp(prefix="lakeloom-pyfiles-"), "lakeloom.zip")
+    root = os.path.dirname(pkg_dir)
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, names in os.walk(pkg_dir):
+            if "__pycache__" in folder:
+                continue
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
