@@ -1,6 +1,5 @@
 """Remedy decision ladder and challenger choice."""
 
-import pytest
 
 from lakeloom.operators import monitor
 
