@@ -36,9 +36,13 @@ def _normalise(m: np.ndarray) -> np.ndarray:
 
 
 def _matrix(col: pd.Series, dim: int) -> np.ndarray:
+    """Stack vectors; every vector must have the question side's dimension."""
     if len(col) == 0:
         return np.zeros((0, dim))
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in col])
+    m = np.vstack([np.asarray(v, dtype=np.float64) for v in col])
+    if m.shape[1] != dim:
+        raise ValueError(f"corpus vectors have dimension {m.shape[1]}, questions {dim}")
+    return m
 
 
 def _partial_topk(q_ids: np.ndarray, q_mat: np.ndarray, k: int, exclude_self: bool, id_col: str, vec_col: str):
@@ -91,8 +95,6 @@ def topk_similar(questions: DataFrame, corpus: DataFrame, k: int = DEFAULT_K, q_
     q = questions.select(F.col(q_id).cast("bigint").alias("qid"), F.col(q_vec).alias("qvec"))
     stats = q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("dim")).first()
     n_q, dim = int(stats["n"]), int(stats["dim"] or 0)
-    corpus_dim = corpus.select(d_vec).agg(F.max(F.size(d_vec))).first()[0] or dim
-    dim = max(dim, int(corpus_dim))
     schema = "query_id bigint, doc_id bigint, score double"
     docs = corpus.select(F.col(d_id).cast("bigint").alias("did"), F.col(d_vec).alias("dvec"))
     if n_q == 0:
