@@ -274,6 +274,15 @@ def bakeoff_metrics(spark, d):
     return parts
 
 
+@query("bakeoff_leaderboard")
+def bakeoff_leaderboard(spark, d):
+    """The bake-off's long metrics log ranked on the third (score) split, with the margin verdict."""
+    from ..operators import leaderboard
+
+    log = bakeoff_metrics(spark, d).withColumn("recorded_at", F.lit(RUN_DATE).cast("timestamp_ntz"))
+    return leaderboard.board(log)
+
+
 # ---------------------------------------------------------------- embeddings and retrieval
 
 EMBED_DIM = 256
