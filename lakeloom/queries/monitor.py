@@ -142,7 +142,7 @@ _VERSIONS_SQL = f"""
 WITH ref AS (SELECT *, {_BUCKET} AS b FROM lineitem),
 tr AS (SELECT * FROM ref WHERE b < 70),
 o AS (SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / sum(l_quantity) AS rate,
-             avg(l_extendedprice) AS mean_price FROM tr),
+             CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price FROM tr),
 pp AS (SELECT l_partkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / sum(l_quantity) AS part_rate
        FROM tr GROUP BY l_partkey),
 pred AS (
