@@ -19,6 +19,8 @@ switches to ``percentile_approx`` (bounded memory) for very large columns.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,21 +57,31 @@ def quantile_edges(ref_long: DataFrame, buckets: int = BUCKETS, exact: bool = Tr
 def exact_quantiles(long: DataFrame, probs: list[float], split_rows: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles per feature, fully distributed.
 
-    1. distinct values with counts per feature (parallel hash aggregate);
-    2. for each distinct value, the count of smaller values (a running sum that
-       splits large features into value sub-ranges, see ``cumulative_within``);
-    3. the values at the 0-based positions ``floor``/``ceil`` of ``p·(n−1)`` are
+    1. distinct values with counts per feature (parallel hash aggregate), kept
+       cached because three steps read it;
+    2. per feature: row count and distinct count — one small collected row each,
+       which gives the target positions and says which features are large;
+    3. for each distinct value, the count of smaller values (a running sum; a
+       large feature is split into value sub-ranges, see ``cumulative_within``);
+    4. the values at the 0-based positions ``floor``/``ceil`` of ``p·(n−1)`` are
        picked by a range test against a tiny targets table (features × probs);
-    4. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
+    5. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
     """
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("c"))
+    from .ranking import SPLIT_ROWS
+
+    spark = long.sparkSession
+    counts = long.groupBy("feature", "value").agg(F.count("*").alias("c")).persist()
+    stats = counts.groupBy("feature").agg(F.sum("c").alias("n"), F.count("*").alias("d")).collect()
+    limit = SPLIT_ROWS if split_rows is None else split_rows
+    big = spark.createDataFrame([(r["feature"],) for r in stats if r["d"] > limit], "feature string")
     extra = {} if split_rows is None else {"split_rows": split_rows, "sub_ranges": 16}
-    cum = cumulative_within(counts, ["feature"], "value", "c", "before", **extra)
-    totals = counts.groupBy("feature").agg(F.sum("c").alias("n"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    pos = F.col("p") * (F.col("n") - 1)
-    tgt = totals.select("feature", "n", F.posexplode(probs_arr).alias("pi", "p")).select(
-        "feature", "pi", pos.alias("pos"), F.floor(pos).cast("bigint").alias("lo_i"), F.ceil(pos).cast("bigint").alias("hi_i"))
+    cum = cumulative_within(counts, ["feature"], "value", "c", "before", big=big, **extra)
+    rows = []
+    for r in stats:
+        for i, p in enumerate(probs):
+            pos = p * (r["n"] - 1)
+            rows.append((r["feature"], i, float(pos), int(math.floor(pos)), int(math.ceil(pos))))
+    tgt = spark.createDataFrame(rows, "feature string, pi int, pos double, lo_i bigint, hi_i bigint")
     holds_lo = (F.col("before") <= F.col("lo_i")) & (F.col("lo_i") < F.col("before") + F.col("c"))
     holds_hi = (F.col("before") <= F.col("hi_i")) & (F.col("hi_i") < F.col("before") + F.col("c"))
     hit = cum.join(F.broadcast(tgt), "feature").filter(holds_lo | holds_hi)

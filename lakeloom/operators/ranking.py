@@ -69,8 +69,6 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", de
     order = [v.desc() if descending else v.asc(), *(tie_break or [])]
     fn = F.rank if method == "rank" else F.row_number
     big = _big_groups(df, by, split_rows)
-    if big is None:  # every group fits one task: a plain window
-        return df.withColumn(name, fn().over(Window.partitionBy(*by).orderBy(*order)).cast("int"))
     tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending)
     counts = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
     before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
@@ -83,15 +81,15 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", de
             .drop("_sub", "_local", "_offset"))
 
 
-def _big_groups(df: DataFrame, by: list[str], split_rows: int) -> DataFrame | None:
-    """Keys of groups above ``split_rows`` rows, or ``None`` when there is none.
+def _big_groups(df: DataFrame, by: list[str], split_rows: int) -> DataFrame:
+    """Keys of groups above ``split_rows`` rows (lazy).
 
-    One small job decides the plan: without large groups the plain window is
-    exact and cheapest, so the sub-range machinery is only built when needed.
+    Everything stays one query: the branches that read ``df`` (sizes, sketches,
+    the window) share its shuffle output through exchange reuse, so an expensive
+    input is not recomputed per branch and no eager job is needed to decide.
     """
     sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    big = sizes.filter(F.col("_n") > split_rows).select(*by)
-    return None if big.limit(1).count() == 0 else big
+    return sizes.filter(F.col("_n") > split_rows).select(*by)
 
 
 def _tag_sub_ranges(df: DataFrame, big: DataFrame, by: list[str], value: str, sub_ranges: int,
@@ -109,7 +107,8 @@ def _tag_sub_ranges(df: DataFrame, big: DataFrame, by: list[str], value: str, su
 
 
 def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, name: str = "cum_before",
-                      split_rows: int = SPLIT_ROWS, sub_ranges: int = SUB_RANGES) -> DataFrame:
+                      split_rows: int = SPLIT_ROWS, sub_ranges: int = SUB_RANGES,
+                      big: DataFrame | None = None) -> DataFrame:
     """Sum of ``weight`` over rows of the same group with a strictly smaller ``value``.
 
     ``value`` must be unique within a group (e.g. a table of distinct values with
@@ -117,9 +116,6 @@ def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, nam
     so no group's running sum is computed by one task.
     """
     big = _big_groups(df, by, split_rows)
-    if big is None:
-        w0 = Window.partitionBy(*by).orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(name, F.coalesce(F.sum(weight).over(w0), F.lit(0)))
     tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending=False)
     sums = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.sum(weight).alias("_s"))
     before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
