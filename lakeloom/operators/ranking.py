@@ -45,7 +45,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
 # A group larger than this many rows is ranked in value sub-ranges;
 # number of sub-ranges for such a group; sketch accuracy for the sub-range bounds.
 SPLIT_ROWS = 1_000_000
-SUB_RANGES = 64
+SUB_RANGES = 256
 SKETCH_ACCURACY = 10_000
 
 
