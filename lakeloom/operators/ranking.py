@@ -10,6 +10,8 @@ row per partition — is broadcast.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,6 +94,22 @@ def _big_groups(df: DataFrame, by: list[str], split_rows: int) -> DataFrame:
     return sizes.filter(F.col("_n") > split_rows).select(*by)
 
 
+def _count_below(bounds: Column, v: Column, size: int) -> Column:
+    """Number of entries of the ascending array ``bounds`` that are ``< v``, by binary
+    search: ``ceil(log2(size + 1))`` steps per row instead of ``size`` comparisons."""
+    steps = max(1, math.ceil(math.log2(size + 1)))
+    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+
+    def step(acc, _):
+        mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
+        go_right = F.element_at(bounds, mid + 1) < v
+        moved = F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))) \
+            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(acc["lo"] < acc["hi"], moved).otherwise(acc)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
+
 def _tag_sub_ranges(df: DataFrame, big: DataFrame, by: list[str], value: str, sub_ranges: int,
                     descending: bool) -> DataFrame:
     """Tag rows with ``_sub``: 0 for small groups, else the value sub-range from a
@@ -101,7 +119,7 @@ def _tag_sub_ranges(df: DataFrame, big: DataFrame, by: list[str], value: str, su
     bounds = df.join(broadcast_if_small(big), by, "left_semi").groupBy(*by).agg(
         F.percentile_approx(v, probs, SKETCH_ACCURACY).cast("array<double>").alias("_bounds"))
     tagged = df.join(broadcast_if_small(bounds), by, "left")
-    below = F.coalesce(F.size(F.filter("_bounds", lambda b: b < v.cast("double"))), F.lit(0))
+    below = F.coalesce(_count_below(F.col("_bounds"), v.cast("double"), sub_ranges - 1), F.lit(0))
     sub = (F.lit(sub_ranges) - below) if descending else below
     return tagged.withColumn("_sub", sub.cast("int")).drop("_bounds")
 

@@ -27,3 +27,13 @@ def test_rank_within_splits_hot_groups_exactly(spark):
     got2 = {r["id"]: r["r"] for r in rank_within(df, ["g"], "v", "r", descending=False, tie_break=[F.col("id").asc()],
                                                  method="row_number", split_rows=1000, sub_ranges=16).collect()}
     assert got2 == want2
+
+
+def test_count_below_binary_search(spark):
+    from lakeloom.operators.ranking import _count_below
+
+    bounds = [1.0, 2.0, 2.0, 5.0, 9.0]
+    df = spark.createDataFrame([(float(x),) for x in [0.5, 1.0, 1.5, 2.0, 2.5, 9.0, 10.0]], "v double")
+    got = [r["n"] for r in df.select(_count_below(F.array(*[F.lit(b) for b in bounds]), F.col("v"), len(bounds))
+                                     .alias("n")).collect()]
+    assert got == [sum(b < x for b in bounds) for x in [0.5, 1.0, 1.5, 2.0, 2.5, 9.0, 10.0]]
