@@ -32,3 +32,28 @@ def test_topk_keeps_group_limit(spark):
     from lakeloom.plans import plan_text
     txt = plan_text(queries()["topk_cosine"](spark, SF_SMALL))
     assert "MapInPandas" in txt and "CartesianProduct" not in txt and "BroadcastNestedLoopJoin" not in txt
+
+
+def test_jdbc_partitioned_read_keeps_all_rows(spark):
+    import pytest
+
+    from lakeloom.sources import jdbc
+
+    df = spark.range(0, 200).selectExpr("id AS k", "CAST(id AS DOUBLE) AS v")
+    url = jdbc.derby_copy(spark, {"T": df})
+    got = jdbc.read_partitioned(spark, url, "T", "K", lower=50, upper=60, partitions=4)
+    assert jdbc.read_parallelism(got) == 4
+    assert got.count() == 200  # bounds cut ranges, they do not filter
+    with pytest.raises(ValueError):
+        jdbc.read_partitioned(spark, url, "T", "K", lower=None, upper=60, partitions=4)
+    pushed = jdbc.read_query(spark, url, "SELECT K FROM T WHERE K < 10")
+    assert pushed.count() == 10
+
+
+def test_spread_only_when_few_partitions(spark):
+    from lakeloom.plans.parallelism import spread
+
+    many = spark.range(0, 100, numPartitions=64)
+    assert spread(many) is many
+    few = spark.range(0, 100, numPartitions=1)
+    assert spread(few, 4).rdd.getNumPartitions() == 4
