@@ -8,6 +8,10 @@ Two policies exist side by side:
 * ``fixed_step`` — a window at every start ``0, step, 2*step, ... <= n - 1``;
   the last windows may lie inside earlier ones.
 
+Words follow Python's ``str.split()``: empty strings are never words, so text
+that ends in a newline does not gain a trailing empty word, and blank text has
+no words (a plain ``split(trim(text), '\\s+')`` would give one empty word).
+
 Each row builds its chunk array once (one ``transform`` over the start
 positions) and explodes it, so the word array is not copied per chunk.
 """
