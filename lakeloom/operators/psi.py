@@ -89,13 +89,19 @@ def exact_quantiles(long: DataFrame, probs: list[float], split_rows: int | None
         F.max(F.when(holds_lo, F.col("value"))).alias("lo"), F.max(F.when(holds_hi, F.col("value"))).alias("hi"))
     frac = F.col("pos") - F.col("lo_i")
     q = lohi.select("feature", "pi", (F.col("lo") + (F.col("hi") - F.col("lo")) * frac).alias("q"))
-    return q.groupBy("feature").agg(
+    edges = q.groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pi", "q"))), lambda s: s["q"]).alias("edges"))
+    edges._lakeloom_cached = [counts]  # released by collect_edges once the edges are read
+    return edges
 
 
 def collect_edges(edges: DataFrame) -> dict[str, list[float]]:
-    """The edges table is one row per feature (``buckets - 1`` numbers each): bounded, safe to collect."""
-    return {r["feature"]: list(r["edges"]) for r in edges.collect()}
+    """The edges table is one row per feature (``buckets - 1`` numbers each): bounded, safe to collect.
+    Intermediate caches behind it are released afterwards."""
+    out = {r["feature"]: list(r["edges"]) for r in edges.collect()}
+    for cached in getattr(edges, "_lakeloom_cached", []):
+        cached.unpersist()
+    return out
 
 
 def bucket_expr(value: Column, edges: list[float]) -> Column:
