@@ -64,7 +64,7 @@ def overwrite_partitions(spark, d):
         F.date_format("o_orderdate", "yyyy-MM").alias("order_month"))
     sink = Sink(mode="overwrite_partitions", path=scratch_path(spark, "by-month"), partition_by=["order_month"])
     write(orders, Sink(mode="overwrite", path=sink.path, partition_by=["order_month"]))
-    backfill = orders.filter(F.col("order_month").startswith("1998") & (F.col("o_orderstatus") != "P")) \
+    backfill = orders.filter(F.col("order_month").between("1998-01", "1998-12") & (F.col("o_orderstatus") != "P")) \
         .withColumn("o_orderpriority", F.lit("RELOADED"))
     write(backfill, sink)
     return sink.read(spark).select("o_orderkey", "o_orderstatus", "o_totalprice", "order_month", "o_orderpriority")
