@@ -15,7 +15,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
@@ -49,6 +48,10 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
 SPLIT_ROWS = 1_000_000
 SUB_RANGES = 256
 SKETCH_ACCURACY = 10_000
+# At most this many of the largest groups are split; this bounds every table the
+# split path broadcasts (groups × sub-ranges). A group outside the top list holds
+# at most 1/MAX_SPLIT_GROUPS of the rows and keeps a single window partition.
+MAX_SPLIT_GROUPS = 4096
 
 
 def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", descending: bool = True,
@@ -62,8 +65,9 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", de
     sub-range is a function of the value, so ties never straddle two). Each
     sub-range is ranked as its own window partition and shifted by the row count
     of all sub-ranges holding strictly better values. Small groups keep one
-    window partition (offset 0). The bounds and offsets tables hold at most
-    ``rows / split_rows`` groups × ``sub_ranges`` entries and are broadcast.
+    window partition (offset 0). At most ``MAX_SPLIT_GROUPS`` (the largest) groups
+    are split, so the bounds and offsets tables hold at most that many groups ×
+    ``sub_ranges`` entries and are broadcast.
     """
     if method not in ("rank", "row_number"):
         raise ValueError(method)
@@ -72,13 +76,13 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", de
     fn = F.rank if method == "rank" else F.row_number
     big = _big_groups(df, by, split_rows)
     tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending)
-    counts = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
+    counts = tagged.join(F.broadcast(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
     before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_sub", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset"))
     w = Window.partitionBy(*by, "_sub").orderBy(*order)
     local = fn().over(w)
     return (tagged.withColumn("_local", local)
-            .join(broadcast_if_small(offsets), [*by, "_sub"], "left")
+            .join(F.broadcast(offsets), [*by, "_sub"], "left")  # ≤ MAX_SPLIT_GROUPS × (sub_ranges + 1) rows
             .withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local")).cast("int"))
             .drop("_sub", "_local", "_offset"))
 
@@ -91,7 +95,7 @@ def _big_groups(df: DataFrame, by: list[str], split_rows: int) -> DataFrame:
     input is not recomputed per branch and no eager job is needed to decide.
     """
     sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    return sizes.filter(F.col("_n") > split_rows).select(*by)
+    return sizes.filter(F.col("_n") > split_rows).orderBy(F.desc("_n")).limit(MAX_SPLIT_GROUPS).select(*by)
 
 
 def _count_below(bounds: Column, v: Column, size: int) -> Column:
@@ -116,9 +120,10 @@ def _tag_sub_ranges(df: DataFrame, big: DataFrame, by: list[str], value: str, su
     per-group quantile sketch (a function of the value, so ties share a sub-range)."""
     v = F.col(value)
     probs = F.array(*[F.lit(i / sub_ranges) for i in range(1, sub_ranges)])
-    bounds = df.join(broadcast_if_small(big), by, "left_semi").groupBy(*by).agg(
+    # ``big`` and ``bounds`` have at most MAX_SPLIT_GROUPS rows: proven small, broadcast.
+    bounds = df.join(F.broadcast(big), by, "left_semi").groupBy(*by).agg(
         F.percentile_approx(v, probs, SKETCH_ACCURACY).cast("array<double>").alias("_bounds"))
-    tagged = df.join(broadcast_if_small(bounds), by, "left")
+    tagged = df.join(F.broadcast(bounds), by, "left")
     below = F.coalesce(_count_below(F.col("_bounds"), v.cast("double"), sub_ranges - 1), F.lit(0))
     sub = (F.lit(sub_ranges) - below) if descending else below
     return tagged.withColumn("_sub", sub.cast("int")).drop("_bounds")
@@ -135,12 +140,12 @@ def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, nam
     """
     big = _big_groups(df, by, split_rows)
     tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending=False)
-    sums = tagged.join(broadcast_if_small(big), by, "left_semi").groupBy(*by, "_sub").agg(F.sum(weight).alias("_s"))
+    sums = tagged.join(F.broadcast(big), by, "left_semi").groupBy(*by, "_sub").agg(F.sum(weight).alias("_s"))
     before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*by, "_sub", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_offset"))
     w = Window.partitionBy(*by, "_sub").orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, -1)
     local = F.coalesce(F.sum(weight).over(w), F.lit(0))
     return (tagged.withColumn("_local", local)
-            .join(broadcast_if_small(offsets), [*by, "_sub"], "left")
+            .join(F.broadcast(offsets), [*by, "_sub"], "left")  # ≤ MAX_SPLIT_GROUPS × (sub_ranges + 1) rows
             .withColumn(name, F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local"))
             .drop("_sub", "_local", "_offset"))
