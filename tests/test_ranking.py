@@ -37,3 +37,15 @@ def test_count_below_binary_search(spark):
     got = [r["n"] for r in df.select(_count_below(F.array(*[F.lit(b) for b in bounds]), F.col("v"), len(bounds))
                                      .alias("n")).collect()]
     assert got == [sum(b < x for b in bounds) for x in [0.5, 1.0, 1.5, 2.0, 2.5, 9.0, 10.0]]
+
+
+def test_rank_within_exact_when_split_groups_are_capped(spark, monkeypatch):
+    from lakeloom.operators import ranking
+
+    monkeypatch.setattr(ranking, "MAX_SPLIT_GROUPS", 1)
+    df = spark.range(0, 4000).select((F.col("id") % 3).cast("int").alias("g"), F.col("id"),
+                                     (F.col("id") * 31 % 97).cast("double").alias("v"))
+    w = Window.partitionBy("g").orderBy(F.col("v").desc())
+    want = {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(w)).collect()}
+    got = {r["id"]: r["r"] for r in ranking.rank_within(df, ["g"], "v", "r", split_rows=100, sub_ranges=8).collect()}
+    assert got == want
