@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import common, decontaminate, mixing, quality, sharding
+from lakeloom.llm import common, decontaminate, minhash, mixing, quality, sharding
 
 
 def _as(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -24,6 +24,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _as(docs, quality.clean(docs))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return minhash.keep_one(docs).select(docs.columns)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
@@ -41,6 +46,7 @@ def shard_assignment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("near-duplicate removal", near_dedup),
     ("benchmark decontamination", decontamination),
     ("mixing sources", source_mixing),
     ("sharding", shard_assignment),

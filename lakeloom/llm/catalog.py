@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, line_dedup, mixing, quality, separator_scan, sharding
-
-_MODULES = (separator_scan, sharding, mixing, decontaminate, quality, line_dedup, license_scan)
+from . import (
+    decontaminate, license_scan, line_dedup, minhash, mixing, quality, separator_scan, sharding,
+    substring_dedup, suffix_dedup,
+)
+
+_MODULES = (
+    separator_scan, substring_dedup, sharding, mixing, decontaminate, minhash, quality, line_dedup,
+    license_scan, suffix_dedup,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -16,13 +16,10 @@ NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-EMPTY_WORDS = "array<string>"
-
 
 def split_words(text: Column, separators: str) -> Column:
     """Words of ``text`` between runs of ``separators``; null and blank texts have none."""
-    parts = F.split(F.coalesce(text, F.lit("")), separators)
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
 def fold_ascii(text: Column) -> Column:

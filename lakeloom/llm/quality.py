@@ -1,8 +1,9 @@
 """Quality rules: line-first cleaning.
 
-Rules judge lines, not documents: a line fails when it holds no letter or digit, is mostly
-punctuation, is a navigation strip (several short cells between separators), or is a stock
-phrase of web pages (cookie notice, script warning, ...). Failing lines are removed, and a
+Rules judge lines, not documents: a line fails when it has no word of two letters or digits,
+when symbols make up too much of it, when it is a navigation strip (several short cells
+between separators), or when it holds a stock phrase of web pages (cookie notice, script
+warning, ...). Failing lines are removed, and a
 document that would lose more than ``MAX_LOST`` of its word characters is rejected. On top,
 two document rules hold: too few words, or too many words in repeated eight-word windows.
 
@@ -23,16 +24,18 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 MAX_LOST = 0.5  # of the word characters, by removed lines
-MAX_SYMBOL_SHARE = 0.5  # of a line's characters other than letters, digits and spaces
-NOT_SYMBOLS = "[^#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
+MAX_SYMBOL_SHARE = 0.15  # of a line's characters
+BLANKS = " \t\x0b\x0c\r"  # within a line
 # A navigation strip: at least this many cells, all short, between the separators.
 NAV_CELLS = 4
 NAV_CELL_CHARS = 24
-NAV_SEPARATORS = r"[|»›•]|>>| > "
+NAV_SEPARATORS = "|»›•"
+# Stock phrases of web pages, without their first letter so that its case doesn't matter.
 STOCK = (
-    "accept all cookies|this site uses cookies|we use cookies|enable javascript|javascript is disabled|"
-    "click here to subscribe|subscribe to our newsletter|skip to (main )?content|back to top|"
-    "share this (page|article)|lorem ipsum"
+    "ccept all cookies", "his site uses cookies", "his website uses cookies", "e use cookies", "nable JavaScript",
+    "nable javascript", "avaScript is disabled", "ubscribe to our newsletter", "kip to content",
+    "kip to main content", "ack to top", "hare this page", "hare this article", "orem ipsum",
 )
 
 ORACLE = rf"""
@@ -53,14 +56,14 @@ lines AS (
 judged AS (
   SELECT u, line,
     length(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), '')) AS chars,
-    length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS solid,
-    length(regexp_replace(line, '[\x00-\x20A-Za-z0-9\x7F]|[^\x00-\x7F]', '', 'g')) AS punct,
-    regexp_split_to_array(line, '{NAV_SEPARATORS}') AS cells,
-    regexp_matches(lower(line), '{STOCK}') AS stock
+    length(line) - length(translate(line, '{SYMBOLS}', '')) > {MAX_SYMBOL_SHARE} * length(line)
+      OR NOT regexp_matches(line, '[A-Za-z0-9\x{{80}}-\x{{10FFFF}}]{{2}}')
+      OR {" OR ".join(f"contains(line, '{x}')" for x in STOCK)} AS bad,
+    string_split(translate(line, '{NAV_SEPARATORS}', '{NAV_SEPARATORS[0] * len(NAV_SEPARATORS)}'), '{NAV_SEPARATORS[0]}') AS cells
   FROM lines),
 verdicts AS (
   SELECT u, sum(chars) AS chars, sum(CASE WHEN
-      chars > 0 AND (punct > {MAX_SYMBOL_SHARE} * solid OR stock
+      chars > 0 AND (bad
         OR (len(cells) >= {NAV_CELLS} AND len(list_filter(cells, lambda c: length(trim(c, ' ')) > {NAV_CELL_CHARS})) = 0))
       THEN chars ELSE 0 END) AS lost,
     count(*) FILTER (chars > 0) - count(DISTINCT line) FILTER (chars > 0) AS n_dup_lines
@@ -78,18 +81,47 @@ FROM o
 """
 
 
-def _left(text: Column, pattern: str) -> Column:
-    """Code points of ``text`` without what matches ``pattern``."""
-    return F.length(F.regexp_replace(text, pattern, ""))
+def _symbols(text: Column) -> Column:
+    """Number of symbols in ``text`` (plain replacing costs far less than a pattern)."""
+    rest = text
+    for c in SYMBOLS:
+        rest = F.replace(rest, F.lit(c), F.lit(""))
+    return F.length(text) - F.length(rest)
 
 
-def line_fails(line: Column) -> Column:
+def _has_word(line: Column) -> Column:
+    return F.length(F.trim(line, F.lit(BLANKS))) > 0
+
+
+def _any_of(line: Column, parts) -> Column:
+    found = F.lit(False)
+    for part in parts:
+        found = found | F.contains(line, F.lit(part))
+    return found
+
+
+def _suspicion(text: Column, n_symbols: Column) -> Column:
+    """What a whole text holds at all, so that its lines are spared the other rules."""
+    return F.struct((n_symbols > 0).alias("symbols"), _any_of(text, NAV_SEPARATORS).alias("nav"),
+                    _any_of(text, STOCK).alias("stock"))
+
+
+def line_fails(line: Column, suspicion: Column) -> Column:
     """Whether a line with at least one word is to be removed."""
-    solid = _left(line, common.SPACES)
-    punct = _left(line, r"[\x00-\x20A-Za-z0-9\x7F]|[^\x00-\x7F]")
-    cells = F.split(line, NAV_SEPARATORS)
+    unified = line
+    for c in NAV_SEPARATORS[1:]:
+        unified = F.replace(unified, F.lit(c), F.lit(NAV_SEPARATORS[0]))
+    cells = F.split(unified, "[" + NAV_SEPARATORS[0] + "]")
     strip = (F.size(cells) >= NAV_CELLS) & F.forall(cells, lambda c: F.length(F.trim(c)) <= NAV_CELL_CHARS)
-    return (punct > MAX_SYMBOL_SHARE * solid) | F.lower(line).rlike(STOCK) | strip
+    many = _symbols(line) > MAX_SYMBOL_SHARE * F.length(line)
+    no_word = ~line.rlike(r"[A-Za-z0-9[^\x00-\x7F]]{2}")
+    return (no_word | F.when(suspicion["symbols"], many).otherwise(False)
+            | F.when(suspicion["nav"], strip).otherwise(False)
+            | F.when(suspicion["stock"], _any_of(line, STOCK)).otherwise(False))
+
+
+def _next(words: str, n: int) -> str:
+    return ", ".join(f"{words}[i + {k}]" for k in range(n))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -97,13 +129,21 @@ def measured(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost", "base_failed", "kept")
     rows = docs.drop(*[c for c in docs.columns if c.lower() in own])
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.regexp_replace(x, common.SPACES, "")) > 0)
+    lines = F.filter(F.split(text, "\n"), _has_word)
     rows = rows.withColumn("__words", common.split_words(F.col("text"), common.SPACES)).withColumn("__lines", lines)
+    rows = rows.withColumn("n_symbols", _symbols(text).cast("long"))
+    rows = rows.withColumn("__suspicion", _suspicion(text, F.col("n_symbols")))
+    # Windows are compared by 64-bit hashes within one text. A window found twice repeats each of
+    # its runs of half its length, so most texts are done after counting those. In the others,
+    # places of windows that occur again have an equal neighbour in the sorted (hash, place) list.
+    half = WINDOW // 2
+    rows = rows.withColumn("__codes", F.transform("__words", lambda w: F.xxhash64(w)))
+    rows = rows.withColumn("__halves", F.expr(
+        f"if(size(__codes) > {WINDOW}, transform(sequence(0, size(__codes) - {half}), i -> "
+        f"xxhash64({_next('__codes', half)})), cast(array() AS array<bigint>))"))
     rows = rows.withColumn("__hashes", F.expr(
-        f"if(size(__words) > {WINDOW}, transform(sequence(1, size(__words) - {WINDOW - 1}),"
-        f" i -> xxhash64(slice(__words, i, {WINDOW}))), cast(array() AS array<bigint>))"))
-    # Windows are compared by 64-bit hashes within one text. Only texts with an equal pair are
-    # sorted by (hash, place); there, places of windows that occur again have an equal neighbour.
+        f"if(size(__halves) - size(array_distinct(__halves)) > {half}, transform(sequence(0, size(__codes) - {WINDOW}),"
+        f" i -> xxhash64({_next('__codes', WINDOW)})), cast(array() AS array<bigint>))"))
     rows = rows.withColumn("__sorted", F.expr(
         "if(size(array_distinct(__hashes)) < size(__hashes),"
         " array_sort(transform(__hashes, (h, i) -> named_struct('h', h, 'i', i))),"
@@ -114,28 +154,27 @@ def measured(docs: DataFrame) -> DataFrame:
     covered = F.expr(
         f"aggregate(__places, named_struct('sum', 0L, 'past', 0), (s, p) -> named_struct("
         f"'sum', s.sum + p + {WINDOW} - greatest(p, s.past), 'past', p + {WINDOW}), s -> s.sum)")
-    chars = F.length(F.regexp_replace(text, common.SPACES, "")).cast("long")
-    lost = F.aggregate(F.filter("__lines", line_fails), F.lit(0).cast("long"),
+    chars = F.length(F.array_join("__words", "")).cast("long")
+    lost = F.aggregate(F.filter("__lines", lambda x: line_fails(x, F.col("__suspicion"))), F.lit(0).cast("long"),
                        lambda s, x: s + F.length(F.regexp_replace(x, common.SPACES, "")))
     n_words = F.size("__words").cast("long")
     out = rows.withColumns({
         "n_words": n_words, "word_chars": chars,
-        "n_symbols": _left(text, NOT_SYMBOLS).cast("long"),
         "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         "n_repeat_words": covered.cast("long"), "lost": lost,
     })
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("lost") <= MAX_LOST * F.col("word_chars"))
-    ).drop("__words", "__lines", "__hashes", "__sorted", "__places")
+    ).drop("__words", "__lines", "__codes", "__suspicion", "__halves", "__hashes", "__sorted", "__places")
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` without rejected documents and without the failing lines of the others."""
-    kept = measured(docs.select("*", F.struct("*").alias("__row"))).where("kept").select("__row.*")
-    passing = F.filter(F.split("text", "\n"), lambda x: (F.length(F.regexp_replace(x, common.SPACES, "")) == 0)
-                       | ~line_fails(x))
-    return kept.withColumn("text", F.array_join(passing, "\n"))
+    kept = measured(docs.select("*", F.struct("*").alias("__row"))).where("kept").select("lost", "__row.*")
+    passing = F.filter(F.split("text", "\n"), lambda x: ~_has_word(x) | ~line_fails(x, _suspicion(F.col("text"), _symbols(F.col("text")))))
+    text = F.when(F.col("lost") > 0, F.array_join(passing, "\n")).otherwise(F.col("text"))
+    return kept.withColumn("text", text).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
