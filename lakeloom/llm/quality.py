@@ -171,10 +171,16 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` without rejected documents and without the failing lines of the others."""
-    kept = measured(docs.select("*", F.struct("*").alias("__row"))).where("kept").select("lost", "__row.*")
-    passing = F.filter(F.split("text", "\n"), lambda x: ~_has_word(x) | ~line_fails(x, _suspicion(F.col("text"), _symbols(F.col("text")))))
-    text = F.when(F.col("lost") > 0, F.array_join(passing, "\n")).otherwise(F.col("text"))
-    return kept.withColumn("text", text).select(docs.columns)
+    rows = measured(docs.select(F.col("text"), F.struct("*").alias("__row")))
+    # Rows leave by a generator: a filter would be pushed below the steps that compute its input,
+    # each repeated wherever it is used.
+    kept = rows.select(F.explode(F.when(F.col("kept"), F.array(
+        F.struct("__row", "lost", _suspicion(F.col("text"), F.col("n_symbols")).alias("suspicion")))
+    ).otherwise(F.array())).alias("x")).select("x.*")
+    passing = F.filter(F.split("__row.text", "\n"), lambda x: ~_has_word(x) | ~line_fails(x, F.col("suspicion")))
+    text = F.when(F.col("lost") > 0, F.array_join(passing, "\n")).otherwise(F.col("__row.text"))
+    return kept.withColumn("__text", text).select(
+        *[(F.col("__text") if c == "text" else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
