@@ -50,7 +50,7 @@ def latest_board(log: DataFrame) -> DataFrame:
 
 
 def ranked(board: DataFrame) -> DataFrame:
-    return global_row_number(board, [F.col(RANK_BY).asc(), F.col("framework").asc()], "rank")
+    return global_row_number(board, RANK_BY, [F.col("framework").asc()], "rank")
 
 
 def margin(rk: DataFrame) -> DataFrame:

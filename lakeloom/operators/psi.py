@@ -13,8 +13,8 @@ histogram, and one small join gives every PSI.
 * PSI = Σ (live − ref) · ln(live / ref) over bucket shares, each share floored at
   1e-6; an empty side counts as 1 row so shares stay finite.
 
-Exact quantiles keep one count per distinct value per column; ``exact=False``
-switches to ``percentile_approx`` (bounded memory) for very large columns.
+Exact quantiles sort only the few value slices that hold a wanted position;
+``exact=False`` takes the sketch itself.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import cumulative_within
+from .ranking import ROWS_PER_SLICE, _count_below
 
 # Bucket count, share floor and status thresholds.
 BUCKETS = 10
@@ -43,9 +43,7 @@ def quantile_edges(ref_long: DataFrame, buckets: int = BUCKETS, exact: bool = Tr
                    accuracy: int = 100_000) -> DataFrame:
     """One row per feature: ``edges`` = the ``buckets - 1`` interior quantile edges.
 
-    Exact: values are first collapsed to ``(feature, value, count)`` by a parallel
-    hash aggregate, then each feature's percentile is taken over the weighted
-    distinct values — the per-feature merge holds distinct values, not rows.
+    Exact: see :func:`exact_quantiles`.
     """
     if exact:
         return exact_quantiles(ref_long, [i / buckets for i in range(1, buckets)])
@@ -54,54 +52,61 @@ def quantile_edges(ref_long: DataFrame, buckets: int = BUCKETS, exact: bool = Tr
         F.percentile_approx(F.col("value"), probs, accuracy).cast("array<double>").alias("edges"))
 
 
-def exact_quantiles(long: DataFrame, probs: list[float], split_rows: int | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles per feature, fully distributed.
+def exact_quantiles(long: DataFrame, probs: list[float], slices: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles per feature, fully distributed, nothing cached.
 
-    1. distinct values with counts per feature (parallel hash aggregate), kept
-       cached because three steps read it;
-    2. per feature: row count and distinct count — one small collected row each,
-       which gives the target positions and says which features are large;
-    3. for each distinct value, the count of smaller values (a running sum; a
-       large feature is split into value sub-ranges, see ``cumulative_within``);
-    4. the values at the 0-based positions ``floor``/``ceil`` of ``p·(n−1)`` are
-       picked by a range test against a tiny targets table (features × probs);
-    5. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
-    """
-    from .ranking import SPLIT_ROWS
+    1. rows per feature, then sketched value bounds per feature (small collected rows);
+    2. rows per (feature, slice between bounds), one aggregate: this says which slices hold the
+       0-based positions ``floor``/``ceil`` of ``p·(n−1)``, and how many rows come before;
+    3. only those few slices are reduced to distinct values with counts and summed up;
+    4. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
 
+    A slice holds about ``ROWS_PER_SLICE`` rows, or the rows of one value, which is one row
+    after counting.
+    """
     spark = long.sparkSession
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("c")).persist()
-    stats = counts.groupBy("feature").agg(F.sum("c").alias("n"), F.count("*").alias("d")).collect()
-    limit = SPLIT_ROWS if split_rows is None else split_rows
-    big = spark.createDataFrame([(r["feature"],) for r in stats if r["d"] > limit], "feature string")
-    extra = {} if split_rows is None else {"split_rows": split_rows, "sub_ranges": 16}
-    cum = cumulative_within(counts, ["feature"], "value", "c", "before", big=big, **extra)
-    rows = []
-    for r in stats:
+    sizes = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    if slices is None:
+        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                     math.ceil(max(sizes.values(), default=0) / ROWS_PER_SLICE), 2)
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    bounds = long.groupBy("feature").agg(
+        F.percentile_approx("value", shares, max(10_000, 20 * slices)).cast("array<double>").alias("_bounds")).collect()
+    cuts = F.broadcast(spark.createDataFrame(
+        [(r["feature"], r["_bounds"]) for r in bounds], "feature string, _bounds array<double>"))
+    sliced = long.join(cuts, "feature").select(
+        "feature", "value", _count_below(F.col("_bounds"), F.col("value"), slices - 1).alias("_slice"))
+    held = sorted((r["feature"], r["_slice"], r["n"]) for r in
+                  sliced.groupBy("feature", "_slice").agg(F.count("*").alias("n")).collect())
+    rows, needed, before = [], {}, {}
+    for feature, part, n in held:
+        start = before.get(feature, 0)
+        before[feature] = start + n
         for i, p in enumerate(probs):
-            pos = p * (r["n"] - 1)
-            rows.append((r["feature"], i, float(pos), int(math.floor(pos)), int(math.ceil(pos))))
-    tgt = spark.createDataFrame(rows, "feature string, pi int, pos double, lo_i bigint, hi_i bigint")
-    holds_lo = (F.col("before") <= F.col("lo_i")) & (F.col("lo_i") < F.col("before") + F.col("c"))
-    holds_hi = (F.col("before") <= F.col("hi_i")) & (F.col("hi_i") < F.col("before") + F.col("c"))
-    hit = cum.join(F.broadcast(tgt), "feature").filter(holds_lo | holds_hi)
-    lohi = hit.groupBy("feature", "pi", "pos", "lo_i").agg(
-        F.max(F.when(holds_lo, F.col("value"))).alias("lo"), F.max(F.when(holds_hi, F.col("value"))).alias("hi"))
-    frac = F.col("pos") - F.col("lo_i")
-    q = lohi.select("feature", "pi", (F.col("lo") + (F.col("hi") - F.col("lo")) * frac).alias("q"))
-    edges = q.groupBy("feature").agg(
+            pos = p * (sizes[feature] - 1)
+            for place in {math.floor(pos), math.ceil(pos)}:
+                if start <= place < start + n:
+                    needed[(feature, part)] = start
+                    rows.append((feature, part, i, float(pos), place))
+    starts = F.broadcast(spark.createDataFrame(
+        [(f, part, start) for (f, part), start in needed.items()], "feature string, _slice int, _start bigint"))
+    targets = F.broadcast(spark.createDataFrame(
+        rows, "feature string, _slice int, pi int, pos double, place bigint"))
+    counts = sliced.join(starts, ["feature", "_slice"]).groupBy("feature", "_slice", "_start", "value").agg(
+        F.count("*").alias("c"))
+    inside = Window.partitionBy("feature", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_start") + F.coalesce(F.sum("c").over(inside), F.lit(0))
+    hit = counts.withColumn("first", first).join(targets, ["feature", "_slice"]).filter(
+        (F.col("first") <= F.col("place")) & (F.col("place") < F.col("first") + F.col("c")))
+    q = hit.groupBy("feature", "pi", "pos").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).select(
+        "feature", "pi", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).alias("q"))
+    return q.groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pi", "q"))), lambda s: s["q"]).alias("edges"))
-    edges._lakeloom_cached = [counts]  # released by collect_edges once the edges are read
-    return edges
 
 
 def collect_edges(edges: DataFrame) -> dict[str, list[float]]:
-    """The edges table is one row per feature (``buckets - 1`` numbers each): bounded, safe to collect.
-    Intermediate caches behind it are released afterwards."""
-    out = {r["feature"]: list(r["edges"]) for r in edges.collect()}
-    for cached in getattr(edges, "_lakeloom_cached", []):
-        cached.unpersist()
-    return out
+    """The edges table is one row per feature (``buckets - 1`` numbers each): bounded, safe to collect."""
+    return {r["feature"]: list(r["edges"]) for r in edges.collect()}
 
 
 def bucket_expr(value: Column, edges: list[float]) -> Column:

@@ -1,11 +1,11 @@
-"""Global row numbers without a single-partition window.
-
-``row_number() over (order by ...)`` with no partition puts every row in one
-task. Here the rows are range-partitioned on the ordering (sampled bounds, so a
-heavy value range is split), sorted inside each partition, numbered locally
-with ``monotonically_increasing_id`` (consecutive within a partition), and
-shifted by the row count of all earlier partitions. Only one small table — one
-row per partition — is broadcast.
+"""Ranks and positions over groups of any size, without a window over a whole group.
+
+Rows are cut into slices by literal bounds on the leading order value. The bounds are
+quantiles of all rows, so a group that holds a third of the rows is cut into about a third
+of the slices, and the slice of a row is a function of its value alone: every branch of the
+plan sees the same slices, and ties never straddle two. A window runs inside
+(group, slice) only; the totals of the slices before are added as offsets. The number of
+slices follows the number of rows, results don't depend on it.
 """
 
 from __future__ import annotations
@@ -15,87 +15,28 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_SLICE = 500_000
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
-                      num_partitions: int | None = None) -> DataFrame:
-    """Append ``name`` = 1-based position of each row under ``order``.
+def value_bounds(df: DataFrame, value: Column, slices: int | None = None) -> list[float]:
+    """Ascending cut points of ``value`` into about equal slices (one number per slice)."""
+    if slices is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = max(least, math.ceil(df.count() / ROWS_PER_SLICE))
+    if slices < 2:
+        return []
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    found = df.agg(F.percentile_approx(value.cast("double"), shares, max(10_000, 20 * slices)).alias("b")).first()["b"]
+    return sorted({b for b in found or [] if not math.isnan(b)})
 
-    ``order`` must be a total order (end it with a unique column) for the
-    numbering to be repeatable. The explicit partition count keeps AQE from
-    coalescing the range exchange, so partition ids are stable across branches.
-    """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    )
-    counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_offset") + F.col("_local") + F.lit(1))
-        .drop("_pid", "_local", "_offset")
-    )
-
-
-# A group larger than this many rows is ranked in value sub-ranges;
-# number of sub-ranges for such a group; sketch accuracy for the sub-range bounds.
-SPLIT_ROWS = 1_000_000
-SUB_RANGES = 256
-SKETCH_ACCURACY = 10_000
-# At most this many of the largest groups are split; this bounds every table the
-# split path broadcasts (groups × sub-ranges). A group outside the top list holds
-# at most 1/MAX_SPLIT_GROUPS of the rows and keeps a single window partition.
-MAX_SPLIT_GROUPS = 4096
 
-
-def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", descending: bool = True,
-                tie_break: list[Column] | None = None, method: str = "rank",
-                split_rows: int = SPLIT_ROWS, sub_ranges: int = SUB_RANGES) -> DataFrame:
-    """``rank()`` (or ``row_number()``) within ``by`` ordered by ``value``, exact, hot-group safe.
-
-    A plain window puts each group in one task, so one group holding a third of
-    the rows would be sorted by one task. Here groups above ``split_rows`` rows
-    are cut into value sub-ranges (bounds from a per-group quantile sketch; the
-    sub-range is a function of the value, so ties never straddle two). Each
-    sub-range is ranked as its own window partition and shifted by the row count
-    of all sub-ranges holding strictly better values. Small groups keep one
-    window partition (offset 0). At most ``MAX_SPLIT_GROUPS`` (the largest) groups
-    are split, so the bounds and offsets tables hold at most that many groups ×
-    ``sub_ranges`` entries and are broadcast.
-    """
-    if method not in ("rank", "row_number"):
-        raise ValueError(method)
-    v = F.col(value)
-    order = [v.desc() if descending else v.asc(), *(tie_break or [])]
-    fn = F.rank if method == "rank" else F.row_number
-    big = _big_groups(df, by, split_rows)
-    tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending)
-    counts = tagged.join(F.broadcast(big), by, "left_semi").groupBy(*by, "_sub").agg(F.count("*").alias("_c"))
-    before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_sub", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_offset"))
-    w = Window.partitionBy(*by, "_sub").orderBy(*order)
-    local = fn().over(w)
-    return (tagged.withColumn("_local", local)
-            .join(F.broadcast(offsets), [*by, "_sub"], "left")  # ≤ MAX_SPLIT_GROUPS × (sub_ranges + 1) rows
-            .withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local")).cast("int"))
-            .drop("_sub", "_local", "_offset"))
-
-
-def _big_groups(df: DataFrame, by: list[str], split_rows: int) -> DataFrame:
-    """Keys of groups above ``split_rows`` rows (lazy).
-
-    Everything stays one query: the branches that read ``df`` (sizes, sketches,
-    the window) share its shuffle output through exchange reuse, so an expensive
-    input is not recomputed per branch and no eager job is needed to decide.
-    """
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    return sizes.filter(F.col("_n") > split_rows).orderBy(F.desc("_n")).limit(MAX_SPLIT_GROUPS).select(*by)
+def slice_of(value: Column, bounds: list[float], descending: bool = False) -> Column:
+    """Number of the slice of ``value`` in the direction of the order. NULLs have a slice of
+    their own: the first ascending, the last descending, as the sort puts them."""
+    below = _count_below(F.array(*[F.lit(float(b)) for b in bounds]), value.cast("double"), len(bounds)) \
+        if bounds else F.lit(0)
+    part = F.lit(len(bounds)) - below if descending else below
+    return F.when(value.isNull(), F.lit(len(bounds) + 1 if descending else -1)).otherwise(part).cast("int")
 
 
 def _count_below(bounds: Column, v: Column, size: int) -> Column:
@@ -114,38 +55,64 @@ def _count_below(bounds: Column, v: Column, size: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
 
 
-def _tag_sub_ranges(df: DataFrame, big: DataFrame, by: list[str], value: str, sub_ranges: int,
-                    descending: bool) -> DataFrame:
-    """Tag rows with ``_sub``: 0 for small groups, else the value sub-range from a
-    per-group quantile sketch (a function of the value, so ties share a sub-range)."""
-    v = F.col(value)
-    probs = F.array(*[F.lit(i / sub_ranges) for i in range(1, sub_ranges)])
-    # ``big`` and ``bounds`` have at most MAX_SPLIT_GROUPS rows: proven small, broadcast.
-    bounds = df.join(F.broadcast(big), by, "left_semi").groupBy(*by).agg(
-        F.percentile_approx(v, probs, SKETCH_ACCURACY).cast("array<double>").alias("_bounds"))
-    tagged = df.join(F.broadcast(bounds), by, "left")
-    below = F.coalesce(_count_below(F.col("_bounds"), v.cast("double"), sub_ranges - 1), F.lit(0))
-    sub = (F.lit(sub_ranges) - below) if descending else below
-    return tagged.withColumn("_sub", sub.cast("int")).drop("_bounds")
+def _null_safe(left: list[str], right: list[str]) -> Column:
+    same = F.lit(True)
+    for a, b in zip(left, right):
+        same = same & F.col(a).eqNullSafe(F.col(b))
+    return same
 
 
 def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, name: str = "cum_before",
-                      split_rows: int = SPLIT_ROWS, sub_ranges: int = SUB_RANGES,
-                      big: DataFrame | None = None) -> DataFrame:
-    """Sum of ``weight`` over rows of the same group with a strictly smaller ``value``.
+                      descending: bool = False, slices: int | None = None) -> DataFrame:
+    """Sum of ``weight`` over rows of the same group with a strictly earlier ``value``.
+
+    ``value`` must be unique within a group (a table of distinct values with counts). Group
+    keys may be NULL.
+    """
+    bounds = value_bounds(df, F.col(value), slices)
+    tagged = df.withColumn("_slice", slice_of(F.col(value), bounds, descending))
+    keys = [*by, "_slice"]
+    sums = tagged.groupBy(*keys).agg(F.sum(weight).alias("_s"))
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"_o{i}" for i in range(len(keys))]
+    offsets = sums.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
+                          F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_offset"))
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = tagged.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    return local.join(offsets, _null_safe(keys, names)).withColumn(
+        name, F.col("_offset") + F.col("_local")).drop("_slice", "_local", "_offset", *names)
+
+
+def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", descending: bool = True,
+                slices: int | None = None) -> DataFrame:
+    """``rank()`` within ``by`` ordered by ``value``: one plus the rows with a better value.
+
+    Rows are first counted per distinct value (a partial aggregate, so a value that fills
+    much of a group is one row), the counts are summed up, and the rank is joined back.
+    """
+    counts = df.groupBy(*by, value).agg(F.count("*").alias("_n"))
+    ranked = cumulative_within(counts, by, value, "_n", "_before", descending, slices)
+    keys = [*by, value]
+    names = [f"_k{i}" for i in range(len(keys))]
+    ranks = ranked.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], (F.col("_before") + 1).cast("int").alias(name))
+    return df.join(ranks, _null_safe(keys, names)).drop(*names)
+
+
+def global_row_number(df: DataFrame, lead: str, rest: list[Column], name: str = "row_number",
+                      descending: bool = False, slices: int | None = None) -> DataFrame:
+    """Append ``name`` = 1-based position of each row ordered by ``lead``, then ``rest``.
 
-    ``value`` must be unique within a group (e.g. a table of distinct values with
-    counts). Large groups are cut into value sub-ranges like :func:`rank_within`,
-    so no group's running sum is computed by one task.
+    ``lead`` is numeric; with ``rest`` the order must be total (end it with a unique column)
+    for the numbering to be repeatable. Rows that tie on ``lead`` share a slice.
     """
-    big = _big_groups(df, by, split_rows)
-    tagged = _tag_sub_ranges(df, big, by, value, sub_ranges, descending=False)
-    sums = tagged.join(F.broadcast(big), by, "left_semi").groupBy(*by, "_sub").agg(F.sum(weight).alias("_s"))
-    before = Window.partitionBy(*by).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*by, "_sub", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_offset"))
-    w = Window.partitionBy(*by, "_sub").orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum(weight).over(w), F.lit(0))
-    return (tagged.withColumn("_local", local)
-            .join(F.broadcast(offsets), [*by, "_sub"], "left")  # ≤ MAX_SPLIT_GROUPS × (sub_ranges + 1) rows
-            .withColumn(name, F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_local"))
-            .drop("_sub", "_local", "_offset"))
+    bounds = value_bounds(df, F.col(lead), slices)
+    tagged = df.withColumn("_slice", slice_of(F.col(lead), bounds, descending))
+    counts = tagged.groupBy("_slice").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per slice: a number derived from the row count, half a million rows each.
+    offsets = F.broadcast(counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    order = F.col(lead).desc() if descending else F.col(lead).asc()
+    local = F.row_number().over(Window.partitionBy("_slice").orderBy(order, *rest))
+    return tagged.withColumn("_local", local).join(offsets, "_slice").withColumn(
+        name, F.col("_offset") + F.col("_local")).drop("_slice", "_local", "_offset")

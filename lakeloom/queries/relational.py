@@ -348,7 +348,7 @@ def win_row_number(spark, d):
     """Row number over a whole board, computed without a single-partition window."""
     li = read_table(spark, d, "lineitem")
     board = li.groupBy("l_suppkey").agg(money_sum("l_extendedprice").alias("revenue"))
-    return global_row_number(board, [F.col("revenue").desc(), F.col("l_suppkey").asc()], "position")
+    return global_row_number(board, "revenue", [F.col("l_suppkey").asc()], "position", descending=True)
 
 
 @query("latest_run", """

@@ -61,15 +61,15 @@ def test_repeated_edges_follow_numpy(spark):
     assert spark_psi(spark, ref, cur) == pytest.approx(numpy_psi(ref, cur), abs=1e-12)
 
 
-@pytest.mark.parametrize("split_rows", [None, 50])
-def test_exact_quantiles_match_linear_interpolation(spark, split_rows):
+@pytest.mark.parametrize("slices", [None, 16])
+def test_exact_quantiles_match_linear_interpolation(spark, slices):
     rng = np.random.default_rng(3)
     a = np.round(rng.lognormal(2.0, 0.7, 3000), 2)
     b = rng.integers(0, 7, 500).astype(float)  # heavy ties
     rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b]
     df = spark.createDataFrame(rows, "feature string, value double")
     probs = [i / 10 for i in range(1, 10)]
-    got = {r["feature"]: r["edges"] for r in psi.exact_quantiles(df, probs, split_rows=split_rows).collect()}
+    got = {r["feature"]: r["edges"] for r in psi.exact_quantiles(df, probs, slices=slices).collect()}
     for name, data in (("a", np.sort(a)), ("b", np.sort(b))):
         pos = np.array(probs) * (len(data) - 1)
         lo, hi = np.floor(pos).astype(int), np.ceil(pos).astype(int)

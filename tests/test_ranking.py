@@ -1,51 +1,48 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.ranking import global_row_number
+from lakeloom.operators.ranking import _count_below, cumulative_within, global_row_number, rank_within
 
 
 def test_global_row_number_matches_window(spark):
-    df = spark.range(0, 5000).select(F.col("id"), (F.col("id") * 7919 % 101).alias("score"))
-    order = [F.col("score").desc(), F.col("id").asc()]
-    got = {r["id"]: r["pos"] for r in global_row_number(df, order, "pos", num_partitions=7).collect()}
-    want = {r["id"]: r["pos"] for r in df.withColumn("pos", F.row_number().over(Window.orderBy(*order))).collect()}
-    assert got == want
+    df = spark.range(0, 5000).select(
+        F.when(F.col("id") % 50 > 0, F.col("id") * 7919 % 101).alias("score"), "id", F.lit("payload").alias("p"))
+    for down in (True, False):
+        lead = F.col("score").desc() if down else F.col("score").asc()
+        want = df.withColumn("pos", F.row_number().over(Window.orderBy(lead, F.col("id")))).collect()
+        got = global_row_number(df, "score", [F.col("id").asc()], "pos", descending=down, slices=7).collect()
+        assert {r["id"]: r["pos"] for r in got} == {r["id"]: r["pos"] for r in want}
 
 
-def test_rank_within_splits_hot_groups_exactly(spark):
-    from lakeloom.operators.ranking import rank_within
+def test_positions_are_gapless_with_payload_columns(spark):
+    n = 3_000_000
+    df = spark.range(n).select((F.col("id") * 7919 % 1_000_003).alias("score"), "id", F.md5(F.col("id").cast("string")).alias("p"))
+    pos = global_row_number(df, "score", [F.col("id").asc()], "pos", descending=True)
+    row = pos.agg(F.min("pos"), F.max("pos"), F.count_distinct("pos")).first()
+    assert tuple(row) == (1, n, n)
+
 
-    # group 0 is hot (split into sub-ranges); group 1 is small; many ties
+def test_rank_within_splits_hot_groups_exactly(spark):
+    # group 0 is hot; many ties; a NULL group and NULL values
     df = spark.range(0, 6000).select(
-        (F.col("id") % 7 == 1).cast("int").alias("g"), F.col("id"), (F.col("id") * 7919 % 113).cast("double").alias("v"))
-    w = Window.partitionBy("g").orderBy(F.col("v").desc())
-    want = {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(w)).collect()}
-    got = {r["id"]: r["r"] for r in rank_within(df, ["g"], "v", "r", split_rows=1000, sub_ranges=16).collect()}
-    assert got == want
-    w2 = Window.partitionBy("g").orderBy(F.col("v").asc(), F.col("id").asc())
-    want2 = {r["id"]: r["r"] for r in df.withColumn("r", F.row_number().over(w2)).collect()}
-    got2 = {r["id"]: r["r"] for r in rank_within(df, ["g"], "v", "r", descending=False, tie_break=[F.col("id").asc()],
-                                                 method="row_number", split_rows=1000, sub_ranges=16).collect()}
-    assert got2 == want2
+        F.when(F.col("id") % 11 > 0, (F.col("id") % 7 == 1).cast("int")).alias("g"), "id",
+        F.when(F.col("id") % 13 > 0, (F.col("id") * 7919 % 113).cast("double")).alias("v"))
+    for down in (True, False):
+        w = Window.partitionBy("g").orderBy(F.col("v").desc() if down else F.col("v").asc())
+        want = {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(w)).collect()}
+        got = {r["id"]: r["r"] for r in rank_within(df, ["g"], "v", "r", descending=down, slices=16).collect()}
+        assert got == want
 
 
-def test_count_below_binary_search(spark):
-    from lakeloom.operators.ranking import _count_below
+def test_cumulative_within_counts_smaller_values(spark):
+    df = spark.range(0, 900).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"), F.lit(2).alias("c"))
+    got = cumulative_within(df, ["g"], "v", "c", "before", slices=9).collect()
+    assert all(r["before"] == 2 * (int(r["v"]) // 2) for r in got)
+
 
+def test_count_below_binary_search(spark):
     bounds = [1.0, 2.0, 2.0, 5.0, 9.0]
     df = spark.createDataFrame([(float(x),) for x in [0.5, 1.0, 1.5, 2.0, 2.5, 9.0, 10.0]], "v double")
     got = [r["n"] for r in df.select(_count_below(F.array(*[F.lit(b) for b in bounds]), F.col("v"), len(bounds))
                                      .alias("n")).collect()]
     assert got == [sum(b < x for b in bounds) for x in [0.5, 1.0, 1.5, 2.0, 2.5, 9.0, 10.0]]
-
-
-def test_rank_within_exact_when_split_groups_are_capped(spark, monkeypatch):
-    from lakeloom.operators import ranking
-
-    monkeypatch.setattr(ranking, "MAX_SPLIT_GROUPS", 1)
-    df = spark.range(0, 4000).select((F.col("id") % 3).cast("int").alias("g"), F.col("id"),
-                                     (F.col("id") * 31 % 97).cast("double").alias("v"))
-    w = Window.partitionBy("g").orderBy(F.col("v").desc())
-    want = {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(w)).collect()}
-    got = {r["id"]: r["r"] for r in ranking.rank_within(df, ["g"], "v", "r", split_rows=100, sub_ranges=8).collect()}
-    assert got == want
