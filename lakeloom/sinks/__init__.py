@@ -1,16 +1,19 @@
 """Writers: append, overwrite, partition overwrite and key merge, to a path or a table.
 
-Merge is written without a transactional table format: the new state is
-``target ⋉̸ batch-keys ∪ batch`` (a left-anti join on the keys, then a union by
-name), staged to a fresh folder under the shared checkpoint dir, and only then
-written over the target — never overwriting a path while reading it. When the
-target is partitioned, only the partitions the batch touches are read and
-replaced (dynamic partition overwrite).
+Merge is written without a transactional table format. The batch is staged once; the
+new state is ``target ⋉̸ batch-keys ∪ batch`` (a left-anti join on the keys, then a
+union by name). Where the target is partitioned, the partitions to rewrite are those
+the batch carries and those that hold its keys now (a key may have moved), found by a
+join over keys and partition columns; a partition that loses its last row is dropped.
+An unpartitioned path is replaced as a whole: the state is written beside it and moved
+into its place, so a crash leaves either the old or the new folder. Staged folders are
+removed when the write ends.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,16 +122,62 @@ def _write(df: DataFrame, sink: Sink, mode: str, dynamic: bool = False) -> None:
     if sink.table:
         spark = df.sparkSession
         if dynamic and spark.catalog.tableExists(sink.table):
+            _evolve(spark, df, sink)
             df.select(*spark.table(sink.table).columns).write.mode("overwrite") \
                 .option("partitionOverwriteMode", "dynamic").insertInto(sink.table, overwrite=True)
         else:
             writer.saveAsTable(sink.table)
         if sink.comment:
-            spark.sql(f"COMMENT ON TABLE {sink.table} IS '{sink.comment.replace(chr(39), '')}'")
+            text = sink.comment.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"COMMENT ON TABLE {sink.table} IS '{text}'")
     else:
         writer.save(sink.path)
 
 
+def _evolve(spark: SparkSession, df: DataFrame, sink: Sink) -> None:
+    """Add the batch's new columns to the table where schema merge is on; else they are an error."""
+    known = {c.lower() for c in spark.table(sink.table).columns}
+    new = [f for f in df.schema if f.name.lower() not in known]
+    if new and not sink.options.get("mergeSchema"):
+        raise SinkError(f"columns {[f.name for f in new]} are not in {sink.table}; set mergeSchema to add them")
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {sink.table} ADD COLUMNS ({columns})")
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """(file system, path) of a folder, through Spark's own storage layer."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _filesystem(spark, path)
+    fs.delete(p, True)
+
+
+def _replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Move ``new`` into the place of ``path``."""
+    old = f"{path.rstrip('/')}._old-{uuid.uuid4().hex}"
+    fs, target = _filesystem(spark, path)
+    aside, fresh = _filesystem(spark, old)[1], _filesystem(spark, new)[1]
+    if not fs.rename(target, aside):
+        raise SinkError(f"{path} could not be moved aside")
+    if not fs.rename(fresh, target):
+        fs.rename(aside, target)
+        raise SinkError(f"{new} could not be moved to {path}")
+    fs.delete(aside, True)
+
+
+def _semi(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose ``on`` columns are (not) among ``keys``; NULL equals NULL."""
+    other = broadcast_if_small(keys.select(*[F.col(c).alias(f"_key_{c}") for c in on]).distinct())
+    same = F.lit(True)
+    for c in on:
+        same = same & rows[c].eqNullSafe(other[f"_key_{c}"])
+    return rows.join(other, same, how)
+
+
 def merge_state(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """New state: target rows whose keys the batch does not carry, plus the whole batch."""
     batch_keys = broadcast_if_small(batch.select(*keys).distinct())
@@ -136,45 +185,72 @@ def merge_state(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFra
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-def _target_rows(spark: SparkSession, sink: Sink) -> int:
-    """Rows in the target (Parquet answers a bare count from file footers)."""
-    return sink.read(spark).count() if sink.exists(spark) else 0
+def _merge(spark: SparkSession, batch: DataFrame, sink: Sink, stage) -> None:
+    check_merge_source(batch, sink.merge_keys)
+    if not sink.exists(spark):
+        _write(batch, sink, "overwrite")
+        return
+    target = sink.read(spark)
+    if not sink.partition_by:
+        state = merge_state(target, batch, sink.merge_keys)
+        if sink.table:
+            _write(stage(state), sink, "overwrite")
+        else:
+            new = f"{sink.path.rstrip('/')}._new-{uuid.uuid4().hex}"
+            _write(state, replace(sink, path=new, mode="overwrite"), "overwrite")
+            _replace_folder(spark, new, sink.path)
+        return
+    parts = sink.partition_by
+    own = target.select(*dict.fromkeys([*sink.merge_keys, *parts]))
+    touched = stage(batch.select(*parts).unionByName(_semi(own, batch, sink.merge_keys).select(*parts)).distinct())
+    state = stage(merge_state(_semi(target, touched, parts), batch, sink.merge_keys))
+    _write(state, sink, "overwrite", dynamic=True)
+    for row in _semi(touched, state, parts, "left_anti").collect():  # touched partitions left empty
+        _drop_partition(spark, sink, row)
+
+
+def _drop_partition(spark: SparkSession, sink: Sink, row) -> None:
+    if sink.table:
+        if any(row[c] is None for c in sink.partition_by):
+            raise SinkError("a table's NULL partition can't be dropped by value")
+        spec = ", ".join(f"`{c}` = '{row[c]}'" for c in sink.partition_by)
+        spark.sql(f"ALTER TABLE {sink.table} DROP IF EXISTS PARTITION ({spec})")
+        return
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    folder = "/".join(name(c, None if row[c] is None else str(row[c])) for c in sink.partition_by)
+    _remove(spark, f"{sink.path.rstrip('/')}/{folder}")
 
 
 def write(df: DataFrame, sink: Sink) -> int | None:
     """Write ``df`` to ``sink``.
 
-    With ``require_rows`` the landed rows are counted from the target afterwards
-    (a footer-level count, not a rescan of the batch's plan) and an empty landing
-    fails; otherwise ``None`` is returned and nothing extra runs.
+    A merge, or a sink that requires rows, stages the batch first, so its plan runs once. With
+    ``require_rows`` an empty batch fails before the target is touched, and the number of rows
+    of the batch is returned; otherwise ``None`` is returned.
     """
     spark = df.sparkSession
-    before = _target_rows(spark, sink) if sink.require_rows and sink.mode == "append" else 0
-    if sink.mode == "append":
-        _write(df, sink, "append")
-    elif sink.mode == "overwrite":
-        _write(df, sink, "overwrite")
-    elif sink.mode == "overwrite_partitions":
-        _write(df, sink, "overwrite", dynamic=True)
-    else:
-        check_merge_source(df, sink.merge_keys)
-        if not sink.exists(spark):
-            _write(df, sink, "overwrite")
+    staged: list[str] = []
+
+    def stage(rows: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "stage")
+        staged.append(path)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    try:
+        batch = stage(df) if sink.mode == "merge" or sink.require_rows else df
+        landed = batch.count() if sink.require_rows else None
+        if landed == 0:
+            raise SinkError(f"no rows to land in {sink.table or sink.path}")
+        if sink.mode == "merge":
+            _merge(spark, batch, sink, stage)
         else:
-            target = sink.read(spark)
-            if sink.partition_by:
-                touched = broadcast_if_small(df.select(*sink.partition_by).distinct())
-                target = target.join(touched, on=sink.partition_by, how="left_semi")
-            state = merge_state(target, df, sink.merge_keys)
-            staged = scratch_path(spark, "merge-stage")
-            state.write.format("parquet").mode("overwrite").save(staged)
-            _write(spark.read.parquet(staged), sink, "overwrite", dynamic=bool(sink.partition_by))
-    if not sink.require_rows:
-        return None
-    landed = _target_rows(spark, sink) - before
-    if landed <= 0:
-        raise SinkError(f"no rows landed in {sink.table or sink.path}")
-    return landed
+            _write(batch, sink, "append" if sink.mode == "append" else "overwrite",
+                   dynamic=sink.mode == "overwrite_partitions")
+        return landed
+    finally:
+        for path in staged:
+            _remove(spark, path)
 
 
 def create_schema(spark: SparkSession, schema: str) -> None:

@@ -54,7 +54,7 @@ def test_append_and_schema_evolution(spark):
 
 def test_landed_rows_check(spark):
     empty = spark.createDataFrame([], "a long")
-    with pytest.raises(SinkError, match="no rows landed"):
+    with pytest.raises(SinkError, match="no rows to land"):
         write(empty, Sink(mode="overwrite", path=scratch_path(spark, "t-empty"), require_rows=True))
 
 
@@ -86,3 +86,39 @@ def test_pick_target_by_environment():
     assert Sink.pick(block, use_tables=False).path == "/data/x"
     with pytest.raises(SinkError):
         Sink.pick({"mode": "append", "table": "db.x"}, use_tables=False)
+
+
+def test_partitioned_merge_moves_a_key(spark):
+    sink = Sink(mode="merge", path=scratch_path(spark, "t-move"), merge_keys=["k"], partition_by=["p"])
+    write(spark.createDataFrame([(1, "x", "a"), (2, "z", "b")], "k long, p string, v string"), sink)
+    write(spark.createDataFrame([(1, "y", "A"), (3, None, "C")], "k long, p string, v string"), sink)
+    got = sorted((r["k"], r["p"], r["v"]) for r in sink.read(spark).collect())
+    assert got == [(1, "y", "A"), (2, "z", "b"), (3, None, "C")]
+
+
+def test_empty_batch_fails_on_an_existing_target(spark):
+    path = scratch_path(spark, "t-landed")
+    full, empty = spark.createDataFrame([(1, "x")], "k long, p string"), spark.createDataFrame([], "k long, p string")
+    for sink in (Sink(mode="merge", path=path, merge_keys=["k"], partition_by=["p"], require_rows=True),
+                 Sink(mode="overwrite_partitions", path=path, partition_by=["p"], require_rows=True),
+                 Sink(mode="append", path=path, partition_by=["p"], require_rows=True)):
+        assert write(full, sink) == 1
+        with pytest.raises(SinkError, match="no rows to land"):
+            write(empty, sink)
+        assert sink.read(spark).count() >= 1
+
+
+def test_table_gains_columns_only_with_schema_merge(spark):
+    from lakeloom.sinks import create_schema
+
+    create_schema(spark, "lakeloom_test")
+    base = Sink(mode="overwrite_partitions", table="lakeloom_test.evo", partition_by=["p"], comment="it's a \\ table")
+    write(spark.createDataFrame([(1, "x")], "a long, p string"), base)
+    batch = spark.createDataFrame([(2, 5, "y")], "a long, extra int, p string")
+    with pytest.raises(SinkError, match="extra"):
+        write(batch, base)
+    write(batch, Sink(mode="overwrite_partitions", table="lakeloom_test.evo", partition_by=["p"],
+                      options={"mergeSchema": "true"}))
+    assert sorted((r["a"], r["extra"]) for r in base.read(spark).collect()) == [(1, None), (2, 5)]
+    info = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED lakeloom_test.evo").collect()}
+    assert info["Comment"] == "it's a \\ table"
