@@ -11,7 +11,7 @@ from ..sources.tables import inline_rows, register_tables
 
 def _source(spark, d):
     """Lines from the table plus the known-bad rows, cast to the table's schema first."""
-    register_tables(spark, d, ["lineitem"])
+    register_tables(spark, d, ["lineitem", "part"])
     lines = spark.sql(contract.SOURCE_SQL)
     faults = inline_rows(spark, contract.FAULT_ROWS, contract.SOURCE_COLUMNS, contract.SOURCE_DDL)
     return lines.unionByName(faults)
@@ -21,41 +21,31 @@ def _tagged(spark, d):
     return contract.tag(_source(spark, d))
 
 
-_SRC_SQL = """
+_RULES = contract.rules()
+_FATAL = [r.name for r in _RULES if r.severity == contract.FATAL]
+_TYPES = [t.split()[1].replace("STRING", "VARCHAR").replace("TIMESTAMP_NTZ", "TIMESTAMP") for t in contract.SOURCE_DDL.split(", ")]
+_COLS = ", ".join(contract.SOURCE_COLUMNS)
+_SRC_SQL = f"""
 WITH src AS (
-  SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice / l_quantity AS l_unitprice,
-         l_extendedprice, l_linestatus, l_shipdate FROM lineitem
+  {contract.SOURCE_SQL}
   UNION ALL
-  SELECT CAST(a AS BIGINT), CAST(b AS BIGINT), CAST(c AS INTEGER), CAST(q AS DOUBLE), CAST(u AS DOUBLE),
-         CAST(t AS DOUBLE), s, CAST(ts AS TIMESTAMP)
-  FROM (VALUES (-1, 1, 1, 0.0, 10.0, 0.0, 'O', TIMESTAMP '1998-01-01 00:00:00'),
-               (-2, 1, 1, 2.0, -5.0, -10.0, 'O', TIMESTAMP '1998-01-01 00:00:00'),
-               (-3, 1, 1, 3.0, 3.3, 12.0, 'F', TIMESTAMP '1998-01-01 00:00:00'),
-               (-4, 1, 1, 1.0, 5.0, 5.0, 'X', TIMESTAMP '1998-01-01 00:00:00'),
-               (-5, 1, 1, 1.0, 5.0, 5.0, 'F', NULL)) v(a, b, c, q, u, t, s, ts)),
+  SELECT {", ".join(f"CAST({c} AS {t})" for c, t in zip(contract.SOURCE_COLUMNS, _TYPES))}
+  FROM (VALUES {contract.FAULT_ROWS.replace("TIMESTAMP_NTZ", "TIMESTAMP")}) v({_COLS})),
 tagged AS (
   SELECT *, list_filter([
-      CASE WHEN NOT coalesce(l_orderkey IS NOT NULL, false) THEN 'order_key_present' END,
-      CASE WHEN NOT coalesce(l_partkey IS NOT NULL, false) THEN 'part_key_present' END,
-      CASE WHEN NOT coalesce(l_quantity > 0, false) THEN 'quantity_positive' END,
-      CASE WHEN NOT coalesce(l_unitprice >= 0, false) THEN 'unit_price_not_negative' END,
-      CASE WHEN NOT coalesce(abs(l_extendedprice - l_quantity * l_unitprice) <= 0.01, false) THEN 'total_reconciles' END,
-      CASE WHEN NOT coalesce(lower(l_linestatus) IN ('o', 'f'), false) THEN 'status_known' END,
-      CASE WHEN NOT coalesce(l_shipdate IS NOT NULL, false) THEN 'shipdate_present' END
+      {", ".join(f"CASE WHEN ({r.holds}) IS NOT TRUE THEN '{r.name}' END" for r in _RULES)}
   ], lambda x: x IS NOT NULL) AS broken_rules FROM src)
 """
 
-_COLS = "l_orderkey, l_partkey, l_linenumber, l_quantity, l_unitprice, l_extendedprice, l_linestatus, l_shipdate"
-
 
 @query("inline_values", _SRC_SQL + f"SELECT {_COLS} FROM src")
 def inline_values(spark, d):
     return _source(spark, d)
 
 
-@query("contract_tag", _SRC_SQL + """
+@query("contract_tag", _SRC_SQL + f"""
 SELECT l_orderkey, l_linenumber, broken_rules,
-       list_filter(broken_rules, lambda x: list_contains(['order_key_present', 'part_key_present'], x)) AS fatal_rules
+       list_filter(broken_rules, lambda x: list_contains({_FATAL}, x)) AS fatal_rules
 FROM tagged""")
 def contract_tag(spark, d):
     return _tagged(spark, d).select("l_orderkey", "l_linenumber", "broken_rules",
@@ -73,14 +63,16 @@ def contract_clean(spark, d):
     return contract.split(_tagged(spark, d))[0]
 
 
-@query("contract_report", _SRC_SQL + """
-, rules(rule, severity, pos) AS (VALUES ('order_key_present', 'fatal', 1), ('part_key_present', 'fatal', 2),
-    ('quantity_positive', 'quarantine', 3), ('unit_price_not_negative', 'quarantine', 4),
-    ('total_reconciles', 'quarantine', 5), ('status_known', 'quarantine', 6), ('shipdate_present', 'quarantine', 7)),
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query("contract_report", _SRC_SQL + f"""
+, rules(rule, severity, description) AS (VALUES {", ".join(
+    f"({_quoted(r.name)}, {_quoted(r.severity)}, {_quoted(r.description)})" for r in _RULES)}),
 total AS (SELECT count(*) AS total_rows FROM tagged),
-fails AS (SELECT r.rule, count(t.l_linenumber) FILTER (WHERE list_contains(t.broken_rules, r.rule)) AS failed_rows
-          FROM rules r CROSS JOIN tagged t GROUP BY r.rule)
-SELECT r.rule, r.severity, CAST(coalesce(f.failed_rows, 0) AS BIGINT) AS failed_rows, total.total_rows,
+fails AS (SELECT rule, count(*) AS failed_rows FROM (SELECT unnest(broken_rules) AS rule FROM tagged) GROUP BY rule)
+SELECT r.rule, r.severity, r.description, CAST(coalesce(f.failed_rows, 0) AS BIGINT) AS failed_rows, total.total_rows,
        round(coalesce(f.failed_rows, 0) / total.total_rows, 6) AS failure_rate, coalesce(f.failed_rows, 0) = 0 AS passed
 FROM rules r LEFT JOIN fails f ON f.rule = r.rule CROSS JOIN total
 """)
@@ -88,28 +80,26 @@ def contract_report(spark, d):
     return contract.report(_tagged(spark, d))
 
 
-@query("contract_verdict", _SRC_SQL + """
-, a AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE len(broken_rules) > 0) AS quarantined_rows,
-               count(*) FILTER (WHERE list_contains(broken_rules, 'order_key_present')) AS f1,
-               count(*) FILTER (WHERE list_contains(broken_rules, 'part_key_present')) AS f2 FROM tagged),
+@query("contract_verdict", _SRC_SQL + f"""
+, a AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE len(broken_rules) > 0) AS quarantined_rows FROM tagged),
+f AS (SELECT x, count(*) AS n FROM (SELECT unnest(broken_rules) AS x FROM tagged) WHERE x IN {tuple(_FATAL)} GROUP BY x),
 b AS (SELECT *, round(quarantined_rows / total_rows, 6) AS quarantine_rate,
-             list_filter([CASE WHEN f1 > 0 THEN 'order_key_present' END, CASE WHEN f2 > 0 THEN 'part_key_present' END],
-                         lambda x: x IS NOT NULL) AS fatal_broken FROM a)
+             coalesce((SELECT list(x ORDER BY list_position({_FATAL}, x)) FROM f), CAST([] AS VARCHAR[])) AS fatal_broken,
+             (SELECT string_agg(x || ' (' || n || ' rows)', ', ' ORDER BY list_position({_FATAL}, x)) FROM f) AS named FROM a)
 SELECT total_rows, quarantined_rows, total_rows - quarantined_rows AS clean_rows, quarantine_rate, fatal_broken,
-       CASE WHEN len(fatal_broken) > 0 THEN 'stop_fatal' WHEN quarantine_rate > 0.05 THEN 'stop_rate' ELSE 'ok' END AS status,
-       CASE WHEN len(fatal_broken) > 0 THEN 'fatal rules broken: ' || array_to_string(list_filter(
-              [CASE WHEN f1 > 0 THEN 'order_key_present (' || f1 || ' rows)' END,
-               CASE WHEN f2 > 0 THEN 'part_key_present (' || f2 || ' rows)' END], lambda x: x IS NOT NULL), ', ')
-            WHEN quarantine_rate > 0.05 THEN 'quarantine rate above 0.05' ELSE 'within contract' END AS reason
+       CASE WHEN len(fatal_broken) > 0 THEN 'stop_fatal' WHEN quarantine_rate > {contract.MAX_QUARANTINE_RATE} THEN 'stop_rate'
+            ELSE 'ok' END AS status,
+       CASE WHEN len(fatal_broken) > 0 THEN 'fatal rules broken: ' || named
+            WHEN quarantine_rate > {contract.MAX_QUARANTINE_RATE} THEN 'quarantine rate above {contract.MAX_QUARANTINE_RATE}'
+            ELSE 'within contract' END AS reason
 FROM b
 """)
 def contract_verdict(spark, d):
     return contract.verdict(_tagged(spark, d))
 
 
-@query("contract_faults", _SRC_SQL + """
-, faults(k, expected) AS (VALUES (-1, 'quantity_positive'), (-2, 'unit_price_not_negative'), (-3, 'total_reconciles'),
-                                 (-4, 'status_known'), (-5, 'shipdate_present'))
+@query("contract_faults", _SRC_SQL + f"""
+, faults(k, expected) AS (VALUES {", ".join(str(x) for x in contract.FAULT_EXPECTED.items())})
 SELECT count(*) AS n_faults,
        count(*) FILTER (WHERE list_contains(t.broken_rules, f.expected)) AS caught,
        count(*) FILTER (WHERE len(t.broken_rules) = 0) AS leaked
