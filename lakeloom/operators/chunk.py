@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import content_id
 from ..functions.text import words
-from ..plans.parallelism import spread
 
 # Window length and overlap in words.
 CHUNK_WORDS = 120
@@ -70,7 +69,7 @@ def explode_chunks(docs: DataFrame, text_col: str = "text", keep: list[str] | No
     from that array, so the cost is linear in the text length.
     """
     keep = keep or []
-    with_words = spread(docs).select(*keep, words(F.col(text_col)).alias("_ws"))
+    with_words = docs.select(*keep, words(F.col(text_col)).alias("_ws"))
     return (
         with_words.select(*keep, F.explode(chunk_array(F.col("_ws"), policy)).alias("_c"))
         .select(*keep, "_c.chunk_index", "_c.chunk_text", "_c.word_count")

@@ -1,7 +1,7 @@
 """Layout-independent output fingerprints.
 
-Each row is serialised with its columns in name order (NULLs kept), hashed with
-SHA-256, and the first 60 bits of every row hash are summed exactly. A sum is
+Each row is serialised with its columns in name order (NULLs kept, floating-point
+numbers as decimals of ten places), hashed with SHA-256, and the first 60 bits of every row hash are summed exactly. A sum is
 order-free and — unlike XOR — does not cancel duplicate rows. The column names
 and types are hashed in too, so a type change changes the fingerprint.
 """
@@ -17,8 +17,13 @@ def schema_signature(df: DataFrame) -> str:
 
 
 def row_hash(df: DataFrame):
-    cols = sorted(df.columns)
-    js = F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
+    def canonical(f):
+        c = F.col(f"`{f.name}`")
+        exact = c.cast("decimal(38,10)").cast("string") if f.dataType.typeName() in ("double", "float") else c
+        return exact.alias(f.name)
+
+    fields = sorted(df.schema.fields, key=lambda f: f.name)
+    js = F.to_json(F.struct(*[canonical(f) for f in fields]), {"ignoreNullFields": "false"})
     return F.conv(F.substring(F.sha2(js, 256), 1, 15), 16, 10).cast("decimal(20,0)")
 
 
@@ -34,10 +39,13 @@ def fingerprint(df: DataFrame, signature: str | None = None) -> DataFrame:
     )
 
 
-def layout_check(df: DataFrame, layouts=(1, 4, 16)) -> DataFrame:
-    """Fingerprint the same input at several partition counts; expect one distinct value."""
+def layout_check(df: DataFrame) -> DataFrame:
+    """Fingerprint the same rows as scanned, dealt by hash and cut into ranges; expect one value."""
     sig = schema_signature(df)
-    parts = [fingerprint(df.repartition(n), sig).withColumn("partitions", F.lit(n)) for n in layouts]
+    keys = sorted(df.columns)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    layouts = [df, df.repartition(n, *keys), df.repartitionByRange(n, keys[0])]
+    parts = [fingerprint(x, sig) for x in layouts]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)

@@ -1,24 +1,19 @@
 """Exact top-k cosine retrieval and cited-context assembly.
 
-Design (no cross join, no pair table):
-
-1. The *question* side is small by contract. Its size is measured before it is
-   shipped; if it exceeds the broadcast bound it is cut into blocks that each fit,
-   and every block is one more pass over the corpus.
-2. Each corpus partition scores its rows against the broadcast question matrix
-   with one matrix product per Arrow batch (NumPy inside the task) and keeps only
-   its own best ``k`` per question — ties broken by the smaller corpus id — so a
-   task emits at most ``k × questions`` rows, whatever the corpus size.
-3. The partial winners are merged with ``row_number() <= k`` per question; Catalyst
-   adds a group limit before that shuffle.
-
-Vectors are L2-normalised on both sides; a zero vector keeps norm 1 (score 0).
+* The question side is bounded by contract: its size is checked before it is collected, and a
+  larger one is an error.
+* Each corpus partition scores its rows against the questions with one matrix product per
+  Arrow batch and keeps its own best ``k`` per question, ties by the smaller corpus id, so a
+  task emits at most ``k × questions`` rows, whatever the corpus size.
+* The partial winners are merged with ``row_number() <= k`` per question; Catalyst adds a
+  group limit before that shuffle.
+
+Ids may be numbers or strings. Vectors are L2-normalised on both sides; a zero vector keeps
+norm 1 (score 0).
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -26,7 +21,6 @@ from pyspark.sql import functions as F
 
 DEFAULT_K = 4
 MAX_QUESTION_BYTES = 64 * 1024 * 1024
-_SCORE_BUDGET = 32 * 1024 * 1024  # bytes of float64 scores held at once inside a task
 
 
 def _normalise(m: np.ndarray) -> np.ndarray:
@@ -45,44 +39,28 @@ def _matrix(col: pd.Series, dim: int) -> np.ndarray:
     return m
 
 
-def _partial_topk(q_ids: np.ndarray, q_mat: np.ndarray, k: int, exclude_self: bool, id_col: str, vec_col: str):
-    """Per-partition scorer for ``mapInPandas``: best ``k`` corpus rows per question.
-
-    Vectorised: the running best (questions × k) is concatenated with each scored
-    slice and re-sorted row-wise by (score desc, id asc) with one ``lexsort``.
-    """
-    dim = q_mat.shape[1]
-    nq = len(q_ids)
-    sentinel = np.iinfo(np.int64).max
+def _partial_topk(q_ids: np.ndarray, q_mat: np.ndarray, k: int, exclude_self: bool):
+    """Per-partition scorer for ``mapInPandas`` over (did, dvec): best ``k`` rows per question."""
 
     def run(batches):
-        best_s = np.full((nq, 0), -np.inf)
-        best_i = np.full((nq, 0), sentinel, dtype=np.int64)
+        best = [(np.empty(0), None)] * len(q_ids)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
-            d_mat = _normalise(_matrix(pdf[vec_col], dim))
-            step = max(1, _SCORE_BUDGET // (8 * max(1, nq)))
-            for lo in range(0, len(ids), step):
-                sub_ids = ids[lo:lo + step]
-                scores = q_mat @ d_mat[lo:lo + step].T
-                cand_i = np.broadcast_to(sub_ids, scores.shape)
-                if exclude_self:
-                    own = cand_i == q_ids[:, None]
-                    scores = np.where(own, -np.inf, scores)
-                    cand_i = np.where(own, sentinel, cand_i)
-                s = np.concatenate([best_s, scores], axis=1)
-                i = np.concatenate([best_i, cand_i], axis=1)
-                keep = min(k, s.shape[1])
-                order = np.lexsort((i, -s), axis=1)[:, :keep]
-                best_s = np.take_along_axis(s, order, axis=1)
-                best_i = np.take_along_axis(i, order, axis=1)
-        valid = best_i != sentinel
-        if valid.any():
-            qcol = np.broadcast_to(q_ids[:, None], best_i.shape)
-            yield pd.DataFrame({"query_id": qcol[valid], "doc_id": best_i[valid],
-                                "score": best_s[valid].astype(np.float64)})
+            ids = np.asarray(pdf["did"].tolist())
+            scores = q_mat @ _normalise(_matrix(pdf["dvec"], q_mat.shape[1])).T
+            for i, s in enumerate(scores):
+                rows = np.flatnonzero(ids != q_ids[i]) if exclude_self else np.arange(len(ids))
+                if len(rows) > k:  # all rows that tie with the k-th best stay
+                    rows = rows[s[rows] >= np.partition(s[rows], -k)[-k]]
+                own_s, own_i = best[i]
+                s_all = np.concatenate([own_s, s[rows]])
+                i_all = ids[rows] if own_i is None else np.concatenate([own_i, ids[rows]])
+                order = np.lexsort((i_all, -s_all))[:k]
+                best[i] = s_all[order], i_all[order]
+        found = [(q, i, s) for q, (ss, ii) in zip(q_ids.tolist(), best) for s, i in zip(ss.tolist(), [] if ii is None else ii.tolist())]
+        if found:
+            yield pd.DataFrame(found, columns=["query_id", "doc_id", "score"])
 
     return run
 
@@ -92,40 +70,33 @@ def topk_similar(questions: DataFrame, corpus: DataFrame, k: int = DEFAULT_K, q_
                  exclude_self: bool = False, max_question_bytes: int = MAX_QUESTION_BYTES) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the exact ``k`` most similar corpus rows per question."""
     spark = questions.sparkSession
-    q = questions.select(F.col(q_id).cast("bigint").alias("qid"), F.col(q_vec).alias("qvec"))
-    stats = q.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("dim")).first()
-    n_q, dim = int(stats["n"]), int(stats["dim"] or 0)
-    schema = "query_id bigint, doc_id bigint, score double"
-    docs = corpus.select(F.col(d_id).cast("bigint").alias("did"), F.col(d_vec).alias("dvec"))
-    if n_q == 0:
+    q = questions.select(F.col(q_id).alias("qid"), F.col(q_vec).alias("qvec"))
+    docs = corpus.select(F.col(d_id).alias("did"), F.col(d_vec).alias("dvec"))
+    schema = f"query_id {q.dtypes[0][1]}, doc_id {docs.dtypes[0][1]}, score double"
+    size = q.agg(F.coalesce(F.sum(F.size("qvec")), F.lit(0)).alias("n")).first()["n"] * 8
+    if size > max_question_bytes:
+        raise ValueError(f"the question side has {size} bytes of vectors; at most {max_question_bytes} are allowed")
+    rows = q.collect()
+    if not rows:
         return spark.createDataFrame([], schema + ", rank int").select("query_id", "rank", "doc_id", "score")
-    # Size check: question matrix bytes; blocks are cut so that each fits the bound.
-    bytes_total = n_q * max(dim, 1) * 8
-    n_blocks = max(1, math.ceil(bytes_total / max_question_bytes))
-    partials = None
-    for b in range(n_blocks):
-        block = q if n_blocks == 1 else q.filter(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == b)
-        rows = block.collect()  # bounded: at most max_question_bytes of vectors
-        if not rows:
-            continue
-        ids = np.array([r["qid"] for r in rows], dtype=np.int64)
-        mat = _normalise(np.vstack([np.asarray(r["qvec"], dtype=np.float64) for r in rows]))
-        bc = spark.sparkContext.broadcast((ids, mat))
-
-        def scorer(batches, bc=bc):
-            ids_, mat_ = bc.value
-            yield from _partial_topk(ids_, mat_, k, exclude_self, "did", "dvec")(batches)
-
-        part = docs.mapInPandas(scorer, schema)
-        partials = part if partials is None else partials.unionByName(part)
+    ids = np.array([r["qid"] for r in rows])
+    mat = _normalise(np.vstack([np.asarray(r["qvec"], dtype=np.float64) for r in rows]))
+    partials = docs.mapInPandas(_partial_topk(ids, mat, k, exclude_self), schema)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return (partials.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "doc_id", "score"))
 
 
+def mean_vectors(rows: DataFrame, group: str, vec: str) -> DataFrame:
+    """(group, embedding): the mean vector of each group, one small aggregate per component."""
+    parts = rows.select(group, F.posexplode(vec).alias("k", "x")).groupBy(group, "k").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    return parts.groupBy(group).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda p: p["x"]).alias("embedding"))
+
+
 def cited_context(hits: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
     """Per question: numbered hits joined by blank lines, cited ids in rank order, top score."""
-    joined = hits.join(labels, "doc_id", "left")
+    joined = labels.join(F.broadcast(hits), "doc_id", "right")  # k hits per question
     entry = F.struct("rank", "doc_id", label_col, "score")
     per_q = joined.groupBy("query_id").agg(F.array_sort(F.collect_list(entry)).alias("hits"))
     line = lambda h: F.format_string("[%d] vec %d (label %s, score %.6f)", h["rank"], h["doc_id"],

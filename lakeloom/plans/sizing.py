@@ -10,11 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Files unpack to several times their size; the bound on the estimate allows for that.
+UNPACKED = 4
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024 // UNPACKED
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan, in bytes (upper-biased without CBO)."""
+    """Catalyst's size estimate of the optimized plan, in bytes.
+
+    For files this is the compressed size, which is below the size in memory; see ``UNPACKED``.
+    """
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(size) if isinstance(size, int) else int(str(size.toString()))
 

@@ -8,7 +8,6 @@ from ..catalog import query
 from ..operators import bands, split
 from ..session import scratch_path
 from ..sinks import Sink, write
-from ..sources import jdbc
 from ..sources.tables import read_table
 
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -132,47 +131,29 @@ def split_scan(spark, d):
     return spark.read.parquet(path).filter(F.col("split") == "train")
 
 
-# ---------------------------------------------------------------- JDBC (embedded Derby, in-process)
+# ---------------------------------------------------------------- sinks: moved keys, landed rows, new columns
 
-@query("jdbc_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
-def jdbc_table(spark, d):
-    db = jdbc.derby_copy(spark, {"NATION": read_table(spark, d, "nation")})
-    return jdbc.read_table(spark, db, "NATION").select(
-        F.col("N_NATIONKEY").alias("n_nationkey"), F.col("N_NAME").alias("n_name"), F.col("N_REGIONKEY").alias("n_regionkey"))
-
-
-_PUSHDOWN = ("SELECT O_ORDERKEY, O_CUSTKEY, O_TOTALPRICE, O_ORDERSTATUS FROM ORDERS "
-             "WHERE O_ORDERSTATUS = 'F'")
-
-
-@query("jdbc_pushdown", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
-def jdbc_pushdown(spark, d):
-    db = jdbc.derby_copy(spark, {"ORDERS": read_table(spark, d, "orders").select(*_ORDER_COLS[:4])})
-    df = jdbc.read_query(spark, db, _PUSHDOWN)
-    return df.select(F.col("O_ORDERKEY").alias("o_orderkey"), F.col("O_CUSTKEY").alias("o_custkey"),
-                     F.col("O_TOTALPRICE").alias("o_totalprice"))
-
-
-@query("jdbc_partitioned", "SELECT o_orderkey, o_totalprice FROM orders")
-def jdbc_partitioned(spark, d):
-    """Four parallel range reads; the bounds only cut the ranges, rows outside them still arrive."""
-    db = jdbc.derby_copy(spark, {"ORDERS": read_table(spark, d, "orders").select(*_ORDER_COLS[:4])})
-    df = jdbc.read_partitioned(spark, db, "ORDERS", "O_ORDERKEY", lower=1000, upper=5000, partitions=4)
-    return df.select(F.col("O_ORDERKEY").alias("o_orderkey"), F.col("O_TOTALPRICE").alias("o_totalprice"))
+@query("merge_partition_move", """
+SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN 'WATCH' ELSE c_mktsegment END AS c_mktsegment FROM customer
+""")
+def merge_partition_move(spark, d):
+    """A merge moves customers in debt to another partition: each key stays in one partition only."""
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    sink = Sink(mode="merge", path=scratch_path(spark, "moves"), merge_keys=["c_custkey"], partition_by=["c_mktsegment"])
+    write(c.drop("c_acctbal"), sink)
+    write(c.where("c_acctbal < 0").drop("c_acctbal").withColumn("c_mktsegment", F.lit("WATCH")), sink)
+    return sink.read(spark).select("c_custkey", "c_name", "c_mktsegment")
 
 
-@query("jdbc_profile", f"""
-SELECT {bands.sql_case('n', bands.LENGTH_BANDS)} AS length_band, count(*) AS n_rows, min(n) AS min_len,
-       round(avg(n), 1) AS avg_len, max(n) AS max_len, CAST(4 AS BIGINT) AS read_partitions
-FROM (SELECT CAST(trunc(o_totalprice / 100) AS BIGINT) AS n FROM orders WHERE o_orderstatus = 'F')
-GROUP BY 1
+@query("landed_rows", """
+SELECT 'all' AS batch, count(*) AS landed FROM orders
+UNION ALL SELECT 'open', count(*) FROM orders WHERE o_orderstatus = 'O'
 """)
-def jdbc_profile(spark, d):
-    """Length profile over a pushed-down, partitioned JDBC read, with the read's parallelism."""
-    db = jdbc.derby_copy(spark, {"ORDERS": read_table(spark, d, "orders").select(*_ORDER_COLS[:4])})
-    df = jdbc.read_partitioned(spark, db, "(" + _PUSHDOWN + ") Q", "O_ORDERKEY", lower=0, upper=1 << 20, partitions=4)
-    parts = jdbc.read_parallelism(df)
-    n = (F.col("O_TOTALPRICE") / 100).cast("bigint")
-    return df.select(n.alias("n")).groupBy(bands.band_of(F.col("n"), bands.LENGTH_BANDS).alias("length_band")).agg(
-        F.count("*").alias("n_rows"), F.min("n").alias("min_len"), F.round(F.avg("n"), 1).alias("avg_len"),
-        F.max("n").alias("max_len")).withColumn("read_partitions", F.lit(parts).cast("bigint"))
+def landed_rows(spark, d):
+    """Rows landed by two runs into one target, counted from each run's own batch."""
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "landed")
+    counts = []
+    for name, batch, mode in (("all", o, "overwrite"), ("open", o.where("o_orderstatus = 'O'"), "overwrite_partitions")):
+        counts.append((name, write(batch, Sink(mode=mode, path=path, partition_by=["o_orderstatus"], require_rows=True))))
+    return spark.createDataFrame(counts, "batch string, landed bigint")

@@ -307,15 +307,17 @@ def embed(model, frame):
 
 
 def _chunks(spark, d):
-    docs = documents.table_documents(read_table(spark, d, "documents")).unionByName(
-        documents.conversation_documents(read_table(spark, d, "conversations")))
-    return documents.index_chunks(docs)
+    docs, turns = read_table(spark, d, "documents"), read_table(spark, d, "conversations")
+    texts = documents.text_rows(docs, "document", ["doc_id"], "text", F.concat(F.lit("doc "), "doc_id")).unionByName(
+        documents.text_rows(turns, "conversation", ["conv_id", "turn"], "text", F.concat("role", F.lit(" in "), "conv_id")))
+    return documents.pieces(texts, "stop_at_end").withColumnsRenamed(
+        {"piece_id": "chunk_id", "text_id": "doc_id", "origin": "source", "caption": "title", "piece": "text"})
 
 
 @query("embed_chunks")
 def embed_chunks(spark, d):
     """Embed only chunks that have no vector yet (key anti-join), then merge on chunk_id."""
-    chunks = _chunks(spark, d).withColumnRenamed("chunk_text", "text").persist()
+    chunks = _chunks(spark, d)
     model = fit_embedder(chunks)
     store = Sink(mode="merge", path=scratch_path(spark, "chunk-embeddings"), merge_keys=["chunk_id"])
     cols = ["chunk_id", "doc_id", "source", "title", "embedding"]
@@ -329,15 +331,12 @@ def embed_chunks(spark, d):
 @query("retrieve_cited")
 def retrieve_cited(spark, d):
     """Benchmark items as questions against document chunks: exact top-4 with cited context."""
-    chunks = _chunks(spark, d).withColumn("chunk_key", F.xxhash64("chunk_id")) \
-        .withColumnRenamed("chunk_text", "text").persist()
+    chunks = _chunks(spark, d)
     bench = read_table(spark, d, "benchmark")
     model = fit_embedder(chunks)
-    c_vec = embed(model, chunks)
-    q_vec = embed(model, bench)
-    hits = retrieve.topk_similar(q_vec, c_vec, k=4, q_id="item_id", d_id="chunk_key")
-    titles = chunks.select(F.col("chunk_key").alias("doc_id"), "chunk_id", "title")
-    j = hits.join(titles, "doc_id")
+    hits = retrieve.topk_similar(embed(model, bench), embed(model, chunks), k=4, q_id="item_id", d_id="chunk_id")
+    titles = chunks.select("chunk_id", "title")
+    j = titles.join(F.broadcast(hits.withColumnRenamed("doc_id", "chunk_id")), "chunk_id")  # k hits per item
     per_q = j.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "title", "score"))).alias("h"))
     line = lambda h: F.format_string("[%d] %s (%s, score %.4f)", h["rank"], h["title"], h["chunk_id"], h["score"])
     return per_q.select(F.col("query_id").alias("item_id"), F.array_join(F.transform("h", line), "\n\n").alias("context"),

@@ -105,20 +105,14 @@ def dropna_subset(spark, d):
 
 
 @query("filter_not_null", """
-SELECT c.c_custkey, c.c_name FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey
-WHERE o.o_orderkey IS NULL
+SELECT d.doc_id, d.source, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)
+WHERE l.quality IS NOT NULL AND d.text IS NOT NULL
 """)
 def filter_not_null(spark, d):
-    """Customers with no order: the NULL side of a left join, tested with ``isNull``.
-
-    The order side is reduced to distinct customer keys first (partial aggregate
-    before the shuffle), so a customer with a huge share of orders sends one row
-    per task to the join, not all of its orders.
-    """
-    c = read_table(spark, d, "customer")
-    o = read_table(spark, d, "orders").select(F.col("o_custkey"), F.lit(True).alias("has_order")).distinct()
-    return (c.join(o, o.o_custkey == c.c_custkey, "left").filter(F.col("has_order").isNull())
-            .select("c_custkey", "c_name"))
+    """Documents that have a rating: the matched side of a left join, tested for NULL."""
+    docs = read_table(spark, d, "documents").select("doc_id", "source", "text")
+    rated = docs.join(read_table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return rated.filter(F.col("quality").isNotNull() & F.col("text").isNotNull()).select("doc_id", "source", "quality")
 
 
 # The priorities an urgent-order report accepts.
@@ -517,7 +511,7 @@ def scalar_conditional(spark, d):
 WITH t AS (
   SELECT l.l_orderkey AS transaction_id, o.o_custkey AS customer_id, l.l_suppkey AS seller_id,
          strftime(l.l_shipdate, '%Y-%m') AS revenue_month, l.l_quantity AS quantity, l.l_extendedprice AS total_price
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
 a AS (
   SELECT seller_id, revenue_month, CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
          sum(quantity) AS items_sold, count(DISTINCT transaction_id) AS transactions,
@@ -528,8 +522,8 @@ SELECT a.*, s.s_name AS seller_name, s.s_nationkey AS seller_nation,
 FROM a LEFT JOIN supplier s ON s.s_suppkey = a.seller_id
 """)
 def revenue_by_supplier_month(spark, d):
-    _views(spark, d, "lineitem", "orders", "customer")
-    monthly = revenue.with_month(revenue.transactions(spark))
+    _views(spark, d, "lineitem", "orders")
+    monthly = revenue.with_month(spark.sql(revenue.SALES_SQL))
     return revenue.revenue_by_seller(monthly, read_table(spark, d, "supplier"))
 
 
@@ -538,7 +532,7 @@ WITH a AS (
   SELECT l_partkey AS product_id, strftime(l_shipdate, '%Y-%m') AS revenue_month,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, sum(l_quantity) AS units,
          count(DISTINCT l_orderkey) AS transactions
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  FROM lineitem
   GROUP BY l_partkey, strftime(l_shipdate, '%Y-%m'))
 SELECT *, rank() OVER (PARTITION BY revenue_month ORDER BY revenue DESC) AS revenue_rank FROM a
 """
@@ -546,6 +540,8 @@ SELECT *, rank() OVER (PARTITION BY revenue_month ORDER BY revenue DESC) AS reve
 
 @query("revenue_by_part_month", REVENUE_BY_PART_SQL)
 def revenue_by_part_month(spark, d):
-    _views(spark, d, "lineitem", "orders", "customer")
-    monthly = revenue.with_month(revenue.transactions(spark))
-    return revenue.revenue_by_product(monthly)
+    lines = read_table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("transaction_id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_shipdate").alias("sold_at"), F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("total_price"))
+    return revenue.revenue_by_product(revenue.with_month(lines))

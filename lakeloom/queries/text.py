@@ -65,58 +65,86 @@ def text_head(spark, d):
 
 # ---------------------------------------------------------------- document indexes (K4, K5)
 
-_UNION_DOCS_SQL = """
-SELECT sha256(concat_ws('::', 'document', CAST(doc_id AS VARCHAR))) AS doc_id, 'document' AS source,
-       concat_ws(' ', 'Document', CAST(doc_id AS VARCHAR)) AS title, text
-FROM documents WHERE text IS NOT NULL
+def _id_sql(origin: str, *keys: str) -> str:
+    fields = ",".join(f"\"{k}\":\"' || {k} || '\"" for k in keys)
+    return f"sha256('{{\"origin\":\"{origin}\",{fields}}}')"
+
+
+_TEXTS_SQL = f"""
+SELECT {_id_sql("document", "doc_id")} AS text_id, 'document' AS origin,
+       'doc ' || doc_id || ' from ' || source AS caption, text AS body FROM documents WHERE length(text) > 0
 UNION ALL
-SELECT sha256(concat_ws('::', 'conversation', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))), 'conversation',
-       concat_ws(' ', 'Conversation', CAST(conv_id AS VARCHAR), 'turn', CAST(turn AS VARCHAR)), text
-FROM conversations WHERE text IS NOT NULL AND length(text) > 0
+SELECT {_id_sql("conversation", "conv_id", "turn")}, 'conversation', role || ' in ' || conv_id, text
+FROM conversations WHERE length(text) > 0
+UNION ALL
+SELECT {_id_sql("file", "folder")}, 'file', folder, body FROM (
+  SELECT 'region=' || n_regionkey AS folder, string_agg(n_name, ' ' ORDER BY n_name) AS body FROM nation GROUP BY n_regionkey)
 """
 
 
-@query("document_index", f"""
-SELECT concat_ws('::', doc_id, CAST(chunk_index AS VARCHAR)) AS chunk_id, doc_id, source, title, chunk_index,
-       chunk_text, word_count
-FROM ({_stop_at_end_sql(_UNION_DOCS_SQL, "doc_id, source, title")}) WHERE word_count > 0
-""")
+def _pieces_sql(chunks: str) -> str:
+    return f"""
+SELECT sha256(text_id || '/' || chunk_index) AS piece_id, * RENAME (chunk_index AS piece_no, chunk_text AS piece, word_count AS n_words)
+FROM ({chunks}) WHERE word_count > 0"""
+
+
+def all_texts(spark, d):
+    """Texts of two tables and of files: nation names land as one file per region and are read
+    back through the binary-file source."""
+    path = scratch_path(spark, "region-files")
+    names = read_table(spark, d, "nation").groupBy(F.col("n_regionkey").alias("region")).agg(
+        F.array_join(F.array_sort(F.collect_list("n_name")), " ").alias("line"))
+    files.write_text_files(names, path, "line", partition_by=["region"])
+    found = files.file_texts(files.binary_files(spark, path, glob="*.txt", recursive=True))
+    docs, turns = read_table(spark, d, "documents"), read_table(spark, d, "conversations")
+    return documents.text_rows(
+        docs, "document", ["doc_id"], "text", F.concat(F.lit("doc "), "doc_id", F.lit(" from "), "source")).unionByName(
+        documents.text_rows(turns, "conversation", ["conv_id", "turn"], "text", F.concat("role", F.lit(" in "), "conv_id"))
+    ).unionByName(documents.text_rows(found, "file", ["folder"], "body", F.col("folder")))
+
+
+@query("document_index", _pieces_sql(_stop_at_end_sql(f"SELECT * RENAME (body AS text) FROM ({_TEXTS_SQL})",
+                                                      "text_id, origin, caption")))
 def document_index(spark, d):
-    docs = documents.table_documents(read_table(spark, d, "documents")).unionByName(
-        documents.conversation_documents(read_table(spark, d, "conversations")))
-    return documents.index_chunks(docs)
+    return documents.pieces(all_texts(spark, d), "stop_at_end")
 
 
-_CONTENT_DOCS_SQL = """
-SELECT sha256(text) AS doc_id, any_value(text) AS text, min(doc_id) AS first_source_id, count(*) AS copies
+_CONTENT_SQL = """
+SELECT sha256(text) AS text_id, 'content' AS origin, 'text ' || substr(sha256(text), 1, 12) AS caption,
+       min(doc_id) AS first_key, count(*) AS copies, any_value(text) AS text
 FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)
 """
 
 
-@query("content_dedupe", "SELECT doc_id, first_source_id, copies FROM (" + _CONTENT_DOCS_SQL + ")")
+def _contents(spark, d):
+    return documents.distinct_texts(read_table(spark, d, "documents"), "doc_id", "text", "content")
+
+
+@query("content_dedupe", f"SELECT * EXCLUDE (text) FROM ({_CONTENT_SQL})")
 def content_dedupe(spark, d):
-    return documents.content_documents(read_table(spark, d, "documents")).select("doc_id", "first_source_id", "copies")
+    return _contents(spark, d).drop("body")
 
 
 @query("document_index_content", f"""
-SELECT sha256(concat_ws('#', doc_id, CAST(chunk_index AS VARCHAR))) AS chunk_id, doc_id, chunk_index, chunk_text
-FROM ({_fixed_step_sql(_CONTENT_DOCS_SQL, "doc_id")}) WHERE length(chunk_text) > 0
+SELECT sha256(text_id || '/' || chunk_index) AS piece_id, text_id, origin, caption, first_key, copies,
+       chunk_index AS piece_no, chunk_text AS piece, CAST(len(string_split(chunk_text, ' ')) AS INTEGER) AS n_words
+FROM ({_fixed_step_sql(_CONTENT_SQL, "text_id, origin, caption, first_key, copies")}) WHERE length(chunk_text) > 0
 """)
 def document_index_content(spark, d):
-    return documents.content_chunks(documents.content_documents(read_table(spark, d, "documents")))
+    return documents.pieces(_contents(spark, d), "fixed_step")
 
 
 # ---------------------------------------------------------------- fan-out (K3), JSON (A10), labels
 
 @query("array_fanout", """
-SELECT user_id, event_id, date_trunc('minute', ts) AS observed_at, CAST(ts AS DATE) AS observed_date,
-       hour(ts) AS observed_hour, value, event_type AS kind,
+SELECT user_id, event_id, date_trunc('minute', ts) AS minute_at, CAST(ts AS DATE) AS day, hour(ts) AS hour,
+       value AS reading, event_type AS kind,
        CASE WHEN event_type = 'error' THEN 'fault' WHEN value >= 75 THEN 'peak' WHEN value >= 25 THEN 'active'
-            WHEN value > 0 THEN 'quiet' ELSE 'idle' END AS condition
+            WHEN value > 0 THEN 'quiet' ELSE 'idle' END AS state
 FROM events WHERE ts IS NOT NULL
 """)
 def array_fanout(spark, d):
-    return documents.fan_out(documents.fold_to_documents(read_table(spark, d, "events")))
+    return documents.unroll(documents.nested_readings(read_table(spark, d, "events")))
 
 
 @query("json_props", """
@@ -128,16 +156,20 @@ def json_props(spark, d):
 
 
 @query("label_rule", """
-SELECT conv_id, turn,
-       CASE WHEN contains(lower(text), 'positive') THEN 'positive'
-            WHEN contains(lower(text), 'negative') THEN 'negative'
-            WHEN contains(lower(text), 'neutral') THEN 'neutral' ELSE 'neutral' END AS label
-FROM conversations WHERE role = 'assistant' AND text IS NOT NULL
+WITH a AS (
+  SELECT d.doc_id, CASE WHEN l.quality = 1 THEN 'POSITIVE: ' WHEN l.quality = 0 THEN 'Rather negative. ' ELSE '' END || d.text AS answer
+  FROM documents d LEFT JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL)
+SELECT doc_id,
+       CASE WHEN contains(lower(answer), 'positive') THEN 'positive'
+            WHEN contains(lower(answer), 'negative') THEN 'negative' ELSE 'neutral' END AS label
+FROM a
 """)
 def label_rule(spark, d):
-    c = read_table(spark, d, "conversations")
-    return c.filter((F.col("role") == "assistant") & F.col("text").isNotNull()).select(
-        "conv_id", "turn", label.label_from_answer(F.col("text")).alias("label"))
+    """Labels read from answers; an answer is a text under its rater's judgement, if it has one."""
+    docs = read_table(spark, d, "documents").select("doc_id", "text").where("text IS NOT NULL")
+    rated = docs.join(read_table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    judged = F.when(F.col("quality") == 1, "POSITIVE: ").when(F.col("quality") == 0, "Rather negative. ").otherwise("")
+    return rated.select("doc_id", label.label_from_answer(F.concat(judged, "text")).alias("label"))
 
 
 # ---------------------------------------------------------------- binary files (A5)
@@ -149,21 +181,21 @@ def binary_files(spark, d):
     docs = read_table(spark, d, "documents")
     path = scratch_path(spark, "binary-docs")
     files.write_text_files(docs.select("lang", F.to_json(F.struct("doc_id", "text")).alias("line")), path, "line",
-                           records_per_file=200, partition_by=["lang"])
+                           partition_by=["lang"])
     raw = files.binary_files(spark, path, glob="*.txt", recursive=True)
-    lines = files.file_documents(raw).select(F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
+    lines = files.file_texts(raw).select(F.explode(F.split("body", "\n")).alias("line")).filter(F.length("line") > 0)
     parsed = lines.select(json_docs.parse_json(F.col("line"), "doc_id BIGINT, text STRING").alias("r"))
     return parsed.select("r.doc_id", "r.text")
 
 
 # ---------------------------------------------------------------- fingerprints
 
-_FP_COLS = ["c_custkey", "c_mktsegment", "c_name", "c_nationkey"]
-_FP_SIG = "c_custkey:bigint,c_mktsegment:string,c_name:string,c_nationkey:int"
+_FP_COLS = ["c_acctbal", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"]
+_FP_SIG = "c_acctbal:double,c_custkey:bigint,c_mktsegment:string,c_name:string,c_nationkey:int"
 _FP_SQL = f"""
 WITH h AS (
   SELECT CAST(('0x' || substr(sha256(to_json(struct_pack(
-           c_custkey := c_custkey, c_mktsegment := c_mktsegment, c_name := c_name, c_nationkey := c_nationkey))),
+           c_acctbal := CAST(CAST(c_acctbal AS DECIMAL(38,10)) AS VARCHAR), c_custkey := c_custkey, c_mktsegment := c_mktsegment, c_name := c_name, c_nationkey := c_nationkey))),
            1, 15)) AS UBIGINT) AS h
   FROM customer),
 a AS (SELECT count(*) AS n_rows, CAST(coalesce(sum(CAST(h AS DECIMAL(20,0))), 0) AS DECIMAL(38,0)) AS row_hash_sum FROM h)
@@ -207,10 +239,12 @@ def vector_checks(spark, d):
 
 
 _TOPK_SQL = """
-WITH s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS doc_id,
-         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score
-  FROM embeddings q, embeddings c WHERE q.vec_id <> c.vec_id),
+WITH q AS (
+  SELECT label AS query_id, list(x ORDER BY k) AS v FROM (
+    SELECT label, k, avg(CAST(x AS DOUBLE)) AS x
+    FROM (SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS k FROM embeddings)
+    GROUP BY label, k) GROUP BY label),
+s AS (SELECT query_id, vec_id AS doc_id, list_cosine_similarity(v, CAST(embedding AS DOUBLE[])) AS score FROM q, embeddings),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 4
 """
@@ -218,12 +252,12 @@ SELECT query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 4
 
 def _knn(spark, d):
     e = read_table(spark, d, "embeddings")
-    return retrieve.topk_similar(e, e, k=4, q_id="vec_id", d_id="vec_id", exclude_self=True)
+    return retrieve.topk_similar(retrieve.mean_vectors(e, "label", "embedding"), e, k=4, q_id="label", d_id="vec_id")
 
 
 @query("topk_cosine", _TOPK_SQL)
 def topk_cosine(spark, d):
-    """Each vector's four nearest other vectors (exact, cosine)."""
+    """The four vectors nearest to the mean vector of each label (exact, cosine)."""
     return _knn(spark, d).withColumn("score", F.round("score", 6))
 
 

@@ -2,8 +2,8 @@
 
 Every job runs against whatever session the caller hands in. Settings that
 matter for correctness (UTC session time zone, ANSI mode) and for scale (AQE,
-skew-join handling) are applied with :func:`tune`, which never overrides a
-value the cluster has already set.
+skew-join handling) are applied with :func:`tune`, which overrides a value
+the cluster has already set for the time zone alone.
 """
 
 from __future__ import annotations
@@ -44,12 +44,11 @@ def get_session(master: str | None = None, app: str = "lakeloom", shuffle_partit
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`DEFAULTS` where unset, make sure a checkpoint dir exists, and
-    ship this package to the executors' Python workers."""
+    """Apply :data:`DEFAULTS` and ship this package to the executors' Python workers."""
     for key, value in DEFAULTS.items():
+        # Results are defined in UTC, so the time zone alone is always set.
         if key == "spark.sql.session.timeZone" or spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    checkpoint_dir(spark)
     ship_package(spark)
     return spark
 

@@ -60,17 +60,13 @@ class TaskError(RuntimeError):
 # Spark settings by environment profile; a missing profile is an error, not a silent default.
 PROFILES = {
     "DEV": {"spark.sql.shuffle.partitions": "8"},
-    # Large clusters: start shuffles wide and let AQE coalesce toward ~256 MB
-    # partitions and split skewed ones; read splits of 512 MB; hand-made
-    # broadcasts stay under the 64 MB bound checked in ``plans.sizing``.
+    # The number of shuffle partitions is the platform's to set; adaptive execution merges small
+    # partitions and splits skewed ones. Hand-made broadcasts stay under the bound checked in
+    # ``plans.sizing``.
     "PROD": {
-        "spark.sql.shuffle.partitions": "8000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": "512m",
-        "spark.sql.autoBroadcastJoinThreshold": "64m",
     },
 }
 

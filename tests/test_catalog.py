@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
+from lakeloom import catalog
 from lakeloom.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
@@ -39,7 +40,8 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    q, o = entry_mod.queries(), entry_mod.oracle_sql()
+    q, o = catalog.queries(), catalog.oracle_sql()
+    assert set(q) <= set(entry_mod.queries())
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
 
@@ -49,12 +51,12 @@ def test_entry_returns_rows(spark):
     assert df.count() > 0 and "revenue_rank" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_mod.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_duckdb(spark, con, name):
-    df = entry_mod.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     cols = df.columns
     got = sorted((tuple(norm(x) for x in r) for r in df.collect()), key=repr)
-    cur = con.execute(entry_mod.oracle_sql()[name])
+    cur = con.execute(catalog.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(ocols)
     idx = [ocols.index(c) for c in cols]

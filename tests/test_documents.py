@@ -10,17 +10,17 @@ def test_fold_and_fan_out_round_trip(spark):
     rows = [(i, t0 + datetime.timedelta(minutes=7 * i), i % 3, "error" if i % 5 == 0 else "view", float(i))
             for i in range(400)]
     events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
-    docs = documents.fold_to_documents(events)
-    assert docs.select(F.max(F.size("hourly.time"))).first()[0] <= documents.DOC_SLOTS
-    out = documents.fan_out(docs)
+    records = documents.nested_readings(events)
+    assert records.select(F.max(F.size("times"))).first()[0] <= documents.RECORD_SLOTS
+    out = documents.unroll(records)
     assert out.count() == 400  # zipped, not n² rows
     r = out.filter(F.col("event_id") == 10).first()
-    assert r["kind"] == "error" and r["condition"] == "fault" and r["observed_hour"] == 1
+    assert r["kind"] == "error" and r["state"] == "fault" and r["hour"] == 1
 
 
 def test_content_dedupe_counts_copies(spark):
     df = spark.createDataFrame([(1, "same text"), (2, "same text"), (3, "other")], "doc_id long, text string")
-    got = {r["first_source_id"]: r["copies"] for r in documents.content_documents(df).collect()}
+    got = {r["first_key"]: r["copies"] for r in documents.distinct_texts(df, "doc_id", "text", "x").collect()}
     assert got == {1: 2, 3: 1}
 
 

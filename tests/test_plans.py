@@ -48,12 +48,3 @@ def test_jdbc_partitioned_read_keeps_all_rows(spark):
         jdbc.read_partitioned(spark, url, "T", "K", lower=None, upper=60, partitions=4)
     pushed = jdbc.read_query(spark, url, "SELECT K FROM T WHERE K < 10")
     assert pushed.count() == 10
-
-
-def test_spread_only_when_few_partitions(spark):
-    from lakeloom.plans.parallelism import spread
-
-    many = spark.range(0, 100, numPartitions=64)
-    assert spread(many) is many
-    few = spark.range(0, 100, numPartitions=1)
-    assert spread(few, 4).rdd.getNumPartitions() == 4

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import retrieve
@@ -15,7 +16,7 @@ def brute(q, d, k, exclude_self=False, q_ids=None, d_ids=None):
     return out
 
 
-def test_topk_equals_brute_force_with_blocks(spark):
+def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(1)
     d = rng.normal(size=(300, 8)).astype(np.float32)
     d[5] = 0  # zero vector keeps norm 1
@@ -23,13 +24,15 @@ def test_topk_equals_brute_force_with_blocks(spark):
     ids = list(range(100, 400))
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, d)], "id long, embedding array<float>")
     want = brute(d.astype(np.float64), d.astype(np.float64), 4, True, ids, ids)
-    for bound in (10**9, 2000):  # one block; then many small blocks
-        got = retrieve.topk_similar(df, df.repartition(5), k=4, q_id="id", d_id="id", exclude_self=True,
-                                    max_question_bytes=bound)
+    for cast in ("long", "string"):
+        own = df.withColumn("id", F.col("id").cast(cast))
         rows = {}
-        for r in got.orderBy("query_id", "rank").collect():
-            rows.setdefault(r["query_id"], []).append(r["doc_id"])
+        for r in retrieve.topk_similar(own, own.repartition(5), k=4, q_id="id", d_id="id", exclude_self=True).orderBy(
+                "query_id", "rank").collect():
+            rows.setdefault(int(r["query_id"]), []).append(int(r["doc_id"]))
         assert rows == want
+    with pytest.raises(ValueError, match="question side"):
+        retrieve.topk_similar(df, df, q_id="id", d_id="id", max_question_bytes=2000)
 
 
 def test_cited_context_orders_hits(spark):
