@@ -13,6 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .registry import PRODUCTION
 
 # Allowed error growth before a model counts as decayed, and the
 # improvement a challenger needs before a rollback is worth a deployment.
@@ -78,6 +79,36 @@ def decide(decay_rows: DataFrame, drift: DataFrame, champion: int, allow_rollbac
                       action.alias("action"), diagnosis.alias("diagnosis"))
 
 
+def candidates(decay_rows: DataFrame, decision: DataFrame) -> DataFrame:
+    """Every version with its role; the decision's best version is marked."""
+    row = decision.select(F.struct("champion_version", "best_version").alias("r")).scalar()
+    role = F.when(F.col("version") == row["champion_version"], F.lit("champion")).otherwise(F.lit("challenger"))
+    return decay_rows.select("version", role.alias("role"), (F.col("version") == row["best_version"]).alias("best_challenger"),
+                             "test_mae", "live_mae", "decayed")
+
+
+def incident(decay_rows: DataFrame, decision: DataFrame, target: str) -> DataFrame:
+    """The run's finding in one row, with a line of text."""
+    baseline = decay_rows.agg(F.collect_list(F.struct("version", "test_mae")).alias("v")).select(F.struct("v").alias("v")).scalar()
+    own = F.filter("_recorded", lambda x: x["version"] == F.col("champion_version"))
+    inputs = F.filter("drifted_columns", lambda c: c != target)
+    return decision.withColumn("_recorded", baseline["v"]).withColumn("baseline_mae", F.get(own, F.lit(0))["test_mae"]).select(
+        "action", "diagnosis", F.array_contains("drifted_columns", target).alias("target_drift"),
+        (F.size(inputs) > 0).alias("input_drift"), inputs.alias("drifted_inputs"), "baseline_mae", "champion_mae",
+        F.format_string("v%d %s: error %.2f against %.2f at release; best other v%d at %.2f", "champion_version", "diagnosis",
+                        "champion_mae", "baseline_mae", "best_version", "best_mae").alias("detail"))
+
+
+def apply_remedy(log: DataFrame, decision: DataFrame, model: str) -> DataFrame:
+    """The stage log with the event of a rollback, a moment after its newest event, if one was decided."""
+    newest = log.where(F.col("model_name") == model).agg((F.max("event_time") + F.expr("INTERVAL 1 SECOND")).alias("at"))
+    at = newest.select("at").scalar()
+    event = decision.where("action = 'rollback'").select(
+        F.lit(model).alias("model_name"), F.col("best_version").cast("bigint").alias("version"),
+        F.lit(PRODUCTION).alias("stage"), at.cast("timestamp_ntz").alias("event_time"), F.col("diagnosis").alias("reason"))
+    return log.select(*event.columns).unionByName(event)
+
+
 def _one_row(spark, *frames: DataFrame) -> DataFrame:
     """Side by side, the single rows of one-row aggregates, each as a scalar subquery."""
     cols = []

@@ -26,7 +26,7 @@ SEED = 42
 
 
 def learner(kind: str, features: list[str] = FEATURES, label: str = TARGET) -> Pipeline:
-    assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     if kind == "gbt":
         est = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=10, stepSize=0.3,
                            maxDepth=5, seed=SEED)
@@ -90,7 +90,7 @@ def score(model: PipelineModel, frame: DataFrame, version: int) -> DataFrame:
 def text_pipeline(num_features: int = 1 << 16) -> Pipeline:
     tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=WHITESPACE_CLASS, toLowercase=True)
     tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features)
-    idf = IDF(inputCol="tf", outputCol="features", minDocFreq=2)
+    idf = IDF(inputCol="tf", outputCol="features")
     lr = LogisticRegression(featuresCol="features", labelCol="label", predictionCol="prediction", maxIter=50,
                             regParam=0.01, family="binomial")
     return Pipeline(stages=[tok, tf, idf, lr])

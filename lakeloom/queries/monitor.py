@@ -3,8 +3,6 @@ the leaderboard (E7, E8, F2, F3, F5, K18)."""
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import functions as F
 
 from ..catalog import query
@@ -26,11 +24,18 @@ _BUCKET = f"(CAST(('0x' || substr(sha256({_KEY}), 1, 8)) AS UBIGINT) % 100)"
 
 
 def _windows(spark, d, factor=LIVE_FACTOR):
+    """(lines with their split, live window): versions are fitted on ``train``; the live window is
+    the ``score`` split, whose rows no version has seen, with inflated prices."""
     li = read_table(spark, d, "lineitem")
     cols = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
-    reference = li.withColumn("split", split_label(cols))
-    live = li.withColumn(TARGET, F.col(TARGET) * F.lit(factor))
-    return reference, live
+    lines = li.withColumn("split", split_label(cols))
+    live = lines.where("split = 'score'").withColumn(TARGET, F.col(TARGET) * F.lit(factor))
+    return lines, live
+
+
+def _drift(spark, d, columns):
+    lines, live = _windows(spark, d)
+    return psi.psi_table(lines.where("split = 'train'"), live, columns)
 
 
 # ---------------------------------------------------------------- E11, E12, E13, K15
@@ -65,7 +70,9 @@ def _drift_sql(features: list[str], target: str, factor: float) -> str:
         parts = []
         for c in features:
             expr = f"{c} * CAST({factor} AS DOUBLE)" if (live and c == target) else c
-            parts.append(f"SELECT '{c}' AS feature, CAST({expr} AS DOUBLE) AS value FROM lineitem WHERE {c} IS NOT NULL")
+            window = f"{_BUCKET} >= 85" if live else f"{_BUCKET} < 70"
+            parts.append(f"SELECT '{c}' AS feature, CAST({expr} AS DOUBLE) AS value FROM lineitem "
+                         f"WHERE {c} IS NOT NULL AND {window}")
         return " UNION ALL ".join(parts)
 
     return f"""
@@ -93,9 +100,8 @@ _STATUS = "CASE WHEN psi > 0.25 THEN 'breach' WHEN psi > 0.10 THEN 'warn' ELSE '
 SELECT round(psi, 6) AS psi, {_STATUS} AS status FROM p
 """)
 def psi_drift(spark, d):
-    """Target PSI between the reference prices and the same prices inflated by 35 %."""
-    reference, live = _windows(spark, d)
-    t = psi.psi_table(reference, live, [TARGET])
+    """Target PSI between the training prices and the live window's, inflated by 35 %."""
+    t = _drift(spark, d, [TARGET])
     return t.select(F.round("psi", 6).alias("psi"), psi.status(F.col("psi")).alias("status"))
 
 
@@ -104,8 +110,8 @@ SELECT feature, CASE WHEN feature = '{TARGET}' THEN 'target' ELSE 'input' END AS
        {_STATUS} AS status, psi > 0.25 AS breached FROM p
 """)
 def drift_table(spark, d):
-    reference, live = _windows(spark, d)
-    t = psi.drift_table(reference, live, INPUTS, TARGET)
+    lines, live = _windows(spark, d)
+    t = psi.drift_table(lines.where("split = 'train'"), live, INPUTS, TARGET)
     return t.select("feature", "kind", F.round("psi", 6).alias("psi"), "status", "breached")
 
 
@@ -153,7 +159,7 @@ pred AS (
   UNION ALL
   SELECT 3, x.b, x.l_extendedprice, o.mean_price FROM ref x, o),
 recorded AS (SELECT version, avg(abs(p - y)) AS test_mae FROM pred WHERE b >= 70 AND b < 85 GROUP BY version),
-live AS (SELECT version, avg(abs(p - y * CAST({LIVE_FACTOR} AS DOUBLE))) AS live_mae, count(*) AS rows FROM pred GROUP BY version),
+live AS (SELECT version, avg(abs(p - y * CAST({LIVE_FACTOR} AS DOUBLE))) AS live_mae, count(*) AS rows FROM pred WHERE b >= 85 GROUP BY version),
 dec AS (SELECT l.version, r.test_mae, l.live_mae, l.rows, l.live_mae / r.test_mae AS error_multiple,
                coalesce(r.test_mae > 0 AND l.live_mae > 3.0 * r.test_mae, false) AS decayed
         FROM live l LEFT JOIN recorded r ON r.version = l.version)"""
@@ -188,38 +194,97 @@ def decay_check(spark, d):
                       F.round("error_multiple", 6).alias("error_multiple"), "decayed")
 
 
-def stage_events(spark):
-    """The registry for the monitored model: v1 then v2 promoted, v3 staged."""
-    at = datetime.datetime
-    rows = [("fare", 1, registry.PRODUCTION, at(2024, 1, 1), "initial"),
-            ("fare", 2, registry.PRODUCTION, at(2024, 2, 1), "passed gate"),
-            ("fare", 3, registry.STAGING, at(2024, 3, 1), "candidate")]
-    return spark.createDataFrame(rows, registry.SCHEMA)
+def stage_events(spark, d):
+    """The registry of the monitored model, dated by the order book: v1 at its first order, v2 at
+    its last, v3 staged a day later."""
+    span = read_table(spark, d, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    events = F.array(*[
+        F.struct(F.lit("price").alias("model_name"), F.lit(v).cast("bigint").alias("version"), F.lit(stage).alias("stage"),
+                 at.cast("timestamp_ntz").alias("event_time"), F.lit(why).alias("reason"))
+        for v, stage, at, why in ((1, registry.PRODUCTION, F.col("a"), "initial"),
+                                  (2, registry.PRODUCTION, F.col("b"), "passed gate"),
+                                  (3, registry.STAGING, F.col("b") + F.expr("INTERVAL 1 DAY"), "candidate"))])
+    return span.select(F.inline(events))
+
+
+def _decision(spark, d):
+    """(stage events, candidate rows, drift rows, decision row) of one monitoring run."""
+    log = stage_events(spark, d)
+    champion = registry.production_version(log, "price")
+    lines, live = _windows(spark, d)
+    drift = psi.drift_table(lines.where("split = 'train'"), live, INPUTS, TARGET)
+    _, dec = _decay_rows(spark, d)
+    return log, dec, drift, monitor.decide(dec, drift, champion)
 
 
-@query("monitor_decision", _VERSIONS_SQL + "," + _DRIFT_ALL.strip()[len("WITH"):] + """,
+_DECISION_SQL = _VERSIONS_SQL + "," + _DRIFT_ALL.strip()[len("WITH"):] + """,
 ch AS (SELECT live_mae AS champion_mae, decayed FROM dec WHERE version = 2),
 ot AS (SELECT version AS best_version, live_mae AS best_mae FROM dec WHERE version <> 2 ORDER BY live_mae, version LIMIT 1),
 dr AS (SELECT coalesce(max(CASE WHEN psi > 0.25 THEN 1 ELSE 0 END), 0) = 1 AS breached,
               list_sort(list(feature) FILTER (WHERE psi > 0.25)) AS drifted_columns FROM p),
-x AS (SELECT *, coalesce(best_mae < champion_mae * 0.9, false) AS wins FROM ch, ot, dr)
+x AS (SELECT *, coalesce(best_mae < champion_mae * 0.9, false) AS wins FROM ch, ot, dr),
+decision AS (
+  SELECT *, CASE WHEN NOT breached AND NOT decayed AND NOT wins THEN 'none' WHEN wins THEN 'rollback' ELSE 'retrain' END AS action,
+         CASE WHEN NOT breached AND NOT decayed AND NOT wins THEN 'healthy' WHEN wins THEN 'regression'
+              WHEN breached THEN 'world_moved' ELSE 'decayed' END AS diagnosis
+  FROM x)
+"""
+
+
+@query("monitor_decision", _DECISION_SQL + """
 SELECT CAST(2 AS BIGINT) AS champion_version, round(champion_mae, 6) AS champion_mae, best_version,
-       round(best_mae, 6) AS best_mae, breached, decayed, wins AS challenger_wins, drifted_columns,
-       CASE WHEN NOT breached AND NOT decayed AND NOT wins THEN 'none' WHEN wins THEN 'rollback' ELSE 'retrain' END AS action,
-       CASE WHEN NOT breached AND NOT decayed AND NOT wins THEN 'healthy' WHEN wins THEN 'regression'
-            WHEN breached THEN 'world_moved' ELSE 'decayed' END AS diagnosis
-FROM x
+       round(best_mae, 6) AS best_mae, breached, decayed, wins AS challenger_wins, drifted_columns, action, diagnosis
+FROM decision
 """)
 def monitor_decision(spark, d):
     """Champion from the registry; drift, decay and challengers decide none/alert/rollback/retrain."""
-    champion = registry.production_version(stage_events(spark), "fare")
-    reference, live = _windows(spark, d)
-    drift = psi.drift_table(reference, live, INPUTS, TARGET)
-    _, dec = _decay_rows(spark, d)
-    out = monitor.decide(dec, drift, champion)
+    out = _decision(spark, d)[3]
     return out.withColumn("champion_mae", F.round("champion_mae", 6)).withColumn("best_mae", F.round("best_mae", 6))
 
 
+@query("monitoring_candidates", _DECISION_SQL + """
+SELECT dec.version, CASE WHEN dec.version = 2 THEN 'champion' ELSE 'challenger' END AS role,
+       dec.version = decision.best_version AS best_challenger, round(dec.test_mae, 6) AS test_mae,
+       round(dec.live_mae, 6) AS live_mae, dec.decayed
+FROM dec, decision
+""")
+def monitoring_candidates(spark, d):
+    """Every version on the live window, with its role and whether it is the best challenger."""
+    _, dec, _, row = _decision(spark, d)
+    return monitor.candidates(dec, row).withColumn("test_mae", F.round("test_mae", 6)).withColumn(
+        "live_mae", F.round("live_mae", 6))
+
+
+@query("monitoring_incidents", _DECISION_SQL + f"""
+SELECT action, diagnosis, list_contains(drifted_columns, '{TARGET}') AS target_drift,
+       len(list_filter(drifted_columns, lambda c: c <> '{TARGET}')) > 0 AS input_drift,
+       list_filter(drifted_columns, lambda c: c <> '{TARGET}') AS drifted_inputs,
+       round((SELECT test_mae FROM dec WHERE version = 2), 6) AS baseline_mae, round(champion_mae, 6) AS champion_mae,
+       printf('v2 %s: error %.2f against %.2f at release; best other v%d at %.2f', diagnosis, champion_mae,
+              (SELECT test_mae FROM dec WHERE version = 2), best_version, best_mae) AS detail
+FROM (SELECT * REPLACE (coalesce(drifted_columns, []) AS drifted_columns) FROM decision)
+""")
+def monitoring_incidents(spark, d):
+    """What a run found, in one row: drift of inputs and target, errors, and a line of text."""
+    _, dec, _, row = _decision(spark, d)
+    return monitor.incident(dec, row, TARGET).withColumn("baseline_mae", F.round("baseline_mae", 6)).withColumn(
+        "champion_mae", F.round("champion_mae", 6))
+
+
+@query("registry_after_rollback", _DECISION_SQL + """
+SELECT 'price' AS model_name, CASE WHEN action = 'rollback' THEN best_version ELSE 2 END AS version,
+       CASE WHEN action = 'rollback' THEN diagnosis ELSE 'passed gate' END AS reason
+FROM decision
+""")
+def registry_after_rollback(spark, d):
+    """Production after the remedy: a rollback appends an event that moves it to the best version."""
+    log, _, _, row = _decision(spark, d)
+    after = monitor.apply_remedy(log, row, "price")
+    newest = F.max_by(F.struct("version", "reason"), F.struct("event_time", "version"))
+    return after.where(F.col("stage") == registry.PRODUCTION).groupBy("model_name").agg(newest.alias("b")).select(
+        "model_name", "b.version", "b.reason")
+
+
 # ---------------------------------------------------------------- leaderboard
 
 _LOG_SQL = """
