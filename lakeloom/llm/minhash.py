@@ -44,7 +44,7 @@ ORACLE = None  # weighted sampling has no SQL form; tests hold the classes again
 
 SHINGLE = 5
 SIMILAR = 0.8
-BANDS, ROWS = 14, 4
+BANDS, ROWS = 20, 4
 BINS = 1 << 18
 SLICES = 64
 IDF_GAIN = 0.25
