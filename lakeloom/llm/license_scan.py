@@ -80,7 +80,7 @@ class NoticeFinder:
         seeds: dict[str, list[tuple[int, int]]] = {}
         for k, (notice, label) in enumerate(notices):
             edits = len(notice) // edit_share
-            pattern = regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={edits}}}")
+            pattern = regex.compile(f"(?e)(?:{regex.escape(notice)}){{e<={edits}}}")
             self.notices.append((notice, label, edits, pattern))
             for offset, piece in pieces(notice, edits):
                 seeds.setdefault(piece, []).append((k, offset))
@@ -114,23 +114,31 @@ class NoticeFinder:
         return sorted(found, key=lambda x: (x[1], x[2], x[0], x[3]))
 
 
+def word_numbers(norm: bytes, places: list[int]) -> dict[int, int]:
+    """Number of the word at, or after the space at, each place of a normalised text."""
+    numbers, n, past = {}, 0, 0
+    for at in sorted(set(places)):
+        n += norm.count(b" ", past, at + 1)
+        past = at + 1
+        numbers[at] = n - 1
+    return numbers
+
+
 def scan_text(text: bytes, finder: NoticeFinder) -> dict:
     n_words, norm = normalise(text)
-    word_at = lambda i: norm.count(b" ", 0, i + 1) - 1  # noqa: E731  the word that starts after byte i
-    starts, labels = [], set()
+    base, labels = [], set()
     for phrase, label in BASE:
         needle = b" " + phrase.encode() + b" "
         at = norm.find(needle)
         while at >= 0:
-            starts.append(word_at(at))
+            base.append(at)
             labels.add(label)
             at = norm.find(needle, at + 1)
     fuzzy = finder.find(norm.decode("latin-1"))
-    spans = [
-        {"label": label, "first": max(0, norm.count(b" ", 0, a + (norm[a:a + 1] == b" ")) - 1),
-         "last": max(0, norm.count(b" ", 0, b) - 1 - (norm[b - 1:b] == b" ")), "edits": edits}
-        for label, a, b, edits, _ in fuzzy
-    ]
+    number = word_numbers(norm, base + [x[1] for x in fuzzy] + [x[2] - 1 for x in fuzzy])
+    starts = [number[at] for at in base]
+    spans = [{"label": label, "first": number[a], "last": number[b - 1] - (norm[b - 1:b] == b" "), "edits": edits}
+             for label, a, b, edits, _ in fuzzy]
     return {
         "n_words": n_words, "n_base": len(starts),
         "first_word": min(starts, default=None), "last_word": max(starts, default=None),

@@ -15,7 +15,7 @@ in a band are candidates.
 Candidates are joined to components first, over links to each band bucket's first text, so
 that every candidate's text travels once. Within a component the texts are verified by
 weighted Jaccard similarity: all pairs that share a bucket, apart from those already known
-to be in one class. A component of more than ``CHUNK`` texts is split: chunks are verified
+to be in one class. A component of more than ``CHUNK`` texts or ``CHUNK_BYTES`` is split: chunks are verified
 with common pivots, and texts that do not end up in the main class are held against all
 chunks, so no link between different texts is lost.
 
@@ -50,7 +50,8 @@ SLICES = 64
 IDF_GAIN = 0.25
 GRID = 32  # weight steps per factor e
 POOL_BITS = 16
-CHUNK = 4096
+CHUNK = 4096  # texts of a component verified together, and
+CHUNK_BYTES = 32 << 20  # their bytes (a longer text alone)
 PIVOTS = 64
 PIECE = 1 << 20  # bytes of text worked on at a time
 
@@ -183,7 +184,7 @@ def idf_table(docs: DataFrame) -> np.ndarray:
 
 
 def sign(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(doc_id, h, bands): the digest of each text and its band hashes (none without words)."""
+    """(doc_id, h, size, bands): digest, bytes and band hashes of each text (none without words)."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,12 +198,13 @@ def sign(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                     for i, row in zip(np.unique(doc).tolist(), found):
                         bands[a + i] = row
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "h", "bands"])
+                [batch.column(0), batch.column(1), pa.array([len(t) for t in texts], pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "h", "size", "bands"])
 
     text = F.coalesce("text", F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
                        F.md5(text.cast("binary")).alias("h"), text.alias("text")).mapInArrow(
-        run, "doc_id long, h string, bands array<long>")
+        run, "doc_id long, h string, size long, bands array<long>")
 
 
 class Texts:
@@ -282,7 +284,7 @@ def verified_links(docs: DataFrame, signed: DataFrame, idf: np.ndarray, chunk: i
     """(a, b): digests of similar texts, enough of them to join every class."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(idf)
-    texts = signed.where("bands IS NOT NULL").groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    texts = signed.where("bands IS NOT NULL").groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     texts = common.staged(texts, "texts")
     buckets = texts.select("h", F.explode("bands").alias("band"))
     heads = buckets.groupBy("band").agg(F.min("h").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -290,11 +292,11 @@ def verified_links(docs: DataFrame, signed: DataFrame, idf: np.ndarray, chunk: i
     stars = components(links)
     roots = stars.select(F.col("root").alias("node"), "root").distinct()
     members = stars.unionByName(roots).select(F.col("node").alias("h"), "root")
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = common.staged(
-        members.join(sizes.hint("merge"), "root").join(texts.hint("merge"), "h").withColumn(
-            "chunk", F.when(F.col("n") > chunk, F.expr(f"pmod(xxhash64(h), cast(ceil(n / {chunk}) AS long))")).otherwise(F.lit(0))
-        ), "candidates")
+    members = members.join(texts.hint("merge"), "h")
+    sizes = members.groupBy("root").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / chunk), F.ceil(F.sum("size") / CHUNK_BYTES)).cast("long").alias("chunks"))
+    members = common.staged(members.join(sizes.hint("merge"), "root").drop("size").withColumn(
+        "chunk", F.expr("pmod(xxhash64(h), chunks)")), "candidates")
 
     text = F.coalesce("text", F.lit(""))
     own = docs.select(text.alias("text"), F.md5(text.cast("binary")).alias("h"),
@@ -308,9 +310,9 @@ def verified_links(docs: DataFrame, signed: DataFrame, idf: np.ndarray, chunk: i
         return _as_links(found, link_all(found))
 
     # Chunks of a large component share some of its texts, about PIVOTS, as pivots.
-    large = members.where(F.col("n") > chunk)
-    copies = large.where(f"pmod(xxhash64(h, 1), greatest(n DIV {PIVOTS}, 1)) = 0").withColumn(
-        "chunk", F.explode(F.expr(f"sequence(0L, cast(ceil(n / {chunk}) AS long) - 1)")))
+    large = members.where("chunks > 1")
+    copies = large.where(f"pmod(xxhash64(h, 1), greatest(chunks * {chunk} DIV {PIVOTS}, 1)) = 0").withColumn(
+        "chunk", F.explode(F.expr("sequence(0L, chunks - 1)")))
     spread = common.staged(copies.select(members.columns), "pivots")
     groups = with_text(members).unionByName(with_text(spread))
     first = common.staged(groups.select("root", "chunk", "h", "text", "bands").groupBy("root", "chunk").applyInArrow(
@@ -324,10 +326,9 @@ def verified_links(docs: DataFrame, signed: DataFrame, idf: np.ndarray, chunk: i
         "cls", F.coalesce("cls", "h"))
     main = known.groupBy("root", "cls").agg(F.count(F.lit(1)).alias("size")).groupBy("root").agg(
         F.max(F.struct("size", "cls")).alias("main"))
-    known = common.staged(known.join(main.hint("merge"), "root").withColumn("rest", F.col("cls") != F.col("main.cls")).drop("main"),
-                          "known")
-    n_chunks = F.expr(f"cast(ceil(n / {chunk}) AS long)")
-    rest = known.where("rest").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)))
+    known = common.staged(known.join(main.hint("merge"), "root").withColumn(
+        "rest", F.col("cls") != F.col("main.cls")).drop("main"), "known")
+    rest = known.where("rest").withColumn("with", F.explode(F.expr("sequence(0L, chunks - 1)")))
     rest_chunks = known.where("rest").select("root", F.col("chunk").alias("of")).distinct()
     every = known.join(rest_chunks.hint("merge"), "root").withColumn("with", F.col("chunk")).withColumn("rest", F.lit(False))
     rest = rest.withColumn("of", F.col("chunk"))
