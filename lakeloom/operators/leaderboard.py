@@ -17,7 +17,11 @@ from .ranking import global_row_number
 # Margin needed to call a winner, ranking metric, reported metrics.
 DECISIVE_MARGIN_PCT = 5.0
 RANK_BY = "score_rmse"
-REPORTED = ["score_rmse", "test_rmse", "test_r2"]
+REPORTED = ["train_rmse", "test_rmse", "test_mae", "test_r2", "score_rmse", "score_mae", "score_r2"]
+
+
+class NoScores(RuntimeError):
+    pass
 
 
 def metrics_log_from_lines(lines: DataFrame) -> DataFrame:
@@ -27,9 +31,13 @@ def metrics_log_from_lines(lines: DataFrame) -> DataFrame:
     runs = lines.groupBy("l_returnflag", "l_linestatus").agg(
         F.min("l_shipdate").alias("_first"), F.max("l_shipdate").alias("_last"),
         (F.count("*") / F.lit(1000.0)).alias("train_seconds"),
-        F.round(F.stddev_pop("l_extendedprice") / 1000, 6).alias("score_rmse"),
+        F.round(F.max("l_extendedprice") / 10000, 6).alias("train_rmse"),
         F.round(F.avg("l_extendedprice") / 1000, 6).alias("test_rmse"),
-        F.round(F.avg("l_discount") * 10, 6).alias("test_r2"))
+        F.round(F.avg("l_quantity"), 6).alias("test_mae"),
+        F.round(F.avg("l_discount") * 10, 6).alias("test_r2"),
+        F.round(F.stddev_pop("l_extendedprice") / 1000, 6).alias("score_rmse"),
+        F.round(F.stddev_pop("l_quantity"), 6).alias("score_mae"),
+        F.round(F.avg("l_tax") * 10, 6).alias("score_r2"))
     wide = runs.select(
         F.concat(F.lit("learner_"), F.lower("l_returnflag")).alias("framework"),
         F.concat(F.lit("fare_"), F.lower("l_returnflag")).alias("model_name"),
@@ -63,7 +71,10 @@ def margin(rk: DataFrame) -> DataFrame:
 
 
 def board(log: DataFrame) -> DataFrame:
-    rk = ranked(latest_board(log))
+    entrants = latest_board(log)
+    if entrants.isEmpty():
+        raise NoScores(f"no run has a {RANK_BY}, so there is nothing to rank")
+    rk = ranked(entrants)
     out = rk.withColumn("margin_pct", margin(rk).select("margin_pct").scalar())
     verdict = F.when(F.col("margin_pct") >= DECISIVE_MARGIN_PCT, F.lit("clear win")).otherwise(F.lit("too close to call"))
     return out.select("framework", "model_name", "version", "train_seconds", *REPORTED, "rank",

@@ -293,8 +293,10 @@ WITH runs AS (
          CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS version,
          CASE WHEN l_linestatus = 'F' THEN min(l_shipdate) ELSE max(l_shipdate) END AS recorded_at,
          count(*) / CAST(1000 AS DOUBLE) AS train_seconds,
-         round(stddev_pop(l_extendedprice) / 1000, 6) AS score_rmse, round(avg(l_extendedprice) / 1000, 6) AS test_rmse,
-         round(avg(l_discount) * 10, 6) AS test_r2
+         round(max(l_extendedprice) / 10000, 6) AS train_rmse, round(avg(l_extendedprice) / 1000, 6) AS test_rmse,
+         round(avg(l_quantity), 6) AS test_mae, round(avg(l_discount) * 10, 6) AS test_r2,
+         round(stddev_pop(l_extendedprice) / 1000, 6) AS score_rmse, round(stddev_pop(l_quantity), 6) AS score_mae,
+         round(avg(l_tax) * 10, 6) AS score_r2
   FROM lineitem GROUP BY l_returnflag, l_linestatus),
 latest AS (SELECT framework, max(recorded_at) AS recorded_at FROM runs GROUP BY framework),
 board AS (SELECT r.* FROM runs r JOIN latest USING (framework, recorded_at) WHERE score_rmse IS NOT NULL),
@@ -304,7 +306,7 @@ top AS (SELECT max(CASE WHEN rank = 1 THEN score_rmse END) AS best, max(CASE WHE
 
 
 @query("leaderboard", _LOG_SQL + """
-SELECT framework, model_name, version, train_seconds, score_rmse, test_rmse, test_r2, rank, rank = 1 AS is_champion,
+SELECT framework, model_name, version, train_seconds, train_rmse, test_rmse, test_mae, test_r2, score_rmse, score_mae, score_r2, rank, rank = 1 AS is_champion,
        'score_rmse' AS ranked_on,
        round(CASE WHEN runner IS NULL OR runner = 0 THEN 100.0 ELSE 100.0 * (runner - best) / runner END, 6) AS margin_pct,
        CASE WHEN (CASE WHEN runner IS NULL OR runner = 0 THEN 100.0 ELSE 100.0 * (runner - best) / runner END) >= 5.0

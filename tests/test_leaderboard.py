@@ -1,5 +1,7 @@
 import datetime
 
+import pytest
+
 from lakeloom.operators import leaderboard
 
 T0, T1 = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 2, 1)
@@ -24,3 +26,8 @@ def test_single_entrant_and_null_score(spark):
     rows = [("a", "m", 1, T0, 1.0, "score_rmse", 2.0), ("b", "m", 1, T0, 1.0, "test_rmse", 1.0)]
     b = leaderboard.board(log(spark, rows)).collect()
     assert len(b) == 1 and b[0]["margin_pct"] == 100.0 and b[0]["verdict"] == "clear win"
+
+
+def test_no_scores_is_an_error(spark):
+    with pytest.raises(leaderboard.NoScores):
+        leaderboard.board(log(spark, [("b", "m", 1, T0, 1.0, "test_rmse", 1.0)]))
