@@ -11,12 +11,13 @@ import time
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE_CLASS
+from ..session import landed
 from . import gate, metrics, registry
 from .features import FEATURES, TARGET
 
@@ -36,9 +37,10 @@ def learner(kind: str, features: list[str] = FEATURES, label: str = TARGET) -> P
                                     numTrees=30, maxDepth=8, seed=SEED)
         return Pipeline(stages=[assemble, est])
     if kind == "linear":
-        # Inputs are standardised beforehand with ``scale`` (population std, fitted on train).
-        est = LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction", regParam=0.0)
-        return Pipeline(stages=[assemble, est])
+        # The scaler is fitted with the model and saved with it.
+        scaled = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+        est = LinearRegression(featuresCol="scaled", labelCol=label, predictionCol="prediction", regParam=0.0)
+        return Pipeline(stages=[assemble, scaled, est])
     raise ValueError(f"unknown learner {kind!r}")
 
 
@@ -67,8 +69,8 @@ def train_gate_register(features: DataFrame, log_path_reader, model_dir: str, mo
     train = features.filter(F.col("split") == "train")
     test = features.filter(F.col("split") == "test")
     model, long, seconds = fit_and_score(kind, train, {"test": test})
-    long = long.cache()
-    gate_rows = gate.evaluate(long, gate.bars_frame(spark, bars or FARE_BARS)).cache()
+    long = landed(long, "metrics")
+    gate_rows = landed(gate.evaluate(long, gate.bars_frame(spark, bars or FARE_BARS)), "gate")
     gate.enforce(gate_rows)
     log = log_path_reader()
     version = registry.next_version(log, model_name) if log is not None else 1

@@ -10,7 +10,7 @@ from ..catalog import query
 from ..functions.text import WHITESPACE_CLASS
 from ..operators import documents, features, gate, metrics, registry, retrieve, scale, train
 from ..operators.split import TWO_WAY, split_label
-from ..session import scratch_path
+from ..session import landed, scratch_path
 from ..sinks import Sink, write
 from ..sources.tables import read_table, register_tables
 
@@ -190,7 +190,7 @@ def registry_current(spark, d):
 @query("train_metrics")
 def train_metrics(spark, d):
     """Train → validate on unseen rows → gate → register → long metrics."""
-    feats = feature_table(spark, d).cache()
+    feats = landed(feature_table(spark, d), "features")
     model_dir = scratch_path(spark, "models")
     out, gate_rows, stage = train.train_gate_register(feats, lambda: None, model_dir)
     return out.unionByName(gate_rows.select(
@@ -213,7 +213,7 @@ def batch_inference(spark, d, run_date: str = RUN_DATE):
     """
     from pyspark.ml import PipelineModel
 
-    feats = feature_table(spark, d).cache()
+    feats = landed(feature_table(spark, d), "features")
     model_dir = scratch_path(spark, "models")
     log_path = scratch_path(spark, "stage-log")
     _, _, stage = train.train_gate_register(feats, lambda: None, model_dir)
@@ -230,7 +230,7 @@ def batch_inference(spark, d, run_date: str = RUN_DATE):
 @query("text_classifier")
 def text_classifier(spark, d):
     """Hashed-term logistic regression on labelled documents; accuracy and per-class recall gate."""
-    lab = _labelled(spark, d).cache()
+    lab = landed(_labelled(spark, d), "labelled")
     tr, te = lab.filter(F.col("split") == "train"), lab.filter(F.col("split") == "test")
     counts = {r["split"]: r["n"] for r in lab.groupBy("split").agg(F.count("*").alias("n")).collect()}
     if counts.get("train", 0) < train.MIN_TRAIN_ROWS or counts.get("test", 0) < train.MIN_TEST_ROWS:
@@ -238,7 +238,7 @@ def text_classifier(spark, d):
     model = train.text_pipeline().fit(tr.withColumn("label", F.col("label").cast("double")))
     pred = model.transform(te.withColumn("label", F.col("label").cast("double"))) \
         .withColumn("prediction", F.col("prediction").cast("int")).withColumn("label", F.col("label").cast("int"))
-    m = metrics.classification_metrics(pred, "label", "prediction").cache()
+    m = landed(metrics.classification_metrics(pred, "label", "prediction"), "metrics")
     minority = lab.groupBy("label").count().orderBy("count", "label").first()["label"]
     long = m.select(F.when(F.col("metric") == "accuracy", F.lit("accuracy"))
                     .when(F.col("class_label") == minority, F.lit("minority_recall"))
@@ -256,17 +256,13 @@ LEARNERS = ["gbt", "random_forest", "linear"]
 
 @query("bakeoff_metrics")
 def bakeoff_metrics(spark, d):
-    """Several learners, one cached split table, common long-form metrics incl. the third split."""
-    feats = feature_table(spark, d)
-    stats = scale.fit(feats.filter(F.col("split") == "train"), features.FEATURES)
-    feats = scale.transform(feats, stats, features.FEATURES).cache()
-    z_cols = [f"{c}_z" for c in features.FEATURES]
+    """Several learners, one split table, common long-form metrics incl. the third split."""
+    feats = landed(feature_table(spark, d), "features")
     tr = feats.filter(F.col("split") == "train")
     parts = None
     for kind in LEARNERS:
-        cols = z_cols if kind == "linear" else features.FEATURES
         _, long, seconds = train.fit_and_score(kind, tr, {"test": feats.filter(F.col("split") == "test"),
-                                                          "score": feats.filter(F.col("split") == "score")}, cols)
+                                                          "score": feats.filter(F.col("split") == "score")})
         part = long.select(F.lit(kind).alias("framework"), F.lit(f"fare_{kind}").alias("model_name"),
                            F.lit(1).cast("bigint").alias("version"), "metric", "value",
                            F.lit(seconds).alias("train_seconds"))

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied only where the cluster has not set them already.
 DEFAULTS = {
@@ -113,6 +113,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/lakeloom-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh scratch folder and read back: computed once, nothing cached."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so local tests can inspect written files."""
     if path.startswith("file:"):
