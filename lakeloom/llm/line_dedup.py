@@ -64,15 +64,14 @@ FROM d LEFT JOIN gone ON d.doc_id IS NOT DISTINCT FROM gone.doc_id AND d.h = gon
 """
 
 
-def _tokens(line: Column) -> Column:
-    """Tokens of a line; those with a digit are variables."""
-    return F.transform(common.split_words(line, common.SPACES),
-                       lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
+def _masked(words: Column) -> Column:
+    """Words of a line as tokens; those with a digit are variables."""
+    return F.transform(words, lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
 
 
-def _leaf(tokens: Column) -> Column:
+def _leaf(words: Column) -> Column:
     """The leaf of a line by its number of tokens and its leading tokens."""
-    return F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH))
+    return F.xxhash64(F.size(words), _masked(F.slice(words, 1, DEPTH)))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -81,12 +80,14 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     lines = docs.select("doc_id", F.md5(text.cast("binary")).alias("h"),
                         F.posexplode(F.split(text, "\n")).alias("i", "line"))
-    lines = lines.select("doc_id", "h", "i", _tokens(F.col("line")).alias("tokens")).where(
-        F.size("tokens") >= MIN_TOKENS).withColumn("leaf", _leaf(F.col("tokens")))
+    lines = lines.select("doc_id", "h", "i", common.split_words(F.col("line"), common.SPACES).alias("words")).where(
+        F.size("words") >= MIN_TOKENS).withColumn("leaf", _leaf(F.col("words")))
     per_doc = lines.groupBy("doc_id", "h", "leaf").agg(F.lit(1).alias("one"))
     leaves = common.staged(per_doc.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"))
                            .where(F.col("docs") >= min_docs).select("leaf"), "line-leaves")
-    held = common.staged(common.match(lines, leaves, ["leaf"]).select(
+    # All tokens are looked at only in lines of such leaves.
+    held = common.match(lines, leaves, ["leaf"]).withColumn("tokens", _masked(F.col("words")))
+    held = common.staged(held.select(
         "doc_id", "h", "i", "leaf", "tokens", F.md5(F.to_json("tokens").cast("binary")).alias("form")), "lines")
 
     forms = held.select("doc_id", "h", "leaf", "form").distinct().groupBy("leaf", "form").agg(
