@@ -139,9 +139,10 @@ def shard_quotas(per_source: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def mix(docs: DataFrame, block: int = BLOCK, max_epochs: int = MAX_EPOCHS, weights=WEIGHTS,
         seed: int = SEED) -> DataFrame:
-    """``docs`` (doc_id, source, size in words, ...) with source_size, target and ``taken``,
-    the words of the document that the mix takes, repeats counted."""
-    own = ("source_size", "target", "taken")
+    """``docs`` (doc_id, source, size in words, ...) with source_size, target, ``taken``, the
+    words of the document that the mix takes, repeats counted, and ``copies``, how often the
+    mix takes it as a whole document."""
+    own = ("source_size", "target", "taken", "copies")
     rows = docs.drop(*[c for c in docs.columns if c.lower() in own])
     sizes = rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("source_size"))
     plan = quotas(targets(sizes, weights, max_epochs), block, max_epochs).select(
@@ -156,13 +157,16 @@ def mix(docs: DataFrame, block: int = BLOCK, max_epochs: int = MAX_EPOCHS, weigh
     joined = laid.join(plan, F.col("source").eqNullSafe(F.col("__of"))).withColumn(
         "__step", F.when(F.col("__blocks") % PRIMES[0] != 0, F.lit(PRIMES[0])).otherwise(F.lit(PRIMES[1])).cast("long")
     ).withColumn("__shift", F.conv(F.substring(digest(seed, F.col("source")), 1, 7), 16, 10).cast("long"))
+    is_picked = "({j} * (__step % __blocks) + __shift) % __blocks < __quota % __blocks"
     picked = F.expr(f"""
         aggregate(sequence(__at DIV {block}, (__at + size - 1) DIV {block}), 0L, (sum, j) -> sum + if(
-            (j * (__step % __blocks) + __shift) % __blocks < __quota % __blocks,
+            {is_picked.format(j="j")},
             least(__at + size, (j + 1) * {block}) - greatest(__at, j * {block}), 0L))""")
     taken = F.when(F.col("size") > 0, F.expr("(__quota DIV __blocks) * size") + picked).otherwise(F.lit(0))
+    first = is_picked.format(j=f"(__at DIV {block})")
+    copies = F.when(F.col("size") > 0, F.expr(f"__quota DIV __blocks + if({first}, 1, 0)")).otherwise(F.lit(0))
     return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
-                         *text, *others)
+                         copies.cast("int").alias("copies"), *text, *others)
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -171,13 +175,12 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def draw(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, rounded to whole documents."""
+    """The mix itself: every row of ``docs`` as often as the mix takes it as a whole document."""
     own = docs.select(
         "doc_id", "source", "text", F.struct("*").alias("__row"),
         F.size(common.split_words(F.col("text"), common.SPACES)).cast("long").alias("size"))
-    copies = F.round(F.col("taken") / F.col("size")).cast("int")
-    return mix(own, **options).where("size > 0").withColumn("__copies", copies).where("__copies > 0").select(
-        F.explode(F.expr("array_repeat(__row, __copies)")).alias("__row")).select("__row.*")
+    return mix(own, **options).where("copies > 0").select(
+        F.explode(F.expr("array_repeat(__row, copies)")).alias("__row")).select("__row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

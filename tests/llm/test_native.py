@@ -97,6 +97,20 @@ def test_mixing_edges(make):
     assert drawn.columns == clashing(make([])).columns and drawn.count() > 0
 
 
+def test_drawn_words_are_near_the_targets(make):
+    # Sources to be taken 0.2 to 3 times, in documents of three to sixty blocks.
+    rows = [(i, prose(200 + 97 * i % 3800, i), f"s{min(i % 12, 3)}") for i in range(900)]
+    docs = mixing.sized(make(rows))
+    target = {r["source"]: r["target"] for r in mixing.mix(docs).collect()}
+    size, drawn = Counter(), Counter()
+    for r in rows:
+        size[r[2]] += len(r[1].split())
+    for r in mixing.draw(docs).collect():
+        drawn[r["source"]] += len(r["text"].split())
+    assert min(target[s] / size[s] for s in size) < 0.5 < 1 < max(target[s] / size[s] for s in size)
+    assert {s: drawn[s] / target[s] for s in size} == {s: pytest.approx(1, abs=0.2) for s in size}
+
+
 ITEMS = [(1, prose(30, 3)), (2, "alpha BETA gamma"), (3, None), (4, "..."), (5, prose(10, 5)), (6, prose(30, 3)),
          (70, "Über naïve w1 w2"), (8, "solo")]
 LEAKY = [(1, prose(60, 3)), (2, "x Alpha, beta; gamma! y alpha beta gamma"), (3, None), (4, ""), (5, "alpha beta"),
