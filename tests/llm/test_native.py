@@ -149,6 +149,18 @@ def test_quality_base_counts_and_lines(make):
     assert quality.clean(make([])).count() == 0
 
 
+def test_quality_drops_punctuation_stock_phrases_and_arrow_strips(make):
+    bad = ["ok ...... !!!!!! ------ ======", "ab,,,", "ACCEPT ALL COOKIES", "Accept All Cookies", "Skip to Main Content",
+           "BACK TO TOP", "We Use Cookies", "Please click here to subscribe", "Click Here To Subscribe", "enable JavaScript",
+           "Über uns: BACK TO TOP", "Home > Products > Contact > Help", "Home >> Products >> Contact >> Help"]
+    good = ["well, well: (this) is 'fine'.", "ab,,", "People use cookies in the kitchen", "if a > b then c", "an idea >> another idea >> a third",
+            "a cell of more than twenty-four characters > one > two > three"]
+    rows = [(i, prose(40) + "\n" + x) for i, x in enumerate(bad + good)]
+    texts = {r["doc_id"]: r["text"] for r in quality.clean(make(rows)).collect()}
+    left = {x: texts[i] for i, x in enumerate(bad + good)}
+    assert left == {x: prose(40) for x in bad} | {x: prose(40) + "\n" + x for x in good}
+
+
 def test_recurring_templates_are_dropped(make):
     rows = [(i, f"own line number of document {'abcdefghijklmnop'[i]}{i}x\nPosted on 2020-01-{i:02} by user{i}\n"
                 f"the same closing words for all of us\n" + prose(30, i)) for i in range(12)]
