@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, license_scan, line_dedup, minhash, mixing, phrases, quality, separator_scan, sharding,
-    substring_dedup, suffix_dedup,
+    decontaminate, language, lexical, license_scan, line_dedup, minhash, mixing, phrases, quality,
+    separator_scan, sharding, substring_dedup, suffix_dedup,
 )
 
 _MODULES = (
     separator_scan, substring_dedup, sharding, mixing, decontaminate, minhash, quality, line_dedup,
-    license_scan, suffix_dedup, phrases,
+    license_scan, suffix_dedup, language, phrases, lexical,
 )
 
 
