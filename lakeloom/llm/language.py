@@ -59,13 +59,13 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bits, letters): the places of each text's n-grams, and whether it has a letter."""
     bits = np.zeros((len(texts), DIMS), np.uint8)
     lowered = [t.lower() for t in texts]
-    points = np.frombuffer(" ".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = np.frombuffer("".join(t + " " for t in lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(points):
         return bits, np.zeros(len(texts), bool)
     ends = np.cumsum([len(t) + 1 for t in lowered])
     letter = _table(points)
-    # One blank per run of other characters (also between texts).
-    keep = letter | np.concatenate(([True], letter[:-1]))
+    # One blank per run of other characters after a letter; a text's last word has one, too.
+    keep = letter | np.concatenate(([False], letter[:-1]))
     at = np.flatnonzero(keep)
     folded = np.where(letter[at], points[at], np.uint32(BLANK)).astype(np.uint32)
     owner = np.searchsorted(ends, at, side="right")

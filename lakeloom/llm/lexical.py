@@ -48,15 +48,14 @@ LAST = np.iinfo(np.int64).max  # stands for a null doc_id, which comes last
 TABLE = tokens.byte_table(c for c in range(128) if not chr(c).isalnum())
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, tokens.Words]]:
-    """(doc_ids, which are null, words) of blocks of documents."""
+def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = tokens.BLOCK_BYTES) -> Iterator[tuple[np.ndarray, tokens.Words]]:
+    """(doc_ids, words) of blocks of documents."""
     def rows():
         for batch in batches:
             yield from zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())
 
-    for ids, texts in tokens.blocks(rows()):
-        null = np.array([i is None for i in ids])
-        yield np.array([LAST if i is None else i for i in ids], np.int64), null, tokens.words(texts, TABLE)
+    for ids, texts in tokens.blocks(rows(), block_bytes):
+        yield np.array([LAST if i is None else i for i in ids], np.int64), tokens.words(texts, TABLE)
 
 
 def _postings(words: tokens.Words, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,7 +74,7 @@ def _counter(terms):
         wanted = pa.array(terms.value, pa.binary())
         df = np.zeros(len(wanted), np.int64)
         docs = total = 0
-        for _, _, words in _blocks(batches):
+        for _, words in _blocks(batches):
             docs += len(np.unique(words.text))
             total += len(words.code)
             term, _, _ = _postings(words, wanted)
@@ -97,7 +96,7 @@ def impacts(weight: np.ndarray, tf: np.ndarray, length: np.ndarray, docs: int, t
 
 
 def nra(lists: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, k: int,
-        least: tuple[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        least: tuple[int, int] | None = None, first_depth: int = FIRST_DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """(places, scores) of the ``k`` best documents: highest score first, then lowest id; scores of 0 don't count.
 
     ``lists`` holds (places of documents, impacts) with impacts falling; ``ids[place]`` is a document's id.
@@ -105,7 +104,7 @@ def nra(lists: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, k: int,
     """
     lower = np.zeros(len(ids), np.int64)
     met = np.zeros((len(lists), len(ids)), bool)
-    depth, step = 0, FIRST_DEPTH
+    depth, step = 0, first_depth
     if not lists:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     while True:
@@ -130,24 +129,26 @@ def nra(lists: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, k: int,
             return first, lower[first]
 
 
-def _ranges(lists: list, n_docs: int) -> Iterator[tuple[int, list]]:
-    """The lists by ranges of documents, so that lists times documents stays within ``MATRIX``."""
-    span = MATRIX // len(lists) + 1
+def _ranges(lists: list, n_docs: int, matrix: int) -> Iterator[tuple[slice, list]]:
+    """The lists by ranges of documents, so that lists times documents stays within ``matrix``."""
+    span = matrix // len(lists) + 1
     if span >= n_docs:
-        yield 0, lists
+        yield slice(0, n_docs), lists
         return
     for low in range(0, n_docs, span):
         inside = [(place >= low) & (place < low + span) for place, _ in lists]
-        yield low, [(place[m] - low, impact[m]) for m, (place, impact) in zip(inside, lists) if m.any()]
+        yield slice(low, low + span), [(place[m] - low, impact[m])
+                                       for m, (place, impact) in zip(inside, lists) if m.any()]
 
 
-def _searcher(query_block, k: int, docs: int, total: int):
+def _searcher(query_block, k: int, docs: int, total: int, block_bytes: int = tokens.BLOCK_BYTES,
+              matrix: int = MATRIX, first_depth: int = FIRST_DEPTH):
     """The ``k`` best of a task's documents for every item: (item, doc_id, score)."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, weights, items = query_block.value
         wanted = pa.array(names, pa.binary())
         best = [(np.zeros(0, np.int64),) * 2 for _ in items]  # (scores, ids) per item
-        for ids, _, words in _blocks(batches):
+        for ids, words in _blocks(batches, block_bytes):
             if not len(words.code):
                 continue
             length = np.bincount(words.text, minlength=len(ids))
@@ -160,12 +161,12 @@ def _searcher(query_block, k: int, docs: int, total: int):
                 lists = [(text[a:b], impact[a:b]) for a, b in zip(start[own], start[own + 1]) if a < b]
                 if not lists:
                     continue
-                for low, part in _ranges(lists, len(ids)):
+                for own_range, part in _ranges(lists, len(ids), matrix):
                     scores, doc_ids = best[n]
                     least = (scores[-1], doc_ids[-1]) if len(scores) >= k else None
-                    place, found = nra(part, ids[low:low + MATRIX // len(lists) + 1], k, least)
+                    place, found = nra(part, ids[own_range], k, least, first_depth)
                     scores = np.concatenate((scores, found))
-                    doc_ids = np.concatenate((doc_ids, ids[low + place]))
+                    doc_ids = np.concatenate((doc_ids, ids[own_range][place]))
                     keep = np.lexsort((doc_ids, -scores))[:k]
                     best[n] = scores[keep], doc_ids[keep]
         for n, (scores, doc_ids) in enumerate(best):
