@@ -5,14 +5,16 @@ new state is ``target ⋉̸ batch-keys ∪ batch`` (a left-anti join on the keys
 union by name). Where the target is partitioned, the partitions to rewrite are those
 the batch carries and those that hold its keys now (a key may have moved), found by a
 join over keys and partition columns; a partition that loses its last row is dropped.
-An unpartitioned path is replaced as a whole: the state is written beside it and moved
-into its place, so a crash leaves either the old or the new folder. Staged folders are
-removed when the write ends.
+
+Everything that replaces data in a path, and every merge into an existing table, writes the
+new folders beside the target and swaps them in behind a marker (:mod:`.swap`): a stop at any
+step leaves the old state or, once the marker is there, the new one, which the
+next read or write through a sink puts in place. (Overwriting a table is left to
+Spark's own table writer.) Staged folders are removed when the write ends.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..plans.sizing import broadcast_if_small
 from ..session import scratch_path
+from .swap import Swap
 
 MODES = ("append", "overwrite", "overwrite_partitions", "merge")
 
@@ -69,6 +72,7 @@ class Sink:
     def exists(self, spark: SparkSession) -> bool:
         if self.table:
             return spark.catalog.tableExists(self.table)
+        _swap(spark, self).recover()
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -80,7 +84,9 @@ class Sink:
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.table:
+            _swap(spark, self).recover()
             return spark.table(self.table)
+        _swap(spark, self).recover()
         reader = spark.read.format(self.fmt)
         if self.options.get("mergeSchema"):
             reader = reader.option("mergeSchema", "true")
@@ -145,28 +151,43 @@ def _evolve(spark: SparkSession, df: DataFrame, sink: Sink) -> None:
         spark.sql(f"ALTER TABLE {sink.table} ADD COLUMNS ({columns})")
 
 
-def _filesystem(spark: SparkSession, path: str):
-    """(file system, path) of a folder, through Spark's own storage layer."""
+def _remove(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _filesystem(spark, path)
-    fs.delete(p, True)
+def _location(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where(F.col("col_name") == "Location").collect()
+    return rows[-1]["data_type"]
 
 
-def _replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Move ``new`` into the place of ``path``."""
-    old = f"{path.rstrip('/')}._old-{uuid.uuid4().hex}"
-    fs, target = _filesystem(spark, path)
-    aside, fresh = _filesystem(spark, old)[1], _filesystem(spark, new)[1]
-    if not fs.rename(target, aside):
-        raise SinkError(f"{path} could not be moved aside")
-    if not fs.rename(fresh, target):
-        fs.rename(aside, target)
-        raise SinkError(f"{new} could not be moved to {path}")
-    fs.delete(aside, True)
+def _synchronise(spark: SparkSession, sink: Sink) -> None:
+    """Tell the catalog what the folders of a table hold now."""
+    spark.catalog.refreshTable(sink.table)
+    if sink.partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {sink.table} SYNC PARTITIONS")
+
+
+def _swap(spark: SparkSession, sink: Sink) -> Swap:
+    if sink.table:
+        return Swap(spark, _location(spark, sink.table), lambda: _synchronise(spark, sink))
+    return Swap(spark, sink.path)
+
+
+def _swap_in(rows: DataFrame, sink: Sink, emptied=lambda new: (), whole: bool = True) -> None:
+    """Write ``rows`` beside the folder of ``sink`` and swap them in: the whole folder, or the partitions that they have.
+    ``emptied`` gives, for the partitions written, those to remove."""
+    swap = _swap(rows.sparkSession, sink)
+    swap.recover(writer=True)
+    try:
+        _write(rows, replace(sink, table=None, path=swap.data, mode="overwrite", merge_keys=[]), "overwrite")
+        new = [""] if whole else swap.folders(len(sink.partition_by))
+        removed = emptied(new)
+    except BaseException:
+        swap.recover(writer=True)  # there is no marker yet: clears the new folder away
+        raise
+    swap.commit(new, removed)
 
 
 def _semi(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
@@ -185,40 +206,35 @@ def merge_state(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFra
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def _partition_folders(touched: DataFrame, parts: list[str]) -> list[str]:
+    """The folders of partitions as the writer names them (one row per partition is collected)."""
+    name = touched.sparkSession.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils \
+        .getPartitionPathString
+    rows = touched.select(*[F.col(c).cast("string") for c in parts]).collect()
+    return ["/".join(name(c, row[c]) for c in parts) for row in rows]
+
+
 def _merge(spark: SparkSession, batch: DataFrame, sink: Sink, stage) -> None:
     check_merge_source(batch, sink.merge_keys)
     if not sink.exists(spark):
-        _write(batch, sink, "overwrite")
-        return
-    target = sink.read(spark)
-    if not sink.partition_by:
-        state = merge_state(target, batch, sink.merge_keys)
         if sink.table:
-            _write(stage(state), sink, "overwrite")
+            _write(batch, sink, "overwrite")
         else:
-            new = f"{sink.path.rstrip('/')}._new-{uuid.uuid4().hex}"
-            _write(state, replace(sink, path=new, mode="overwrite"), "overwrite")
-            _replace_folder(spark, new, sink.path)
+            _swap_in(batch, sink)
         return
-    parts = sink.partition_by
-    own = target.select(*dict.fromkeys([*sink.merge_keys, *parts]))
-    touched = stage(batch.select(*parts).unionByName(_semi(own, batch, sink.merge_keys).select(*parts)).distinct())
-    state = stage(merge_state(_semi(target, touched, parts), batch, sink.merge_keys))
-    _write(state, sink, "overwrite", dynamic=True)
-    for row in _semi(touched, state, parts, "left_anti").collect():  # touched partitions left empty
-        _drop_partition(spark, sink, row)
-
-
-def _drop_partition(spark: SparkSession, sink: Sink, row) -> None:
+    target = sink.read(spark)
     if sink.table:
-        if any(row[c] is None for c in sink.partition_by):
-            raise SinkError("a table's NULL partition can't be dropped by value")
-        spec = ", ".join(f"`{c}` = '{row[c]}'" for c in sink.partition_by)
-        spark.sql(f"ALTER TABLE {sink.table} DROP IF EXISTS PARTITION ({spec})")
-        return
-    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    folder = "/".join(name(c, None if row[c] is None else str(row[c])) for c in sink.partition_by)
-    _remove(spark, f"{sink.path.rstrip('/')}/{folder}")
+        _evolve(spark, batch, sink)
+        target = spark.table(sink.table)
+    if not sink.partition_by:
+        _swap_in(merge_state(target, batch, sink.merge_keys), sink)
+    else:
+        parts = sink.partition_by
+        own = target.select(*dict.fromkeys([*sink.merge_keys, *parts]))
+        touched = stage(batch.select(*parts).unionByName(_semi(own, batch, sink.merge_keys).select(*parts)).distinct())
+        state = merge_state(_semi(target, touched, parts), batch, sink.merge_keys)
+        # Touched partitions for which nothing was written have lost their last row.
+        _swap_in(state, sink, lambda new: sorted(set(_partition_folders(touched, parts)) - set(new)), whole=False)
 
 
 def write(df: DataFrame, sink: Sink) -> int | None:
@@ -244,7 +260,11 @@ def write(df: DataFrame, sink: Sink) -> int | None:
             raise SinkError(f"no rows to land in {sink.table or sink.path}")
         if sink.mode == "merge":
             _merge(spark, batch, sink, stage)
+        elif sink.path and sink.mode != "append":
+            _swap_in(batch, sink, whole=sink.mode == "overwrite")
         else:
+            if sink.path:
+                _swap(spark, sink).recover(writer=True)
             _write(batch, sink, "append" if sink.mode == "append" else "overwrite",
                    dynamic=sink.mode == "overwrite_partitions")
         return landed

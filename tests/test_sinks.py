@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.session import scratch_path
 from lakeloom.sinks import Sink, SinkError, check_merge_source, write
+from lakeloom.sinks.swap import Swap
 
 
 def test_merge_guard(spark):
@@ -122,3 +123,105 @@ def test_table_gains_columns_only_with_schema_merge(spark):
     assert sorted((r["a"], r["extra"]) for r in base.read(spark).collect()) == [(1, None), (2, 5)]
     info = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED lakeloom_test.evo").collect()}
     assert info["Comment"] == "it's a \\ table"
+
+
+class Stopped(BaseException):
+    """Stands for the death of the driver."""
+
+
+def _stop_at(monkeypatch, step):
+    """Let the driver die before the ``step``-th change to the file system (from 1); counts the changes."""
+    done = []
+
+    def guarded(method):
+        def run(self, *args):
+            done.append(method.__name__)
+            if len(done) == step:
+                raise Stopped(method.__name__)
+            return method(self, *args)
+        return run
+
+    for name in ("_delete", "_rename", "_save"):
+        monkeypatch.setattr(Swap, name, guarded(getattr(Swap, name)))
+    return done
+
+
+def _rows(spark, sink):
+    return sorted(tuple(r) for r in sink.read(spark).select("k", "p", "v").collect())
+
+
+@pytest.mark.parametrize("parts, table", [([], False), (["p"], False), (["p"], True)])
+def test_a_merge_stopped_at_any_step_loses_nothing(spark, monkeypatch, parts, table):
+    """After every step: a reader sees the old or the new state, and the next merge finds all rows."""
+    schema = "k long, p string, v string"
+    old = [(i, f"p{i % 3}", "old") for i in range(10)]
+    batch = [(1, "p1", "new"), (2, "p9", "new"), (5, "p9", "new"), (8, "p9", "new"), (50, "p0", "new")]
+    after = sorted([r for r in old if r[0] not in (1, 2, 5, 8)] + batch)
+    last = [(50, "p0", "last"), (77, "p1", "last")]
+    seen, step = set(), 0
+    while True:
+        step += 1
+        name = f"swap_{'p' if parts else 'u'}_{step}"
+        where = {"table": name} if table else {"path": scratch_path(spark, name)}
+        sink = Sink(mode="merge", merge_keys=["k"], partition_by=parts, **where)
+        write(spark.createDataFrame(old, schema).coalesce(1), sink)
+        with monkeypatch.context() as patch:
+            done = _stop_at(patch, step)
+            try:
+                write(spark.createDataFrame(batch, schema).coalesce(1), sink)
+                stopped = False
+            except Stopped:
+                stopped = True
+        if step % 2:  # with and without a reader in between
+            state = _rows(spark, sink)
+            assert state in (sorted(old), after)
+            seen.add(state == after)
+        write(spark.createDataFrame(last, schema).coalesce(1), sink)
+        final = _rows(spark, sink)
+        assert final in [sorted([r for r in base if r[0] != 50] + last) for base in (sorted(old), after)]
+        if not stopped:
+            assert final == sorted([r for r in after if r[0] != 50] + last)
+            break
+    assert seen == {True, False} and len(done) >= 5
+
+
+def test_an_overwrite_stopped_at_any_step_leaves_one_of_both_states(spark, monkeypatch):
+    schema, step = "k long, p string, v string", 0
+    old, new = [(1, "a", "x"), (2, "b", "x")], [(3, "b", "y")]
+    for mode, after in (("overwrite", new), ("overwrite_partitions", [old[0], new[0]])):
+        step, stopped = 0, True
+        while stopped:
+            step += 1
+            sink = Sink(mode=mode, path=scratch_path(spark, "swap-over"), partition_by=["p"])
+            write(spark.createDataFrame(old, schema), sink)
+            with monkeypatch.context() as patch:
+                _stop_at(patch, step)
+                try:
+                    write(spark.createDataFrame(new, schema), sink)
+                    stopped = False
+                except Stopped:
+                    pass
+            assert _rows(spark, sink) in ([after] if not stopped else [old, after])
+
+
+def test_a_failing_write_leaves_the_target_and_no_folders(spark):
+    sink = Sink(mode="overwrite", path=scratch_path(spark, "swap-fail"))
+    write(spark.createDataFrame([(1, "a", "x")], "k long, p string, v string"), sink)
+    bad = spark.range(3).select("id", F.assert_true(F.col("id") < 2).alias("v"))
+    with pytest.raises(Exception):
+        write(bad, sink)
+    assert _rows(spark, sink) == [(1, "a", "x")]
+    assert not Swap(spark, sink.path)._exists(Swap(spark, sink.path).root)
+
+
+def test_merge_with_date_null_and_odd_partition_values(spark):
+    schema = "k long, p string, d date, v string"
+    import datetime
+    day = datetime.date(2024, 2, 29)
+    for table in (None, "merge_odd"):
+        where = {"table": table} if table else {"path": scratch_path(spark, "odd")}
+        sink = Sink(mode="merge", merge_keys=["k"], partition_by=["p", "d"], **where)
+        write(spark.createDataFrame([(1, "a=b/c %", day, "x"), (2, None, None, "x"), (3, "z", day, "x")], schema), sink)
+        write(spark.createDataFrame([(1, "z", day, "y"), (2, "z", None, "y")], schema), sink)
+        got = sorted(tuple(r) for r in sink.read(spark).select("k", "p", "d", "v").collect())
+        assert got == [(1, "z", day, "y"), (2, "z", None, "y"), (3, "z", day, "x")]
