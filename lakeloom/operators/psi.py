@@ -13,8 +13,8 @@ histogram, and one small join gives every PSI.
 * PSI = Σ (live − ref) · ln(live / ref) over bucket shares, each share floored at
   1e-6; an empty side counts as 1 row so shares stay finite.
 
-Exact quantiles sort only the few value slices that hold a wanted position;
-``exact=False`` takes the sketch itself.
+Exact quantiles take two passes: mergeable sketches say between which values every wanted
+position lies, then only the values in those brackets are counted one by one.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import ROWS_PER_SLICE, _count_below
+from ..session import landed
 
 # Bucket count, share floor and status thresholds.
 BUCKETS = 10
@@ -52,51 +52,131 @@ def quantile_edges(ref_long: DataFrame, buckets: int = BUCKETS, exact: bool = Tr
         F.percentile_approx(F.col("value"), probs, accuracy).cast("array<double>").alias("edges"))
 
 
+# Size of the sketches: their rank error is below a thousandth. Rows per bracket that are counted value by value
+# in one task; larger brackets are sketched again.
+SKETCH_K = 4096
+SLICES = 500
+BRACKET_ROWS = 2_000_000
+
+
+def _segment(cuts: dict[str, list[tuple[float, float]]]) -> Column:
+    """Segment of a row's value: 2i + 1 inside the feature's bracket i (ends included), even between brackets."""
+    out = F.lit(None).cast("int")
+    for feature, brackets in cuts.items():
+        number = F.lit(0)
+        for low, high in brackets:
+            number = number + (F.col("value") >= F.lit(low)).cast("int") + (F.col("value") > F.lit(high)).cast("int")
+        out = F.when(F.col("feature") == feature, number).otherwise(out)
+    return out
+
+
+def _brackets(rows: list, targets: list[tuple[int, int]], slices: int, margin: int) -> list[tuple[float, float]]:
+    """Brackets of one feature around all ``targets`` (pairs of neighbouring positions), from its segments in
+    order with their counts and, for brackets, the values at i / slices of the ranks."""
+    found, start = [], 0
+    for row in rows:
+        if row["grid"] is not None:
+            n, grid = row["n"], row["grid"]
+            for low, high in targets:
+                if start <= high and low < start + n:
+                    first = math.floor((low - start) / n * slices) - margin
+                    last = math.ceil((high + 1 - start) / n * slices) + margin
+                    found.append((grid[first] if first > 0 else row["least"],
+                                  grid[last] if last < slices else row["most"]))
+        start += row["n"]
+    merged: list[tuple[float, float]] = []
+    for low, high in sorted(found):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _cuts(long: DataFrame, probs: list[float], slices: int, margin: int) -> tuple[dict, dict]:
+    """(brackets, wanted positions) per feature."""
+    ranks = F.array(*[F.lit(i / slices) for i in range(slices + 1)])
+    inside = F.when(F.col("_seg") % 2 == 1, F.col("value"))
+    grid = F.when(F.col("_seg") % 2 == 1, F.kll_sketch_get_quantile_double("s", ranks))
+    cuts: dict[str, list[tuple[float, float]]] = {}
+    while True:
+        sketched = long.withColumn("_seg", _segment(cuts) if cuts else F.lit(1)).groupBy("feature", "_seg").agg(
+            F.count("*").alias("n"), F.kll_sketch_agg_double(inside, SKETCH_K).alias("s"), F.min(inside).alias("least"),
+            F.max(inside).alias("most"))
+        by_feature: dict[str, list] = {}
+        for row in sketched.select("feature", "_seg", "n", "least", "most", grid.alias("grid")).collect():
+            by_feature.setdefault(row["feature"], []).append(row)
+        positions, narrower, largest = {}, {}, 0
+        for feature, rows in by_feature.items():
+            rows.sort(key=lambda r: r["_seg"])
+            n = sum(r["n"] for r in rows)
+            positions[feature] = [p * (n - 1) for p in probs]
+            targets = [(math.floor(x), math.ceil(x)) for x in positions[feature]]
+            narrower[feature] = _brackets(rows, targets, slices, margin)
+            largest = max([largest, *[2 * (margin + 1) * r["n"] / slices for r in rows if r["grid"] is not None]])
+        # A bracket of one value, however frequent, does not get narrower: it is one row when counted.
+        if largest <= BRACKET_ROWS or narrower == cuts:
+            return narrower, positions
+        cuts = narrower
+
+
 def exact_quantiles(long: DataFrame, probs: list[float], slices: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles per feature, fully distributed, nothing cached.
 
-    1. rows per feature, then sketched value bounds per feature (small collected rows);
-    2. rows per (feature, slice between bounds), one aggregate: this says which slices hold the
-       0-based positions ``floor``/``ceil`` of ``p·(n−1)``, and how many rows come before;
-    3. only those few slices are reduced to distinct values with counts and summed up;
-    4. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
+    1. one KLL sketch per feature (partial sketches, merged): its values at ``i / slices`` of the ranks, a
+       row of fixed size, bracket the 0-based positions ``floor``/``ceil`` of ``p·(n−1)`` with a slice to spare;
+    2. rows inside the brackets are counted per distinct value, those between them per gap. The counts
+       say whether every position does lie in its bracket (a sketch errs with small probability; then both
+       steps are taken again with wider brackets, at last with everything inside);
+    3. ``lo + (hi − lo)·frac`` per probability, gathered into one array per feature.
 
-    A slice holds about ``ROWS_PER_SLICE`` rows, or the rows of one value, which is one row
-    after counting.
+    Brackets with more than ``BRACKET_ROWS`` rows are sketched again first, one more pass for every
+    factor of about ``slices`` in the rows. NULL and NaN values don't count. ``long`` is read twice: hand in a
+    written table where it is costly.
     """
     spark = long.sparkSession
-    sizes = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("*").alias("n")).collect()}
-    if slices is None:
-        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                     math.ceil(max(sizes.values(), default=0) / ROWS_PER_SLICE), 2)
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    bounds = long.groupBy("feature").agg(
-        F.percentile_approx("value", shares, max(10_000, 20 * slices)).cast("array<double>").alias("_bounds")).collect()
-    cuts = F.broadcast(spark.createDataFrame(
-        [(r["feature"], r["_bounds"]) for r in bounds], "feature string, _bounds array<double>"))
-    sliced = long.join(cuts, "feature").select(
-        "feature", "value", _count_below(F.col("_bounds"), F.col("value"), slices - 1).alias("_slice"))
-    held = sorted((r["feature"], r["_slice"], r["n"]) for r in
-                  sliced.groupBy("feature", "_slice").agg(F.count("*").alias("n")).collect())
-    rows, needed, before = [], {}, {}
-    for feature, part, n in held:
-        start = before.get(feature, 0)
-        before[feature] = start + n
-        for i, p in enumerate(probs):
-            pos = p * (sizes[feature] - 1)
-            for place in {math.floor(pos), math.ceil(pos)}:
-                if start <= place < start + n:
-                    needed[(feature, part)] = start
-                    rows.append((feature, part, i, float(pos), place))
-    starts = F.broadcast(spark.createDataFrame(
-        [(f, part, start) for (f, part), start in needed.items()], "feature string, _slice int, _start bigint"))
+    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    slices = slices or SLICES
+    for margin in (1, 8, 64, slices):
+        cuts, positions = _cuts(long, probs, slices, margin)
+        counted = _counted(long, cuts)
+        if not _missed(counted, positions):
+            break
+    return _at_positions(counted, positions, spark)
+
+
+def _counted(long: DataFrame, cuts: dict) -> DataFrame:
+    """(feature, seg, value, c): rows per distinct value inside brackets, per segment (value NULL) outside."""
+    seg = _segment(cuts) if cuts else F.lit(0)
+    value = F.when(F.col("_seg") % 2 == 1, F.col("value"))
+    return landed(long.withColumn("_seg", seg).groupBy("feature", "_seg", value.alias("value")).agg(
+        F.count("*").alias("c")), "quantiles")
+
+
+def _starts(counted: DataFrame) -> DataFrame:
+    """(feature, seg, start, n): rows before a segment and in it; a few rows per feature."""
+    before = Window.partitionBy("feature").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counted.groupBy("feature", "_seg").agg(F.sum("c").alias("_n"))
+    return totals.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+
+def _missed(counted: DataFrame, positions: dict[str, list[float]]) -> set[str]:
+    """Features with a position outside all brackets."""
+    held: dict[str, list[tuple[int, int]]] = {}
+    for row in _starts(counted).where(F.col("_seg") % 2 == 1).collect():
+        held.setdefault(row["feature"], []).append((row["_start"], row["_start"] + row["_n"]))
+    return {feature for feature, wanted in positions.items() for x in wanted for place in (math.floor(x), math.ceil(x))
+            if not any(a <= place < b for a, b in held.get(feature, []))}
+
+
+def _at_positions(counted: DataFrame, positions: dict[str, list[float]], spark) -> DataFrame:
     targets = F.broadcast(spark.createDataFrame(
-        rows, "feature string, _slice int, pi int, pos double, place bigint"))
-    counts = sliced.join(starts, ["feature", "_slice"]).groupBy("feature", "_slice", "_start", "value").agg(
-        F.count("*").alias("c"))
-    inside = Window.partitionBy("feature", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_start") + F.coalesce(F.sum("c").over(inside), F.lit(0))
-    hit = counts.withColumn("first", first).join(targets, ["feature", "_slice"]).filter(
+        [(f, i, x, place) for f, wanted in positions.items() for i, x in enumerate(wanted)
+         for place in {math.floor(x), math.ceil(x)}], "feature string, pi int, pos double, place bigint"))
+    inside = Window.partitionBy("feature", "_seg").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    values = counted.where(F.col("_seg") % 2 == 1).join(F.broadcast(_starts(counted)), ["feature", "_seg"])
+    first = values.withColumn("first", F.col("_start") + F.coalesce(F.sum("c").over(inside), F.lit(0)))
+    hit = first.join(targets, "feature").where(
         (F.col("first") <= F.col("place")) & (F.col("place") < F.col("first") + F.col("c")))
     q = hit.groupBy("feature", "pi", "pos").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).select(
         "feature", "pi", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).alias("q"))

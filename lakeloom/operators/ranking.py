@@ -1,58 +1,30 @@
 """Ranks and positions over groups of any size, without a window over a whole group.
 
-Rows are cut into slices by literal bounds on the leading order value. The bounds are
-quantiles of all rows, so a group that holds a third of the rows is cut into about a third
-of the slices, and the slice of a row is a function of its value alone: every branch of the
-plan sees the same slices, and ties never straddle two. A window runs inside
-(group, slice) only; the totals of the slices before are added as offsets. The number of
-slices follows the number of rows, results don't depend on it.
+Rows are dealt by ranges of (group, value) and sorted, so a group that holds a third of the rows
+lies in about a third of the partitions. The dealt rows are written once with their place
+(partition and row of it), which fixes the partitions. A total per partition, one small row
+each, gives every partition what comes before it; the rest is counted inside a partition. The
+number of partitions is the session's; nothing is collected, and results don't depend on it.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 500_000
-
-
-def value_bounds(df: DataFrame, value: Column, slices: int | None = None) -> list[float]:
-    """Ascending cut points of ``value`` into about equal slices (one number per slice)."""
-    if slices is None:
-        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = max(least, math.ceil(df.count() / ROWS_PER_SLICE))
-    if slices < 2:
-        return []
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    found = df.agg(F.percentile_approx(value.cast("double"), shares, max(10_000, 20 * slices)).alias("b")).first()["b"]
-    return sorted({b for b in found or [] if not math.isnan(b)})
-
+from ..session import landed
 
-def slice_of(value: Column, bounds: list[float], descending: bool = False) -> Column:
-    """Number of the slice of ``value`` in the direction of the order. NULLs have a slice of
-    their own: the first ascending, the last descending, as the sort puts them."""
-    below = _count_below(F.array(*[F.lit(float(b)) for b in bounds]), value.cast("double"), len(bounds)) \
-        if bounds else F.lit(0)
-    part = F.lit(len(bounds)) - below if descending else below
-    return F.when(value.isNull(), F.lit(len(bounds) + 1 if descending else -1)).otherwise(part).cast("int")
+_ROW_BITS = 33  # of the place that Spark numbers rows with: partition above, row below
 
 
-def _count_below(bounds: Column, v: Column, size: int) -> Column:
-    """Number of entries of the ascending array ``bounds`` that are ``< v``, by binary
-    search: ``ceil(log2(size + 1))`` steps per row instead of ``size`` comparisons."""
-    steps = max(1, math.ceil(math.log2(size + 1)))
-    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-
-    def step(acc, _):
-        mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
-        go_right = F.element_at(bounds, mid + 1) < v
-        moved = F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))) \
-            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
-        return F.when(acc["lo"] < acc["hi"], moved).otherwise(acc)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+def _dealt(df: DataFrame, order: list[Column], slices: int | None) -> DataFrame:
+    """``df`` in ranges of ``order``, with ``_part`` (the number of the range) and ``_row`` (the place in it)."""
+    ranges = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    place = F.monotonically_increasing_id()
+    placed = landed(ranges.sortWithinPartitions(*order).withColumn("_place", place), "ranges")
+    return placed.select(
+        *df.columns, F.shiftright("_place", _ROW_BITS).alias("_part"),
+        F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"))
 
 
 def _null_safe(left: list[str], right: list[str]) -> Column:
@@ -62,26 +34,28 @@ def _null_safe(left: list[str], right: list[str]) -> Column:
     return same
 
 
+def _directed(col: str, descending: bool) -> Column:
+    return F.col(col).desc() if descending else F.col(col).asc()
+
+
 def cumulative_within(df: DataFrame, by: list[str], value: str, weight: str, name: str = "cum_before",
                       descending: bool = False, slices: int | None = None) -> DataFrame:
     """Sum of ``weight`` over rows of the same group with a strictly earlier ``value``.
 
     ``value`` must be unique within a group (a table of distinct values with counts). Group
-    keys may be NULL.
+    keys may be NULL. NULL values come first ascending, last descending.
     """
-    bounds = value_bounds(df, F.col(value), slices)
-    tagged = df.withColumn("_slice", slice_of(F.col(value), bounds, descending))
-    keys = [*by, "_slice"]
-    sums = tagged.groupBy(*keys).agg(F.sum(weight).alias("_s"))
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = _dealt(df, [*[F.col(b) for b in by], _directed(value, descending)], slices)
+    keys = [*by, "_part"]
+    sums = dealt.groupBy(*keys).agg(F.sum(weight).alias("_s"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     names = [f"_o{i}" for i in range(len(keys))]
     offsets = sums.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
                           F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_offset"))
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = tagged.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    inside = Window.partitionBy(*keys).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
     return local.join(offsets, _null_safe(keys, names)).withColumn(
-        name, F.col("_offset") + F.col("_local")).drop("_slice", "_local", "_offset", *names)
+        name, F.col("_offset") + F.col("_local")).drop("_part", "_row", "_local", "_offset", *names)
 
 
 def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", descending: bool = True,
@@ -89,7 +63,8 @@ def rank_within(df: DataFrame, by: list[str], value: str, name: str = "rank", de
     """``rank()`` within ``by`` ordered by ``value``: one plus the rows with a better value.
 
     Rows are first counted per distinct value (a partial aggregate, so a value that fills
-    much of a group is one row), the counts are summed up, and the rank is joined back.
+    much of a group is one row), the counts are summed up, and the rank is joined back. ``df`` is
+    read twice: hand in a written table where it is costly.
     """
     counts = df.groupBy(*by, value).agg(F.count("*").alias("_n"))
     ranked = cumulative_within(counts, by, value, "_n", "_before", descending, slices)
@@ -103,16 +78,13 @@ def global_row_number(df: DataFrame, lead: str, rest: list[Column], name: str =
                       descending: bool = False, slices: int | None = None) -> DataFrame:
     """Append ``name`` = 1-based position of each row ordered by ``lead``, then ``rest``.
 
-    ``lead`` is numeric; with ``rest`` the order must be total (end it with a unique column)
-    for the numbering to be repeatable. Rows that tie on ``lead`` share a slice.
+    With ``rest`` the order must be total (end it with a unique column) for the numbering to be
+    repeatable. Rows that tie on ``lead`` may lie in several partitions.
     """
-    bounds = value_bounds(df, F.col(lead), slices)
-    tagged = df.withColumn("_slice", slice_of(F.col(lead), bounds, descending))
-    counts = tagged.groupBy("_slice").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice: a number derived from the row count, half a million rows each.
-    offsets = F.broadcast(counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
-    order = F.col(lead).desc() if descending else F.col(lead).asc()
-    local = F.row_number().over(Window.partitionBy("_slice").orderBy(order, *rest))
-    return tagged.withColumn("_local", local).join(offsets, "_slice").withColumn(
-        name, F.col("_offset") + F.col("_local")).drop("_slice", "_local", "_offset")
+    dealt = _dealt(df, [_directed(lead, descending), *rest], slices)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition of the shuffle, whose number is a setting.
+    offsets = F.broadcast(dealt.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    return dealt.join(offsets, "_part").withColumn(
+        name, F.col("_offset") + F.col("_row") + 1).drop("_part", "_row", "_offset")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import money_ratio, money_sum, money_total
 from ..plans.sizing import broadcast_if_small
+from ..session import landed
 from .ranking import rank_within
 
 # The SQL source: the join and projection run before the transform sees rows.
@@ -66,10 +67,11 @@ def revenue_by_seller(monthly: DataFrame, sellers: DataFrame) -> DataFrame:
 
 def revenue_by_product(monthly: DataFrame) -> DataFrame:
     """Revenue per product and month (lines need no join), ranked within the month; ties share
-    a rank. See :func:`rank_within` for months that hold very many products."""
-    sold = monthly.groupBy("product_id", "revenue_month").agg(
+    a rank. See :func:`rank_within` for months that hold very many products. The aggregate, far smaller
+    than the lines, is written once and ranked from there."""
+    sold = landed(monthly.groupBy("product_id", "revenue_month").agg(
         money_sum("total_price").alias("revenue"), F.sum("quantity").alias("units"),
-        F.count_distinct("transaction_id").alias("transactions"))
+        F.count_distinct("transaction_id").alias("transactions")), "product-months")
     return rank_within(sold, ["revenue_month"], "revenue", "revenue_rank", descending=True)
 
 

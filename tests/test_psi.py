@@ -75,3 +75,20 @@ def test_exact_quantiles_match_linear_interpolation(spark, slices):
         lo, hi = np.floor(pos).astype(int), np.ceil(pos).astype(int)
         want = data[lo] + (data[hi] - data[lo]) * (pos - lo)
         assert got[name] == pytest.approx(list(want), abs=1e-12)
+
+
+def test_exact_quantiles_with_a_poor_sketch_and_repeated_sketching(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    values = np.round(rng.lognormal(1.0, 1.0, 20_000), 3)
+    df = spark.createDataFrame([("x", float(v)) for v in values] + [("x", None), ("x", float("nan")), ("lone", 3.0)],
+                               "feature string, value double").repartition(4)
+    want = np.quantile(values, [0.001, 0.5, 0.999])
+    for k, rows in ((8, 10 ** 6), (4096, 50)):  # brackets that miss; brackets sketched again
+        monkeypatch.setattr(psi, "SKETCH_K", k)
+        monkeypatch.setattr(psi, "BRACKET_ROWS", rows)
+        got = {r["feature"]: r["edges"] for r in psi.exact_quantiles(df, [0.001, 0.5, 0.999]).collect()}
+        assert got["x"] == pytest.approx(list(want), abs=1e-12) and got["lone"] == [3.0, 3.0, 3.0]
+
+
+def test_quantiles_of_nothing(spark):
+    assert psi.exact_quantiles(spark.createDataFrame([], "feature string, value double"), [0.5]).count() == 0

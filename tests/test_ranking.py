@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.ranking import _count_below, cumulative_within, global_row_number, rank_within
+from lakeloom.operators.ranking import cumulative_within, global_row_number, rank_within
 
 
 def test_global_row_number_matches_window(spark):
@@ -40,9 +40,20 @@ def test_cumulative_within_counts_smaller_values(spark):
     assert all(r["before"] == 2 * (int(r["v"]) // 2) for r in got)
 
 
-def test_count_below_binary_search(spark):
-    bounds = [1.0, 2.0, 2.0, 5.0, 9.0]
-    df = spark.createDataFrame([(float(x),) for x in [0.5, 1.0, 1.5, 2.0, 2.5, 9.0, 10.0]], "v double")
-    got = [r["n"] for r in df.select(_count_below(F.array(*[F.lit(b) for b in bounds]), F.col("v"), len(bounds))
-                                     .alias("n")).collect()]
-    assert got == [sum(b < x for b in bounds) for x in [0.5, 1.0, 1.5, 2.0, 2.5, 9.0, 10.0]]
+def test_ranges_split_ties_and_hot_groups(spark):
+    # one value fills half of the rows, one group nine tenths of them
+    df = spark.range(4000).select(
+        (F.col("id") % 10 == 0).cast("int").alias("g"), "id", F.when(F.col("id") % 2 > 0, F.col("id") % 97).otherwise(5).alias("v"))
+    numbered = global_row_number(df, "v", [F.col("id").asc()], "pos", slices=13)
+    want = df.withColumn("pos", F.row_number().over(Window.orderBy("v", "id")))
+    assert {r["id"]: r["pos"] for r in numbered.collect()} == {r["id"]: r["pos"] for r in want.collect()}
+    ranked = {r["id"]: r["rank"] for r in rank_within(df, ["g"], "v", slices=13).collect()}
+    want = df.withColumn("rank", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
+    assert ranked == {r["id"]: r["rank"] for r in want.collect()}
+
+
+def test_text_values_and_empty_tables(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "v string, id long")
+    assert {r["id"]: r["row_number"] for r in global_row_number(df, "v", [F.col("id").asc()]).collect()} == {3: 1, 1: 2, 2: 3}
+    assert global_row_number(df.where("false"), "v", []).count() == 0
+    assert rank_within(df.where("false"), ["id"], "v").count() == 0
