@@ -1,8 +1,7 @@
 """Model monitoring: candidate evaluation, decay, and the remedy decision.
 
 A *model version* here is anything that adds a ``prediction`` column to a frame.
-All versions are scored on the same live rows (one cached frame), their rows
-unioned in long form, and one grouped aggregate gives every version's live
+All versions are scored on the same live rows, their errors brought to long form, and one grouped aggregate gives every version's live
 error — nothing is collected but one row per version.
 """
 
@@ -33,14 +32,16 @@ def candidate_errors(live: DataFrame, versions: dict[int, Predictor], label: str
     return parts.groupBy("version").agg(F.avg("abs_err").alias("live_mae"), F.count("*").alias("rows"))
 
 
-def candidate_errors_columns(live: DataFrame, predictions: dict[int, "Column"], label: str) -> DataFrame:
+def candidate_errors_columns(live: DataFrame, predictions: dict[int, "Column"], label: str,
+                             by: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Same as :func:`candidate_errors` when every version is an expression over one
-    prepared frame: all versions are scored in a single pass, unpivoted with ``stack``."""
+    prepared frame: all versions are scored in a single pass, unpivoted with ``stack``;
+    with ``by`` (the window of a row, say) for each of its values."""
     pairs = ", ".join(f"{int(v)}L, `_p{int(v)}`" for v in predictions)
-    scored = live.select(F.col(label).alias("_y"), *[c.alias(f"_p{int(v)}") for v, c in predictions.items()])
-    long = scored.selectExpr("_y", f"stack({len(predictions)}, {pairs}) AS (version, prediction)")
-    return long.groupBy("version").agg(F.avg(F.abs(F.col("prediction") - F.col("_y"))).alias("live_mae"),
-                                       F.count("*").alias("rows"))
+    scored = live.select(*by, F.col(label).alias("_y"), *[c.alias(f"_p{int(v)}") for v, c in predictions.items()])
+    long = scored.selectExpr(*by, "_y", f"stack({len(predictions)}, {pairs}) AS (version, prediction)")
+    return long.groupBy(*by, "version").agg(F.avg(F.abs(F.col("prediction") - F.col("_y"))).alias("live_mae"),
+                                            F.count("*").alias("rows"))
 
 
 def decay(errors: DataFrame, recorded: DataFrame, multiple: float = MAX_ERROR_MULTIPLE) -> DataFrame:
@@ -67,7 +68,6 @@ def decide(decay_rows: DataFrame, drift: DataFrame, champion: int, allow_rollbac
     action = (F.when(~F.col("breached") & ~F.col("decayed") & ~wins, F.lit("none"))
               .when(wins & F.lit(not allow_rollback), F.lit("alert_only"))
               .when(wins, F.lit("rollback"))
-              .when(F.col("breached"), F.lit("retrain"))
               .otherwise(F.lit("retrain")))
     diagnosis = (F.when(~F.col("breached") & ~F.col("decayed") & ~wins, F.lit("healthy"))
                  .when(wins & F.lit(not allow_rollback), F.lit("better_version_available"))

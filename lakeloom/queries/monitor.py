@@ -10,6 +10,7 @@ from ..functions.numeric import money_total
 from ..operators import leaderboard, monitor, psi, registry
 from ..operators.split import split_label
 from ..plans.sizing import broadcast_if_small
+from ..session import landed
 from ..sources.tables import read_table
 
 # The live window of the drift scenario (prices inflated by 35 %),
@@ -23,18 +24,19 @@ _KEY = ("concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHA
 _BUCKET = f"(CAST(('0x' || substr(sha256({_KEY}), 1, 8)) AS UBIGINT) % 100)"
 
 
-def _windows(spark, d, factor=LIVE_FACTOR):
+def _windows(spark, d, columns, factor=LIVE_FACTOR):
     """(lines with their split, live window): versions are fitted on ``train``; the live window is
-    the ``score`` split, whose rows no version has seen, with inflated prices."""
+    the ``score`` split, whose rows no version has seen, with inflated prices. The lines are
+    written once with the ``columns`` wanted, so the hash behind the split is computed once."""
     li = read_table(spark, d, "lineitem")
     cols = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
-    lines = li.withColumn("split", split_label(cols))
+    lines = landed(li.select(*columns, split_label(cols).alias("split")), "monitored-lines")
     live = lines.where("split = 'score'").withColumn(TARGET, F.col(TARGET) * F.lit(factor))
     return lines, live
 
 
 def _drift(spark, d, columns):
-    lines, live = _windows(spark, d)
+    lines, live = _windows(spark, d, columns)
     return psi.psi_table(lines.where("split = 'train'"), live, columns)
 
 
@@ -110,7 +112,7 @@ SELECT feature, CASE WHEN feature = '{TARGET}' THEN 'target' ELSE 'input' END AS
        {_STATUS} AS status, psi > 0.25 AS breached FROM p
 """)
 def drift_table(spark, d):
-    lines, live = _windows(spark, d)
+    lines, live = _windows(spark, d, [*INPUTS, TARGET])
     t = psi.drift_table(lines.where("split = 'train'"), live, INPUTS, TARGET)
     return t.select("feature", "kind", F.round("psi", 6).alias("psi"), "status", "breached")
 
@@ -165,13 +167,17 @@ dec AS (SELECT l.version, r.test_mae, l.live_mae, l.rows, l.live_mae / r.test_ma
         FROM live l LEFT JOIN recorded r ON r.version = l.version)"""
 
 
-def _decay_rows(spark, d):
-    reference, live = _windows(spark, d)
-    prepare, predictions = fit_versions(reference.filter(F.col("split") == "train"))
-    test = prepare(reference.filter(F.col("split") == "test"))
-    recorded = monitor.candidate_errors_columns(test, predictions, TARGET).select(
-        "version", F.col("live_mae").alias("test_mae"))
-    errors = monitor.candidate_errors_columns(prepare(live), predictions, TARGET)
+def _decay_rows(spark, d, lines=None):
+    """(errors, decay) of all versions: the test and the live window are scored in one pass, and the
+    result, a row per window and version, is written for both uses."""
+    if lines is None:
+        lines, _ = _windows(spark, d, ["l_partkey", "l_quantity", TARGET])
+    prepare, predictions = fit_versions(lines.where("split = 'train'"))
+    price = F.when(F.col("split") == "score", F.col(TARGET) * F.lit(LIVE_FACTOR)).otherwise(F.col(TARGET))
+    unseen = prepare(lines.where("split <> 'train'").withColumn(TARGET, price))
+    scores = landed(monitor.candidate_errors_columns(unseen, predictions, TARGET, by=["split"]), "version-errors")
+    errors = scores.where("split = 'score'").drop("split")
+    recorded = scores.where("split = 'test'").select("version", F.col("live_mae").alias("test_mae"))
     return errors, monitor.decay(errors, recorded)
 
 
@@ -211,9 +217,10 @@ def _decision(spark, d):
     """(stage events, candidate rows, drift rows, decision row) of one monitoring run."""
     log = stage_events(spark, d)
     champion = registry.production_version(log, "price")
-    lines, live = _windows(spark, d)
-    drift = psi.drift_table(lines.where("split = 'train'"), live, INPUTS, TARGET)
-    _, dec = _decay_rows(spark, d)
+    lines, live = _windows(spark, d, ["l_partkey", *INPUTS, TARGET])
+    # A row per monitored column; read several times by what follows.
+    drift = landed(psi.drift_table(lines.where("split = 'train'"), live, INPUTS, TARGET), "drift")
+    _, dec = _decay_rows(spark, d, lines)
     return log, dec, drift, monitor.decide(dec, drift, champion)
 
 
