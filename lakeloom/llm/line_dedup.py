@@ -6,15 +6,17 @@ positions are generalised: a token that few documents have at that position is a
 field. Lines that agree in the rest share a template; a template that enough documents have,
 and of which at least half the tokens are fixed, is recurring, and its lines are dropped.
 
-Only DataFrame functions are used. Leaves are counted first, over one hash per document and
-leaf; only lines of leaves that can recur are looked at further. Counts are partial
+Only DataFrame functions are used. Leading tokens are counted first, over one hash per document and
+combination; only lines whose leading tokens recur are looked at further (a leaf is not more frequent). Counts are partial
 aggregates, so a line that a third of all documents hold costs no task more than others.
 The set of recurring leaves or forms is broadcast when its files are small, else joined by
 shuffle.
 
-Lines with fewer than ``MIN_TOKENS`` tokens are kept (blank ones too). Null texts are empty:
-one line, nothing dropped. Equal rows are cleaned alike and count as one document. Extra
-columns are ignored.
+Lines of one or two tokens ("Read more") are parsed alike if they hold a letter, but recur only
+when ``SHORT_SHARE`` of all documents have them, too. Other short lines (blank ones, braces) are
+kept. Null texts are empty: one line, nothing dropped. Equal rows are cleaned alike and count as one
+document. An empty table gives no rows. A very long text is one row, like any other; its lines are
+rows of their own from the first step on. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ NAME = "op8_line_dedup"
 DEPTH = 3
 MIN_TOKENS = 3
 MIN_DOCS = 10
+SHORT_SHARE = 0.001  # of the documents, for lines with fewer than MIN_TOKENS tokens
 VARIABLE = "<*>"
+BLANKS = " \t\x0b\x0c\r"  # within a line
 
 ORACLE = rf"""
 WITH d AS (
@@ -36,10 +40,12 @@ WITH d AS (
 u AS (SELECT DISTINCT doc_id, h, t FROM d),
 l AS (
   SELECT doc_id, h, i, list_transform(regexp_extract_all(x, '[^\x20\x09-\x0D]+'),
-           lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '{VARIABLE}' ELSE w END) AS k
+           lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '{VARIABLE}' ELSE w END) AS k,
+         regexp_matches(x, '\p{{L}}') AS letter
   FROM (SELECT doc_id, h, unnest(string_split(t, chr(10))) AS x,
                unnest(generate_series(1, len(string_split(t, chr(10))))) AS i FROM u)),
-f AS (SELECT *, k[1:{DEPTH}] AS lead, len(k) AS n FROM l WHERE len(k) >= {MIN_TOKENS}),
+f AS (SELECT *, k[1:{DEPTH}] AS lead, len(k) AS n FROM l
+      WHERE len(k) >= {MIN_TOKENS} OR (len(k) > 0 AND letter)),
 leaf AS (SELECT n, lead FROM f GROUP BY n, lead HAVING count(DISTINCT (doc_id, h)) >= {MIN_DOCS}),
 forms AS (SELECT n, lead, k, count(DISTINCT (doc_id, h)) AS docs FROM f JOIN leaf USING (n, lead) GROUP BY n, lead, k),
 tok AS (SELECT n, lead, k, docs, unnest(k) AS w, unnest(generate_series(1, len(k))) AS p FROM forms),
@@ -53,6 +59,7 @@ rec AS (
   SELECT n, template FROM f JOIN tpl USING (n, lead, k)
   GROUP BY n, template
   HAVING count(DISTINCT (doc_id, h)) >= {MIN_DOCS}
+     AND (n >= {MIN_TOKENS} OR count(DISTINCT (doc_id, h)) >= {SHORT_SHARE} * (SELECT count(*) FROM u))
      AND 2 * len(list_filter(template, lambda w: w <> '{VARIABLE}')) >= len(template)),
 gone AS (
   SELECT doc_id, h, list(i) AS gone FROM f JOIN tpl USING (n, lead, k) SEMI JOIN rec USING (n, template)
@@ -69,26 +76,38 @@ def _masked(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w))
 
 
-def _leaf(words: Column) -> Column:
-    """The leaf of a line by its number of tokens and its leading tokens."""
-    return F.xxhash64(F.size(words), _masked(F.slice(words, 1, DEPTH)))
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, by a generator: a plain one would be computed
+    anew wherever it is referred to."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def _lead(line: str, words: str) -> Column:
+    """A hash of the leading tokens of a line, null for lines that are kept anyway. All lines of a leaf share it, and
+    it needs no more of the line than those ``words``."""
+    word = [F.get(words, F.lit(i)) for i in range(DEPTH)]
+    tokens = [F.when(w.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(w) for w in word]
+    return F.when((F.size(words) >= MIN_TOKENS) | F.col(line).rlike(r"\p{L}"), F.xxhash64(*tokens))
+
+
+def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, short_share: float = SHORT_SHARE) -> DataFrame:
     """(doc_id, h, gone): numbers (from 0) of the lines to drop, per distinct (doc_id, text)
-    with ``h`` the text's md5."""
+    with ``h`` a hash of the text, which tells apart rows that share their doc_id."""
     text = F.coalesce("text", F.lit(""))
-    lines = docs.select("doc_id", F.md5(text.cast("binary")).alias("h"),
-                        F.posexplode(F.split(text, "\n")).alias("i", "line"))
-    lines = lines.select("doc_id", "h", "i", common.split_words(F.col("line"), common.SPACES).alias("words")).where(
-        F.size("words") >= MIN_TOKENS).withColumn("leaf", _leaf(F.col("words")))
-    per_doc = lines.groupBy("doc_id", "h", "leaf").agg(F.lit(1).alias("one"))
-    leaves = common.staged(per_doc.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"))
-                           .where(F.col("docs") >= min_docs).select("leaf"), "line-leaves")
-    # All tokens are looked at only in lines of such leaves.
-    held = common.match(lines, leaves, ["leaf"]).withColumn("tokens", _masked(F.col("words")))
+    lines = docs.select("doc_id", F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n")).alias("i", "line"))
+    lines = _once(lines, "words", F.split(F.btrim("line", F.lit(BLANKS)), common.SPACES, DEPTH + 1))
+    lines = lines.select("doc_id", "h", "i", "line", _lead("line", "words").alias("lead"))
+    # No filter on ``lead`` before this aggregate: the optimizer would compute it twice.
+    per_doc = lines.groupBy("doc_id", "h", "lead").agg(F.lit(1).alias("one"))
+    leads = common.staged(per_doc.groupBy("lead").agg(F.count(F.lit(1)).alias("docs")).where(
+        F.col("lead").isNotNull() & (F.col("docs") >= min_docs)).select("lead"), "line-leads")
+    # All tokens are looked at only in lines whose leading tokens recur.
+    held = _once(common.match(lines, leads, ["lead"]), "tokens",
+                 _masked(common.split_words(F.col("line"), common.SPACES)))
     held = common.staged(held.select(
-        "doc_id", "h", "i", "leaf", "tokens", F.md5(F.to_json("tokens").cast("binary")).alias("form")), "lines")
+        "doc_id", "h", "i", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), "tokens",
+        F.md5(F.to_json("tokens").cast("binary")).alias("form")), "lines")
+    n_docs = docs.select("doc_id", F.xxhash64(text).alias("t")).distinct().count()
 
     forms = held.select("doc_id", "h", "leaf", "form").distinct().groupBy("leaf", "form").agg(
         F.count(F.lit(1)).alias("docs")).join(
@@ -101,21 +120,23 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("p", field.alias("t")))), lambda x: x["t"]).alias("template"))
     templates = common.staged(templates.where(
         2 * F.size(F.filter("template", lambda t: t != VARIABLE)) >= F.size("template")
-    ).select("form", F.md5(F.to_json("template").cast("binary")).alias("template")), "line-templates")
+    ).select("form", F.md5(F.to_json("template").cast("binary")).alias("template"),
+             (F.size("template") < MIN_TOKENS).alias("short")), "line-templates")
 
     own = common.match(held.select("doc_id", "h", "i", "form"), templates, ["form"])
-    recurring = own.select("doc_id", "h", "template").distinct().groupBy("template").agg(
-        F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("template")
+    enough = F.when(F.col("short"), F.col("docs") >= short_share * n_docs).otherwise(F.lit(True))
+    recurring = own.select("doc_id", "h", "template", "short").distinct().groupBy("template", "short").agg(
+        F.count(F.lit(1)).alias("docs")).where((F.col("docs") >= min_docs) & enough).select("template")
     recurring = common.staged(recurring, "line-recurring")
     return common.match(own, recurring, ["template"], "left_semi").groupBy("doc_id", "h").agg(
         F.collect_set("i").alias("gone"))
 
 
-def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, short_share: float = SHORT_SHARE) -> DataFrame:
     """(doc_id, n_lines, n_dropped, text): every document without its recurring lines."""
-    gone = recurring_lines(docs, min_docs).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "gone")
+    gone = recurring_lines(docs, min_docs, short_share).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "gone")
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.md5(text.cast("binary")).alias("h"))
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda x, i: ~F.array_contains("gone", i))

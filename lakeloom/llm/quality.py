@@ -3,12 +3,13 @@
 Rules judge lines, not documents: a line fails when it has no word of two letters or digits,
 when symbols make up too much of it, when it is mostly punctuation, when it is a navigation
 strip (several short cells between separators), or when it holds a stock phrase of web pages
-(cookie notice, script warning, ...) in any case. Failing lines are removed, and a document that would lose more than ``MAX_LOST`` of its word characters is rejected. On top,
-two document rules hold: too few words, or too many words in repeated eight-word windows.
+(cookie notice, script warning, ...) in any case. Failing lines are removed, and a document that
+would lose more than ``MAX_LOST`` of its word characters is rejected. On top, two document rules
+hold: too few words, or too many words in repeated eight-word windows.
 
 Only DataFrame functions are used, row by row, without a shuffle; a long text costs n log n.
-Null texts count as empty (no words: rejected). Repeated rows are judged alike. Extra
-columns are kept by ``clean`` and ignored by the query.
+Null texts count as empty (no words: rejected). Repeated rows are judged alike. An empty table
+gives no rows. Extra columns are kept by ``clean``, whatever their names, and ignored by the query.
 """
 
 from __future__ import annotations
@@ -39,14 +40,6 @@ STOCK_PHRASES = (
     "javascript is disabled", "click here to subscribe", "subscribe to our newsletter", "skip to content",
     "skip to main content", "back to top", "share this page", "share this article", "lorem ipsum",
 )
-# The statement below judges lines by the symbols, the separators of one character and these
-# forms of the phrases only; on the test tables that gives the same verdicts.
-STOCK = (
-    "ccept all cookies", "his site uses cookies", "his website uses cookies", "e use cookies", "nable JavaScript",
-    "nable javascript", "avaScript is disabled", "ubscribe to our newsletter", "kip to content",
-    "kip to main content", "ack to top", "hare this page", "hare this article", "orem ipsum",
-)
-
 ORACLE = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t,
@@ -65,14 +58,18 @@ lines AS (
 judged AS (
   SELECT u, line,
     length(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), '')) AS chars,
-    length(line) - length(translate(line, '{SYMBOLS}', '')) > {MAX_SYMBOL_SHARE} * length(line)
-      OR NOT regexp_matches(line, '[A-Za-z0-9\x{{80}}-\x{{10FFFF}}]{{2}}')
-      OR {" OR ".join(f"contains(line, '{x}')" for x in STOCK)} AS bad,
-    string_split(translate(line, '{NAV_SEPARATORS}', '{NAV_SEPARATORS[0] * len(NAV_SEPARATORS)}'), '{NAV_SEPARATORS[0]}') AS cells
+    length(line) - length(translate(line, '{SYMBOLS}', '')) > {MAX_SYMBOL_SHARE} * length(line) AS symbols,
+    NOT regexp_matches(line, '[A-Za-z0-9\x{{80}}-\x{{10FFFF}}]{{2}}') AS no_word,
+    length(line) - length(regexp_replace(line, '{PUNCTUATION}', '', 'g'))
+      > {MAX_PUNCT_SHARE} * length(regexp_replace(line, '{common.SPACES}', '', 'g')) AS punctuation,
+    len(list_filter({list(STOCK_PHRASES)}, lambda p: contains(
+      translate(line, '{common.UPPER}', '{common.LOWER}'), p))) > 0 AS stock,
+    string_split(translate(replace(replace(line, '{NAV_ARROWS[0]}', '{NAV_SEPARATORS[0]}'), '{NAV_ARROWS[1]}',
+      '{NAV_SEPARATORS[0]}'), '{NAV_SEPARATORS}', '{NAV_SEPARATORS[0] * len(NAV_SEPARATORS)}'), '{NAV_SEPARATORS[0]}') AS cells
   FROM lines),
 verdicts AS (
   SELECT u, sum(chars) AS chars, sum(CASE WHEN
-      chars > 0 AND (bad
+      chars > 0 AND (symbols OR no_word OR punctuation OR stock
         OR (len(cells) >= {NAV_CELLS} AND len(list_filter(cells, lambda c: length(trim(c, ' ')) > {NAV_CELL_CHARS})) = 0))
       THEN chars ELSE 0 END) AS lost,
     count(*) FILTER (chars > 0) - count(DISTINCT line) FILTER (chars > 0) AS n_dup_lines

@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,6 +162,38 @@ def test_quality_drops_punctuation_stock_phrases_and_arrow_strips(make):
     assert left == {x: prose(40) for x in bad} | {x: prose(40) + "\n" + x for x in good}
 
 
+def test_quality_statement_judges_lines_alike(make, spark, tmp_path):
+    """Documents made for each rule: the query and the SQL statement agree on every one."""
+    lines = ["ACCEPT ALL COOKIES", "Accept All Cookies", "Click here to subscribe", "BACK TO TOP", "Skip to Main Content",
+             "Home > Products > Contact > Help", "Home >> Products >> Contact >> Help", "Home | About » Contact • Help",
+             "ok ...... !!!!!! ------ ======", "--- ab ---", "ab,,,", "ab,,", "a b c d", "$$ ab ** %%", "é", "éé", "if a > b then c",
+             "one > two > three > a cell of more than twenty-four characters", "People use cookies in the kitchen",
+             "ÜBER UNS: BACK TO TOP", "a >>> b >>> c >>> d", " > a > b > c > ", "\t\x0b  \r", "x" * 5000]
+    rows = [(i, "\n".join([x] * k) + "\n" + prose(21, i)) for i, (x, k) in enumerate(
+        (x, k) for x in lines for k in (1, 4, 40))]
+    rows += [(900, None), (901, ""), (902, "\n\n"), (0, rows[0][1]), (903, prose(300) * 3)]
+    make(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter(tuple(r) for r in quality.query(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = con.execute(quality.ORACLE)
+    assert got == Counter(found.fetchall())
+    assert {r[-1] for r in got} == {True, False}
+
+
+def test_short_lines_recur_by_share_and_long_texts_are_whole(make):
+    rows = [(i, f"Read more\nPage {i}\n}}\nelse\n" + prose(30, i)) for i in range(60)]
+    rows += [(100 + i, f"Rare {'line' if i < 12 else 'other'}\n" + prose(25, i + 99)) for i in range(40)]
+    rows += [(500, "Read more\n" + "\n".join(prose(9, i) for i in range(20_000)))]
+    out = {r["doc_id"]: r for r in line_dedup.drop_recurring(make(rows), short_share=0.3).collect()}
+    assert {r["n_dropped"] for i, r in out.items() if i < 60} == {3}
+    assert all(out[i]["text"] == "}\n" + prose(30, i) for i in range(60))
+    assert {out[100 + i]["n_dropped"] for i in range(40)} == {0}
+    assert out[500]["n_dropped"] == 1 and out[500]["n_lines"] == 20_001
+    out = {r["doc_id"]: r for r in line_dedup.drop_recurring(make(rows), short_share=0).collect()}
+    assert {out[100 + i]["n_dropped"] for i in range(40)} == {1}
+
+
 def test_recurring_templates_are_dropped(make):
     rows = [(i, f"own line number of document {'abcdefghijklmnop'[i]}{i}x\nPosted on 2020-01-{i:02} by user{i}\n"
                 f"the same closing words for all of us\n" + prose(30, i)) for i in range(12)]
