@@ -332,7 +332,7 @@ def retrieve_cited(spark, d):
     model = fit_embedder(chunks)
     hits = retrieve.topk_similar(embed(model, bench), embed(model, chunks), k=4, q_id="item_id", d_id="chunk_id")
     titles = chunks.select("chunk_id", "title")
-    j = titles.join(F.broadcast(hits.withColumnRenamed("doc_id", "chunk_id")), "chunk_id")  # k hits per item
+    j = titles.join(hits.withColumnRenamed("doc_id", "chunk_id"), "chunk_id")
     per_q = j.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "title", "score"))).alias("h"))
     line = lambda h: F.format_string("[%d] %s (%s, score %.4f)", h["rank"], h["title"], h["chunk_id"], h["score"])
     return per_q.select(F.col("query_id").alias("item_id"), F.array_join(F.transform("h", line), "\n\n").alias("context"),

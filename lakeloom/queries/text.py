@@ -261,6 +261,15 @@ def topk_cosine(spark, d):
     return _knn(spark, d).withColumn("score", F.round("score", 6))
 
 
+@query("topk_indexed", _TOPK_SQL)
+def topk_indexed(spark, d):
+    """The same neighbours from a pivot index of the vectors."""
+    e = read_table(spark, d, "embeddings")
+    found = retrieve.topk_indexed(retrieve.mean_vectors(e, "label", "embedding"),
+                                  retrieve.pivot_index(e, d_id="vec_id"), k=4, q_id="label")
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query("cited_context", f"""
 WITH h AS ({_TOPK_SQL}),
 j AS (SELECT h.*, e.label FROM h LEFT JOIN embeddings e ON e.vec_id = h.doc_id)

@@ -1,5 +1,4 @@
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import retrieve
@@ -31,8 +30,41 @@ def test_topk_equals_brute_force(spark):
                 "query_id", "rank").collect():
             rows.setdefault(int(r["query_id"]), []).append(int(r["doc_id"]))
         assert rows == want
-    with pytest.raises(ValueError, match="question side"):
-        retrieve.topk_similar(df, df, q_id="id", d_id="id", max_question_bytes=2000)
+    # Questions in many blocks, and through an index.
+    index = retrieve.pivot_index(df, d_id="id", pivots=5)
+    for found in (retrieve.topk_similar(df, df, k=4, q_id="id", d_id="id", exclude_self=True, block_bytes=2000),
+                  retrieve.topk_indexed(df, index, k=4, q_id="id", exclude_self=True, block_bytes=8000)):
+        rows = {}
+        for r in found.orderBy("query_id", "rank").collect():
+            rows.setdefault(r["query_id"], []).append(r["doc_id"])
+        assert rows == want
+
+
+def test_index_skips_what_no_question_reaches(spark, monkeypatch):
+    monkeypatch.setattr(retrieve, "PROBE_SHARE", 4)
+    rng = np.random.default_rng(4)
+    centres = np.eye(12)[:10]
+    d = np.concatenate([c + 0.02 * rng.normal(size=(60, 12)) for c in centres] + [np.zeros((3, 12))])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(d)], "doc_id long, embedding array<double>")
+    q = np.concatenate([centres[:2] + 0.01, -centres[2:3]])
+    qs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(q[:2])], "query_id long, embedding array<double>")
+    index = retrieve.pivot_index(df, pivots=20)
+    got = {}
+    for r in retrieve.topk_indexed(qs, index, k=5).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["doc_id"])
+    assert got == brute(q[:2], d, 5, q_ids=[0, 1], d_ids=list(range(len(d))))
+    assert 0 < retrieve.needed_share(qs, index, k=5) < 0.5
+
+
+def test_index_of_nothing_and_more_neighbours_than_rows(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "doc_id long, embedding array<double>")
+    qs = spark.createDataFrame([(7, [1.0, 1.0])], "query_id long, embedding array<double>")
+    rows = retrieve.topk_indexed(qs, retrieve.pivot_index(df), k=9).orderBy("rank").collect()
+    assert [r["doc_id"] for r in rows] == [1, 2]
+    assert retrieve.topk_indexed(qs, retrieve.pivot_index(df.where("false")), k=9).count() == 0
+    assert retrieve.topk_indexed(qs.where("false"), retrieve.pivot_index(df), k=9).count() == 0
+    zeros = retrieve.topk_indexed(qs, retrieve.pivot_index(df.where("doc_id = 2")), k=1).collect()
+    assert [(r["doc_id"], r["score"]) for r in zeros] == [(2, 0.0)]
 
 
 def test_cited_context_orders_hits(spark):
