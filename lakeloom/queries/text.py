@@ -8,7 +8,7 @@ from ..catalog import query
 from ..functions.text import WHITESPACE_CLASS as WS
 from ..operators import chunk, documents, fingerprint, label, retrieve
 from ..session import scratch_path
-from ..sources import files, json_docs
+from ..sources import files, json_docs, ranges
 from ..sources.tables import read_table
 
 _WORDS = f"list_filter(string_split_regex(coalesce(text, ''), '{WS}'), lambda x: x <> '')"
@@ -176,14 +176,13 @@ def label_rule(spark, d):
 
 @query("binary_files", "SELECT doc_id, text FROM documents")
 def binary_files(spark, d):
-    """Documents land as bounded-size text files (one JSON record per line), then come
-    back through the binary-file source: glob filter, recursive listing, UTF-8 decode."""
+    """Documents land as text files (one JSON record per line), then come back as the lines of byte
+    ranges: glob filter, recursive listing, UTF-8 decode."""
     docs = read_table(spark, d, "documents")
     path = scratch_path(spark, "binary-docs")
     files.write_text_files(docs.select("lang", F.to_json(F.struct("doc_id", "text")).alias("line")), path, "line",
                            partition_by=["lang"])
-    raw = files.binary_files(spark, path, glob="*.txt", recursive=True)
-    lines = files.file_texts(raw).select(F.explode(F.split("body", "\n")).alias("line")).filter(F.length("line") > 0)
+    lines = ranges.lines(ranges.listed(spark, path, glob="*.txt")).where(F.length("line") > 0)
     parsed = lines.select(json_docs.parse_json(F.col("line"), "doc_id BIGINT, text STRING").alias("r"))
     return parsed.select("r.doc_id", "r.text")
 
