@@ -64,8 +64,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def is_small(table: DataFrame) -> bool:
+    """Whether a table that was just written is within the broadcast bound."""
+    return estimated_bytes(table) <= DEFAULT_BROADCAST_BYTES
+
+
 def match(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join large ``rows`` with a table that was just written (its files' size is known):
     broadcast within the bound, else by shuffle. The large side is never broadcast."""
-    small = estimated_bytes(table) <= DEFAULT_BROADCAST_BYTES
-    return rows.join(F.broadcast(table) if small else table.hint("merge"), on, how)
+    return rows.join(F.broadcast(table) if is_small(table) else table.hint("merge"), on, how)

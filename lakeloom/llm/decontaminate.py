@@ -13,13 +13,17 @@ every candidate: the rarest one in the corpus. The steps:
 4. Candidates are verified word by word.
 
 Only DataFrame functions are used. The benchmark's shingles are broadcast when their
-estimated size is small, else the planner joins by shuffle; results are the same. A phrase
+estimated size is small. Else the places of all shingles are joined with them by shuffle, as
+(row, place, hash) alone, and the places found go back to their texts, which move once; results
+are the same. A phrase
 that a third of all documents share is counted by partial aggregates and joined to a small
 table; places of one document meet in one group, which is bounded by the text's length.
 
 Null and empty texts (documents or items) have no words, hence no windows and no hits; the
 items digest is then that of the empty string. Equal rows give equal result rows, one each.
-Items with equal texts all count. Extra columns are ignored.
+Items with equal texts all count; an item without an id marks words as hit, but is not counted
+or named. Empty tables give no rows (documents) or no hits (items). A very long text is one row
+in the pass, and its places meet in one group. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -54,7 +58,7 @@ x AS (
 hits AS (SELECT x.u, x.i, x.n, g.item_id FROM x JOIN g ON x.t = g.t AND x.n = g.n),
 c AS (SELECT u, count(DISTINCT p) AS n_hit
       FROM (SELECT u, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY u),
-m AS (SELECT u, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+m AS (SELECT u, count(s) AS n_items, string_agg(s, ',' ORDER BY s) AS items
       FROM (SELECT DISTINCT u, cast(item_id AS varchar) AS s FROM hits) GROUP BY u)
 SELECT d.doc_id, cast(len(d.w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
@@ -85,6 +89,52 @@ def windows(benchmark: DataFrame, window: int = WINDOW, item: str = "item_id") -
         F.size("words").alias("n"), "items")
 
 
+def _spread(base: DataFrame, widths: list[int], *kept: str) -> list[tuple[int, DataFrame]]:
+    """Per width k, the places of a document (row, ``kept``, at, hash), ``hash`` that of the shingle there. Place -1,
+    with the first width, is the document's own row; its key always finds a partner."""
+    spread = base.select("row", *kept, F.size("w").alias("n_words"), "w",
+                         F.explode(F.expr("sequence(-1, size(w) - 1)")).alias("at"))
+    out = []
+    for k in widths:
+        keyed = spread.where(f"at + {k} <= n_words" + (" OR at = -1" if k == widths[0] else " AND at >= 0"))
+        out.append((k, keyed.withColumn("hash", F.when(F.col("at") >= 0, _shingle(F.col("w"), F.col("at"), k))
+                                        .otherwise(2 * F.pmod(F.col("row"), F.lit(OWN_KEYS))))))
+    return out
+
+
+def _with_words_around(found: DataFrame, k, reach: int) -> DataFrame:
+    """(row, doc_id, n_words, at, hash, from, around): the words of each place and ``reach`` on both sides."""
+    return found.select(
+        "row", "doc_id", "n_words", "at", "hash",
+        F.when(F.col("at") >= 0, F.greatest(F.col("at") - reach, F.lit(0))).alias("from"),
+        F.expr(f"if(at >= 0, slice(w, greatest(at - {reach}, 0) + 1, at - greatest(at - {reach}, 0) + {k} + {reach}), null)")
+        .alias("around"))
+
+
+def _found_by_broadcast(base: DataFrame, wanted: DataFrame, widths: list[int], reach: int, name: str) -> DataFrame:
+    places = None
+    for k, keyed in _spread(base, widths, "doc_id"):
+        found = _with_words_around(common.match(keyed, wanted, ["hash"]), k, reach)
+        places = found if places is None else places.unionByName(found)
+    return places
+
+
+def _found_by_shuffle(base: DataFrame, wanted: DataFrame, widths: list[int], reach: int, name: str) -> DataFrame:
+    """Only (row, k, at, hash) is joined with the keys; the words come from the written texts afterwards."""
+    base = common.staged(base, f"{name}-texts")
+    keys = wanted.where("hash % 2 != 0")  # own rows need no partner here
+    places = None
+    for k, keyed in _spread(base, widths):
+        found = common.match(keyed.where("at >= 0").select("row", F.lit(k).alias("k"), "at", "hash"), keys, ["hash"])
+        places = found if places is None else places.unionByName(found)
+    per_row = places.groupBy("row").agg(F.collect_list(F.struct("k", "at", "hash")).alias("places"))
+    none = F.struct(F.lit(widths[0]).alias("k"), F.lit(-1).alias("at"), F.lit(0).cast("long").alias("hash"))
+    joined = base.join(per_row, "row", "left").select(
+        "row", "doc_id", F.size("w").alias("n_words"), "w",
+        F.explode(F.concat(F.array(none), F.coalesce("places", F.array()))).alias("p"))
+    return _with_words_around(joined.select("row", "doc_id", "n_words", "w", "p.*"), "k", reach)
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
          item: str = "item_id", name: str = "decontaminate", key_type: str = "long") -> DataFrame:
     """Per row of ``docs`` (doc_id, text): (row, doc_id, n_words, spans, items), where ``spans``
@@ -104,25 +154,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
     own_keys = docs.sparkSession.range(OWN_KEYS).select((F.col("id") * 2).alias("hash"))
     wanted = common.staged(grams.select("hash").distinct().unionByName(own_keys), f"{name}-keys")
 
-    reach = max(window - 1, 0)
     base = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast(key_type).alias("doc_id"),
         common.split_words(common.fold_ascii(F.coalesce("text", F.lit(""))), common.NOT_ALNUM).alias("w"))
-    # Position -1 is the document's own row; its key always finds a partner.
-    spread = base.select("row", "doc_id", F.size("w").alias("n_words"), "w",
-                         F.explode(F.expr("sequence(-1, size(w) - 1)")).alias("at"))
-    places = None
-    for k in widths:
-        keyed = spread.where(f"at + {k} <= n_words" + (" OR at = -1" if k == widths[0] else " AND at >= 0"))
-        keyed = keyed.withColumn("hash", F.when(F.col("at") >= 0, _shingle(F.col("w"), F.col("at"), k))
-                                 .otherwise(2 * F.pmod(F.col("row"), F.lit(OWN_KEYS))))
-        found = common.match(keyed, wanted, ["hash"])
-        found = found.select(
-            "row", "doc_id", "n_words", "at", "hash",
-            F.when(F.col("at") >= 0, F.greatest(F.col("at") - reach, F.lit(0))).alias("from"),
-            F.expr(f"if(at >= 0, slice(w, greatest(at - {reach}, 0) + 1, at - greatest(at - {reach}, 0) + {k + reach}), null)")
-            .alias("around"))
-        places = found if places is None else places.unionByName(found)
+    find = _found_by_broadcast if common.is_small(wanted) else _found_by_shuffle
+    places = find(base, wanted, widths, max(window - 1, 0), name)
     places = common.staged(places, f"{name}-places")
 
     counts = places.where("at >= 0").groupBy("hash").agg(F.count(F.lit(1)).alias("freq"))

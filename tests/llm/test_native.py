@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -5,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, line_dedup, mixing, quality, sharding
+from lakeloom.llm import common, decontaminate, line_dedup, mixing, quality, sharding
 from tests.llm import brute
 
 CLASH = ["shard", "slot", "size", "taken", "target", "source_size", "row", "w", "at", "hash", "lost", "kept", "n_words", "h", "i"]
@@ -128,6 +129,40 @@ def test_contamination_matches_brute_force(make, spark):
         k[0] for k, n in brute.leaks(LEAKY, ITEMS).items() for _ in range(n) if not k[5])
 
 
+def test_contamination_by_shuffle_moves_no_texts_per_word(make, spark, monkeypatch):
+    monkeypatch.setattr(common, "DEFAULT_BROADCAST_BYTES", 0)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plans = []
+    staged = common.staged
+    monkeypatch.setattr(common, "staged", lambda df, name: plans.append(
+        (name, df._jdf.queryExecution().executedPlan().toString())) or staged(df, name))
+    rows = LEAKY + [(77, None), (78, ""), (79, prose(30_000) + " " + ITEMS[0][1])]
+    got = decontaminate.mark(clashing(make(rows)), items).collect()
+    assert Counter(tuple(r) for r in got) == brute.leaks(rows, ITEMS)
+    plan = dict(plans)["decontaminate-places"]
+    # The words cross one exchange, that of the texts by row; the other exchanges carry places alone.
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(hash" in line:
+            assert not re.search(r"(?:\[|, )w#\d+(?:,|\])", lines[i + 1])  # not among the columns
+    assert sum("Exchange hashpartitioning(hash" in line for line in lines) >= 2
+    left = decontaminate.remove(make(rows), items)
+    assert left.count() == sum(n for k, n in brute.leaks(rows, ITEMS).items() if not k[5])
+
+
+def test_items_without_an_id_are_not_counted(make, spark, tmp_path):
+    rows = [(1, "x " + prose(12, 5) + " y"), (2, "nothing here"), (3, prose(12, 5) + " " + prose(15, 9))]
+    items = [(None, prose(12, 5)), (4, prose(15, 9)), (None, None), (5, "")]
+    make(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = decontaminate.query(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in got} == {1: (12, 0), 2: (0, 0), 3: (27, 1)}
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert Counter(tuple(r) for r in got) == Counter(con.execute(decontaminate.ORACLE).fetchall())
+
+
 def test_contamination_edges(make, spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
