@@ -3,9 +3,11 @@
 Every source's documents lie in a seeded order on a line of tokens, cut into blocks of
 equal size. The words of the mix are shared out by weight (a source's target stops at
 ``max_epochs`` times its size, the excess is reshared), then whole blocks go to the sources
-with the highest quotients target / (2 s + 1). A source's integer quota takes its line as
-often as it fits; the rest of the quota are blocks picked by a seeded permutation of the
-block numbers, dealt to the shards in turn, so quotas per shard differ by one at most.
+with the highest quotients target / (2 s + 1). The seats of a source's integer quota belong to the
+shards in turn, each source starting at another shard, so a source's quotas per shard differ by
+one at most (``shard_quotas``). Then a seeded permutation numbers the source's blocks, and the block
+with number t takes the seats t, t + blocks, t + 2 blocks, ... as far as the quota goes: the line is taken as
+often as it fits, and blocks picked by their numbers fill what is left of every shard's quota.
 
 The quotients that can matter are few: Sainte-Laguë rounds target / divisor, so every
 source surely gets the rounding for a divisor a little too large, and at most one seat a
@@ -16,8 +18,9 @@ Only DataFrame functions are used. Positions on the line are running sums by sli
 is one small row each.
 
 Null texts and texts without words have size 0 and take 0. Null sources form a source that
-sorts last. Equal rows lie on the line one after another. Columns of the operator replace
-input columns of the same name.
+sorts last. Equal rows lie on the line one after another. An empty table gives no rows. A very long
+text is many blocks, listed in its own row. Columns of the operator replace input columns of the
+same name.
 """
 
 from __future__ import annotations
@@ -60,7 +63,7 @@ s8 AS (SELECT *, seats - sum(low) OVER () AS open_seats FROM s7),
 c AS (SELECT place, open_seats, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, place, seat) AS r
       FROM (SELECT *, unnest(generate_series(low, high - 1)) AS seat FROM s8 WHERE high > low)),
 w AS (SELECT place, count(*) AS won FROM c WHERE r <= open_seats GROUP BY place),
-q AS (SELECT source, source_size, target, (source_size + {BLOCK - 1}) // {BLOCK} AS nb,
+q AS (SELECT source, source_size, target, place, (source_size + {BLOCK - 1}) // {BLOCK} AS nb,
          least(low + coalesce(won, 0), ((source_size + {BLOCK - 1}) // {BLOCK}) * {MAX_EPOCHS}) AS quota,
          ('0x' || substr(md5(concat_ws('|', '{SEED}', coalesce(source, ''))), 1, 7))::BIGINT AS shift
       FROM s8 LEFT JOIN w USING (place)),
@@ -71,7 +74,13 @@ SELECT doc_id, size, source_size, target,
   CASE WHEN size = 0 THEN 0 ELSE cast((quota // nb) * size + coalesce(list_sum(list_transform(
     generate_series(a // {BLOCK}, (a + size - 1) // {BLOCK}),
     lambda j: CASE WHEN (j * (step % nb) + shift) % nb < quota % nb
-              THEN least(a + size, (j + 1) * {BLOCK}) - greatest(a, j * {BLOCK}) ELSE 0 END)), 0) AS bigint) END AS taken
+              THEN least(a + size, (j + 1) * {BLOCK}) - greatest(a, j * {BLOCK}) ELSE 0 END)), 0) AS bigint) END AS taken,
+  array_to_string(list_transform(generate_series(0, {SHARDS - 1}), lambda g: CASE WHEN size = 0 THEN 0::BIGINT ELSE cast(coalesce(list_sum(
+    list_transform(generate_series(a // {BLOCK}, (a + size - 1) // {BLOCK}), lambda j:
+      len(list_filter(generate_series(0, quota // nb), lambda e:
+        e * nb + (j * (step % nb) + shift) % nb < quota
+        AND (place + e * nb + (j * (step % nb) + shift) % nb) % {SHARDS} = g))
+      * (least(a + size, (j + 1) * {BLOCK}) - greatest(a, j * {BLOCK})))), 0) AS bigint) END), ',') AS shard_words
 FROM l
 """
 
@@ -138,15 +147,15 @@ def shard_quotas(per_source: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def mix(docs: DataFrame, block: int = BLOCK, max_epochs: int = MAX_EPOCHS, weights=WEIGHTS,
-        seed: int = SEED) -> DataFrame:
+        seed: int = SEED, shards: int = SHARDS) -> DataFrame:
     """``docs`` (doc_id, source, size in words, ...) with source_size, target, ``taken``, the
-    words of the document that the mix takes, repeats counted, and ``copies``, how often the
-    mix takes it as a whole document."""
-    own = ("source_size", "target", "taken", "copies")
+    words of the document that the mix takes, repeats counted, ``shard_words``, the same by shard, and
+    ``copies``, how often the mix takes it as a whole document."""
+    own = ("source_size", "target", "taken", "copies", "shard_words")
     rows = docs.drop(*[c for c in docs.columns if c.lower() in own])
     sizes = rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("source_size"))
     plan = quotas(targets(sizes, weights, max_epochs), block, max_epochs).select(
-        F.col("source").alias("__of"), "target", F.col("blocks").alias("__blocks"), F.col("quota").alias("__quota"))
+        F.col("source").alias("__of"), "target", F.col("place").alias("__place"), F.col("blocks").alias("__blocks"), F.col("quota").alias("__quota"))
     others = [c for c in rows.columns if c not in ("doc_id", "source", "size", "text")]
     text = [F.col("text")] if "text" in rows.columns else []
     keyed = rows.withColumn("__key", digest(seed, F.col("doc_id"), *text)).withColumn(
@@ -157,7 +166,8 @@ def mix(docs: DataFrame, block: int = BLOCK, max_epochs: int = MAX_EPOCHS, weigh
     joined = laid.join(plan, F.col("source").eqNullSafe(F.col("__of"))).withColumn(
         "__step", F.when(F.col("__blocks") % PRIMES[0] != 0, F.lit(PRIMES[0])).otherwise(F.lit(PRIMES[1])).cast("long")
     ).withColumn("__shift", F.conv(F.substring(digest(seed, F.col("source")), 1, 7), 16, 10).cast("long"))
-    is_picked = "({j} * (__step % __blocks) + __shift) % __blocks < __quota % __blocks"
+    number = "({j} * (__step % __blocks) + __shift) % __blocks"
+    is_picked = number + " < __quota % __blocks"
     picked = F.expr(f"""
         aggregate(sequence(__at DIV {block}, (__at + size - 1) DIV {block}), 0L, (sum, j) -> sum + if(
             {is_picked.format(j="j")},
@@ -165,8 +175,21 @@ def mix(docs: DataFrame, block: int = BLOCK, max_epochs: int = MAX_EPOCHS, weigh
     taken = F.when(F.col("size") > 0, F.expr("(__quota DIV __blocks) * size") + picked).otherwise(F.lit(0))
     first = is_picked.format(j=f"(__at DIV {block})")
     copies = F.when(F.col("size") > 0, F.expr(f"__quota DIV __blocks + if({first}, 1, 0)")).otherwise(F.lit(0))
-    return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
-                         copies.cast("int").alias("copies"), *text, *others)
+    # The seats of every block of the document, each with its shard and the words it holds of the document.
+    dealt = F.expr(f"""
+        if(size > 0, flatten(transform(sequence(__at DIV {block}, (__at + size - 1) DIV {block}), j -> transform(
+            filter(transform(sequence(0L, __quota DIV __blocks), e -> e * __blocks + {number.format(j="j")}), s -> s < __quota),
+            s -> named_struct('shard', (__place + s) % {shards},
+                              'words', least(__at + size, (j + 1) * {block}) - greatest(__at, j * {block}))))),
+           cast(array() AS array<struct<shard:bigint,words:bigint>>))""")
+    by_shard = F.expr(f"""
+        transform(sequence(0, {shards - 1}), g -> aggregate(
+            filter(__dealt, x -> x.shard = g), 0L, (sum, x) -> sum + x.words))""")
+    # A generator computes the seats once for all shards.
+    seated = joined.withColumns({"taken": taken.cast("long"), "copies": copies.cast("int")}).select(
+        "*", F.explode(F.array(dealt)).alias("__dealt"))
+    return seated.select("doc_id", "source", "size", "source_size", "target", "taken", "copies",
+                         by_shard.alias("shard_words"), *text, *others)
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -184,9 +207,10 @@ def draw(docs: DataFrame, **options) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document."""
+    """What the mix takes of every document, and for which shards."""
     docs = sized(common.documents(spark, sf_dir))
     narrow = common.staged(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "source", "size",
         F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text")), "mix-rows")
-    return mix(narrow).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(narrow).select("doc_id", "size", "source_size", "target", "taken", F.array_join(
+        F.transform("shard_words", lambda n: n.cast("string")), ",").alias("shard_words"))

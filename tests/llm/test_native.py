@@ -92,6 +92,22 @@ def test_mix_takes_near_its_targets(make):
     assert sorted(map(str, got)) == sorted(map(str, mixing.mix(mixing.sized(make(rows, parts=9)), block=4).collect()))
 
 
+def test_blocks_fill_the_quotas_of_the_shards(make):
+    rows = [(i, prose(30 + i % 90, i), f"s{min(i % 10, 4)}") for i in range(300)] + [(900, None, "s1"), (901, prose(3000), None)]
+    docs = mixing.sized(make(rows))
+    got = mixing.mix(docs, block=8, shards=4).collect()
+    assert all(sum(r["shard_words"]) == r["taken"] and len(r["shard_words"]) == 4 for r in got)
+    sizes = docs.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+    plan = mixing.shard_quotas(mixing.quotas(mixing.targets(sizes), 8), 4).collect()
+    quota = {(r["source"], r["shard"]): r["quota"] for r in plan}
+    for (source, shard), blocks in quota.items():
+        words = sum(r["shard_words"][shard] for r in got if r["source"] == source)
+        assert 8 * blocks - 7 * 3 <= words <= 8 * blocks  # a line's last block may be a short one
+    for source in {r["source"] for r in got}:
+        own = [q for (s, _), q in quota.items() if s == source]
+        assert max(own) - min(own) <= 1
+
+
 def test_mixing_edges(make):
     assert mixing.mix(mixing.sized(make([]))).count() == 0
     assert mixing.mix(mixing.sized(make([(1, None), (2, "")]))).agg(F.sum("taken")).first()[0] == 0
