@@ -1,18 +1,23 @@
-"""Batch-embedding hook: any ``list[str] -> list[vector]`` function, applied on executors.
+"""Embedding on executors: a model that each Python worker loads once, fed ordered batches.
 
-Rows stream through ``mapInPandas`` in Arrow batches; each batch is cut into
-calls of at most ``batch_size`` texts, in order, and every call must return
-exactly one vector per text (a short or long answer fails the task instead of
-shifting vectors onto the wrong rows).
+:func:`batch_embed` applies any ``list[str] -> list[vector]`` function through
+``predict_batch_udf`` in calls of at most ``batch_size`` texts. Every call must return exactly one
+vector per text (a short or long answer fails the task instead of shifting vectors onto the wrong
+rows). :class:`HashedTfidf` is such a function, fitted by one distributed aggregate.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Sequence
+import zlib
+from typing import Callable, NamedTuple, Sequence
 
 import numpy as np
-import pandas as pd
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.text import words
 
 EmbedFn = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
@@ -26,24 +31,56 @@ class EmbeddingCountMismatch(RuntimeError):
 
 def batch_embed(df: DataFrame, fn: EmbedFn, id_col: str, text_col: str, batch_size: int = MAX_BATCH,
                 dim: int | None = None) -> DataFrame:
-    """``(id_col, embedding array<float>, embedding_dim int)`` for every row of ``df``."""
+    """``(id_col, embedding array<float>, embedding_dim int)`` for every row of ``df``; a null text is an empty one."""
+    return with_embedding(df.select(id_col, text_col), fn, text_col, batch_size, dim).select(
+        id_col, "embedding", F.size("embedding").alias("embedding_dim"))
+
+
+def with_embedding(df: DataFrame, fn: EmbedFn, text_col: str, batch_size: int = MAX_BATCH,
+                   dim: int | None = None) -> DataFrame:
+    """``df`` plus ``embedding``; the other columns don't pass through Python."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    id_type = dict(df.dtypes)[id_col]
-
-    def run(batches):
-        for pdf in batches:
-            texts = pdf[text_col].fillna("").tolist()
-            vectors = []
-            for lo in range(0, len(texts), batch_size):
-                chunk = texts[lo:lo + batch_size]
-                out = list(fn(chunk))
-                if len(out) != len(chunk):
-                    raise EmbeddingCountMismatch(f"sent {len(chunk)} texts, got {len(out)} vectors")
-                vectors.extend(np.asarray(v, dtype=np.float32) for v in out)
-            if dim is not None and any(len(v) != dim for v in vectors):
-                raise EmbeddingCountMismatch(f"expected dimension {dim}")
-            yield pd.DataFrame({id_col: pdf[id_col], "embedding": [v.tolist() for v in vectors],
-                                "embedding_dim": [len(v) for v in vectors]})
-
-    return df.select(id_col, text_col).mapInPandas(run, f"{id_col} {id_type}, embedding array<float>, embedding_dim int")
+
+    def load():  # once per worker
+        def predict(texts: np.ndarray) -> np.ndarray:
+            out = [np.asarray(v, dtype=np.float32) for v in fn(texts.tolist())]
+            if len(out) != len(texts):
+                raise EmbeddingCountMismatch(f"sent {len(texts)} texts, got {len(out)} vectors")
+            if len({len(v) for v in out} | ({dim} if dim is not None else set())) > 1:
+                raise EmbeddingCountMismatch(f"expected dimension {dim or len(out[0])}")
+            return np.stack(out)
+
+        return predict
+
+    embed = predict_batch_udf(load, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    return df.withColumn("embedding", embed(F.coalesce(F.col(text_col), F.lit(""))))
+
+
+class HashedTfidf(NamedTuple):
+    """Lower-case words hashed to ``len(idf)`` places, weighed by rarity, scaled to length 1.
+
+    A text without words has a vector of zeros.
+    """
+
+    idf: list[float]
+
+    def __call__(self, texts: Sequence[str]) -> np.ndarray:
+        dim = len(self.idf)
+        out = np.zeros((len(texts), dim))
+        for row, text in enumerate(texts):
+            places = [zlib.crc32(w.encode()) % dim for w in text.lower().split()]
+            out[row] = np.bincount(places, minlength=dim) if places else 0.0
+        out *= np.asarray(self.idf)
+        norm = np.linalg.norm(out, axis=1, keepdims=True)
+        return out / np.where(norm > 0, norm, 1.0)
+
+
+def fit_hashed_tfidf(corpus: DataFrame, text_col: str, dim: int) -> HashedTfidf:
+    """idf = ln((n + 1) / (df + 1)) per hashed place; ``dim`` counts, from one aggregate, reach the driver."""
+    places = F.array_distinct(F.transform(words(F.lower(text_col)), lambda w: F.crc32(w.cast("binary")) % dim))
+    held = corpus.select(F.explode(places).alias("place")).groupBy("place").count().collect()
+    counts = np.zeros(dim)
+    for r in held:
+        counts[r["place"]] = r["count"]
+    return HashedTfidf(np.log((corpus.count() + 1) / (counts + 1)).tolist())

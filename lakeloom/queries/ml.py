@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..catalog import query
-from ..functions.text import WHITESPACE_CLASS
-from ..operators import documents, features, gate, metrics, registry, retrieve, scale, train
+from ..operators import documents, embed, features, gate, metrics, registry, retrieve, scale, train
 from ..operators.split import TWO_WAY, split_label
 from ..session import landed, scratch_path
 from ..sinks import Sink, write
@@ -21,26 +18,30 @@ _SPLIT3 = f"CASE WHEN {_BUCKET} < 70 THEN 'train' WHEN {_BUCKET} < 85 THEN 'test
 
 
 def feature_table(spark, d):
-    register_tables(spark, d, ["lineitem", "orders", "customer", "supplier"])
+    register_tables(spark, d, ["lineitem", "orders", "part", "customer", "supplier"])
     return features.with_split(features.engineer(features.source(spark)))
 
 
 # ---------------------------------------------------------------- K6, K7
 
-@query("feature_engineering", f"""
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice / 1000.0 AS trip_distance,
-       CAST(date_diff('day', o.o_orderdate, l.l_shipdate) AS DOUBLE) AS trip_minutes,
-       hour(o.o_orderdate) AS pickup_hour, dayofweek(o.o_orderdate) + 1 AS pickup_dow,
-       c.c_nationkey AS pickup_zip, s.s_nationkey AS dropoff_zip,
-       l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) / 100 AS fare_amount,
-       {_SPLIT3.replace('l_', 'l.l_')} AS split, 'v1' AS feature_set_version
-FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+_FEATURES = f"""
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, CAST(l.l_shipdate AS DATE) AS shipped_on,
+       CAST(l.l_quantity AS DOUBLE) AS quantity,
+       CAST(date_diff('day', o.o_orderdate, l.l_shipdate) AS DOUBLE) AS days_to_ship,
+       hour(o.o_orderdate) AS order_hour, dayofweek(o.o_orderdate) + 1 AS order_dow,
+       c.c_nationkey AS customer_nation, s.s_nationkey AS supplier_nation, p.p_size AS part_size,
+       l.l_quantity * p.p_retailprice * (1 - l.l_discount) * (1 + l.l_tax) AS list_charge,
+       {_SPLIT3.replace('l_', 'l.l_')} AS split, 'v2' AS feature_set_version
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN part p ON p.p_partkey = l.l_partkey
 LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey
 WHERE l.l_shipdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-12-31'
   AND date_diff('day', o.o_orderdate, l.l_shipdate) BETWEEN 1 AND 180
-  AND c.c_nationkey IS NOT NULL AND s.s_nationkey IS NOT NULL
-  AND l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) / 100 IS NOT NULL
-""")
+  AND c.c_nationkey IS NOT NULL AND s.s_nationkey IS NOT NULL AND p.p_size IS NOT NULL
+  AND l.l_quantity * p.p_retailprice * (1 - l.l_discount) * (1 + l.l_tax) IS NOT NULL
+"""
+
+
+@query("feature_engineering", _FEATURES)
 def feature_engineering(spark, d):
     return feature_table(spark, d)
 
@@ -185,22 +186,41 @@ def registry_current(spark, d):
     return registry.current(stage_log(spark, d))
 
 
-# ---------------------------------------------------------------- MLlib (rows-only checks)
+# ---------------------------------------------------------------- MLlib
+
+def _model_store(spark) -> tuple[Sink, str]:
+    """The stage log and the folder of models, both new."""
+    return Sink(mode="append", path=scratch_path(spark, "stage-log")), scratch_path(spark, "models")
+
 
 @query("train_metrics")
 def train_metrics(spark, d):
-    """Train → validate on unseen rows → gate → register → long metrics."""
+    """Two training runs over one registry: train, validate on unseen rows, gate, register as the next version.
+
+    Long metrics and gate outcomes of both: a linear model is version 1, boosted trees are version 2.
+    """
     feats = landed(feature_table(spark, d), "features")
-    model_dir = scratch_path(spark, "models")
-    out, gate_rows, stage = train.train_gate_register(feats, lambda: None, model_dir)
-    return out.unionByName(gate_rows.select(
-        F.lit("fare").alias("model_name"), F.lit(1).cast("bigint").alias("version"), F.lit("gate").alias("learner"),
-        F.col("bar").alias("metric"), F.col("passed").cast("double").alias("value"),
-        F.lit(None).cast("double").alias("train_seconds")))
+    log, model_dir = _model_store(spark)
+    parts = None
+    for kind in ("linear", "gbt"):
+        out, gate_rows, version = train.train_gate_register(feats, log, model_dir, kind=kind)
+        part = out.unionByName(gate_rows.select(
+            F.lit(train.MODEL_NAME).alias("model_name"), F.lit(version).cast("bigint").alias("version"),
+            F.lit("gate").alias("learner"), F.col("bar").alias("metric"), F.col("passed").cast("double").alias("value"),
+            F.lit(None).cast("double").alias("train_seconds")))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
 
+# The dates that scheduled batch-inference runs are given (their ``dt`` parameter), and the last day
+# of shipments that the first of two versions has seen.
+RUN_DATE, NEXT_RUN_DATE = "2024-01-31", "2024-02-29"
+FIRST_WINDOW = "1998-06-30"
 
-# The run date a scheduled batch-inference run is given (its ``dt`` parameter).
-RUN_DATE = "2024-01-31"
+
+def _predictions(spark) -> Sink:
+    return Sink(mode="overwrite_partitions", path=scratch_path(spark, "predictions"), partition_by=["scored_on"],
+                require_rows=True)
 
 
 @query("batch_inference")
@@ -209,45 +229,101 @@ def batch_inference(spark, d, run_date: str = RUN_DATE):
 
     Output is partitioned by the run date: a re-run of the same date replaces
     only its own partition (dynamic overwrite); other runs stay. Fails when no
-    production version exists or no rows land.
+    production version exists or no rows land. A training run goes before, so that there is one.
     """
-    from pyspark.ml import PipelineModel
+    feats = landed(feature_table(spark, d), "features")
+    log, model_dir = _model_store(spark)
+    train.train_gate_register(feats, log, model_dir)
+    out = _predictions(spark)
+    train.score_in_production(feats.filter(F.col("split") == "score"), log, model_dir, out, run_date)
+    return out.read(spark)
 
+
+_WINDOWS = f"(VALUES (1, DATE '{FIRST_WINDOW}'), (2, DATE '9999-12-31')) w(version, until)"
+
+
+@query("model_versions", f"""
+WITH f AS ({_FEATURES})
+SELECT CAST(w.version AS BIGINT) AS version, count(*) FILTER (WHERE f.split = 'train') AS train_rows,
+       count(*) FILTER (WHERE f.split = 'test') AS test_rows, CAST({len(train.CHARGE_BARS)} AS BIGINT) AS bars_passed,
+       w.version = 2 AS in_production
+FROM f JOIN {_WINDOWS} ON f.shipped_on <= w.until GROUP BY w.version
+""")
+def model_versions(spark, d):
+    """A model and its retraining on more shipments: versions grow from the log, the last one is in production."""
     feats = landed(feature_table(spark, d), "features")
-    model_dir = scratch_path(spark, "models")
-    log_path = scratch_path(spark, "stage-log")
-    _, _, stage = train.train_gate_register(feats, lambda: None, model_dir)
-    write(stage, Sink(mode="append", path=log_path))
-    version = registry.production_version(spark.read.parquet(log_path), "fare")
-    model = PipelineModel.load(f"{model_dir}/fare/v{version}")
-    scored = train.score(model, feats.filter(F.col("split") == "score"), version) \
-        .withColumn("scored_on", F.lit(run_date).cast("date"))
-    out = scratch_path(spark, "predictions")
-    write(scored, Sink(mode="overwrite_partitions", path=out, partition_by=["scored_on"], require_rows=True))
-    return spark.read.parquet(out)
+    log, model_dir = _model_store(spark)
+    rows = None
+    for until in (FIRST_WINDOW, "9999-12-31"):
+        out, gate_rows, version = train.train_gate_register(
+            feats.filter(F.col("shipped_on") <= F.lit(until).cast("date")), log, model_dir, kind="linear")
+        row = out.groupBy("version").agg(
+            *[F.max(F.when(F.col("metric") == f"{name}_rows", F.col("value"))).cast("bigint").alias(f"{name}_rows")
+              for name in ("train", "test")]).crossJoin(
+            gate_rows.agg(F.count(F.when(F.col("passed"), 1)).alias("bars_passed")))  # one row by one row
+        rows = row if rows is None else rows.unionByName(row)
+    live = registry.current(log.read(spark)).select(F.col("version").alias("live"))
+    return rows.join(live, rows["version"] == live["live"], "left").select(
+        *rows.columns, F.col("live").isNotNull().alias("in_production"))
+
+
+@query("batch_inference_runs", f"""
+WITH f AS ({_FEATURES}), n AS (SELECT count(*) AS n_rows FROM f WHERE split = 'score')
+SELECT CAST(r.scored_on AS DATE) AS scored_on, CAST(r.version AS BIGINT) AS model_version, n.n_rows, n.n_rows AS n_predicted
+FROM n, (VALUES ('{RUN_DATE}', 1), ('{NEXT_RUN_DATE}', 2)) r(scored_on, version)
+""")
+def batch_inference_runs(spark, d):
+    """Scheduled scoring before and after a retraining; the second date runs twice and keeps one set of rows."""
+    feats = landed(feature_table(spark, d), "features")
+    log, model_dir = _model_store(spark)
+    out, todo = _predictions(spark), feats.filter(F.col("split") == "score")
+    train.train_gate_register(feats.filter(F.col("shipped_on") <= F.lit(FIRST_WINDOW).cast("date")), log, model_dir,
+                              kind="linear")
+    train.score_in_production(todo, log, model_dir, out, RUN_DATE)
+    train.train_gate_register(feats, log, model_dir, kind="linear")
+    for _ in range(2):
+        train.score_in_production(todo, log, model_dir, out, NEXT_RUN_DATE)
+    return out.read(spark).groupBy("scored_on", "model_version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("predicted_charge").alias("n_predicted"))
+
+
+def _by_language(spark, d):
+    """Texts with a known language; the label says whether it is English."""
+    docs = read_table(spark, d, "documents").where("lang IS NOT NULL")
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                       (F.col("lang") == "en").cast("int").alias("label"),
+                       split_label([F.col("doc_id")], TWO_WAY).alias("split"))
 
 
 @query("text_classifier")
 def text_classifier(spark, d):
-    """Hashed-term logistic regression on labelled documents; accuracy and per-class recall gate."""
-    lab = landed(_labelled(spark, d), "labelled")
-    tr, te = lab.filter(F.col("split") == "train"), lab.filter(F.col("split") == "test")
-    counts = {r["split"]: r["n"] for r in lab.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    if counts.get("train", 0) < train.MIN_TRAIN_ROWS or counts.get("test", 0) < train.MIN_TEST_ROWS:
-        raise train.NotEnoughData(f"need {train.MIN_TRAIN_ROWS}/{train.MIN_TEST_ROWS} rows, have {counts}")
-    model = train.text_pipeline().fit(tr.withColumn("label", F.col("label").cast("double")))
-    pred = model.transform(te.withColumn("label", F.col("label").cast("double"))) \
-        .withColumn("prediction", F.col("prediction").cast("int")).withColumn("label", F.col("label").cast("int"))
-    m = landed(metrics.classification_metrics(pred, "label", "prediction"), "metrics")
-    minority = lab.groupBy("label").count().orderBy("count", "label").first()["label"]
-    long = m.select(F.when(F.col("metric") == "accuracy", F.lit("accuracy"))
-                    .when(F.col("class_label") == minority, F.lit("minority_recall"))
-                    .otherwise(F.concat(F.lit("recall_"), F.col("class_label").cast("string"))).alias("metric"),
-                    "value")
-    g = gate.evaluate(long, gate.bars_frame(spark, train.TEXT_BARS))
+    """Hashed-term logistic regression, equal class weights; the gate on accuracy and minority recall is enforced."""
+    _, m, gate_rows, _ = train.fit_text_classifier(landed(_by_language(spark, d), "labelled"))
     return m.select("metric", "class_label", "value", "support", F.lit(None).cast("boolean").alias("passed")) \
-        .unionByName(g.select(F.col("bar").alias("metric"), F.lit(None).cast("int").alias("class_label"), "value",
-                              F.lit(None).cast("bigint").alias("support"), "passed"))
+        .unionByName(gate_rows.select(F.col("bar").alias("metric"), F.lit(None).cast("int").alias("class_label"), "value",
+                                      F.lit(None).cast("bigint").alias("support"), "passed"))
+
+
+_HALVES = """
+SELECT CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS label,
+       CAST(('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8)) AS UBIGINT) % 100 < 80 AS trained
+FROM documents WHERE lang IS NOT NULL
+"""
+
+
+@query("text_classifier_gate", f"""
+WITH h AS ({_HALVES}),
+n AS (SELECT count(*) FILTER (WHERE trained) AS train_rows, count(*) FILTER (WHERE NOT trained) AS test_rows FROM h),
+m AS (SELECT label AS minority FROM h GROUP BY label ORDER BY count(*), label LIMIT 1)
+SELECT b.bar, CAST(b.threshold AS DOUBLE) AS threshold, true AS passed, n.train_rows, n.test_rows, m.minority
+FROM n, m, (VALUES {", ".join(str(x) for x in train.TEXT_BARS.items())}) b(bar, threshold)
+""")
+def text_classifier_gate(spark, d):
+    """The gate rows of a classifier that was let through, with the rows it learnt from and was judged on."""
+    _, _, gate_rows, facts = train.fit_text_classifier(landed(_by_language(spark, d), "labelled"))
+    return gate_rows.select("bar", "threshold", "passed", F.lit(facts["train_rows"]).cast("bigint").alias("train_rows"),
+                            F.lit(facts["test_rows"]).cast("bigint").alias("test_rows"),
+                            F.lit(facts["minority"]).alias("minority"))
 
 
 # Learners compared on identical splits.
@@ -263,13 +339,27 @@ def bakeoff_metrics(spark, d):
     for kind in LEARNERS:
         _, long, seconds = train.fit_and_score(kind, tr, {"test": feats.filter(F.col("split") == "test"),
                                                           "score": feats.filter(F.col("split") == "score")})
-        part = long.select(F.lit(kind).alias("framework"), F.lit(f"fare_{kind}").alias("model_name"),
+        part = long.select(F.lit(kind).alias("framework"), F.lit(f"{train.MODEL_NAME}_{kind}").alias("model_name"),
                            F.lit(1).cast("bigint").alias("version"), "metric", "value",
                            F.lit(seconds).alias("train_seconds"))
         parts = part if parts is None else parts.unionByName(part)
     return parts
 
 
+@query("bakeoff_rows", f"""
+WITH f AS ({_FEATURES})
+SELECT k.framework, f.split, count(*) AS n_rows, true AS learnt
+FROM f, (VALUES {", ".join(f"('{k}')" for k in LEARNERS)}) k(framework) GROUP BY k.framework, f.split
+""")
+def bakeoff_rows(spark, d):
+    """Rows that each learner was fitted and judged on, and whether it explains at least nine tenths of the variance."""
+    name = F.split("metric", "_")
+    wide = bakeoff_metrics(spark, d).withColumn("split", name[0]).withColumn("kind", name[1])
+    value = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("value")))
+    return wide.groupBy("framework", "split").agg(value("rows").cast("bigint").alias("n_rows"),
+                                                  (value("r2") >= 0.9).alias("learnt"))
+
+
 @query("bakeoff_leaderboard")
 def bakeoff_leaderboard(spark, d):
     """The bake-off's long metrics log ranked on the third (score) split, with the margin verdict."""
@@ -285,23 +375,6 @@ EMBED_DIM = 256
 EMBED_MODEL = f"hashed-tfidf-{EMBED_DIM}"
 
 
-def fit_embedder(corpus, text_col: str = "text", dim: int = EMBED_DIM):
-    """Hashed-term TF-IDF + L2 normalisation; the IDF pass is one distributed aggregate."""
-    from pyspark.ml import Pipeline
-
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=WHITESPACE_CLASS, toLowercase=True)
-    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
-    idf = IDF(inputCol="_tf", outputCol="_idf")
-    norm = Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)
-    return Pipeline(stages=[tok, tf, idf, norm]).fit(corpus)
-
-
-def embed(model, frame):
-    """``embedding`` as ``array<float>``, computed on executors."""
-    out = model.transform(frame)
-    return out.withColumn("embedding", vector_to_array("_vec", "float32")).drop("_tok", "_tf", "_idf", "_vec")
-
-
 def _chunks(spark, d):
     docs, turns = read_table(spark, d, "documents"), read_table(spark, d, "conversations")
     texts = documents.text_rows(docs, "document", ["doc_id"], "text", F.concat(F.lit("doc "), "doc_id")).unionByName(
@@ -312,14 +385,18 @@ def _chunks(spark, d):
 
 @query("embed_chunks")
 def embed_chunks(spark, d):
-    """Embed only chunks that have no vector yet (key anti-join), then merge on chunk_id."""
-    chunks = _chunks(spark, d)
-    model = fit_embedder(chunks)
+    """Embed only chunks that have no vector yet (key anti-join) through the batch hook, then merge on chunk_id."""
+    chunks = landed(_chunks(spark, d), "chunks")
+    model = embed.fit_hashed_tfidf(chunks, "text", EMBED_DIM)
     store = Sink(mode="merge", path=scratch_path(spark, "chunk-embeddings"), merge_keys=["chunk_id"])
-    cols = ["chunk_id", "doc_id", "source", "title", "embedding"]
-    write(embed(model, chunks.filter(F.col("source") == "document")).select(*cols), store)
+
+    def vectors(rows):
+        return embed.with_embedding(rows, model, "text", dim=EMBED_DIM).select(
+            "chunk_id", "doc_id", "source", "title", "embedding")
+
+    write(vectors(chunks.filter(F.col("source") == "document")), store)
     missing = chunks.join(store.read(spark).select("chunk_id"), "chunk_id", "left_anti")
-    write(embed(model, missing).select(*cols), store)
+    write(vectors(missing), store)
     return store.read(spark).withColumn("embedding_model", F.lit(EMBED_MODEL)) \
         .withColumn("embedding_dim", F.size("embedding"))
 
@@ -327,10 +404,11 @@ def embed_chunks(spark, d):
 @query("retrieve_cited")
 def retrieve_cited(spark, d):
     """Benchmark items as questions against document chunks: exact top-4 with cited context."""
-    chunks = _chunks(spark, d)
-    bench = read_table(spark, d, "benchmark")
-    model = fit_embedder(chunks)
-    hits = retrieve.topk_similar(embed(model, bench), embed(model, chunks), k=4, q_id="item_id", d_id="chunk_id")
+    chunks = landed(_chunks(spark, d), "chunks")
+    model = embed.fit_hashed_tfidf(chunks, "text", EMBED_DIM)
+    asked, known = [embed.with_embedding(rows, model, "text", dim=EMBED_DIM)
+                    for rows in (read_table(spark, d, "benchmark"), chunks)]
+    hits = retrieve.topk_similar(asked, known, k=4, q_id="item_id", d_id="chunk_id")
     titles = chunks.select("chunk_id", "title")
     j = titles.join(hits.withColumnRenamed("doc_id", "chunk_id"), "chunk_id")
     per_q = j.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "title", "score"))).alias("h"))

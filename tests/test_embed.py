@@ -1,6 +1,10 @@
+import math
+import zlib
+from collections import Counter
+
 import pytest
 
-from lakeloom.operators.embed import EmbeddingCountMismatch, batch_embed
+from lakeloom.operators.embed import batch_embed, fit_hashed_tfidf, with_embedding
 
 
 def test_hook_keeps_order_and_batches(spark):
@@ -17,3 +21,25 @@ def test_hook_rejects_count_mismatch(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "id long, text string")
     with pytest.raises(Exception, match="EmbeddingCountMismatch|got 0 vectors"):
         batch_embed(df, lambda ts: [], "id", "text").collect()
+
+
+def test_hook_rejects_other_dimensions_and_takes_null_texts(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "id long, text string")
+    assert {r["id"]: r["embedding"] for r in batch_embed(df, lambda ts: [[len(t)] for t in ts], "id", "text").collect()} \
+        == {1: [1.0], 2: [0.0]}
+    with pytest.raises(Exception, match="expected dimension 3"):
+        batch_embed(df, lambda ts: [[1.0, 2.0] for _ in ts], "id", "text", dim=3).collect()
+
+
+def test_hashed_tfidf_equals_a_plain_version(spark):
+    texts = {1: "Red red apples\u00a0fall", 2: "red \u00c9tudes", 3: "", 4: None, 5: "apples " * 50}
+    df = spark.createDataFrame(list(texts.items()), "id long, text string")
+    model = fit_hashed_tfidf(df, "text", 32)
+    place = lambda w: zlib.crc32(w.encode()) % 32
+    bags = {i: Counter(place(w) for w in (t or "").lower().split()) for i, t in texts.items()}
+    idf = [math.log(6 / (sum(p in b for b in bags.values()) + 1)) for p in range(32)]
+    assert model.idf == pytest.approx(idf)
+    for r in with_embedding(df, model, "text", dim=32).collect():
+        plain = [bags[r["id"]][p] * idf[p] for p in range(32)]
+        norm = math.sqrt(sum(v * v for v in plain)) or 1.0
+        assert r["embedding"] == pytest.approx([v / norm for v in plain], abs=1e-6)
