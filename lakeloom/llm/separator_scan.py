@@ -2,15 +2,20 @@
 
 A token file is one stream of 16-bit ids in which an end-of-document id closes each
 document; there is no index. The stream is stored and read in fixed blocks, and a
-document may span any number of them. ``scan_blocks`` looks at each block on its own:
-one vectorised search gives the places of the end-of-document id, hence the lengths of
-all documents that lie inside the block, and a summary of the block (separators, tokens
-before the first, tokens after the last). A prefix scan over the summaries alone (one
-small row per block, per file) gives each block the number of documents and the open
-tokens before it, which stitches the documents that cross block boundaries.
-
-Null and empty texts are documents of no tokens. Repeated rows are counted each on its
-own. Tokens after a file's last separator belong to no document and are left out.
+document may span any number of them. ``scan_blocks`` looks at each
+block on its own: one vectorised search gives the places of the end-of-document id, hence
+the lengths of all documents that lie inside the block, and a summary of the block
+(separators, tokens before the first, tokens after the last). A prefix scan over the
+summaries alone gives each block the number of documents and the open tokens before it,
+which stitches the documents that cross block boundaries. The scan has two levels, so that
+a file of any length is not one task: runs of ``RUN_BLOCKS`` blocks are scanned on their own, each
+has a summary of the same form, and only these are scanned along the whole file.
+
+Null and empty texts are documents of no tokens; an empty table gives no rows. Very long
+texts span many blocks, no task holds more than a block's tokens beside the text being
+encoded. Repeated rows and rows with equal or null ids are counted each on its own. Columns
+other than ``doc_id`` and ``text`` are not read, whatever their names. Tokens after a file's last
+separator belong to no document and are left out.
 """
 
 from __future__ import annotations
@@ -23,11 +28,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import ranges
 from . import common
 
 NAME = "op1_separator_scan"
 EOD = 0
 BLOCK_TOKENS = 1 << 16
+FILE_BLOCK_TOKENS = 1 << 22  # read of a raw file by one task at a time
+RUN_BLOCKS = 4096
 DTYPE = "<u2"
 
 ORACLE = r"""
@@ -107,18 +115,57 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return _written(spark, path, "tokens").select("file", F.col("n").alias("block"), "data")
 
 
-def read_flat_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of raw token files on any storage Spark reads; ``file`` is a file's path."""
+def read_flat_files(spark: SparkSession, path: str, block_tokens: int = FILE_BLOCK_TOKENS) -> DataFrame:
+    """Blocks of raw token files of any size; ``file`` is a file's path.
+
+    Files are listed without their content and read in byte ranges, one block at a time, by
+    as many tasks as there are blocks (within a bound).
+    """
     size = block_tokens * np.dtype(DTYPE).itemsize
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
-    return files.select(
-        F.col("path").alias("file"), "content",
-        F.explode(F.expr(f"sequence(0L, (length - 1) DIV {size})")).alias("block"),
-    ).select("file", "block", F.expr(f"substring(content, int(block * {size} + 1), {size})").alias("data"))
+    return ranges.byte_ranges(ranges.listed(spark, path), size).select(
+        F.col("path").alias("file"), F.expr(f"offset DIV {size}").alias("block"), F.col("content").alias("data"))
+
+
+def _before(summaries: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``summaries`` (n_ends, head, tail) plus what lies before each within its ``keys``: ``ordinal``, the
+    documents closed, and ``open``, the tokens since the last separator (or the beginning).
+
+    A summary without separators only adds its ``head`` to the open tokens; one with separators starts anew.
+    """
+    line = Window.partitionBy(*keys).orderBy(order)
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    closing = F.col("n_ends") > 0
+    total = F.sum(F.when(closing, F.col("tail")).otherwise(F.col("head"))).over(
+        line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        summaries.withColumn("_total", total)
+        .withColumn("ordinal", F.coalesce(F.sum("n_ends").over(before), F.lit(0)))
+        .withColumn("_last", F.max(F.when(closing, F.struct(order, (F.col("_total") - F.col("tail")).alias("at")))).over(before))
+        .withColumn("open", F.coalesce(F.lag("_total").over(line), F.lit(0)) - F.coalesce("_last.at", F.lit(0)))
+        .drop("_total", "_last")
+    )
+
+
+def _carried(summaries: DataFrame, run_blocks: int) -> DataFrame:
+    """(file, block, ordinal, open) before each of ``summaries`` (file, block, n_ends, head, tail)."""
+    inside = _before(summaries.withColumn("run", F.expr(f"block DIV {run_blocks}")), ["file", "run"], "block")
+    first = F.when(F.col("n_ends") > 0, F.col("open") + F.col("head"))
+    after = F.when(F.col("n_ends") > 0, F.col("tail")).otherwise(F.col("open") + F.col("head"))
+    runs = inside.groupBy("file", "run").agg(
+        F.sum("n_ends").alias("n_ends"), F.max_by(after, "block").alias("tail"),
+        F.coalesce(F.min_by(first, F.when(first.isNotNull(), F.col("block"))), F.max_by(after, "block")).alias("head"))
+    outside = _before(runs, ["file"], "run").select(
+        "file", "run", F.col("ordinal").alias("run_ordinal"), F.col("open").alias("run_open"))
+    return inside.join(outside, ["file", "run"]).select(
+        "file", "block", (F.col("run_ordinal") + F.col("ordinal")).alias("ordinal"),
+        (F.col("open") + F.when(F.col("ordinal") == 0, F.col("run_open")).otherwise(0)).alias("open"))
 
 
-def scan_blocks(blocks: DataFrame, eod: int = EOD) -> DataFrame:
-    """(file, ordinal, n_tokens) of every closed document in ``blocks`` (file, block, data)."""
+def scan_blocks(blocks: DataFrame, eod: int = EOD, run_blocks: int = RUN_BLOCKS) -> DataFrame:
+    """(file, ordinal, n_tokens) of every closed document in ``blocks`` (file, block, data).
+
+    What the search found is written once; the lengths inside a block meet only the block's place.
+    """
     file_type = blocks.schema["file"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,22 +183,10 @@ def scan_blocks(blocks: DataFrame, eod: int = EOD) -> DataFrame:
                  pa.array(tails, pa.int64()), pa.array(inner, pa.list_(pa.int64()))],
                 names=["file", "block", "n_ends", "head", "tail", "inner"])
 
-    seen = blocks.select("file", "block", "data").mapInArrow(
-        run, f"file {file_type}, block long, n_ends long, head long, tail long, inner array<long>")
-    # The prefix scan: documents closed before the block, and tokens left open before it. A
-    # block without separators only adds to the open tokens; one with separators starts anew.
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    up_to = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = (
-        seen.withColumn("ordinal", F.coalesce(F.sum("n_ends").over(before), F.lit(0)))
-        .withColumn("run", F.sum(F.when(F.col("n_ends") > 0, F.col("tail")).otherwise(F.col("head"))).over(up_to))
-        .withColumn("base", F.max(F.struct(
-            F.when(F.col("n_ends") > 0, F.col("block")).alias("at"),
-            (F.col("run") - F.col("tail")).alias("run"))).over(before))
-        .withColumn("open", F.coalesce(F.lag("run").over(Window.partitionBy("file").orderBy("block")), F.lit(0))
-                    - F.when(F.col("base.at").isNotNull(), F.col("base.run")).otherwise(0))
-    )
-    return carried.where("n_ends > 0").select(
+    seen = common.staged(blocks.select("file", "block", "data").mapInArrow(
+        run, f"file {file_type}, block long, n_ends long, head long, tail long, inner array<long>"), "separators")
+    places = _carried(seen.select("file", "block", "n_ends", "head", "tail"), run_blocks)
+    return seen.where("n_ends > 0").join(places, ["file", "block"]).select(
         "file", F.col("ordinal").alias("first"),
         F.posexplode(F.concat(F.array(F.col("open") + F.col("head")), "inner")).alias("k", "n_tokens"),
     ).select("file", (F.col("first") + F.col("k")).alias("ordinal"), "n_tokens")

@@ -64,8 +64,29 @@ def test_raw_files_are_scanned_by_blocks(spark, tmp_path):
     for name, own in lengths.items():
         stream = np.concatenate([np.append(rnd.integers(1, 9, n), 0) for n in own] + [np.array([5, 5])])
         stream.astype("<u2").tofile(tmp_path / name)
-    blocks = separator_scan.read_flat_files(spark, f"{tmp_path}/*.bin", block_tokens=32)
-    got = separator_scan.scan_blocks(blocks).collect()
-    for name, own in lengths.items():
-        found = sorted((r["ordinal"], r["n_tokens"]) for r in got if r["file"].endswith(name))
-        assert [n for _, n in found] == own and [o for o, _ in found] == list(range(len(own)))
+    # blocks smaller and larger than a file, one run and several
+    for block_tokens, run_blocks in ((32, 4096), (37, 3), (1 << 16, 2)):
+        blocks = separator_scan.read_flat_files(spark, f"{tmp_path}/*.bin", block_tokens)
+        got = separator_scan.scan_blocks(blocks, run_blocks=run_blocks).collect()
+        for name, own in lengths.items():
+            found = sorted((r["ordinal"], r["n_tokens"]) for r in got if r["file"].endswith(name))
+            assert [n for _, n in found] == own and [o for o, _ in found] == list(range(len(own)))
+
+
+def test_a_raw_file_is_read_by_many_tasks(spark, tmp_path):
+    np.append(np.arange(1, 5000), 0).astype("<u2").tofile(tmp_path / "one.bin")
+    blocks = separator_scan.read_flat_files(spark, f"{tmp_path}/one.bin", block_tokens=100)
+    tasks = blocks.select(F.spark_partition_id().alias("task"), F.length("data").alias("n")).collect()
+    assert len({r["task"] for r in tasks}) > 10 and max(r["n"] for r in tasks) == 200
+    assert [tuple(r)[1:] for r in separator_scan.scan_blocks(blocks, run_blocks=5).collect()] == [(0, 4999)]
+
+
+def test_null_ids_repeats_and_clashing_names(make):
+    from lakeloom.session import scratch_path
+
+    rows = [(None, "a b"), (None, "a b"), (4, "c"), (4, None)]
+    df = make(rows).withColumns({c: F.lit("x") for c in ("file", "block", "n", "kind", "data", "n_tokens")})
+    path = scratch_path(df.sparkSession, "clash")
+    separator_scan.write_token_files(df, path, block_tokens=2)
+    got = separator_scan.count_documents(df.sparkSession, path).collect()
+    assert Counter(tuple(r) for r in got) == Counter([(None, 2), (None, 2), (4, 1), (4, 0)])
