@@ -44,5 +44,5 @@ def oracle_sql() -> dict[str, str]:
 def _load() -> None:
     # Importing the modules registers their queries.
     from .queries import (  # noqa: F401
-        relational, text, quality, ml, monitor, io,
+        relational, text, quality, ml, monitor, io, search,
     )

@@ -31,3 +31,14 @@ def head_words(text: Column, n: int) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.size(words(text))
+
+
+# Everything in ASCII but digits and small letters parts terms; other characters belong to them.
+TERM_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def terms(text: Column) -> Column:
+    """``array<string>`` of the runs of letters and digits in ``text``, A-Z lower-cased; null gives ``[]``."""
+    folded = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    return F.regexp_extract_all(folded, F.lit(TERM_PATTERN), F.lit(0))

@@ -375,7 +375,7 @@ EMBED_DIM = 256
 EMBED_MODEL = f"hashed-tfidf-{EMBED_DIM}"
 
 
-def _chunks(spark, d):
+def chunk_table(spark, d):
     docs, turns = read_table(spark, d, "documents"), read_table(spark, d, "conversations")
     texts = documents.text_rows(docs, "document", ["doc_id"], "text", F.concat(F.lit("doc "), "doc_id")).unionByName(
         documents.text_rows(turns, "conversation", ["conv_id", "turn"], "text", F.concat("role", F.lit(" in "), "conv_id")))
@@ -386,7 +386,7 @@ def _chunks(spark, d):
 @query("embed_chunks")
 def embed_chunks(spark, d):
     """Embed only chunks that have no vector yet (key anti-join) through the batch hook, then merge on chunk_id."""
-    chunks = landed(_chunks(spark, d), "chunks")
+    chunks = landed(chunk_table(spark, d), "chunks")
     model = embed.fit_hashed_tfidf(chunks, "text", EMBED_DIM)
     store = Sink(mode="merge", path=scratch_path(spark, "chunk-embeddings"), merge_keys=["chunk_id"])
 
@@ -404,7 +404,7 @@ def embed_chunks(spark, d):
 @query("retrieve_cited")
 def retrieve_cited(spark, d):
     """Benchmark items as questions against document chunks: exact top-4 with cited context."""
-    chunks = landed(_chunks(spark, d), "chunks")
+    chunks = landed(chunk_table(spark, d), "chunks")
     model = embed.fit_hashed_tfidf(chunks, "text", EMBED_DIM)
     asked, known = [embed.with_embedding(rows, model, "text", dim=EMBED_DIM)
                     for rows in (read_table(spark, d, "benchmark"), chunks)]
