@@ -8,7 +8,8 @@
 * :func:`topk` takes three steps. The rarest terms of a question give ``k`` texts whose scores are a lower bound of the
   ``k``-th best. Frequent terms whose greatest contributions together stay below that bound are left out, as a text that
   holds no other term of the question can't be among the best; from the lists that remain only those postings are
-  taken whose text could still reach the bound. What is left is scored in full.
+  taken whose text could still reach the bound. The sums over them raise the bound, and the texts that can still reach
+  it get what the lists left out add to them.
 * Lists are joined on (term, part), :data:`PARTS` parts a term, so a word that every text holds fills no task.
 
 Rows without an id or without terms are neither indexed nor asked; rows that share an id are one text. A
@@ -109,16 +110,30 @@ def _scored(pairs: DataFrame, asked: DataFrame, index: PostingIndex) -> DataFram
     return pairs.select("qid", "did").join(index.texts, "did").join(owns, "qid").select("qid", "did", points.alias("points"))
 
 
+def _completed(pairs: DataFrame, planned: DataFrame, index: PostingIndex) -> DataFrame:
+    """(qid, did, points) of pairs (qid, did, partial): the lists left out add their share, looked up by (term, text)."""
+    light = planned.where("below < least").select("qid", "term", "own")
+    per_q = light.groupBy("qid").agg(F.collect_list(F.struct("term", "own")).alias("rest"))
+    wanted = pairs.select("qid", "did").join(per_q, "qid").select("qid", "did", F.inline("rest"))
+    lists = index.postings.join(light.select("term").distinct(), "term", "left_semi").select("term", "did", "weight")
+    more = wanted.join(lists, ["term", "did"]).select("qid", "did", (F.col("own") * F.col("weight")).alias("points"))
+    return pairs.select("qid", "did", F.col("partial").alias("points")).unionByName(more).groupBy("qid", "did").agg(
+        F.sum("points").alias("points"))
+
+
 def _plan(asked: DataFrame, index: PostingIndex, k: int, probe_rows: int) -> DataFrame:
     """``asked`` plus least (a lower bound of the ``k``-th best score; 0 if unknown), total (of all
-    bounds), below (bounds of this term and all more frequent ones) and light (bounds of the lists left out)."""
+    bounds), below (the most that a text can get by this term and all more frequent ones) and light (the most by the lists left out)."""
     rarest = Window.partitionBy("qid").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     probe = asked.withColumn("so_far", F.sum("df").over(rarest)).where(F.col("so_far") - F.col("df") < probe_rows)
     first = _best(_found(probe.drop("so_far"), index), k, "partial")
     least = _scored(first, asked, index).groupBy("qid").agg(
         F.when(F.count(F.lit(1)) == k, F.min("points")).otherwise(0).alias("least"))
     frequent = Window.partitionBy("qid").orderBy(F.col("df").desc(), F.col("term").desc())
-    below = F.sum("bound").over(frequent.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    so_far = frequent.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # By Cauchy and Schwarz, no text (of length UNIT at most) gets more by some terms than UNIT times their length.
+    length = F.sqrt(F.sum((F.col("own") * F.col("own")).cast("decimal(20,0)")).over(so_far).cast("double"))
+    below = F.least(F.sum("bound").over(so_far), F.ceil(length * (UNIT + 1)))
     every = Window.partitionBy("qid")
     planned = asked.join(least, "qid", "left").withColumns({
         "least": F.coalesce("least", F.lit(0)), "below": below, "total": F.sum("bound").over(every)})
@@ -139,8 +154,13 @@ def topk(questions: DataFrame, index: PostingIndex, k: int = 4, q_id: str = "que
     # A text of the best has no posting that fails this, so what it gets here is all that these lists give it.
     within = F.col("own") * F.col("weight") + F.col("total") - F.col("bound") >= F.col("least")
     limits = planned.groupBy("qid").agg(F.first("least").alias("least"), F.first("light").alias("light"))
-    open_pairs = _found(_read(planned), index, within).join(limits, "qid").where(F.col("partial") + F.col("light") >= F.col("least"))
-    best = _best(_scored(open_pairs, asked, index), k, "points")
+    pairs = landed(_found(_read(planned), index, within), "search-pairs")
+    # Sums over a part of the terms are lower bounds too, mostly better ones.
+    raised = _best(pairs, k, "partial").groupBy("qid").agg(F.when(F.count(F.lit(1)) == k, F.min("partial")).alias("reached"))
+    limits = limits.join(raised, "qid", "left").withColumn("least", F.greatest("least", F.coalesce("reached", F.lit(0))))
+    open_pairs = landed(pairs.join(limits, "qid").where(F.col("partial") + F.col("light") >= F.col("least")).select(
+        "qid", "did", "partial"), "open-pairs")
+    best = _best(_completed(open_pairs, planned, index), k, "points")
     return best.select(F.col("qid").alias("query_id"), "rank", F.col("did").alias("doc_id"), "points",
                        (F.col("points") / F.lit(float(UNIT) * UNIT)).alias("score"))
 
