@@ -3,8 +3,8 @@
 * A text's terms are its runs of letters and digits (A-Z lower-cased). An occurrence weighs
   ``floor(1000 * ln((n + 1) / df))``; the weights of a text are scaled to length :data:`UNIT` and rounded down to whole
   numbers, so that scores are exact sums that depend on no order. A score over ``UNIT * UNIT`` is the cosine.
-* :func:`build` writes the texts with their weights, the posting lists in order of (term, place in the list), so that a
-  long list lies in many files, and per term its length and greatest weight.
+* :func:`build` numbers the texts and writes the posting lists of numbers in order of (term, part), so that a long list
+  lies in many files, and per term its length and greatest weight. Ids of any length appear in results alone.
 * :func:`topk` takes three steps. The rarest terms of a question give ``k`` texts whose scores are a lower bound of the
   ``k``-th best. Frequent terms whose greatest contributions together stay below that bound are left out, as a text that
   holds no other term of the question can't be among the best; from the lists that remain only those postings are
@@ -12,8 +12,8 @@
   it get what the lists left out add to them.
 * Lists are joined on (term, part), :data:`PARTS` parts a term, so a word that every text holds fills no task.
 
-Rows without an id or without terms are neither indexed nor asked; rows that share an id are one text. A
-question gets fewer than ``k`` rows where fewer texts share a term with it that weighs anything. Ties go to the
+Rows without an id or without terms are neither indexed nor asked. Texts that share an id stay apart; question
+rows that share one are one question. A question gets fewer than ``k`` rows where fewer texts share a term with it that weighs anything. Ties go to the
 smaller id.
 """
 
@@ -34,9 +34,9 @@ PROBE_ROWS = 2048  # postings of its rarest terms that give a question its first
 
 @dataclass
 class PostingIndex:
-    """Texts (did, entries of term and weight), postings (term, part, did, weight), lists (term, df, idf, top)."""
+    """Ids (did, the text's number; id), postings (term, part, did, weight), lists (term, df, idf, top)."""
 
-    texts: DataFrame
+    ids: DataFrame
     postings: DataFrame
     lists: DataFrame
 
@@ -68,17 +68,18 @@ def _weighed(counted: DataFrame, lists: DataFrame, name: str) -> DataFrame:
 
 
 def build(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> PostingIndex:
-    """Index every text of ``corpus``; all three tables are written to the shared folder."""
-    counted = landed(_counted(corpus, id_col, text_col, "did"), "term-counts")
+    """Index every text of ``corpus``; all tables are written to the shared folder."""
+    named = corpus.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    numbered = landed(named.withColumn("did", F.monotonically_increasing_id()), "numbered")  # fixed by being written
+    counted = landed(_counted(numbered, "did", "text", "did"), "term-counts")
     n = counted.agg(F.count_distinct("did").alias("n")).first()["n"]
     idf = F.floor(F.lit(1000.0) * F.log(F.lit(float(n + 1)) / F.col("df")))
     lists = landed(counted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf), "terms")
-    texts = landed(_weighed(counted, lists, "did"), "texts")
-    postings = texts.select("did", F.inline("entries")).withColumn("part", _part("did"))
+    postings = _weighed(counted, lists, "did").select("did", F.inline("entries")).withColumn("part", _part("did"))
     postings = landed(postings.select("term", "part", "did", "weight").repartitionByRange("term", "part", "did")
                       .sortWithinPartitions("term", "part"), "postings")
     tops = postings.groupBy("term").agg(F.max("weight").alias("top"))
-    return PostingIndex(texts, postings, landed(lists.join(tops, "term"), "lists"))
+    return PostingIndex(numbered.select("did", "id"), postings, landed(lists.join(tops, "term"), "lists"))
 
 
 def _asked(questions: DataFrame, index: PostingIndex, q_id: str, q_text: str) -> DataFrame:
@@ -102,17 +103,10 @@ def _best(scored: DataFrame, k: int, by: str) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _scored(pairs: DataFrame, asked: DataFrame, index: PostingIndex) -> DataFrame:
-    """(qid, did, points) of pairs (qid, did), over all terms."""
-    owns = asked.groupBy("qid").agg(F.map_from_entries(F.collect_list(F.struct("term", "own"))).alias("owns"))
-    points = F.aggregate("entries", F.lit(0).cast("long"),
-                         lambda s, e: s + e["weight"] * F.coalesce(F.try_element_at("owns", e["term"]), F.lit(0)))
-    return pairs.select("qid", "did").join(index.texts, "did").join(owns, "qid").select("qid", "did", points.alias("points"))
-
-
-def _completed(pairs: DataFrame, planned: DataFrame, index: PostingIndex) -> DataFrame:
-    """(qid, did, points) of pairs (qid, did, partial): the lists left out add their share, looked up by (term, text)."""
-    light = planned.where("below < least").select("qid", "term", "own")
+def _completed(pairs: DataFrame, light: DataFrame, index: PostingIndex) -> DataFrame:
+    """(qid, did, points) of pairs (qid, did, partial): the lists of ``light`` (qid, term, own) add their share, looked up by
+    (term, text)."""
+    light = light.select("qid", "term", "own")
     per_q = light.groupBy("qid").agg(F.collect_list(F.struct("term", "own")).alias("rest"))
     wanted = pairs.select("qid", "did").join(per_q, "qid").select("qid", "did", F.inline("rest"))
     lists = index.postings.join(light.select("term").distinct(), "term", "left_semi").select("term", "did", "weight")
@@ -125,9 +119,9 @@ def _plan(asked: DataFrame, index: PostingIndex, k: int, probe_rows: int) -> Dat
     """``asked`` plus least (a lower bound of the ``k``-th best score; 0 if unknown), total (of all
     bounds), below (the most that a text can get by this term and all more frequent ones) and light (the most by the lists left out)."""
     rarest = Window.partitionBy("qid").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    probe = asked.withColumn("so_far", F.sum("df").over(rarest)).where(F.col("so_far") - F.col("df") < probe_rows)
-    first = _best(_found(probe.drop("so_far"), index), k, "partial")
-    least = _scored(first, asked, index).groupBy("qid").agg(
+    ranked = asked.withColumn("before", F.sum("df").over(rarest) - F.col("df"))
+    first = _best(_found(ranked.where(F.col("before") < probe_rows).drop("before"), index), k, "partial").select("qid", "did", "partial")
+    least = _completed(landed(first, "probe"), ranked.where(F.col("before") >= probe_rows), index).groupBy("qid").agg(
         F.when(F.count(F.lit(1)) == k, F.min("points")).otherwise(0).alias("least"))
     frequent = Window.partitionBy("qid").orderBy(F.col("df").desc(), F.col("term").desc())
     so_far = frequent.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -160,7 +154,9 @@ def topk(questions: DataFrame, index: PostingIndex, k: int = 4, q_id: str = "que
     limits = limits.join(raised, "qid", "left").withColumn("least", F.greatest("least", F.coalesce("reached", F.lit(0))))
     open_pairs = landed(pairs.join(limits, "qid").where(F.col("partial") + F.col("light") >= F.col("least")).select(
         "qid", "did", "partial"), "open-pairs")
-    best = _best(_completed(open_pairs, planned, index), k, "points")
+    points = _completed(open_pairs, planned.where("below < least"), index)
+    ties = points.withColumn("place", F.rank().over(Window.partitionBy("qid").orderBy(F.col("points").desc()))).where(F.col("place") <= k)
+    best = _best(ties.join(index.ids, "did").drop("did").withColumnRenamed("id", "did"), k, "points")
     return best.select(F.col("qid").alias("query_id"), "rank", F.col("did").alias("doc_id"), "points",
                        (F.col("points") / F.lit(float(UNIT) * UNIT)).alias("score"))
 

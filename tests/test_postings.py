@@ -15,10 +15,7 @@ def split(text):
 
 
 def brute(questions, corpus, k):
-    held = defaultdict(Counter)
-    for did, text in corpus:
-        if did is not None and split(text):
-            held[did].update(split(text))
+    held = {(did, at): Counter(split(text)) for at, (did, text) in enumerate(corpus) if did is not None and split(text)}
     df = Counter(t for c in held.values() for t in c)
     idf = {t: math.floor(1000 * math.log((len(held) + 1) / n)) for t, n in df.items()}
 
@@ -38,7 +35,7 @@ def brute(questions, corpus, k):
         points = ((d, sum(w * own.get(t, 0) for t, w in ws.items())) for d, ws in docs.items())
         best = sorted(((-p, d) for d, p in points if p > 0))[:k]
         if best:
-            out[qid] = [(d, -p) for p, d in best]
+            out[qid] = [(d[0], -p) for p, d in best]
     return out
 
 
