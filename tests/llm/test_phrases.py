@@ -81,6 +81,15 @@ def test_lower_bars_are_taken_until_settled(spark, monkeypatch):
     assert got == brute(rows, 12, 4)
 
 
+def test_a_longer_phrase_whose_other_part_is_below_the_bar_still_drops(spark, monkeypatch):
+    # "end of world now" holds each "end of world"; "of world now" lies below the bar, as "of" and "now" are frequent.
+    rows = [("end of world now", "aa")] * 10 + [("of", "aa"), ("now", "aa")] * 500
+    rows += [(f"left{i} right{i}", "aa") for i in range(8) for _ in range(9)]
+    monkeypatch.setattr(phrases, "BAR_RANKS", (1,))
+    got = {tuple(r) for r in phrases.mine(docs(spark, rows), top=3, min_count=4).collect()}
+    assert got == brute(rows, 3, 4)
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 4])
 def test_counts_with_a_sieve_that_holds_nothing_back(size):
     texts = [t or "" for t, _ in corpus(9, 100)]
