@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money_ratio, money_sum, money_total
-from ..plans.sizing import broadcast_if_small
+from ..plans.sizing import broadcast_if_small, parts_for
 from ..session import landed
+from ..sources.tables import read_table, sql_source
 from .ranking import rank_within
 
 # The SQL source: the join and projection run before the transform sees rows.
@@ -40,23 +41,44 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 """
 
 
+# Compressed bytes of lines a task may get: sorting and grouping them takes up to some eighty times as much memory.
+BYTES_PER_PART = 6 * 1024 * 1024
+
+
+def _dealt(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``df`` dealt over ``parts`` by ``keys``, where they are more than Spark would take by itself."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(parts, *keys) if parts > least else df
+
+
+def sales(spark: SparkSession, data_dir: str) -> tuple[DataFrame, int]:
+    """Rows of :data:`SALES_SQL` and the number of parts they lie in, which grows with the lines; all lines of an
+    order are in one part."""
+    lines, orders = read_table(spark, data_dir, "lineitem"), read_table(spark, data_dir, "orders")
+    parts = parts_for(lines, BYTES_PER_PART)
+    return sql_source(spark, SALES_SQL, views={"lineitem": _dealt(lines, parts, "l_orderkey"),
+                                               "orders": _dealt(orders, parts, "o_orderkey")}), parts
+
+
 def with_month(df: DataFrame, ts: str = "sold_at") -> DataFrame:
     return df.withColumn("revenue_month", F.date_format(F.col(ts), "yyyy-MM"))
 
 
-def revenue_by_seller(monthly: DataFrame, sellers: DataFrame) -> DataFrame:
+def revenue_by_seller(monthly: DataFrame, sellers: DataFrame, parts: int = 0) -> DataFrame:
     """Revenue, units, transactions and customers per seller and month.
 
-    Lines are first summed per transaction, which has one customer; transactions are then
-    rows to count, and only customers remain to be counted distinct.
+    Lines are first summed per transaction, which has one customer, then per customer (over ``parts``, see
+    :func:`sales`); customers are then rows to count.
     """
     month = ["seller_id", "revenue_month"]
     sales = monthly.groupBy(*month, "transaction_id").agg(
         money_total("total_price").alias("paid"), F.sum("quantity").alias("units"),
         F.min("customer_id").alias("customer_id"))
-    totals = sales.groupBy(*month).agg(
-        F.sum("paid").alias("paid"), F.sum("units").alias("items_sold"), F.count("*").alias("transactions"),
-        F.count_distinct("customer_id").alias("customers"))
+    buyers = _dealt(sales, parts, *month, "customer_id").groupBy(*month, "customer_id").agg(
+        F.sum("paid").alias("paid"), F.sum("units").alias("units"), F.count("*").alias("transactions"))
+    totals = buyers.groupBy(*month).agg(
+        F.sum("paid").alias("paid"), F.sum("units").alias("items_sold"), F.sum("transactions").alias("transactions"),
+        F.count("customer_id").alias("customers"))
     named = sellers.select(F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_name"),
                            F.col("s_nationkey").alias("seller_nation"))
     return totals.join(broadcast_if_small(named), "seller_id", "left").select(
@@ -90,7 +112,7 @@ class CustomerRevenue:
 
         class _Task(Task):
             inputs = {
-                "transactions": Source(sql=SALES_SQL, views={"lineitem": "lineitem", "orders": "orders"}),
+                "transactions": Source(fn=lambda spark, params: sales(spark, params["data_dir"])[0]),
                 "sellers": Source(table="supplier"),
             }
             outputs = {
@@ -102,7 +124,8 @@ class CustomerRevenue:
 
             def transform(self, sources, params):
                 monthly = with_month(sources["transactions"])
-                return {"seller_revenue": revenue_by_seller(monthly, sources["sellers"]),
+                parts = parts_for(read_table(monthly.sparkSession, params["data_dir"], "lineitem"), BYTES_PER_PART)
+                return {"seller_revenue": revenue_by_seller(monthly, sources["sellers"], parts),
                         "product_revenue": revenue_by_product(monthly)}
 
         return _Task()

@@ -522,9 +522,8 @@ SELECT a.*, s.s_name AS seller_name, s.s_nationkey AS seller_nation,
 FROM a LEFT JOIN supplier s ON s.s_suppkey = a.seller_id
 """)
 def revenue_by_supplier_month(spark, d):
-    _views(spark, d, "lineitem", "orders")
-    monthly = revenue.with_month(spark.sql(revenue.SALES_SQL))
-    return revenue.revenue_by_seller(monthly, read_table(spark, d, "supplier"))
+    rows, parts = revenue.sales(spark, d)
+    return revenue.revenue_by_seller(revenue.with_month(rows), read_table(spark, d, "supplier"), parts)
 
 
 REVENUE_BY_PART_SQL = """
