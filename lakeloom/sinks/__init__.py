@@ -237,14 +237,29 @@ def _merge(spark: SparkSession, batch: DataFrame, sink: Sink, stage) -> None:
         _swap_in(state, sink, lambda new: sorted(set(_partition_folders(touched, parts)) - set(new)), whole=False)
 
 
+def _first_merge(batch: DataFrame, sink: Sink) -> None:
+    """The first batch of a folder: written once, beside the target, checked there and swapped in."""
+    data = _swap(batch.sparkSession, sink).data
+
+    def checked(_) -> tuple:
+        check_merge_source(batch.sparkSession.read.schema(batch.schema).format(sink.fmt).load(data), sink.merge_keys)
+        return ()
+
+    _swap_in(batch, sink, checked)
+
+
 def write(df: DataFrame, sink: Sink) -> int | None:
     """Write ``df`` to ``sink``.
 
-    A merge, or a sink that requires rows, stages the batch first, so its plan runs once. With
+    A merge, or a sink that requires rows, stages the batch first, so its plan runs once (the first merge
+    into a folder without partitions is checked where it was written, before it counts). With
     ``require_rows`` an empty batch fails before the target is touched, and the number of rows
     of the batch is returned; otherwise ``None`` is returned.
     """
     spark = df.sparkSession
+    if sink.mode == "merge" and not (sink.table or sink.partition_by or sink.require_rows or sink.exists(spark)):
+        _first_merge(df, sink)
+        return None
     staged: list[str] = []
 
     def stage(rows: DataFrame) -> DataFrame:

@@ -43,3 +43,12 @@ def test_hashed_tfidf_equals_a_plain_version(spark):
         plain = [bags[r["id"]][p] * idf[p] for p in range(32)]
         norm = math.sqrt(sum(v * v for v in plain)) or 1.0
         assert r["embedding"] == pytest.approx([v / norm for v in plain], abs=1e-6)
+
+
+def test_vectors_of_many_calls_come_back_as_one_batch(spark):
+    """Calls hold ``batch_size`` texts, but Arrow batches are Spark's: per-call batches cost most of the time."""
+    df = spark.range(40).selectExpr("id", "repeat('a', int(id)) AS text").coalesce(1)
+    plan = batch_embed(df, lambda ts: [[float(len(t))] for t in ts], "id", "text")
+    assert "predict" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"]: r["embedding"] for r in plan.collect()} == {i: [float(i)] for i in range(40)}
+    assert batch_embed(df.where("false"), lambda ts: [], "id", "text").count() == 0
