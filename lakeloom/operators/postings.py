@@ -10,7 +10,9 @@
   holds no other term of the question can't be among the best; from the lists that remain only those postings are
   taken whose text could still reach the bound. The sums over them raise the bound, and the texts that can still reach
   it get what the lists left out add to them.
-* Lists are joined on (term, part), :data:`PARTS` parts a term, so a word that every text holds fills no task.
+* Lists are joined on (term, part), :data:`PARTS` parts a term, so a word that every text holds fills no task; the terms of
+  few questions are broadcast once instead. Rarities reach the counts by a shuffle on the term, those of the at most
+  :data:`FREQUENT` most frequent terms by a broadcast: what the driver holds does not grow with the vocabulary.
 
 Rows without an id or without terms are neither indexed nor asked. Texts that share an id stay apart; question
 rows that share one are one question. A question gets fewer than ``k`` rows where fewer texts share a term with it that weighs anything. Ties go to the
@@ -25,10 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import terms
+from ..plans.sizing import estimated_bytes
 from ..session import landed
 
 UNIT = 1_000_000
 PARTS = 32
+FREQUENT = 4096  # at most so many terms hold more than that part of all counts
+ASKED_BYTES = 4 * 1024 * 1024  # of a (compressed) table of questions' terms that is broadcast
 PROBE_ROWS = 2048  # postings of its rarest terms that give a question its first bound
 
 
@@ -55,10 +60,18 @@ def _in_all_parts(rows: DataFrame) -> DataFrame:
     return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
 
 
+def _rarities(counted: DataFrame, lists: DataFrame) -> DataFrame:
+    """``counted`` plus idf, for the terms that ``lists`` has."""
+    share = (lists.agg(F.sum("df").alias("n")).first()["n"] or 0) / FREQUENT
+    frequent = F.broadcast(lists.where(F.col("df") > share).select("term", "idf"))
+    rare = lists.where(F.col("df") <= share).select("term", "idf")
+    others = counted.join(frequent.select("term"), "term", "left_anti")
+    return counted.join(frequent, "term").unionByName(others.join(rare.hint("merge"), "term"))
+
+
 def _weighed(counted: DataFrame, lists: DataFrame, name: str) -> DataFrame:
     """(name, entries): whole weights of the terms of each text, those of 0 left out."""
-    known = counted.withColumn("part", _part(name)).join(_in_all_parts(lists.select("term", "idf")), ["term", "part"])
-    raw = known.withColumn("raw", F.col("tf") * F.col("idf")).where("raw > 0")
+    raw = _rarities(counted, lists).withColumn("raw", F.col("tf") * F.col("idf")).where("raw > 0")
     square = F.col("raw").cast("decimal(18,0)") * F.col("raw").cast("decimal(18,0)")
     per_text = raw.groupBy(name).agg(F.sqrt(F.sum(square).cast("double")).alias("length"),
                                      F.collect_list(F.struct("term", "raw")).alias("found"))
@@ -92,7 +105,10 @@ def _asked(questions: DataFrame, index: PostingIndex, q_id: str, q_text: str) ->
 
 def _found(asked: DataFrame, index: PostingIndex, within: Column | None = None) -> DataFrame:
     """(qid, did, partial) over the lists of ``asked``; ``within`` picks postings."""
-    pairs = index.postings.join(_in_all_parts(asked), ["term", "part"])
+    if estimated_bytes(asked) <= ASKED_BYTES:
+        pairs = index.postings.join(F.broadcast(asked), "term")
+    else:
+        pairs = index.postings.join(_in_all_parts(asked).hint("merge"), ["term", "part"])
     if within is not None:
         pairs = pairs.where(within)
     return pairs.groupBy("qid", "did").agg(F.sum(F.col("own") * F.col("weight")).alias("partial"))

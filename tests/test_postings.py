@@ -88,3 +88,18 @@ def test_nothing_indexed_or_asked(spark):
     assert postings.topk(q.where("false"), postings.build(d), 3).count() == 0
     assert postings.read_share(q.where("false"), postings.build(d), 3) == 0.0
     assert found(postings.topk(q, postings.build(d), 3)) == {"q": [(1, brute([("q", "a b")], [(1, "a b"), (2, "c")], 3)["q"][0][1])]}
+
+
+def test_the_vocabulary_is_not_broadcast(spark, monkeypatch):
+    corpus = [(i, f"all {'most' if i % 2 else 'some'} own{i}") for i in range(200)]
+    q, d = frames(spark, [("q", "all most own7 own8")], corpus)
+    monkeypatch.setattr(postings, "FREQUENT", 10)
+    index = postings.build(d)
+    counted = postings._counted(d, "doc_id", "text", "did")
+    plan = postings._rarities(counted, index.lists)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert postings._rarities(counted, index.lists).count() == 600
+    want = brute([("q", "all most own7 own8")], corpus, 3)
+    assert found(postings.topk(q, index, 3)) == want
+    monkeypatch.setattr(postings, "ASKED_BYTES", 0)
+    assert found(postings.topk(q, index, 3)) == want
