@@ -73,3 +73,14 @@ def test_stop_at_end_count_formula(spark):
     rows = df.select("n", chunk.stop_at_end_count(F.col("n")).alias("c")).collect()
     for r in rows:
         assert r["c"] == len(loop_stop_at_end(" ".join(["w"] * r["n"]))), r["n"]
+
+
+def test_words_part_where_python_does(spark):
+    from lakeloom.functions.text import SPARK_WHITESPACE, words
+
+    texts = [f"{chr(c)}a{chr(c)}{chr(c)}b {chr(c)}" for c in range(0xFFFE) if not 0xD800 <= c < 0xE000] + ["", " ", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    for r in df.select("id", words(F.col("text")).alias("w")).collect():
+        assert r["w"] == (texts[r["id"]] or "").split(), texts[r["id"]]
+    # Asking ranges one by one at every character took most of the time of cutting texts.
+    assert SPARK_WHITESPACE.count("-") == 1

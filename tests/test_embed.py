@@ -2,8 +2,10 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from lakeloom.operators import embed
 from lakeloom.operators.embed import batch_embed, fit_hashed_tfidf, with_embedding
 
 
@@ -52,3 +54,22 @@ def test_vectors_of_many_calls_come_back_as_one_batch(spark):
     assert "predict" not in plan._jdf.queryExecution().executedPlan().toString()
     assert {r["id"]: r["embedding"] for r in plan.collect()} == {i: [float(i)] for i in range(40)}
     assert batch_embed(df.where("false"), lambda ts: [], "id", "text").count() == 0
+
+
+def test_words_are_hashed_together_and_as_one_by_one(monkeypatch):
+    """A call per word took most of the time of fitting and embedding; only very long words get one."""
+    odd = [c for c in map(chr, range(0x3100)) if c.isspace()] + list("aBZ\u00c9\u0130\u03a3\u65e5\U0001f600.\x00\x7f\x84")
+    texts = ["".join(odd[(i * j + j // 7) % len(odd)] for j in range(i)) for i in range(0, 90, 3)]
+    texts += ["", " ", "x" * 48, "y" * 49 + " z", "\u00e9" * 40 + "\u2003Q", "a\x1cb\x85c"]
+    calls = []
+    monkeypatch.setattr(embed.zlib, "crc32", lambda w, crc=zlib.crc32: calls.append(w) or crc(w))
+    got = {dim: embed._bags(texts, dim) for dim in (1, 32, 1009)}
+    monkeypatch.undo()
+    assert calls and all(len(w) > embed._LONGEST for w in calls)
+    for dim, bags in got.items():
+        want = np.zeros((len(texts), dim), int)
+        for i, text in enumerate(texts):
+            for w in text.lower().split():
+                want[i, zlib.crc32(w.encode()) % dim] += 1
+        assert (bags == want).all()
+    assert embed._bags([], 4).shape == (0, 4)

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lakeloom.operators import retrieve
@@ -40,6 +41,24 @@ def test_topk_equals_brute_force(spark):
         assert rows == want
 
 
+def test_scores_held_at_once_are_bounded(monkeypatch):
+    """However many questions there are, and whatever the size of a batch; the rows found stay as they were."""
+    held = []
+    plain = retrieve._normalise
+    monkeypatch.setattr(retrieve, "_normalise", lambda m: held.append(len(m)) or plain(m))
+    monkeypatch.setattr(retrieve, "SCORE_CELLS", 70)
+    rng = np.random.default_rng(6)
+    d = rng.normal(size=(120, 5)).astype(np.float32)
+    ids = [f"{i:03}" for i in rng.permutation(120)]
+    q, q_ids = d[:10], ids[:10]
+    batches = [pd.DataFrame({"did": ids[a:b], "dvec": list(d[a:b])}) for a, b in ((0, 2), (2, 50), (50, 50), (50, 120))]
+    for own in (False, True):
+        run = retrieve._partial_topk(np.array(q_ids), plain(q.astype(np.float64)), 4, own)
+        found = pd.concat(run(iter(batches))).groupby("query_id")["doc_id"].agg(list).to_dict()
+        assert found == brute(q.astype(np.float64), d.astype(np.float64), 4, own, q_ids, ids)
+    assert max(held) <= 70 and 7 in held
+
+
 def test_index_skips_what_no_question_reaches(spark, monkeypatch):
     monkeypatch.setattr(retrieve, "PROBE_SHARE", 4)
     rng = np.random.default_rng(4)
