@@ -3,8 +3,10 @@
 * A text's terms are its runs of letters and digits (A-Z lower-cased). An occurrence weighs
   ``floor(1000 * ln((n + 1) / df))``; the weights of a text are scaled to length :data:`UNIT` and rounded down to whole
   numbers, so that scores are exact sums that depend on no order. A score over ``UNIT * UNIT`` is the cosine.
-* :func:`build` numbers the texts and writes the posting lists of numbers in order of (term, part), so that a long list
-  lies in many files, and per term its length and greatest weight. Ids of any length appear in results alone.
+* :func:`build` numbers the texts, counts terms in blocks of :data:`BLOCK_BYTES` of text and writes a list per block and
+  term: no table or shuffle has a row per text and term. Rarities are joined to the terms of each block. The posting
+  lists are written in order of (term, part), so that a long list lies in many files, and per term its length and
+  greatest weight. Ids of any length appear in results alone.
 * :func:`topk` takes three steps. The rarest terms of a question give ``k`` texts whose scores are a lower bound of the
   ``k``-th best. Frequent terms whose greatest contributions together stay below that bound are left out, as a text that
   holds no other term of the question can't be among the best; from the lists that remain only those postings are
@@ -21,12 +23,17 @@ smaller id.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import terms
+from ..functions.text import LOWER, UPPER, terms
 from ..plans.sizing import estimated_bytes
 from ..session import landed
 
@@ -34,12 +41,14 @@ UNIT = 1_000_000
 PARTS = 32
 FREQUENT = 4096  # at most so many terms hold more than that part of all counts
 ASKED_BYTES = 4 * 1024 * 1024  # of a (compressed) table of questions' terms that is broadcast
+BLOCK_BYTES = 16 * 1024 * 1024  # of text whose terms are counted together
 PROBE_ROWS = 2048  # postings of its rarest terms that give a question its first bound
 
 
 @dataclass
 class PostingIndex:
-    """Ids (did, the text's number; id), postings (term, part, did, weight), lists (term, df, idf, top)."""
+    """Ids (did, the text's number; id), postings (term, part, base, places, weights; did is base + place), lists (term, df,
+    idf, top)."""
 
     ids: DataFrame
     postings: DataFrame
@@ -80,19 +89,128 @@ def _weighed(counted: DataFrame, lists: DataFrame, name: str) -> DataFrame:
     return per_text.select(name, F.filter(entries, lambda e: e["weight"] > 0).alias("entries"))
 
 
+_FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
+_IN_TERM = np.array([b >= 0x80 or chr(b).isdigit() or chr(b).islower() for b in range(256)])  # TERM_PATTERN, byte by byte
+
+
+def _term_counts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct terms, and by (term, text): number of the term, place of the text, count), as :func:`terms` parts them."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    folded = data[edges[0]:edges[-1]].to_pybytes().translate(_FOLD) if data is not None else b""
+    raw, edges = np.frombuffer(folded, np.uint8), edges - edges[0]
+    held = _IN_TERM[raw]
+    apart = np.zeros(len(raw) + 1, bool)  # no term goes on from the byte before
+    apart[1:-1] = ~held[:-1]
+    apart[edges] = True
+    starts = np.flatnonzero(held & apart[:-1])
+    apart[:-2] = ~held[1:]
+    apart[-2:] = True
+    apart[edges[edges > 0] - 1] = True
+    sizes = np.flatnonzero(held & apart[:-1]) + 1 - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    every = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw[held]))
+    coded = every.dictionary_encode()
+    place = np.searchsorted(edges, starts, "right") - 1
+    key, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * max(1, len(texts)) + place, return_counts=True)
+    term, place = np.divmod(key, max(1, len(texts)))
+    return coded.dictionary.cast(pa.string()), term, place, tf
+
+
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    """The ``values`` in lists of so many."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, pa.int32()))
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in runs of at most :data:`BLOCK_BYTES` of text, or of one text."""
+    waiting, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(ends):
+            done = int(ends[at - 1]) if at else 0
+            to = int(np.searchsorted(ends, done + BLOCK_BYTES - size, "right"))
+            if to > at or not waiting:
+                to = max(at + 1, to)
+                waiting.append(batch.slice(at, to - at))
+                size, at = size + int(ends[to - 1]) - done, to
+            else:
+                yield pa.concat_batches(waiting)
+                waiting, size = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
+def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(base, term, n, places, tfs, id): a row per block and term, and one without a term per text, with its id."""
+    base = TaskContext.get().partitionId() << 40
+    names = ["base", "term", "n", "places", "tfs", "id"]
+    for block in _sliced(batches):
+        ids, size = block.column(0), block.num_rows
+        found, term, place, tf = _term_counts(block.column(1))
+        df = np.bincount(term, minlength=len(found))
+        listed = [pa.array(np.full(len(found), base)), found, pa.array(df, pa.int32()), _lists(df, place), _lists(df, tf),
+                  pa.nulls(len(found), ids.type)]
+        each, own = np.ones(size, np.int64), np.bincount(place, minlength=size)
+        texts = [pa.array(np.full(size, base)), pa.nulls(size, pa.string()), pa.array(own, pa.int32()),
+                 _lists(each, np.arange(size)), _lists(each, own), ids]
+        yield pa.RecordBatch.from_arrays(listed, names)
+        yield pa.RecordBatch.from_arrays(texts, names)
+        base += size
+
+
+def _squares(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Sums of squares by place, each rounded once."""
+    most = int(raw.max(initial=0)) ** 2 * int(np.bincount(place).max(initial=0))
+    raw = raw if most < 1 << 62 else raw.astype(object)
+    sums = np.zeros(int(place.max(initial=-1)) + 1, raw.dtype)
+    np.add.at(sums, place, raw * raw)
+    return sums.astype(np.float64)
+
+
+def _block_weights(counts: pa.Table, rarities: pa.Table) -> pa.Table:
+    """(term, base, places, weights, top) of a block from (base, term, places, tfs) and (block, word, idf)."""
+    counts, rarities = counts.combine_chunks(), rarities.combine_chunks()
+    idf = pc.take(rarities["idf"], pc.index_in(counts["term"], rarities["word"])).to_numpy()
+    flat = lambda name: np.concatenate([c.flatten().to_numpy() for c in counts[name].chunks]).astype(np.int64)
+    row = np.repeat(np.arange(len(idf)), pc.list_value_length(counts["places"]).to_numpy())
+    place, raw = flat("places"), flat("tfs") * idf[row]
+    weight = np.zeros(len(raw), np.int64)
+    some = raw > 0
+    weight[some] = np.floor((raw[some] * UNIT).astype(np.float64) / np.sqrt(_squares(raw[some], place[some])[place[some]]))
+    row, place, weight = row[weight > 0], place[weight > 0], weight[weight > 0]
+    held, at, df = np.unique(row, return_index=True, return_counts=True)
+    tops = np.maximum.reduceat(weight, at) if len(at) else weight
+    return pa.table([counts["term"].take(pa.array(held)), counts["base"].take(pa.array(held)), _lists(df, place), _lists(df, weight),
+                     pa.array(tops, pa.int32())], ["term", "base", "places", "weights", "top"])
+
+
 def build(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> PostingIndex:
     """Index every text of ``corpus``; all tables are written to the shared folder."""
     named = corpus.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    numbered = landed(named.withColumn("did", F.monotonically_increasing_id()), "numbered")  # fixed by being written
-    counted = landed(_counted(numbered, "did", "text", "did"), "term-counts")
-    n = counted.agg(F.count_distinct("did").alias("n")).first()["n"]
+    inverted = landed(named.mapInArrow(  # numbers are fixed by being written
+        _inverted, f"base long, term string, n int, places array<int>, tfs array<int>, id {named.dtypes[0][1]}"), "term-counts")
+    counted, texts = inverted.where("term IS NOT NULL"), inverted.where("term IS NULL")
+    n = texts.where("n > 0").count()
     idf = F.floor(F.lit(1000.0) * F.log(F.lit(float(n + 1)) / F.col("df")))
-    lists = landed(counted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf), "terms")
-    postings = _weighed(counted, lists, "did").select("did", F.inline("entries")).withColumn("part", _part("did"))
-    postings = landed(postings.select("term", "part", "did", "weight").repartitionByRange("term", "part", "did")
-                      .sortWithinPartitions("term", "part"), "postings")
-    tops = postings.groupBy("term").agg(F.max("weight").alias("top"))
-    return PostingIndex(numbered.select("did", "id"), postings, landed(lists.join(tops, "term"), "lists"))
+    lists = landed(counted.groupBy("term").agg(F.sum("n").alias("df")).withColumn("idf", idf), "terms")
+    rarities = _rarities(counted.select("base", "term"), lists).select(F.col("base").alias("block"), F.col("term").alias("word"), "idf")
+    weighed = counted.select("base", "term", "places", "tfs").groupBy("base").cogroup(rarities.groupBy("block")).applyInArrow(
+        _block_weights, "term string, base long, places array<int>, weights array<int>, top int")
+    postings = landed(weighed.withColumn("part", _part("base")).repartition("term", "part").sortWithinPartitions("term", "part"),
+                      "postings")
+    tops = postings.groupBy("term").agg(F.max("top").cast("long").alias("top"))
+    ids = texts.select((F.col("base") + F.get("places", F.lit(0))).alias("did"), "id")
+    return PostingIndex(ids, postings.drop("top"), landed(lists.join(tops, "term"), "lists"))
+
+
+def _unpacked(packed: DataFrame) -> DataFrame:
+    """A row (did, weight and the other columns) per text of the posting lists in ``packed``."""
+    others = [c for c in packed.columns if c not in ("base", "places", "weights")]
+    each = packed.select(*others, "base", "weights", F.posexplode("places").alias("at", "place"))
+    return each.select(*others, (F.col("base") + F.col("place")).alias("did"), F.get("weights", "at").cast("long").alias("weight"))
 
 
 def _asked(questions: DataFrame, index: PostingIndex, q_id: str, q_text: str) -> DataFrame:
@@ -109,6 +227,7 @@ def _found(asked: DataFrame, index: PostingIndex, within: Column | None = None)
         pairs = index.postings.join(F.broadcast(asked), "term")
     else:
         pairs = index.postings.join(_in_all_parts(asked).hint("merge"), ["term", "part"])
+    pairs = _unpacked(pairs)
     if within is not None:
         pairs = pairs.where(within)
     return pairs.groupBy("qid", "did").agg(F.sum(F.col("own") * F.col("weight")).alias("partial"))
@@ -125,8 +244,8 @@ def _completed(pairs: DataFrame, light: DataFrame, index: PostingIndex) -> DataF
     light = light.select("qid", "term", "own")
     per_q = light.groupBy("qid").agg(F.collect_list(F.struct("term", "own")).alias("rest"))
     wanted = pairs.select("qid", "did").join(per_q, "qid").select("qid", "did", F.inline("rest"))
-    lists = index.postings.join(light.select("term").distinct(), "term", "left_semi").select("term", "did", "weight")
-    more = wanted.join(lists, ["term", "did"]).select("qid", "did", (F.col("own") * F.col("weight")).alias("points"))
+    lists = index.postings.join(light.select("term").distinct(), "term", "left_semi")
+    more = wanted.join(_unpacked(lists.select("term", "base", "places", "weights")), ["term", "did"]).select("qid", "did", (F.col("own") * F.col("weight")).alias("points"))
     return pairs.select("qid", "did", F.col("partial").alias("points")).unionByName(more).groupBy("qid", "did").agg(
         F.sum("points").alias("points"))
 

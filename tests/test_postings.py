@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeloom.operators import postings
@@ -103,3 +105,43 @@ def test_the_vocabulary_is_not_broadcast(spark, monkeypatch):
     assert found(postings.topk(q, index, 3)) == want
     monkeypatch.setattr(postings, "ASKED_BYTES", 0)
     assert found(postings.topk(q, index, 3)) == want
+
+
+def test_terms_are_counted_in_blocks(monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("aBZz09 -\u00e9\u65e5\U0001f600.\x7f{`[@/:\n", k=rng.randint(0, 14))) for _ in range(300)]
+    texts += [None, "", "abc", "def", "", "x" * 90, None]
+    for own, column in ((texts, pa.array(["zz", *texts, "q"]).slice(1, len(texts))), ([], pa.array([], pa.string())),
+                        ([None], pa.array([None], pa.string())), (texts, pa.array(texts, pa.large_string()))):
+        found, term, place, tf = postings._term_counts(column)
+        got = defaultdict(Counter)
+        for t, p, n in zip(term.tolist(), place.tolist(), tf.tolist()):
+            got[p][found[t].as_py()] += n
+        assert got == {i: Counter(split(x)) for i, x in enumerate(own) if split(x)}
+    monkeypatch.setattr(postings, "BLOCK_BYTES", 40)
+    rows = pa.table([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["id", "text"])
+    for size in (1, 7, 1000):
+        blocks = list(postings._sliced(iter(rows.to_batches(max_chunksize=size))))
+        assert pa.Table.from_batches(blocks).equals(rows) and len(blocks) > 20
+        lengths = [[len((x or "").encode()) for x in b.column(1).to_pylist()] for b in blocks]
+        assert all(sum(n) <= 40 or len(n) == 1 for n in lengths)
+
+
+def test_sums_of_squares_of_any_size():
+    raw, place = np.array([3, 4, 5, 4 * 10**9 + 1, 2 * 10**9 + 3]), np.array([0, 0, 2, 3, 3])
+    want = [25.0, 0.0, 25.0, float((4 * 10**9 + 1) ** 2 + (2 * 10**9 + 3) ** 2)]
+    assert postings._squares(raw, place).tolist() == want
+    assert postings._squares(raw[:0], place[:0]).tolist() == []
+
+
+def test_no_table_has_a_row_per_text_and_term(spark, monkeypatch):
+    """Counts and postings were shuffled and written one by one, which took most of the disk and time of an index."""
+    corpus = [(i, f"all {'most' if i % 2 else 'some'} own{i}") for i in range(200)]
+    q, d = frames(spark, [("q", "all most own7 own8")], corpus)
+    held, plain = [], postings.landed
+    monkeypatch.setattr(postings, "landed", lambda df, name: held.append((name, plain(df, name))) or held[-1][1])
+    index = postings.build(d.repartition(3))
+    sizes = {name: rows.count() for name, rows in held}
+    assert sizes == {"term-counts": 200 + 200 + 3 * 3, "terms": 203, "postings": 200 + 3 * 3, "lists": 203}
+    assert postings._unpacked(index.postings).count() == 600
+    assert found(postings.topk(q, index, 3)) == brute([("q", "all most own7 own8")], corpus, 3)
