@@ -14,7 +14,8 @@
   it get what the lists left out add to them.
 * Lists are joined on (term, part), :data:`PARTS` parts a term, so a word that every text holds fills no task; the terms of
   few questions are broadcast once instead. Rarities reach the counts by a shuffle on the term, those of the at most
-  :data:`FREQUENT` most frequent terms by a broadcast: what the driver holds does not grow with the vocabulary.
+  :data:`FREQUENT` most frequent terms by a broadcast: what the driver holds does not grow with the vocabulary, whatever the
+  session's bound for broadcasts is.
 
 Rows without an id or without terms are neither indexed nor asked. Texts that share an id stay apart; question
 rows that share one are one question. A question gets fewer than ``k`` rows where fewer texts share a term with it that weighs anything. Ties go to the
@@ -41,7 +42,8 @@ UNIT = 1_000_000
 PARTS = 32
 FREQUENT = 4096  # at most so many terms hold more than that part of all counts
 ASKED_BYTES = 4 * 1024 * 1024  # of a (compressed) table of questions' terms that is broadcast
-BLOCK_BYTES = 16 * 1024 * 1024  # of text whose terms are counted together
+WANTED_ROWS = 65536  # of lookups by (term, text) that are broadcast
+BLOCK_BYTES = 8 * 1024 * 1024  # of text whose terms are counted together
 PROBE_ROWS = 2048  # postings of its rarest terms that give a question its first bound
 
 
@@ -203,7 +205,7 @@ def build(corpus: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                       "postings")
     tops = postings.groupBy("term").agg(F.max("top").cast("long").alias("top"))
     ids = texts.select((F.col("base") + F.get("places", F.lit(0))).alias("did"), "id")
-    return PostingIndex(ids, postings.drop("top"), landed(lists.join(tops, "term"), "lists"))
+    return PostingIndex(ids, postings.drop("top"), landed(lists.hint("merge").join(tops, "term"), "lists"))
 
 
 def _unpacked(packed: DataFrame) -> DataFrame:
@@ -216,7 +218,7 @@ def _unpacked(packed: DataFrame) -> DataFrame:
 def _asked(questions: DataFrame, index: PostingIndex, q_id: str, q_text: str) -> DataFrame:
     """(qid, term, own, df, bound): the weighty terms of each question, with the most a text can get by each."""
     entries = _weighed(_counted(questions, q_id, q_text, "qid"), index.lists, "qid").select("qid", F.inline("entries"))
-    asked = entries.join(index.lists.select("term", "df", "top"), "term").select(
+    asked = entries.join(index.lists.select("term", "df", "top").hint("merge"), "term").select(
         "qid", "term", F.col("weight").alias("own"), "df", (F.col("weight") * F.col("top")).alias("bound"))
     return landed(asked, "asked")
 
@@ -240,10 +242,13 @@ def _best(scored: DataFrame, k: int, by: str) -> DataFrame:
 
 def _completed(pairs: DataFrame, light: DataFrame, index: PostingIndex) -> DataFrame:
     """(qid, did, points) of pairs (qid, did, partial): the lists of ``light`` (qid, term, own) add their share, looked up by
-    (term, text)."""
+    (term, text). How many lookups there are is counted: the planner's estimate knows nothing of the terms of a pair."""
     light = light.select("qid", "term", "own")
     per_q = light.groupBy("qid").agg(F.collect_list(F.struct("term", "own")).alias("rest"))
     wanted = pairs.select("qid", "did").join(per_q, "qid").select("qid", "did", F.inline("rest"))
+    sizes = light.groupBy("qid").agg(F.count(F.lit(1)).alias("terms"))
+    lookups = pairs.groupBy("qid").agg(F.count(F.lit(1)).alias("texts")).join(sizes, "qid").agg(F.sum(F.col("texts") * F.col("terms")).alias("n"))
+    wanted = wanted.hint("broadcast" if (lookups.first()["n"] or 0) <= WANTED_ROWS else "merge")
     lists = index.postings.join(light.select("term").distinct(), "term", "left_semi")
     more = wanted.join(_unpacked(lists.select("term", "base", "places", "weights")), ["term", "did"]).select("qid", "did", (F.col("own") * F.col("weight")).alias("points"))
     return pairs.select("qid", "did", F.col("partial").alias("points")).unionByName(more).groupBy("qid", "did").agg(

@@ -145,3 +145,28 @@ def test_no_table_has_a_row_per_text_and_term(spark, monkeypatch):
     assert sizes == {"term-counts": 200 + 200 + 3 * 3, "terms": 203, "postings": 200 + 3 * 3, "lists": 203}
     assert postings._unpacked(index.postings).count() == 600
     assert found(postings.topk(q, index, 3)) == brute([("q", "all most own7 own8")], corpus, 3)
+
+
+def test_neither_vocabulary_nor_lookups_are_broadcast_under_any_bound(spark, monkeypatch):
+    """Lookups of every text in reach, with all terms left out, filled the driver under Spark's usual bound."""
+    corpus = [(i, f"all {'most' if i % 2 else 'some'} own{i}") for i in range(200)]
+    q, d = frames(spark, [("q", "all most own7 own8")], corpus)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    try:
+        plans, plain = {}, postings.landed
+        monkeypatch.setattr(postings, "landed", lambda df, name: plans.update({name: plan(df)}) or plain(df, name))
+        index = postings.build(d)
+        asked = postings._asked(q, index, "query_id", "text")
+        for name in ("lists", "asked"):
+            assert "BroadcastHashJoin" not in plans[name].split("SortMergeJoin")[0] and "SortMergeJoin" in plans[name]
+        pairs = spark.createDataFrame([("q", r["did"], 5) for r in index.ids.collect()], "qid string, did long, partial long")
+        few = postings._completed(pairs, asked, index)
+        monkeypatch.setattr(postings, "WANTED_ROWS", 799)
+        many = postings._completed(pairs, asked, index)
+        assert "SortMergeJoin" not in plan(few) and "SortMergeJoin" in plan(many)
+        assert sorted(few.collect()) == sorted(many.collect()) and many.count() == 200
+        assert found(postings.topk(q, index, 3)) == brute([("q", "all most own7 own8")], corpus, 3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
