@@ -92,3 +92,43 @@ def test_cited_context_orders_hits(spark):
     r = retrieve.cited_context(hits, labels, "label").first()
     assert r["cited_ids"] == [11, 10] and r["top_score"] == 0.9
     assert r["context"].startswith("[1] vec 11 (label 4, score 0.900000)\n\n[2] vec 10")
+
+
+def test_all_pieces_of_all_texts_are_ranked_under_the_ids_of_the_chunk_operator(spark, monkeypatch):
+    """retrieve_cited against plain scoring of every piece that the statement of retrieve_postings cuts."""
+    import zlib
+    from collections import Counter
+
+    import duckdb
+
+    from lakeloom import catalog
+    from lakeloom.operators import chunk
+    from lakeloom.queries.search import _TEXTS
+    from lakeloom.queries.text import _pieces_sql, _stop_at_end_sql
+    from tests.conftest import SF_SMALL
+
+    named, plain = [], chunk.chunk_id
+    monkeypatch.setattr(chunk, "chunk_id", lambda *a: named.append(a) or plain(*a))
+    got = {r["item_id"]: r["sources"] for r in catalog.queries()["retrieve_cited"](spark, SF_SMALL).collect()}
+    assert named
+    con = duckdb.connect()
+    for t in ("documents", "conversations", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    pieces = con.execute(f"SELECT piece_id, piece FROM ({_pieces_sql(_stop_at_end_sql(_TEXTS, 'text_id, caption'))})").fetchall()
+    items = con.execute("SELECT item_id, text FROM benchmark").fetchall()
+
+    def bags(texts):
+        out = np.zeros((len(texts), 256))
+        for i, text in enumerate(texts):
+            for w, n in Counter(text.lower().split()).items():
+                out[i, zlib.crc32(w.encode()) % 256] += n
+        return out
+
+    held, asked = bags([p for _, p in pieces]), bags([t for _, t in items])
+    idf = np.log((len(held) + 1) / ((held > 0).sum(0) + 1))
+    unit = lambda m: (m * idf) / np.linalg.norm(m * idf, axis=1, keepdims=True)
+    scores, ids = unit(asked) @ unit(held).T, [i for i, _ in pieces]
+    for (item, _), own in zip(items, scores):
+        best = sorted(own, reverse=True)[:4]
+        assert np.allclose([own[ids.index(s)] for s in got[item]], best, atol=1e-5)
+    assert len(got) == len(items)
